@@ -46,12 +46,15 @@ def whole_months_between(later, earlier) -> Column:
     return F.greatest(F.lit(0), (F.year(a) - F.year(b)) * 12 + F.month(a) - F.month(b))
 
 
-def rnd(c, digits: int) -> Column:
-    """Deterministic half-up rounding, ``floor(x·10^d + 0.5) / 10^d``.
-
-    Written with plain IEEE operations so DuckDB evaluates the identical
-    formula bit for bit (used in the presentation step of checked queries)."""
-    scale = 10 ** digits
+def rnd(c, bits: int) -> Column:
+    """Deterministic rounding to a multiple of 2^-bits: ``floor(x·2^k + 0.5) / 2^k``.
+
+    Scaling by a power of two is exact, so DuckDB evaluates the identical
+    formula bit for bit, and values with d decimal places can never sit
+    exactly on a binary half-step when k ≥ d (decimal rounding would hit
+    exact ties such as 0.0499185 → 6 places).  Used in the presentation step
+    of checked queries only."""
+    scale = float(2 ** bits)
     c = col(c)
     return F.floor(c * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
 

@@ -137,15 +137,15 @@ def quintile_scores(df: DataFrame, value: str, key: str, out: str, q: int = 5,
     strict = F.lit(True)
     for a, b in zip(names, names[1:]):
         strict = strict & (F.col(b) > F.col(a))
-    flags = edges.select(strict.alias("_strict"), F.array(*[F.col(n) for n in names[1:-1]]).alias("_inner"))
-    is_qcut = flags.select("_strict").scalar()
-    inner = flags.select("_inner").scalar()
     base = df.select(key, value).where(F.col(value).isNotNull())
-    scored = (base.withColumn("_inner", inner)
-              .withColumn("_qs", 1 + F.size(F.filter(F.col("_inner"), lambda e: e < F.col(value))))
-              .withColumn("_strict", is_qcut).drop("_inner"))
+    # one scalar subquery carries the edge check, the inner edges and n
+    info = edges.select(F.struct(
+        strict.alias("strict"), F.array(*[F.col(n) for n in names[1:-1]]).alias("inner"))).scalar()
+    scored = (base.withColumn("_info", info)
+              .withColumn("_qs", 1 + F.size(F.filter(F.col("_info.inner"), lambda e: e < F.col(value))))
+              .withColumn("_strict", F.col("_info.strict")).drop("_info"))
     # fallback ranks only for inputs whose edges collide (empty otherwise)
-    fb_in = base.where(~is_qcut)
+    fb_in = base.withColumn("_info", info).where(~F.col("_info.strict")).drop("_info")
     n_rows = base.agg(F.count(F.lit(1))).scalar()
     fr = first_ranks(fb_in, value, key, descending=reverse, n_buckets=n_buckets)
     fb = fr.select(key, F.least(F.lit(q), F.greatest(F.lit(1), F.ceil(F.col("rank_first") / n_rows * q)))

@@ -2,7 +2,7 @@
 oracle SQL string and a rounding spec for its double columns.
 
 Rounding is a presentation step applied identically on both sides
-(``floor(x·10^d + 0.5) / 10^d``) so order-dependent last-bit differences of
+(``floor(x·2^k + 0.5) / 2^k``, see ``functions.expr.rnd``) so order-dependent last-bit differences of
 floating sums cannot break the comparison.  Operators themselves keep full
 precision.
 """
@@ -29,7 +29,8 @@ class Query:
 
 REGISTRY: dict[str, Query] = {}
 
-MONEY, UNIT, STAT = 2, 4, 6
+# binary rounding levels (bits below the point): money sums, per-unit values, statistics
+MONEY, UNIT, STAT = 4, 12, 30
 
 
 def register(name: str, sql: str | None = None, digits: dict[str, int] | None = None,
@@ -51,7 +52,7 @@ def round_columns(df: DataFrame, digits: dict[str, int]) -> DataFrame:
 def wrap_sql(sql: str, digits: dict[str, int]) -> str:
     if not digits:
         return sql
-    repl = ", ".join(f"floor({c} * {10 ** d} + 0.5) / {10 ** d} AS {c}" for c, d in digits.items())
+    repl = ", ".join(f"floor({c} * {2 ** d} + 0.5) / {2 ** d} AS {c}" for c, d in digits.items())
     return f"SELECT * REPLACE ({repl}) FROM ({sql}) AS q"
 
 

@@ -3,7 +3,7 @@ used to build oracle SQL for the registered queries."""
 
 TX = """tx AS (
   SELECT l_orderkey AS order_id, l_linenumber AS line_no, o_custkey AS customer_id,
-         l_partkey AS product_id, l_suppkey AS store_id, o_orderdate AS date,
+         l_partkey AS product_id, l_suppkey AS store_id, o_orderdate AS date, l_shipdate AS ship_date,
          CAST(date_trunc('month', o_orderdate) AS DATE) AS period,
          l_quantity AS quantity, l_discount AS discount_pct,
          l_extendedprice * (1 - l_discount) AS gross_revenue,
@@ -49,5 +49,5 @@ def with_(*ctes: str) -> str:
 
 def r(expr: str, digits: int) -> str:
     """The same deterministic rounding as ``functions.expr.rnd``."""
-    s = 10 ** digits
+    s = 2 ** digits
     return f"(floor(({expr}) * {s} + 0.5) / {s})"

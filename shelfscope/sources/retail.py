@@ -66,6 +66,7 @@ def transactions(tables) -> DataFrame:
             F.col("l_partkey").alias("product_id"),
             F.col("l_suppkey").alias("store_id"),
             F.col("o_orderdate").alias("date"),
+            F.col("l_shipdate").alias("ship_date"),
             F.trunc(F.col("o_orderdate"), "month").alias("period"),
             F.col("l_quantity").alias("quantity"),
             F.col("l_discount").alias("discount_pct"),
