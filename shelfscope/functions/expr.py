@@ -4,7 +4,7 @@ expressions (no Python UDFs)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -93,3 +93,10 @@ def trend_direction(slope, p_value, alpha: float = 0.05) -> Column:
 def change_direction(delta) -> Column:
     d = col(delta)
     return F.when(d.isNull(), F.lit(None)).when(d >= 0, "up").otherwise("down")
+
+
+def one_row_join(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Side-by-side concatenation of two *global* aggregates (each exactly
+    one row by construction); the right side is broadcast, so this is a
+    projection, never a pairing of data rows."""
+    return a.crossJoin(F.broadcast(b))

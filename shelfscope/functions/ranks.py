@@ -42,27 +42,32 @@ def range_bucket(df: DataFrame, value: str, source: DataFrame, n_buckets: int,
 def value_prefix(df: DataFrame, value: str | Column, group: list[str] | None = None,
                  n_buckets: int | None = None) -> DataFrame:
     """One row per (group…, distinct non-NULL value):
-    ``v, cnt, cum_before`` (#rows of the group with a smaller value) and
-    ``n_total`` (#rows of the group)."""
+    ``v, cnt, cum_before`` (#rows of the group with a smaller value),
+    ``sum_before`` (Σ of those smaller values) and ``n_total`` /
+    ``sum_total`` (#rows / Σ values of the group)."""
     group = list(group or [])
     v = F.col(value) if isinstance(value, str) else value
     nb = _n_buckets(df, n_buckets)
     vc = (df.select(*group, v.alias("v")).where(F.col("v").isNotNull())
           .groupBy(*group, "v").agg(F.count(F.lit(1)).alias("cnt")))
     vc = range_bucket(vc, "v", vc, nb)
-    totals = vc.groupBy(*group, "_bucket").agg(F.sum("cnt").alias("_bt"))
+    vc = vc.withColumn("_vs", F.col("v") * F.col("cnt"))
+    totals = vc.groupBy(*group, "_bucket").agg(F.sum("cnt").alias("_bt"), F.sum("_vs").alias("_bs"))
     w_off = Window.partitionBy(*group).orderBy("_bucket")
+    before = w_off.rowsBetween(Window.unboundedPreceding, -1)
     offs = (totals
-            .withColumn("_off", F.coalesce(F.sum("_bt").over(
-                w_off.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+            .withColumn("_off", F.coalesce(F.sum("_bt").over(before), F.lit(0)))
+            .withColumn("_soff", F.coalesce(F.sum("_bs").over(before), F.lit(0)))
             .withColumn("n_total", F.sum("_bt").over(Window.partitionBy(*group)))
-            .drop("_bt"))
+            .withColumn("sum_total", F.sum("_bs").over(Window.partitionBy(*group)))
+            .drop("_bt", "_bs"))
     offs = F.broadcast(offs) if not group else offs  # ungrouped: ≤ n_buckets rows
     w_in = Window.partitionBy(*group, "_bucket").orderBy("v")
+    inside = w_in.rowsBetween(Window.unboundedPreceding, -1)
     return (vc.join(offs, [*group, "_bucket"])
-            .withColumn("cum_before", F.col("_off") + F.coalesce(
-                F.sum("cnt").over(w_in.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-            .drop("_off", "_bucket"))
+            .withColumn("cum_before", F.col("_off") + F.coalesce(F.sum("cnt").over(inside), F.lit(0)))
+            .withColumn("sum_before", F.col("_soff") + F.coalesce(F.sum("_vs").over(inside), F.lit(0)))
+            .drop("_off", "_soff", "_vs", "_bucket"))
 
 
 def average_ranks(df: DataFrame, value: str, group: list[str] | None = None,
@@ -153,3 +158,22 @@ def quintile_scores(df: DataFrame, value: str, key: str, out: str, q: int = 5,
     qs = F.col("_qs") if not reverse else (q + 1 - F.col("_qs"))
     return (scored.join(fb, key, "left")
             .select(key, F.when(F.col("_strict"), qs).otherwise(F.col("_fb")).cast("int").alias(out)))
+
+
+def top_k_sum(df: DataFrame, value: str, frac: float, group: list[str] | None = None,
+              n_buckets: int | None = None) -> DataFrame:
+    """Σ of the k largest values with k = max(1, floor(n·frac)) (pandas
+    ``nlargest(k).sum()``): Σ of values above the k-th largest t plus the
+    tied copies of t needed to reach k.  Columns: group…, n, k, top_sum, total."""
+    group = list(group or [])
+    p = value_prefix(df, value, group, n_buckets)
+    n = F.col("n_total")
+    k = F.greatest(F.lit(1), F.floor(n * F.lit(float(frac)))).cast("long")
+    # rows with value strictly above v: n - cum_before - cnt
+    above = n - F.col("cum_before") - F.col("cnt")
+    sum_above = F.col("sum_total") - F.col("sum_before") - F.col("v") * F.col("cnt")
+    # t is the value whose [above, above + cnt) range covers rank k
+    hit = (above < k) & (above + F.col("cnt") >= k)
+    return p.where(hit).select(
+        *group, n.alias("n"), k.alias("k"),
+        (sum_above + (k - above) * F.col("v")).alias("top_sum"), F.col("sum_total").alias("total"))
