@@ -52,7 +52,7 @@ def round_columns(df: DataFrame, digits: dict[str, int]) -> DataFrame:
 def wrap_sql(sql: str, digits: dict[str, int]) -> str:
     if not digits:
         return sql
-    repl = ", ".join(f"floor({c} * {2 ** d} + 0.5) / {2 ** d} AS {c}" for c, d in digits.items())
+    repl = ", ".join(f'floor("{c}" * {2 ** d} + 0.5) / {2 ** d} AS "{c}"' for c, d in digits.items())
     return f"SELECT * REPLACE ({repl}) FROM ({sql}) AS q"
 
 
