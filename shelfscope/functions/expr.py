@@ -46,17 +46,22 @@ def whole_months_between(later, earlier) -> Column:
     return F.greatest(F.lit(0), (F.year(a) - F.year(b)) * 12 + F.month(a) - F.month(b))
 
 
+# Offset of the rounding grid: deep binary expansion (√2 − 1) so that values
+# built from cents, halvings or ratios of them never sit exactly on a step.
+ROUND_OFFSET = 0.4142135623730951
+
+
 def rnd(c, bits: int) -> Column:
-    """Deterministic rounding to a multiple of 2^-bits: ``floor(x·2^k + 0.5) / 2^k``.
+    """Deterministic rounding to the grid 2^-bits: ``floor(x·2^k + φ) / 2^k``.
 
-    Scaling by a power of two is exact, so DuckDB evaluates the identical
-    formula bit for bit, and values with d decimal places can never sit
-    exactly on a binary half-step when k ≥ d (decimal rounding would hit
-    exact ties such as 0.0499185 → 6 places).  Used in the presentation step
-    of checked queries only."""
+    Scaling by a power of two is exact and the offset φ = √2 − 1 is one IEEE
+    addition, so DuckDB evaluates the identical formula bit for bit.  A
+    plain half-step (φ = 0.5) or decimal grid is hit exactly by values such
+    as cent sums halved k times; φ's deep binary expansion is not.  Used in
+    the presentation step of checked queries only."""
     scale = float(2 ** bits)
     c = col(c)
-    return F.floor(c * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+    return F.floor(c * F.lit(scale) + F.lit(ROUND_OFFSET)) / F.lit(scale)
 
 
 # ---- threshold labels (fixed values that must equal the reference) -------

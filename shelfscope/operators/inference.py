@@ -6,7 +6,7 @@ rows — go through the p-value functions (Arrow-batched pandas UDFs)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import ranks
@@ -25,11 +25,14 @@ def anova_oneway(df: DataFrame, group: str, value: str) -> DataFrame:
          .groupBy(group).agg(F.count(value).alias("n"), F.avg(value).alias("m"),
                              F.var_pop(value).alias("vp"))
          .where(F.col("n") >= 2))
+    # grand mean over the per-group table (one row per group), then the
+    # centred between-group sum of squares (no large-number cancellation)
+    w = Window.partitionBy()
+    g = g.withColumn("_grand", F.sum(F.col("n") * F.col("m")).over(w) / F.sum("n").over(w))
     a = g.agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n_total"),
-              F.sum(F.col("n") * F.col("m")).alias("_s"), F.sum(F.col("n") * F.col("vp")).alias("ssw"),
-              F.sum(F.col("n") * F.col("m") * F.col("m")).alias("_smm"))
-    grand = F.col("_s") / F.col("n_total")
-    ssb = F.col("_smm") - F.col("n_total") * grand * grand
+              F.sum(F.col("n") * F.col("vp")).alias("ssw"),
+              F.sum(F.col("n") * (F.col("m") - F.col("_grand")) * (F.col("m") - F.col("_grand"))).alias("_ssb"))
+    ssb = F.col("_ssb")
     k, n = F.col("k"), F.col("n_total")
     ok = (k >= 2) & (n > k)
     out = a.select("k", "n_total", F.when(ok, ssb).alias("ssb"), F.when(ok, F.col("ssw")).alias("ssw"),

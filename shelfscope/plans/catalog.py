@@ -1,4 +1,4 @@
 """Imports every query module so the registry is complete."""
 
-from . import q_describe, q_features, q_inference, q_kpi, q_quality, q_segment, q_trend  # noqa: F401
+from . import q_describe, q_features, q_inference, q_kpi, q_mix, q_quality, q_segment, q_trend  # noqa: F401
 from .registry import REGISTRY, oracle, run_query  # noqa: F401

@@ -32,9 +32,10 @@ ANOVA_DIGITS = {"f_stat": STAT, "eta_squared": STAT}
   LEFT JOIN stores USING (store_id) GROUP BY store_id, cluster),
 g AS (SELECT cluster, count(rev) AS n, avg(rev) AS m, var_pop(rev) AS vp FROM s WHERE cluster IS NOT NULL
       GROUP BY cluster HAVING count(rev) >= 2),
-a AS (SELECT count(*) AS k, CAST(sum(n) AS BIGINT) AS n_total, sum(n * m) AS sm, sum(n * vp) AS ssw0,
-      sum(n * m * m) AS smm FROM g),
-b AS (SELECT k, n_total, CASE WHEN k >= 2 AND n_total > k THEN smm - n_total * (sm / n_total) * (sm / n_total) END AS ssb,
+g2 AS (SELECT *, sum(n * m) OVER () / sum(n) OVER () AS grand FROM g),
+a AS (SELECT count(*) AS k, CAST(sum(n) AS BIGINT) AS n_total, sum(n * vp) AS ssw0,
+      sum(n * (m - grand) * (m - grand)) AS ssb0 FROM g2),
+b AS (SELECT k, n_total, CASE WHEN k >= 2 AND n_total > k THEN ssb0 END AS ssb,
       CASE WHEN k >= 2 AND n_total > k THEN ssw0 END AS ssw,
       CASE WHEN k >= 2 AND n_total > k THEN k - 1 END AS df_between,
       CASE WHEN k >= 2 AND n_total > k THEN n_total - k END AS df_within FROM a)

@@ -2,7 +2,7 @@
 oracle SQL string and a rounding spec for its double columns.
 
 Rounding is a presentation step applied identically on both sides
-(``floor(x·2^k + 0.5) / 2^k``, see ``functions.expr.rnd``) so order-dependent last-bit differences of
+(``floor(x·2^k + φ) / 2^k``, see ``functions.expr.rnd``) so order-dependent last-bit differences of
 floating sums cannot break the comparison.  Operators themselves keep full
 precision.
 """
@@ -14,7 +14,7 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..functions.expr import rnd
+from ..functions.expr import ROUND_OFFSET, rnd
 from ..sources.retail import Retail, retail
 
 
@@ -52,7 +52,8 @@ def round_columns(df: DataFrame, digits: dict[str, int]) -> DataFrame:
 def wrap_sql(sql: str, digits: dict[str, int]) -> str:
     if not digits:
         return sql
-    repl = ", ".join(f'floor("{c}" * {2 ** d} + 0.5) / {2 ** d} AS "{c}"' for c, d in digits.items())
+    off = f"CAST('{ROUND_OFFSET!r}' AS DOUBLE)"
+    repl = ", ".join(f'floor("{c}" * {2 ** d} + {off}) / {2 ** d} AS "{c}"' for c, d in digits.items())
     return f"SELECT * REPLACE ({repl}) FROM ({sql}) AS q"
 
 

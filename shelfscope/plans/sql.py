@@ -49,5 +49,6 @@ def with_(*ctes: str) -> str:
 
 def r(expr: str, digits: int) -> str:
     """The same deterministic rounding as ``functions.expr.rnd``."""
+    from ..functions.expr import ROUND_OFFSET
     s = 2 ** digits
-    return f"(floor(({expr}) * {s} + 0.5) / {s})"
+    return f"(floor(({expr}) * {s} + CAST('{ROUND_OFFSET!r}' AS DOUBLE)) / {s})"
