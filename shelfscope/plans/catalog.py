@@ -1,5 +1,5 @@
 """Imports every query module so the registry is complete."""
 
 from . import (q_describe, q_features, q_inference, q_kpi, q_mix, q_quality,  # noqa: F401
-               q_segment, q_trend, q_whatif)
+               q_models, q_segment, q_trend, q_whatif)
 from .registry import REGISTRY, oracle, run_query  # noqa: F401
