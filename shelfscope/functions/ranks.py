@@ -29,13 +29,18 @@ def _n_buckets(df: DataFrame, n: int | None) -> int:
 
 
 def range_bucket(df: DataFrame, value: str, source: DataFrame, n_buckets: int,
-                 out: str = "_bucket") -> DataFrame:
+                 out: str = "_bucket", group: list[str] | None = None) -> DataFrame:
     """Add a monotone bucket id (0..n-1) of ``value``: the number of
-    approximate quantile bounds of ``source[value]`` below it."""
+    approximate quantile bounds of ``source[value]`` below it.  With
+    ``group`` the bounds are computed per group (one small row per group)."""
     probs = F.array(*[F.lit(i / n_buckets) for i in range(1, n_buckets)])
-    bounds = source.agg(F.percentile_approx(value, probs, SKETCH_ACCURACY).alias("b")).scalar()
-    return (df.withColumn("_bounds", bounds)
-            .withColumn(out, F.size(F.filter(F.col("_bounds"), lambda x: x < F.col(value))))
+    sketch = F.percentile_approx(value, probs, SKETCH_ACCURACY).alias("_bounds")
+    if group:
+        bounds = source.groupBy(*group).agg(sketch)
+        with_b = df.join(bounds, list(group), "left")
+    else:
+        with_b = df.withColumn("_bounds", source.agg(sketch).scalar())
+    return (with_b.withColumn(out, F.size(F.filter(F.col("_bounds"), lambda x: x < F.col(value))))
             .drop("_bounds"))
 
 
@@ -50,7 +55,7 @@ def value_prefix(df: DataFrame, value: str | Column, group: list[str] | None = N
     nb = _n_buckets(df, n_buckets)
     vc = (df.select(*group, v.alias("v")).where(F.col("v").isNotNull())
           .groupBy(*group, "v").agg(F.count(F.lit(1)).alias("cnt")))
-    vc = range_bucket(vc, "v", vc, nb)
+    vc = range_bucket(vc, "v", vc, nb, group=group)
     vc = vc.withColumn("_vs", F.col("v") * F.col("cnt"))
     totals = vc.groupBy(*group, "_bucket").agg(F.sum("cnt").alias("_bt"), F.sum("_vs").alias("_bs"))
     w_off = Window.partitionBy(*group).orderBy("_bucket")
@@ -105,26 +110,28 @@ def quantiles(df: DataFrame, value: str, probs: list[float], names: list[str],
 
 
 def first_ranks(df: DataFrame, value: str, key: str, descending: bool = False,
-                n_buckets: int | None = None, out: str = "rank_first") -> DataFrame:
+                n_buckets: int | None = None, out: str = "rank_first",
+                group: list[str] | None = None) -> DataFrame:
     """1-based row position in the order (value, key) — or (value desc, key)
-    — like ``rank(method="first")`` with ties broken by key.
+    — like ``rank(method="first")`` with ties broken by key, per group.
 
     position = #rows with a smaller value + position of the key among rows
     of equal value.  The second term is split by key buckets, so a value
     shared by a third of all rows is still ranked by many tasks."""
+    group = list(group or [])
     nb = _n_buckets(df, n_buckets)
     sv = (-F.col(value)) if descending else F.col(value)
-    base = df.select(key, sv.alias("_v")).where(F.col("_v").isNotNull())
-    pref = value_prefix(base, "_v", n_buckets=nb).select(F.col("v").alias("_v"), "cum_before")
+    base = df.select(*group, key, sv.alias("_v")).where(F.col("_v").isNotNull())
+    pref = value_prefix(base, "_v", group, n_buckets=nb).select(*group, F.col("v").alias("_v"), "cum_before")
     kb = range_bucket(base, key, base, nb, out="_kb")
-    kcnt = kb.groupBy("_v", "_kb").agg(F.count(F.lit(1)).alias("_c"))
+    kcnt = kb.groupBy(*group, "_v", "_kb").agg(F.count(F.lit(1)).alias("_c"))
     koff = kcnt.withColumn("_koff", F.coalesce(F.sum("_c").over(
-        Window.partitionBy("_v").orderBy("_kb").rowsBetween(Window.unboundedPreceding, -1)),
+        Window.partitionBy(*group, "_v").orderBy("_kb").rowsBetween(Window.unboundedPreceding, -1)),
         F.lit(0))).drop("_c")
-    w = Window.partitionBy("_v", "_kb").orderBy(key)
-    return (kb.join(koff, ["_v", "_kb"]).join(pref, "_v")
+    w = Window.partitionBy(*group, "_v", "_kb").orderBy(key)
+    return (kb.join(koff, [*group, "_v", "_kb"]).join(pref, [*group, "_v"])
             .withColumn(out, F.col("cum_before") + F.col("_koff") + F.row_number().over(w))
-            .select(key, out))
+            .select(*group, key, out))
 
 
 def quintile_scores(df: DataFrame, value: str, key: str, out: str, q: int = 5,
@@ -177,3 +184,37 @@ def top_k_sum(df: DataFrame, value: str, frac: float, group: list[str] | None =
     return p.where(hit).select(
         *group, n.alias("n"), k.alias("k"),
         (sum_above + (k - above) * F.col("v")).alias("top_sum"), F.col("sum_total").alias("total"))
+
+
+def quintile_scores_multi(df: DataFrame, key: str, specs: dict[str, tuple[str, bool]], q: int = 5,
+                          n_buckets: int | None = None) -> DataFrame:
+    """``quintile_scores`` for several columns in one grouped pass:
+    specs = {out_name: (column, reverse)}.  The columns are unpivoted to
+    (metric, value), edges / fallback ranks are computed grouped by metric,
+    and the scores are pivoted back to one row per key."""
+    names = list(specs)
+    cols = [F.struct(F.lit(n).alias("metric"), F.col(c).cast("double").alias("value"),
+                     F.lit(rev).alias("rev")) for n, (c, rev) in specs.items()]
+    long = (df.select(key, F.explode(F.array(*cols)).alias("_m")).select(key, "_m.*")
+            .where(F.col("value").isNotNull()))
+    probs = [i / q for i in range(q + 1)]
+    en = [f"_e{i}" for i in range(q + 1)]
+    edges = quantiles(long, "value", probs, en, group=["metric"], n_buckets=n_buckets)
+    strict = F.lit(True)
+    for a, b in zip(en, en[1:]):
+        strict = strict & (F.col(b) > F.col(a))
+    info = edges.select("metric", strict.alias("_strict"),
+                        F.array(*[F.col(n) for n in en[1:-1]]).alias("_inner"))
+    n_rows = long.groupBy("metric").agg(F.count(F.lit(1)).alias("_n"))
+    # one row per metric: bounded by the number of scored columns
+    meta = F.broadcast(info.join(n_rows, "metric"))
+    scored = (long.join(meta, "metric")
+              .withColumn("_qs", 1 + F.size(F.filter(F.col("_inner"), lambda e: e < F.col("value")))))
+    fb_in = scored.where(~F.col("_strict")).select(
+        "metric", key, F.when(F.col("rev"), -F.col("value")).otherwise(F.col("value")).alias("_sv"))
+    fr = first_ranks(fb_in, "_sv", key, n_buckets=n_buckets, group=["metric"])
+    x = scored.join(fr, ["metric", key], "left")
+    qcut = F.when(F.col("rev"), q + 1 - F.col("_qs")).otherwise(F.col("_qs"))
+    fb = F.least(F.lit(q), F.greatest(F.lit(1), F.ceil(F.col("rank_first") / F.col("_n") * q)))
+    x = x.withColumn("_score", F.when(F.col("_strict"), qcut).otherwise(fb).cast("int"))
+    return x.groupBy(key).agg(*[F.max(F.when(F.col("metric") == n, F.col("_score"))).alias(n) for n in names])

@@ -11,17 +11,29 @@ from ..functions.expr import month_index, one_row_join
 from . import base
 
 
+def n_distinct(df: DataFrame, col: str):
+    """Exact distinct count of one column as a scalar subquery: a map-side
+    de-duplicated aggregate over the single pruned column (several of these
+    avoid the row-multiplying Expand of multiple count-distinct aggregates)."""
+    return (df.select(col).where(F.col(col).isNotNull()).distinct()
+            .agg(F.count(F.lit(1))).scalar())
+
+
 def kpi_summary(tx: DataFrame) -> DataFrame:
     """Revenue, profit, margin, row / customer / store / product counts,
     date range, month count and the sorted category list."""
+    cats = (tx.select("category").where(F.col("category").isNotNull()).distinct()
+            .agg(F.array_sort(F.collect_list("category"))).scalar())
     return tx.agg(
         F.sum("gross_revenue").alias("total_revenue"), F.sum("gross_profit").alias("total_profit"),
-        F.count(F.lit(1)).alias("n_transactions"), F.count_distinct("customer_id").alias("n_customers"),
-        F.count_distinct("store_id").alias("n_stores"), F.count_distinct("product_id").alias("n_products"),
+        F.count(F.lit(1)).alias("n_transactions"),
         F.min("date").alias("first_date"), F.max("date").alias("last_date"),
-        F.count_distinct("period").alias("n_months"),
-        F.array_sort(F.collect_set("category")).alias("categories"),
-    ).withColumn("margin_pct", F.col("total_profit") / F.col("total_revenue") * 100)
+    ).select(
+        "total_revenue", "total_profit", "n_transactions",
+        n_distinct(tx, "customer_id").alias("n_customers"), n_distinct(tx, "store_id").alias("n_stores"),
+        n_distinct(tx, "product_id").alias("n_products"), "first_date", "last_date",
+        n_distinct(tx, "period").alias("n_months"), cats.alias("categories"),
+        (F.col("total_profit") / F.col("total_revenue") * 100).alias("margin_pct"))
 
 
 def with_month_num(tx: DataFrame) -> DataFrame:
@@ -39,10 +51,11 @@ def financial_summary(tx: DataFrame, early_months: int = 3, late_months: int = 3
     late = F.col("month_num") > last - late_months
     a = t.agg(
         F.sum("gross_revenue").alias("total_revenue"), F.sum("gross_profit").alias("total_profit"),
-        F.count(F.lit(1)).alias("n_transactions"), F.count_distinct("period").alias("n_months"),
-        F.count_distinct("customer_id").alias("n_customers"), F.count_distinct("store_id").alias("n_stores"),
+        F.count(F.lit(1)).alias("n_transactions"),
         F.sum(F.when(early, F.col("gross_profit"))).alias("_ep"), F.sum(F.when(early, F.col("gross_revenue"))).alias("_er"),
-        F.sum(F.when(late, F.col("gross_profit"))).alias("_lp"), F.sum(F.when(late, F.col("gross_revenue"))).alias("_lr"))
+        F.sum(F.when(late, F.col("gross_profit"))).alias("_lp"), F.sum(F.when(late, F.col("gross_revenue"))).alias("_lr")
+    ).withColumns({"n_months": n_distinct(tx, "period"), "n_customers": n_distinct(tx, "customer_id"),
+                   "n_stores": n_distinct(tx, "store_id")})
     avg_m = F.when(F.col("total_revenue") > 0, F.col("total_profit") / F.col("total_revenue")).otherwise(0.0)
     ms = F.coalesce(F.col("_ep") / F.col("_er"), avg_m)
     me = F.coalesce(F.col("_lp") / F.col("_lr"), avg_m)

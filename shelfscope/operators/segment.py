@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import clip_lower
-from ..functions.ranks import quintile_scores
+from ..functions.ranks import quintile_scores_multi
 from . import base
 
 
@@ -59,10 +59,10 @@ def rfm_base(tx: DataFrame, reference_date=None) -> DataFrame:
 
 def rfm_scores(rfm: DataFrame) -> DataFrame:
     """K4: quintile scores 1..5 (recency reversed) and the 3-digit code."""
-    r = quintile_scores(rfm, "recency_days", "customer_id", "recency_score", reverse=True)
-    f = quintile_scores(rfm, "frequency", "customer_id", "frequency_score")
-    m = quintile_scores(rfm, "monetary", "customer_id", "monetary_score")
-    out = rfm.join(r, "customer_id", "left").join(f, "customer_id", "left").join(m, "customer_id", "left")
+    scores = quintile_scores_multi(rfm, "customer_id", {
+        "recency_score": ("recency_days", True), "frequency_score": ("frequency", False),
+        "monetary_score": ("monetary", False)})
+    out = rfm.join(scores, "customer_id", "left")
     return out.withColumn("rfm_score", F.concat(
         F.col("recency_score").cast("string"), F.col("frequency_score").cast("string"),
         F.col("monetary_score").cast("string")))

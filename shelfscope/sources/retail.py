@@ -21,12 +21,15 @@ optimizer and AQE.
 
 from __future__ import annotations
 
+import hashlib
+import os
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import load_all
+from .tables import load_all, table_path
 
 PRIVATE_LABEL_TYPE = "PROMO"
 PURCHASE_EVENT = "purchase"
@@ -148,8 +151,63 @@ def store_costs(tx: DataFrame) -> DataFrame:
     return tx.groupBy("store_id", "period").agg(F.sum("operating_cost").alias("total_operating_cost"))
 
 
-def retail(spark: SparkSession, sf_dir: str) -> Retail:
+_MATERIALIZED: dict[tuple[str, str], str] = {}
+SMALL_FACT_BYTES = 1 << 30
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Optimizer size estimate of a plan (None when unavailable)."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001
+        return None
+
+
+def _source_token(sf_dir: str) -> str:
+    parts = []
+    for name in ("lineitem", "orders", "part"):
+        path = table_path(sf_dir, name)
+        try:
+            st = os.stat(path)
+            parts.append(f"{path}:{st.st_size}:{st.st_mtime_ns}")
+        except OSError:
+            parts.append(path)
+    return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
+
+
+def materialize_transactions(spark: SparkSession, tx: DataFrame, sf_dir: str) -> DataFrame | None:
+    """Write the denormalised transaction fact once per session as Parquet
+    under ``spark.checkpoint.dir`` (the cluster's shared folder) and read it
+    back: every later analysis scans only the columns it needs instead of
+    re-running lineitem ⋈ orders ⋈ part, and the table survives executor
+    loss (unlike a cache).  Returns None when no checkpoint dir is set."""
+    base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        return None
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir) if "://" not in sf_dir else sf_dir)
+    path = _MATERIALIZED.get(key)
+    if path is None:
+        path = f"{base.rstrip('/')}/shelfscope-tx-{_source_token(sf_dir)}-{uuid.uuid4().hex[:8]}"
+        out = tx
+        est = estimated_bytes(tx)
+        if est is not None and est < SMALL_FACT_BYTES:
+            # small fact: the joins were broadcast, so the output keeps the
+            # scan's (possibly single) partitioning; spread it so later scans
+            # run in parallel.  Large facts come out of a shuffled join
+            # already spread and are written as they are (no extra shuffle).
+            out = tx.repartition(spark.sparkContext.defaultParallelism)
+        out.write.mode("overwrite").parquet(path)
+        _MATERIALIZED[key] = path
+    return spark.read.parquet(path)
+
+
+def retail(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Retail:
+    """Role-mapped frames for ``sf_dir``.  With ``materialize`` the joined
+    transaction fact is written once per session (see
+    ``materialize_transactions``); otherwise it stays a lazy join."""
     t = load_all(spark, sf_dir)
     tx = transactions(t)
+    if materialize:
+        tx = materialize_transactions(spark, tx, sf_dir) or tx
     return Retail(tx, stores(t), customers(t), products(t), marketing(t), response(t),
                   store_costs(tx), t)
