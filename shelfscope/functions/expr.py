@@ -12,6 +12,19 @@ def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def div(a, b) -> Column:
+    """a / b, NULL when b is 0 or NULL.  Spark 4 runs in ANSI mode, where a
+    plain ``/`` by zero raises; an empty or zero denominator means "no
+    value" here, as in the reference's NaN results."""
+    return F.try_divide(col(a), col(b))
+
+
+def safe_corr(x, y) -> Column:
+    """Pearson r as an aggregate, NULL for a constant input (the built-in
+    ``corr`` divides by a zero standard deviation and raises in ANSI mode)."""
+    return div(F.covar_pop(x, y), F.sqrt(F.var_pop(x) * F.var_pop(y)))
+
+
 def clip_lower(c, k: float) -> Column:
     """pandas ``clip(lower=k)``: NULL stays NULL (``greatest`` alone would turn
     NULL into k)."""

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import ranks
+from ..functions.expr import div
 from . import base
 from .whatif import annual_factor, financial_impact
 
@@ -57,7 +58,7 @@ def recommendations(tx: DataFrame, customers: DataFrame, store_costs: DataFrame,
                        F.sum(F.when(F.col("_l") < max_date - F.expr("INTERVAL 180 DAYS"), F.col("_p"))).alias("v")),
                 "REC-006", "retention", F.col("n"), F.lit(0.0), F.coalesce(F.col("v"), F.lit(0.0)) * af * 0.25)
     # REC-007: operations on mid-margin stores (p25 ≤ margin ≤ p75): +gain on their profit
-    s = base.by_store(tx).withColumn("margin", F.col("profit") / F.col("revenue"))
+    s = base.by_store(tx).withColumn("margin", div("profit", "revenue"))
     q = ranks.quantiles(s, "margin", [0.25, 0.75], ["a", "b"]).select(F.struct("*")).scalar()
     mid = s.withColumn("_q", q).where((F.col("margin") >= F.col("_q.a")) & (F.col("margin") <= F.col("_q.b")))
     rec7 = _row(mid.agg(F.count(F.lit(1)).alias("n"), F.sum("profit").alias("p")), "REC-007", "operations",

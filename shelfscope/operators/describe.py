@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import ranks
-from ..functions.expr import clip_lower, correlation_strength, one_row_join
+from ..functions.expr import clip_lower, correlation_strength, div, one_row_join, safe_corr
 from ..functions.pvalues import t_two_sided_udf
 from . import base
 
@@ -52,7 +52,7 @@ def store_revenue_dist(tx: DataFrame, top_frac: float = 0.10, fence: float = 3.0
     return one_row_join(one_row_join(st, top), out).select(
         "n", "mean", "median", "std", "skew", "kurtosis", "min", "max", "p5", "p25", "p75", "p95",
         F.col("total").alias("total_revenue"), "top_n",
-        (F.col("top_sum") / F.col("total") * 100).alias("top_share_pct"),
+        (div("top_sum", "total") * 100).alias("top_share_pct"),
         "n_outlier_stores",
         ((F.col("median") - F.col("p25")) * F.floor(F.col("n") / 4)).alias("bottom_quartile_lift"))
 
@@ -70,7 +70,7 @@ def product_margin_dist(tx: DataFrame, low: float = 10.0) -> DataFrame:
     pm = product_margins(tx)
     st = describe_stats(pm, "margin_pct")
     extra = pm.agg(
-        (F.sum("profit") / F.sum("revenue") * 100).alias("blended_margin_pct"),
+        (div(F.sum("profit"), F.sum("revenue")) * 100).alias("blended_margin_pct"),
         (F.avg((F.col("margin_pct") < low).cast("double")) * 100).alias("low_margin_pct"),
         (F.avg((F.col("margin_pct") < 0).cast("double")) * 100).alias("negative_margin_pct"))
     return one_row_join(st, extra)
@@ -81,7 +81,7 @@ def customer_spend_dist(tx: DataFrame, top_frac: float = 0.20) -> DataFrame:
     spend = base.by_customer(tx).select("customer_id", F.col("revenue").alias("total_spend"))
     st = describe_stats(spend, "total_spend")
     top = ranks.top_k_sum(spend, "total_spend", top_frac).select(
-        F.col("k").alias("top_n"), (F.col("top_sum") / F.col("total") * 100).alias("top_share_pct"),
+        F.col("k").alias("top_n"), (div("top_sum", "total") * 100).alias("top_share_pct"),
         F.col("total").alias("total_revenue"))
     return one_row_join(st, top)
 
@@ -90,7 +90,7 @@ def tier_revenue_share(tx: DataFrame, customers: DataFrame, tier: str = "tier")
     """H4 companion: % of revenue by customer tier."""
     spend = base.by_customer(tx).join(customers.select("customer_id", tier), "customer_id", "left")
     t = spend.groupBy(tier).agg(F.sum("revenue").alias("revenue"))
-    return t.withColumn("revenue_share_pct", F.col("revenue") / F.sum("revenue").over(Window.partitionBy()) * 100)
+    return t.withColumn("revenue_share_pct", div(F.col("revenue"), F.sum("revenue").over(Window.partitionBy())) * 100)
 
 
 def brand_margin_gap(tx: DataFrame, brand: str = "brand_type", hi: str = "private_label",
@@ -110,14 +110,14 @@ def brand_margin_gap(tx: DataFrame, brand: str = "brand_type", hi: str = "privat
 def pearson(df: DataFrame, x: str, y: str) -> DataFrame:
     """r, n, t statistic (df = n-2) and strength label of Pearson r."""
     a = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).agg(
-        F.corr(x, y).alias("r"), F.count(F.lit(1)).alias("n"))
+        safe_corr(x, y).alias("r"), F.count(F.lit(1)).alias("n"))
     return _corr_out(a)
 
 
 def _corr_out(a: DataFrame) -> DataFrame:
     r, n = F.col("r"), F.col("n")
     return a.select("r", "n", F.abs(r).alias("abs_r"),
-                    F.when(n > 2, r * F.sqrt((n - 2) / (F.lit(1.0) - r * r))).alias("t_stat"),
+                    F.when(n > 2, r * F.sqrt(div(n - 2, F.lit(1.0) - r * r))).alias("t_stat"),
                     (n - 2).alias("df"), correlation_strength(r).alias("strength"))
 
 
@@ -145,7 +145,8 @@ def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
 
 def with_corr_test(df: DataFrame, alpha: float = 0.05) -> DataFrame:
     """Two-sided p of r (t with n-2 df) and the significance flag."""
-    return (df.withColumn("p_value", t_two_sided_udf(F.col("t_stat"), F.col("df").cast("double")))
+    p = F.when(F.abs("r") >= 1.0, F.lit(0.0)).otherwise(t_two_sided_udf(F.col("t_stat"), F.col("df").cast("double")))
+    return (df.withColumn("p_value", p)
             .withColumn("significant", F.col("p_value") < alpha))
 
 

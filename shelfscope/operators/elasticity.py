@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.expr import div
 from ..functions.pvalues import t_ppf_udf
 from .mix import gram
 
@@ -96,7 +97,7 @@ def product_elasticity(tx: DataFrame, brand_flag: str = "is_private_label", qty:
         F.avg("_p").alias("avg_price"), F.avg(F.log(qty)).alias("avg_ln_q"))
     j = prod.where(F.col("n_obs") >= min_product).join(coef, "category")
     e = F.col("beta_price") + F.col("beta_interaction") * F.col("brand")
-    half = F.when(F.col("n_obs") >= 10, 1.96 * F.col("_sdq") / (F.col("_sdp") * F.sqrt("n_obs"))).otherwise(0.5)
+    half = F.when(F.col("n_obs") >= 10, 1.96 * div(F.col("_sdq"), F.col("_sdp") * F.sqrt("n_obs"))).otherwise(0.5)
     return j.select("product_id", "category", "n_obs", "avg_price", "avg_ln_q", e.alias("elasticity"),
                     (e - half).alias("ci_low"), (e + half).alias("ci_high"), "r_squared",
                     elasticity_class(e).alias("elasticity_class"))

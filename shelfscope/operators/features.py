@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import ranks
-from ..functions.expr import clip_lower, whole_months_between
+from ..functions.expr import clip_lower, div, whole_months_between
 from . import segment
 
 
@@ -36,7 +36,7 @@ def customer_features(tx: DataFrame, customers: DataFrame, stores: DataFrame, ti
     c = (customers.select("customer_id", "tier", "customer_region")
          .join(agg, "customer_id", "left").join(rfm, "customer_id", "left")
          .withColumn("recency_days", F.datediff(F.to_date(F.lit(ref)), F.to_date("last_purchase")))
-         .withColumn("avg_basket", F.col("total_spend") / F.col("n_txns"))
+         .withColumn("avg_basket", div("total_spend", "n_txns"))
          .withColumn("months_as_customer", whole_months_between(F.lit(ref), "first_purchase"))
          .withColumn("tier_code", tier_code[F.col("tier")]))
     c = one_hot(c, "tier", tier_levels, "tier")
@@ -130,6 +130,6 @@ def product_features(tx: DataFrame, products: DataFrame, category_levels: list[s
     cat = base.groupBy("category").agg(F.sum("revenue").alias("_cat_rev"))
     out = (base.join(cat, "category", "left")
            .withColumn("margin_pct", F.col("profit") / clip_lower("revenue", 1.0) * 100)
-           .withColumn("category_share", F.col("revenue") / F.col("_cat_rev")).drop("_cat_rev")
+           .withColumn("category_share", div("revenue", "_cat_rev")).drop("_cat_rev")
            .withColumn("is_private_label", (F.col("brand_type") == "private_label").cast("int")))
     return one_hot(out, "category", category_levels, "cat")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import ranks
-from ..functions.expr import ETA_SQ_CUTS, clip_lower, month_index, one_row_join, size_label
+from ..functions.expr import ETA_SQ_CUTS, clip_lower, div, month_index, one_row_join, size_label
 from ..functions.pvalues import (f_sf_udf, norm_cdf_udf, norm_ppf_udf, norm_sf_udf, t_greater_udf,
                                  t_ppf_udf, t_two_sided_udf)
 from statistics import NormalDist
@@ -38,7 +38,7 @@ def anova_oneway(df: DataFrame, group: str, value: str) -> DataFrame:
     out = a.select("k", "n_total", F.when(ok, ssb).alias("ssb"), F.when(ok, F.col("ssw")).alias("ssw"),
                    F.when(ok, k - 1).alias("df_between"), F.when(ok, n - k).alias("df_within"))
     f = (F.col("ssb") / F.col("df_between")) / (F.col("ssw") / F.col("df_within"))
-    eta = F.col("ssb") / (F.col("ssb") + F.col("ssw"))
+    eta = div(F.col("ssb"), F.col("ssb") + F.col("ssw"))
     return out.select("k", "n_total", "df_between", "df_within",
                       F.when(F.col("ssw") > 0, f).alias("f_stat"), eta.alias("eta_squared"),
                       size_label(eta, ETA_SQ_CUTS).alias("effect_label"))
@@ -68,7 +68,7 @@ def welch(stats: DataFrame) -> DataFrame:
     ok = (n1 >= 2) & (n2 >= 2)
     se = F.when(ok & (se2 > 0), F.sqrt(se2))
     dfw = se2 * se2 / ((v1 / n1) * (v1 / n1) / (n1 - 1) + (v2 / n2) * (v2 / n2) / (n2 - 1))
-    pooled = F.sqrt(((n1 - 1) * v1 + (n2 - 1) * v2) / (n1 + n2 - 2))
+    pooled = F.sqrt(div((n1 - 1) * v1 + (n2 - 1) * v2, n1 + n2 - 2))
     diff = F.col("mean1") - F.col("mean2")
     d = F.when(ok & (pooled > 0), diff / pooled).when(ok, F.lit(0.0))
     return stats.select(
@@ -134,10 +134,10 @@ def mann_whitney(df: DataFrame, value: str, is_group1: str) -> DataFrame:
     n1, n2 = F.col("n1"), F.col("n2")
     n = n1 + n2
     u = F.col("r1") - n1 * (n1 + 1) / 2
-    sigma = F.sqrt(n1 * n2 / 12.0 * ((n + 1) - F.col("_ties") / (n * (n - 1))))
+    sigma = F.sqrt(n1 * n2 / 12.0 * ((n + 1) - div(F.col("_ties"), n * (n - 1))))
     out = a.select("n1", "n2", u.alias("u_stat"),
-                   F.when(sigma > 0, (u - n1 * n2 / 2.0 - 0.5) / sigma).alias("z"),
-                   (F.lit(1.0) - 2 * u / (n1 * n2)).alias("rank_biserial"))
+                   F.when(sigma > 0, div(u - n1 * n2 / 2.0 - 0.5, sigma)).alias("z"),
+                   (F.lit(1.0) - 2 * div(u, n1 * n2)).alias("rank_biserial"))
     return one_row_join(out, meds).withColumn(
         "effect_label", size_label("rank_biserial")).withColumn(
         "median_premium_pct", (F.col("median1") - F.col("median2")) / clip_lower("median2", 0.001) * 100)
@@ -175,7 +175,7 @@ def with_ab_inference(df: DataFrame, alpha: float = 0.05) -> DataFrame:
     1 − Φ(z_{α/2} − d·√(n_h/2)), n_h the harmonic mean of the group sizes."""
     z = _N.inv_cdf(1 - alpha / 2)
     tcrit = t_ppf_udf(F.lit(1 - alpha / 2), F.col("df"))
-    nh = 2.0 / (1.0 / F.col("n1") + 1.0 / F.col("n2"))
+    nh = div(F.lit(2.0), div(F.lit(1.0), "n1") + div(F.lit(1.0), "n2"))
     return (with_welch_test(df, alpha=alpha)
             .withColumn("_tc", tcrit)
             .withColumn("ci_low", F.col("mean_diff") - F.col("_tc") * F.col("se"))
@@ -205,8 +205,8 @@ def pre_post_frequency(tx: DataFrame, customers: DataFrame, tier_value: str, spl
     a = t.agg(F.count_if(pre).alias("txns_pre"), F.count_if(~pre).alias("txns_post"),
               F.count_distinct(F.when(pre, F.col("month_num"))).alias("months_pre"),
               F.count_distinct(F.when(~pre, F.col("month_num"))).alias("months_post"))
-    per_pre = F.col("txns_pre") / F.col("months_pre")
-    per_post = F.col("txns_post") / F.col("months_post")
+    per_pre = div("txns_pre", "months_pre")
+    per_post = div("txns_post", "months_post")
     return a.select("txns_pre", "txns_post", "months_pre", "months_post", per_pre.alias("per_month_pre"),
                     per_post.alias("per_month_post"),
                     F.when(per_pre > 0, (per_post / per_pre - 1) * 100).alias("pct_change"))

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import ranks
-from ..functions.expr import month_index, one_row_join
+from ..functions.expr import div, month_index, one_row_join
 from . import base
 
 
@@ -33,7 +33,7 @@ def kpi_summary(tx: DataFrame) -> DataFrame:
         n_distinct(tx, "customer_id").alias("n_customers"), n_distinct(tx, "store_id").alias("n_stores"),
         n_distinct(tx, "product_id").alias("n_products"), "first_date", "last_date",
         n_distinct(tx, "period").alias("n_months"), cats.alias("categories"),
-        (F.col("total_profit") / F.col("total_revenue") * 100).alias("margin_pct"))
+        (div("total_profit", "total_revenue") * 100).alias("margin_pct"))
 
 
 def with_month_num(tx: DataFrame) -> DataFrame:
@@ -57,8 +57,8 @@ def financial_summary(tx: DataFrame, early_months: int = 3, late_months: int = 3
     ).withColumns({"n_months": n_distinct(tx, "period"), "n_customers": n_distinct(tx, "customer_id"),
                    "n_stores": n_distinct(tx, "store_id")})
     avg_m = F.when(F.col("total_revenue") > 0, F.col("total_profit") / F.col("total_revenue")).otherwise(0.0)
-    ms = F.coalesce(F.col("_ep") / F.col("_er"), avg_m)
-    me = F.coalesce(F.col("_lp") / F.col("_lr"), avg_m)
+    ms = F.coalesce(div("_ep", "_er"), avg_m)
+    me = F.coalesce(div("_lp", "_lr"), avg_m)
     years = F.col("n_months") / 12
     return a.select("total_revenue", "total_profit",
                     (F.col("total_revenue") / years).alias("annualised_revenue"),
@@ -103,7 +103,7 @@ def tier_activity_shift(tx: DataFrame, customers: DataFrame, focus: str, split_m
         .alias("n_churners"), F.sum("_rev").alias("_rev"))
     n = F.col("n_customers")
     per_cust = F.when(n > 0, F.coalesce(F.col("_rev"), F.lit(0.0)) / (n_months / 12) / n).otherwise(0.0)
-    pre, post = 1 - F.col("_npre") / n, 1 - F.col("_npost") / n
+    pre, post = 1 - div("_npre", n), 1 - div("_npost", n)
     return a.select(F.lit(focus).alias("tier"), "n_customers", "n_churners",
                     pre.alias("churn_pre"), post.alias("churn_post"),
                     ((post - pre) * 100).alias("churn_acceleration_pp"),
@@ -114,9 +114,9 @@ def tier_activity_shift(tx: DataFrame, customers: DataFrame, focus: str, split_m
 def store_performance(tx: DataFrame, top_frac: float = 0.10) -> DataFrame:
     """Top-decile store revenue share, mean margin of the bottom
     quartile (margin ≤ p25) and stores with margin ≤ 0."""
-    s = base.by_store(tx).withColumn("margin_pct", F.col("profit") / F.col("revenue") * 100)
+    s = base.by_store(tx).withColumn("margin_pct", div("profit", "revenue") * 100)
     top = ranks.top_k_sum(s, "revenue", top_frac).select(
-        (F.col("top_sum") / F.col("total") * 100).alias("top_store_share_pct"), F.col("n").alias("n_stores"))
+        (div("top_sum", "total") * 100).alias("top_store_share_pct"), F.col("n").alias("n_stores"))
     p25 = ranks.quantiles(s, "margin_pct", [0.25], ["p25"]).scalar()
     low = s.withColumn("_p25", p25).agg(
         F.first("_p25").alias("margin_p25"),
@@ -128,8 +128,8 @@ def store_performance(tx: DataFrame, top_frac: float = 0.10) -> DataFrame:
 def category_performance(tx: DataFrame) -> DataFrame:
     """Revenue, profit, margin and revenue share per category."""
     c = base.by_category(tx)
-    return (c.withColumn("margin_pct", F.col("profit") / F.col("revenue") * 100)
-            .withColumn("revenue_share_pct", F.col("revenue") / F.sum("revenue").over(Window.partitionBy()) * 100)
+    return (c.withColumn("margin_pct", div("profit", "revenue") * 100)
+            .withColumn("revenue_share_pct", div(F.col("revenue"), F.sum("revenue").over(Window.partitionBy())) * 100)
             .select("category", "revenue", "profit", "margin_pct", "revenue_share_pct"))
 
 
@@ -137,7 +137,7 @@ def margin_matrix(tx: DataFrame, stores: DataFrame, rows: str = "category", cols
                   values: list[str] | None = None) -> DataFrame:
     """Margin % pivot, ``rows`` × ``cols`` (ratio of sums)."""
     j = tx.join(stores.select("store_id", cols), "store_id", "left")
-    g = j.groupBy(rows, cols).agg((F.sum("gross_profit") / F.sum("gross_revenue") * 100).alias("m"))
+    g = j.groupBy(rows, cols).agg((div(F.sum("gross_profit"), F.sum("gross_revenue")) * 100).alias("m"))
     return g.groupBy(rows).pivot(cols, values).agg(F.first("m"))
 
 
@@ -154,10 +154,10 @@ def avg_basket(tx: DataFrame, order_key: str = "order_id") -> DataFrame:
 def brand_margin(tx: DataFrame, brand: str = "brand_type") -> DataFrame:
     """P10: mean product margin by brand type and its ratio to the overall mean."""
     pm = (tx.groupBy("product_id", brand).agg(F.sum("gross_profit").alias("p"), F.sum("gross_revenue").alias("r"))
-          .withColumn("m", F.col("p") / F.col("r") * 100))
+          .withColumn("m", div("p", "r") * 100))
     g = pm.groupBy(brand).agg(F.avg("m").alias("mean_margin_pct"), F.count(F.lit(1)).alias("n_products"))
     overall = pm.agg(F.avg("m")).scalar()
-    return g.withColumn("ratio_to_overall", F.col("mean_margin_pct") / overall)
+    return g.withColumn("ratio_to_overall", div(F.col("mean_margin_pct"), overall))
 
 
 def discount_leaders(tx: DataFrame, k: int = 3) -> DataFrame:
@@ -173,6 +173,6 @@ def private_label_mix(tx: DataFrame, brand: str = "brand_type", pl: str = "priva
         F.sum(F.when(F.col(brand) == pl, F.col("gross_revenue"))).alias("_pr"),
         F.sum(F.when(F.col(brand) != pl, F.col("gross_profit"))).alias("_np"),
         F.sum(F.when(F.col(brand) != pl, F.col("gross_revenue"))).alias("_nr"))
-    return a.select((F.col("_pp") / F.col("_pr") * 100).alias("pl_margin_pct"),
-                    (F.col("_np") / F.col("_nr") * 100).alias("nb_margin_pct"),
-                    (F.col("_pr") / (F.col("_pr") + F.col("_nr")) * 100).alias("pl_revenue_share_pct"))
+    return a.select((div("_pp", "_pr") * 100).alias("pl_margin_pct"),
+                    (div("_np", "_nr") * 100).alias("nb_margin_pct"),
+                    (div(F.col("_pr"), F.col("_pr") + F.col("_nr")) * 100).alias("pl_revenue_share_pct"))

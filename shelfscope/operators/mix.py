@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.expr import div
+
 # Fixed adstock decay rates per channel (values that must match the reference).
 CHANNEL_DECAY = {"tv": 0.7, "digital": 0.2, "email": 0.1, "radio": 0.5, "outdoor": 0.6,
                  "social": 0.3, "search": 0.15, "print": 0.4}
@@ -175,4 +177,4 @@ def channel_allocation(spend: DataFrame, by: list[str], periods_per_year: float)
     n_periods = spend.agg(F.count_distinct("period")).scalar()
     w = Window.partitionBy(*by)  # channel rows per segment: bounded by channel count
     return (g.withColumn("annual_spend", F.col("spend") / n_periods * periods_per_year)
-            .withColumn("share_pct", F.col("spend") / F.sum("spend").over(w) * 100))
+            .withColumn("share_pct", div(F.col("spend"), F.sum("spend").over(w)) * 100))

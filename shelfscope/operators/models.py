@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import ranks
+from ..functions.expr import div
 
 
 def preprocess_stages(numeric: list[str], categorical: list[str]) -> list:
@@ -105,7 +106,7 @@ def classification_metrics(df: DataFrame, label: str, score: str, threshold: flo
         F.when((n1 > 0) & (n0 > 0), (F.lit(r1) - n1 * (n1 + 1) / 2) / (n1 * n0)).alias("auc_roc"),
         prec.alias("precision"), rec.alias("recall"),
         F.when(prec + rec > 0, 2 * prec * rec / (prec + rec)).otherwise(0.0).alias("f1"),
-        ((F.col("tp") + F.col("tn")) / (n1 + n0)).alias("accuracy"))
+        div(F.col("tp") + F.col("tn"), n1 + n0).alias("accuracy"))
 
 
 def regression_metrics(df: DataFrame, label: str, pred: str) -> DataFrame:
@@ -126,7 +127,7 @@ def churn_report(scores: DataFrame, customers: DataFrame, value_per_churner: flo
             F.count_if(F.col("churn_probability") >= 0.7).alias("n_high_confidence")]
     per = s.groupBy(tier).agg(*aggs)
     allr = s.agg(*aggs).select(F.lit("ALL").alias(tier), "n", "n_churners", "n_high_confidence")
-    return per.unionByName(allr).withColumn("churn_rate", F.col("n_churners") / F.col("n")).withColumn(
+    return per.unionByName(allr).withColumn("churn_rate", div("n_churners", "n")).withColumn(
         "revenue_at_risk", F.col("n_churners") * value_per_churner)
 
 

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.expr import clip_lower
+from ..functions.expr import clip_lower, div
 from ..functions.ranks import quintile_scores_multi
 from . import base
 
@@ -102,8 +102,8 @@ def tier_revenue(tx: DataFrame, customers: DataFrame, tier: str = "tier") -> Dat
     j = tx.join(customers.select("customer_id", tier), "customer_id", "left")
     g = j.groupBy(tier).agg(F.sum("gross_revenue").alias("revenue"), F.sum("gross_profit").alias("profit"),
                             F.count_distinct("customer_id").alias("n_customers"))
-    return (g.withColumn("margin_pct", F.col("profit") / F.col("revenue") * 100)
-            .withColumn("revenue_share_pct", F.col("revenue") / F.sum("revenue").over(Window.partitionBy()) * 100))
+    return (g.withColumn("margin_pct", div("profit", "revenue") * 100)
+            .withColumn("revenue_share_pct", div(F.col("revenue"), F.sum("revenue").over(Window.partitionBy())) * 100))
 
 
 def cluster_stats(tx: DataFrame, stores: DataFrame, cluster: str = "cluster") -> DataFrame:
@@ -113,6 +113,6 @@ def cluster_stats(tx: DataFrame, stores: DataFrame, cluster: str = "cluster") ->
         F.count(F.lit(1)).alias("n_txns"), F.sum("gross_revenue").alias("revenue"),
         F.sum("gross_profit").alias("profit"), F.count_distinct("store_id").alias("n_stores"))
     w = Window.partitionBy()
-    return (g.withColumn("margin_pct", F.col("profit") / F.col("revenue") * 100)
-            .withColumn("revenue_share_pct", F.col("revenue") / F.sum("revenue").over(w) * 100)
-            .withColumn("profit_share_pct", F.col("profit") / F.sum("profit").over(w) * 100))
+    return (g.withColumn("margin_pct", div("profit", "revenue") * 100)
+            .withColumn("revenue_share_pct", div(F.col("revenue"), F.sum("revenue").over(w)) * 100)
+            .withColumn("profit_share_pct", div(F.col("profit"), F.sum("profit").over(w)) * 100))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.expr import clip_lower, trend_direction
+from ..functions.expr import clip_lower, div, safe_corr, trend_direction
 from ..functions.pvalues import t_two_sided_udf
 
 
@@ -55,7 +55,7 @@ def ols_trend(series: DataFrame) -> DataFrame:
         F.count("value").alias("n_periods"),
         F.regr_slope("value", "x").alias("slope"),
         F.regr_intercept("value", "x").alias("intercept"),
-        F.corr("value", "x").alias("r"),
+        safe_corr("value", "x").alias("r"),
         F.min_by("value", "x").alias("first_value"),
         F.max_by("value", "x").alias("last_value"),
     )
@@ -64,7 +64,7 @@ def ols_trend(series: DataFrame) -> DataFrame:
     return agg.select(
         "n_periods", "slope", "intercept",
         r2.alias("r_squared"),
-        F.when(n > 2, F.col("r") * F.sqrt((n - 2) / (F.lit(1.0) - r2))).alias("t_stat"),
+        F.when(n > 2, F.col("r") * F.sqrt(div(n - 2, F.lit(1.0) - r2))).alias("t_stat"),
         (n - 2).alias("df"),
         "first_value", "last_value",
         F.when(F.col("first_value") != 0,
@@ -75,7 +75,9 @@ def ols_trend(series: DataFrame) -> DataFrame:
 
 def with_trend_test(trend: DataFrame, alpha: float = 0.05) -> DataFrame:
     """Two-sided p for the slope and the stable/growing/declining label."""
-    return (trend.withColumn("p_value", t_two_sided_udf(F.col("t_stat"), F.col("df").cast("double")))
+    p = F.when(F.col("r_squared") >= 1.0, F.lit(0.0)).otherwise(
+        t_two_sided_udf(F.col("t_stat"), F.col("df").cast("double")))
+    return (trend.withColumn("p_value", p)
             .withColumn("direction", trend_direction("slope", "p_value", alpha)))
 
 
@@ -146,9 +148,9 @@ def margin_drift(pnl: DataFrame, n_months: int = 12) -> DataFrame:
     )
     return agg.select(
         F.lit(n_months).alias("n_months"),
-        (F.col("p0") / F.col("r0") * 100).alias("margin_first"),
-        (F.col("p1") / F.col("r1") * 100).alias("margin_last"),
-        ((F.col("p1") / F.col("r1") - F.col("p0") / F.col("r0")) * 100).alias("margin_change_pp"),
+        (div("p0", "r0") * 100).alias("margin_first"),
+        (div("p1", "r1") * 100).alias("margin_last"),
+        ((div("p1", "r1") - div("p0", "r0")) * 100).alias("margin_change_pp"),
         F.col("r0").alias("revenue_first"), F.col("r1").alias("revenue_last"),
         F.when(F.col("r0") != 0, (F.col("r1") / F.col("r0") - 1) * 100).alias("revenue_change_pct"),
     )

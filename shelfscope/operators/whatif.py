@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import ranks
+from ..functions.expr import div
 from . import base
 
 
@@ -53,7 +54,7 @@ def whatif_store_investment(tx: DataFrame, scenarios: DataFrame, q: float = 0.2)
     the margin p20; uplift = their annual revenue × uplift at their margin;
     cost amortised over 3 years."""
     af = annual_factor(tx)
-    s = base.by_store(tx).withColumn("margin", F.col("profit") / F.col("revenue"))
+    s = base.by_store(tx).withColumn("margin", div("profit", "revenue"))
     p = ranks.quantiles(s, "margin", [q], ["p"]).scalar()
     low = s.where(F.col("margin") <= p)
     fr = ranks.first_ranks(low, "margin", "store_id", out="worst_rank")
