@@ -52,8 +52,8 @@ def recommendations(tx: DataFrame, customers: DataFrame, store_costs: DataFrame,
                 F.coalesce(F.col("g"), F.lit(0.0)) * af)
     # REC-006: retention of the focus tier (value at risk of its churned buyers)
     max_date = tx.agg(F.max("date")).scalar()
-    ft = tx.join(customers.where(F.col(tier) == focus_tier).select("customer_id"), "customer_id", "left_semi")
-    pc = ft.groupBy("customer_id").agg(F.max("date").alias("_l"), F.sum("gross_profit").alias("_p"))
+    pc = (tx.groupBy("customer_id").agg(F.max("date").alias("_l"), F.sum("gross_profit").alias("_p"))
+          .join(customers.where(F.col(tier) == focus_tier).select("customer_id"), "customer_id", "left_semi"))
     rec6 = _row(pc.agg(F.count(F.lit(1)).alias("n"),
                        F.sum(F.when(F.col("_l") < max_date - F.expr("INTERVAL 180 DAYS"), F.col("_p"))).alias("v")),
                 "REC-006", "retention", F.col("n"), F.lit(0.0), F.coalesce(F.col("v"), F.lit(0.0)) * af * 0.25)

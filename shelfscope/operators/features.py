@@ -24,12 +24,21 @@ def customer_features(tx: DataFrame, customers: DataFrame, stores: DataFrame, ti
     smallest on ties), tenure in months, tier code and dummies; customers
     without purchases get 0 / NULL-safe fills."""
     ref = tx.agg(F.max("date")).scalar()
-    t = tx.join(stores.select("store_id", "cluster"), "store_id", "left")
-    agg = t.groupBy("customer_id").agg(
+    agg = tx.groupBy("customer_id").agg(
         F.max("date").alias("last_purchase"), F.min("date").alias("first_purchase"),
         F.count(F.lit(1)).alias("n_txns"), F.sum("gross_revenue").alias("total_spend"),
         F.sum("gross_profit").alias("total_profit"), F.count_distinct("product_id").alias("n_products"),
-        F.avg("discount_pct").alias("avg_discount"), F.mode("cluster", True).alias("preferred_cluster"))
+        F.avg("discount_pct").alias("avg_discount"))
+    # preferred cluster = the mode of the cluster over the customer's rows
+    # (smallest on ties), from (customer, store) counts so that no row-level
+    # join with the store dimension is needed
+    cs = tx.groupBy("customer_id", "store_id").agg(F.count(F.lit(1)).alias("_n"))
+    cc = (cs.join(stores.select("store_id", "cluster"), "store_id", "left")
+          .groupBy("customer_id", "cluster").agg(F.sum("_n").alias("_n")))
+    w = Window.partitionBy("customer_id").orderBy(F.col("_n").desc(), F.col("cluster").asc_nulls_last())
+    pref = (cc.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") == 1)
+            .select("customer_id", F.col("cluster").alias("preferred_cluster")))
+    agg = agg.join(pref, "customer_id", "left")
     rfm = segment.rfm_scores(segment.rfm_base(tx)).select(
         "customer_id", "recency_score", "frequency_score", "monetary_score")
     tier_code = F.create_map(*[x for i, lv in enumerate(tier_levels, 1) for x in (F.lit(lv), F.lit(i))])

@@ -94,12 +94,14 @@ def frequency_decline(tx: DataFrame, customers: DataFrame, tier_value: str, spli
                       tier: str = "tier") -> DataFrame:
     """The tier's per-customer monthly frequency in months ≤ split vs
     after (month 1 = the tier's first month); Welch, d, % change."""
-    seg = tx.join(customers.where(F.col(tier) == tier_value).select("customer_id"), "customer_id", "left_semi")
+    # (customer, month) counts first: the semi join then sees one row per
+    # customer-month, never a hot customer's raw rows
+    cm = tx.groupBy("customer_id", "period").agg(F.count(F.lit(1)).alias("_c"))
+    seg = cm.join(customers.where(F.col(tier) == tier_value).select("customer_id"), "customer_id", "left_semi")
     first = seg.agg(F.min("period")).scalar()
     t = seg.withColumn("month_num", month_index("period", first)).withColumn(
         "phase", F.when(F.col("month_num") <= split_month, "early").otherwise("late"))
-    f = (t.groupBy("customer_id", "phase", "month_num").agg(F.count(F.lit(1)).alias("_c"))
-         .groupBy("customer_id", "phase").agg(F.avg("_c").alias("freq")))
+    f = t.groupBy("customer_id", "phase").agg(F.avg("_c").alias("freq"))
     w = welch(two_group_stats(f, "phase", "freq", "early", "late"))
     return w.withColumn("pct_change", (F.col("mean2") - F.col("mean1")) / clip_lower("mean1", 0.001) * 100)
 
@@ -154,14 +156,14 @@ def ab_welch(tx: DataFrame, customers: DataFrame, treatment: str, control: str,
     none): per-customer monthly frequency, lift, relative lift, Welch stats
     and revenue at risk = |lift| · n_treatment · mean revenue per row."""
     first = tx.agg(F.min("period")).scalar()
-    t = tx.withColumn("month_num", month_index("period", first))
-    has_post = t.where(F.col("month_num") > split_month).agg(F.count(F.lit(1)) > 0).scalar()
-    t = t.where(~has_post | (F.col("month_num") > split_month))
-    t = t.join(customers.select("customer_id", tier), "customer_id").where(F.col(tier).isin(treatment, control))
-    f = (t.groupBy("customer_id", tier, "month_num").agg(F.count(F.lit(1)).alias("_c"))
-         .groupBy("customer_id", tier).agg(F.avg("_c").alias("freq")))
+    cm = (tx.groupBy("customer_id", "period").agg(F.count(F.lit(1)).alias("_c"), F.sum("gross_revenue").alias("_r"))
+          .withColumn("month_num", month_index("period", first)))
+    has_post = cm.where(F.col("month_num") > split_month).agg(F.count(F.lit(1)) > 0).scalar()
+    cm = cm.where(~has_post | (F.col("month_num") > split_month))
+    t = cm.join(customers.select("customer_id", tier).where(F.col(tier).isin(treatment, control)), "customer_id")
+    f = t.groupBy("customer_id", tier).agg(F.avg("_c").alias("freq"))
     w = welch(two_group_stats(f, tier, "freq", treatment, control))
-    rev = t.where(F.col(tier) == treatment).agg(F.avg("gross_revenue")).scalar()
+    rev = t.where(F.col(tier) == treatment).agg(div(F.sum("_r"), F.sum("_c"))).scalar()
     lift = F.col("mean1") - F.col("mean2")
     return w.select(
         "*", lift.alias("absolute_lift"),
@@ -199,10 +201,12 @@ def pre_post_frequency(tx: DataFrame, customers: DataFrame, tier_value: str, spl
                        tier: str = "tier") -> DataFrame:
     """The tier's transactions per month before / after the split month."""
     first = tx.agg(F.min("period")).scalar()
-    t = (tx.join(customers.where(F.col(tier) == tier_value).select("customer_id"), "customer_id", "left_semi")
+    cm = tx.groupBy("customer_id", "period").agg(F.count(F.lit(1)).alias("_c"))
+    t = (cm.join(customers.where(F.col(tier) == tier_value).select("customer_id"), "customer_id", "left_semi")
          .withColumn("month_num", month_index("period", first)))
     pre = F.col("month_num") <= split_month
-    a = t.agg(F.count_if(pre).alias("txns_pre"), F.count_if(~pre).alias("txns_post"),
+    a = t.agg(F.sum(F.when(pre, F.col("_c")).otherwise(0)).alias("txns_pre"),
+              F.sum(F.when(~pre, F.col("_c")).otherwise(0)).alias("txns_post"),
               F.count_distinct(F.when(pre, F.col("month_num"))).alias("months_pre"),
               F.count_distinct(F.when(~pre, F.col("month_num"))).alias("months_post"))
     per_pre = div("txns_pre", "months_pre")

@@ -88,14 +88,14 @@ def tier_activity_shift(tx: DataFrame, customers: DataFrame, focus: str, split_m
     """P3 (focus tier): inactive share of the tier before / after the split
     month, annual revenue per tier customer and revenue at risk of its
     churners."""
-    t = with_month_num(tx)
     max_date = tx.agg(F.max("date")).scalar()
     ids = customers.where(F.col(tier) == focus).select("customer_id")
-    ft = t.join(ids, "customer_id", "left_semi")
-    per_c = ft.groupBy("customer_id").agg(
+    cm = with_month_num(tx.groupBy("customer_id", "period").agg(
+        F.max("date").alias("_d"), F.sum("gross_revenue").alias("_r")))
+    per_c = cm.join(ids, "customer_id", "left_semi").groupBy("customer_id").agg(
         F.max(F.when(F.col("month_num") <= split_month, 1)).alias("_pre"),
         F.max(F.when(F.col("month_num") > split_month, 1)).alias("_post"),
-        F.max("date").alias("_last"), F.sum("gross_revenue").alias("_rev"))
+        F.max("_d").alias("_last"), F.sum("_r").alias("_rev"))
     n_months = tx.agg(F.count_distinct("period")).scalar()
     a = ids.join(per_c, "customer_id", "left").agg(
         F.count(F.lit(1)).alias("n_customers"), F.count("_pre").alias("_npre"), F.count("_post").alias("_npost"),
@@ -136,8 +136,9 @@ def category_performance(tx: DataFrame) -> DataFrame:
 def margin_matrix(tx: DataFrame, stores: DataFrame, rows: str = "category", cols: str = "cluster",
                   values: list[str] | None = None) -> DataFrame:
     """Margin % pivot, ``rows`` × ``cols`` (ratio of sums)."""
-    j = tx.join(stores.select("store_id", cols), "store_id", "left")
-    g = j.groupBy(rows, cols).agg((div(F.sum("gross_profit"), F.sum("gross_revenue")) * 100).alias("m"))
+    part = tx.groupBy(rows, "store_id").agg(F.sum("gross_profit").alias("_p"), F.sum("gross_revenue").alias("_r"))
+    j = part.join(stores.select("store_id", cols), "store_id", "left")
+    g = j.groupBy(rows, cols).agg((div(F.sum("_p"), F.sum("_r")) * 100).alias("m"))
     return g.groupBy(rows).pivot(cols, values).agg(F.first("m"))
 
 
