@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ..operators import features as L
 from ..sources.retail import Retail
 from .q_describe import TIER_ORDER
