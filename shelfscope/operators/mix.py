@@ -178,3 +178,22 @@ def channel_allocation(spend: DataFrame, by: list[str], periods_per_year: float)
     w = Window.partitionBy(*by)  # channel rows per segment: bounded by channel count
     return (g.withColumn("annual_spend", F.col("spend") / n_periods * periods_per_year)
             .withColumn("share_pct", div(F.col("spend"), F.sum("spend").over(w)) * 100))
+
+
+def whatif_marketing(scenarios: DataFrame, mix: DataFrame, roi: DataFrame, tolerance: float = 0.02) -> DataFrame:
+    """O2: per scenario, normalise the proposed channel shares when their sum
+    is off by more than ``tolerance``; blended ROI of the current and the
+    proposed mix; revenue delta = annual budget × (new − current ROI).
+    All inputs are channel-grained (bounded by the channel count)."""
+    w = Window.partitionBy("scenario_id")
+    tot = F.sum("new_share").over(w)
+    s = scenarios.withColumn("share_sum", tot).withColumn(
+        "share", F.when(F.abs(tot - 1) > tolerance, div(F.col("new_share"), tot)).otherwise(F.col("new_share")))
+    j = s.join(mix, "channel", "left").join(roi, "channel", "left")
+    budget = mix.agg(F.sum("annual_spend")).scalar()
+    cur = mix.join(roi, "channel", "left").agg(F.sum(F.col("cur_share") * F.coalesce(F.col("roi"), F.lit(0.0)))).scalar()
+    return j.groupBy("scenario_id").agg(
+        F.first("share_sum").alias("share_sum"),
+        F.sum(F.col("share") * F.coalesce(F.col("roi"), F.lit(0.0))).alias("new_roi"),
+    ).select("scenario_id", "share_sum", cur.alias("current_roi"), "new_roi",
+             (budget * (F.col("new_roi") - cur)).alias("revenue_delta"))
