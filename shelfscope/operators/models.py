@@ -141,3 +141,74 @@ def feature_importance(model, names: list[str], top: int = 10) -> DataFrame:
     rows = sorted(zip(names + [f"f{i}" for i in range(len(names), len(vals))], vals), key=lambda t: -t[1])[:top]
     from pyspark.sql import SparkSession
     return SparkSession.getActiveSession().createDataFrame(rows, "feature string, importance double")
+
+
+def fit_regressor(train: DataFrame, numeric: list[str], label: str, kind: str, alpha: float = 1.0):
+    """M3: ridge (unpenalised intercept) or random forest regression on
+    standardised numeric features."""
+    from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+    if kind == "ridge":
+        # sklearn Ridge(alpha) ≡ Spark regParam = alpha / n · σ_pop(y) without
+        # Spark's own standardisation (inputs are already standardised)
+        n, sd = train.agg(F.count(label), F.stddev_pop(label)).first()
+        est = LinearRegression(labelCol=label, regParam=float(alpha) / max(n, 1) * float(sd or 0.0),
+                               elasticNetParam=0.0, standardization=False, solver="normal")
+    elif kind == "random_forest":
+        est = RandomForestRegressor(labelCol=label, numTrees=100, maxDepth=6, seed=42)
+    else:
+        raise ValueError(kind)
+    return Pipeline(stages=preprocess_stages(numeric, []) + [est]).fit(train)
+
+
+def cross_validated_auc(data: DataFrame, numeric: list[str], categorical: list[str], label: str = "label",
+                        folds: int = 5, kind: str = "logistic") -> DataFrame:
+    """M4: k-fold cross-validation (deterministic hash folds on the key
+    column ``customer_id``): AUC per fold, mean and std, fitted on the
+    executors through Spark ML's CrossValidator."""
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+    d = fill_categoricals(data, categorical) if categorical else data
+    d = with_balanced_weights(d, label).withColumn(
+        "fold", (F.abs(F.xxhash64("customer_id", F.lit(7))) % folds).cast("int"))
+    pipe = Pipeline(stages=preprocess_stages(numeric, categorical) + [churn_classifiers(kind, label)])
+    cv = CrossValidator(estimator=pipe, estimatorParamMaps=ParamGridBuilder().build(),
+                        evaluator=BinaryClassificationEvaluator(labelCol=label), foldCol="fold",
+                        numFolds=folds, parallelism=2, collectSubModels=False)
+    model = cv.fit(d)
+    from pyspark.sql import SparkSession
+    spark = SparkSession.getActiveSession()
+    metrics = model.avgMetrics
+    std = model.stdMetrics if hasattr(model, "stdMetrics") and model.stdMetrics else [float("nan")]
+    return spark.createDataFrame([(folds, float(metrics[0]), float(std[0]))],
+                                 "n_folds int, mean_auc double, std_auc double")
+
+
+def store_report(scores: DataFrame, pred: str = "prediction", revenue: str = "avg_monthly_revenue",
+                 low: float = 0.2, high: float = 0.8) -> DataFrame:
+    """M9: p20 / median / p80 of predicted store performance, top (≥ p80) and
+    bottom (≤ p20) counts, monitor band (p20, p35], and the annual uplift of
+    lifting the bottom stores to the median: gap × their mean revenue × n × 12."""
+    q = ranks.quantiles(scores, pred, [low, 0.35, 0.5, high], ["p_low", "p35", "p50", "p_high"]).select(
+        F.struct("*")).scalar()
+    s = scores.withColumn("_q", q)
+    bottom = F.col(pred) <= F.col("_q.p_low")
+    a = s.agg(F.first("_q.p_low").alias("p20"), F.first("_q.p50").alias("median"), F.first("_q.p_high").alias("p80"),
+              F.count_if(F.col(pred) >= F.col("_q.p_high")).alias("n_top"), F.count_if(bottom).alias("n_bottom"),
+              F.count_if((F.col(pred) > F.col("_q.p_low")) & (F.col(pred) <= F.col("_q.p35"))).alias("n_monitor"),
+              F.avg(F.when(bottom, F.col(pred))).alias("_bm"), F.avg(F.when(bottom, F.col(revenue))).alias("_br"))
+    return a.select("p20", "median", "p80", "n_top", "n_bottom", "n_monitor",
+                    ((F.col("median") - F.col("_bm")) * F.col("_br") * F.col("n_bottom") * 12).alias("annual_uplift"))
+
+
+def linear_attribution(model, df: DataFrame, numeric: list[str]) -> DataFrame:
+    """Exact SHAP for a linear model on standardised inputs: mean over
+    rows of |β_j · (z_j − mean z_j)| per feature, computed on the executors."""
+    lin = model.stages[-1]
+    beta = lin.coefficients.toArray().tolist()
+    z = model.transform(df).withColumn("_z", vector_to_array("_num_std"))
+    means = z.agg(*[F.avg(F.col("_z")[i]).alias(f"m{i}") for i in range(len(numeric))]).select(F.struct("*")).scalar()
+    zz = z.withColumn("_m", means)
+    out = zz.agg(*[F.avg(F.abs(F.lit(beta[i]) * (F.col("_z")[i] - F.col(f"_m.m{i}")))).alias(c)
+                   for i, c in enumerate(numeric)])
+    return out.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("mean_abs_shap"))
+                                          for c in numeric])).alias("x")).select("x.*")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import features as L
 from ..operators import models as M
 from ..sources.retail import Retail
-from .q_features import CUTOFF
+from .q_features import CUTOFF, SF_SQL
 from .registry import STAT, UNIT, register
 
 NUMERIC = ["recency_days", "n_txns", "total_spend", "avg_discount"]
@@ -77,3 +77,75 @@ def feature_importance(r: Retail):
     data = _churn_data(r)
     model = M.fit_classifier(data, NUMERIC, [], "random_forest")
     return M.feature_importance(model, NUMERIC)
+
+
+STORE_NUMERIC = ["size", "avg_monthly_revenue", "revenue_volatility", "active_months", "revenue_slope",
+                 "avg_monthly_cost"]
+
+
+def _store_data(r: Retail):
+    from ..operators import features as LF
+    from .q_kpi import CLUSTERS
+    f = LF.store_features(r.transactions, r.stores, r.store_costs, CLUSTERS)
+    return LF.top_performer_label(f).withColumn("label_cls", F.col("is_top_performer").cast("double"))
+
+
+@register("store_models", survey_id="M3,M6", digits={"rmse": STAT, "mae": STAT, "r_squared": STAT, "mape": STAT})
+def store_models(r: Retail):
+    """Ridge and random-forest regressions of the margin ratio on store
+    features; in-sample metrics per model."""
+    data = _store_data(r).where(F.col("margin_ratio").isNotNull())
+    rows = []
+    for kind in ("ridge", "random_forest"):
+        m = M.fit_regressor(data, STORE_NUMERIC, "margin_ratio", kind)
+        rows.append(M.regression_metrics(m.transform(data), "margin_ratio", "prediction")
+                    .select(F.lit(kind).alias("model"), "*"))
+    return rows[0].unionByName(rows[1])
+
+
+@register("churn_model_cv", survey_id="M4", digits={"mean_auc": STAT, "std_auc": STAT})
+def churn_model_cv(r: Retail):
+    return M.cross_validated_auc(_churn_data(r), NUMERIC, ["tier"], "label", folds=5)
+
+
+@register("store_report", survey_id="M9",
+          digits={"p20": STAT, "median": STAT, "p80": STAT, "annual_uplift": UNIT},
+          sql=f"""WITH s AS ({SF_SQL}),
+q AS (SELECT quantile_cont(margin_ratio, 0.2) AS a, quantile_cont(margin_ratio, 0.35) AS b,
+             quantile_cont(margin_ratio, 0.5) AS c, quantile_cont(margin_ratio, 0.8) AS d FROM s)
+SELECT a AS p20, c AS median, d AS p80, count_if(margin_ratio >= d) AS n_top, count_if(margin_ratio <= a) AS n_bottom,
+  count_if(margin_ratio > a AND margin_ratio <= b) AS n_monitor,
+  (c - avg(CASE WHEN margin_ratio <= a THEN margin_ratio END)) * avg(CASE WHEN margin_ratio <= a THEN avg_monthly_revenue END)
+    * count_if(margin_ratio <= a) * 12 AS annual_uplift
+FROM s, q GROUP BY a, b, c, d""")
+def store_report(r: Retail):
+    """Store report from a deterministic score (the margin ratio as the
+    predicted performance), so the DuckDB oracle can check it."""
+    from ..operators import features as LF
+    from .q_kpi import CLUSTERS
+    f = LF.store_features(r.transactions, r.stores, r.store_costs, CLUSTERS)
+    return M.store_report(f.withColumn("prediction", F.col("margin_ratio")))
+
+
+@register("linear_attribution", survey_id="M13", digits={"mean_abs_shap": STAT})
+def linear_attribution(r: Retail):
+    data = _store_data(r).where(F.col("margin_ratio").isNotNull())
+    model = M.fit_regressor(data, STORE_NUMERIC, "margin_ratio", "ridge")
+    return M.linear_attribution(model, data, STORE_NUMERIC)
+
+
+@register("model_roundtrip", survey_id="M14")
+def model_roundtrip(r: Retail):
+    """Save the fitted churn pipeline to shared storage, load it back and
+    count identical scores."""
+    from pyspark.ml import PipelineModel
+    from ..sources.sinks import shared_root
+    data = _churn_data(r)
+    model = M.fit_classifier(data, NUMERIC, ["tier"], "logistic")
+    path = shared_root(r.transactions.sparkSession, "model")
+    model.write().overwrite().save(path)
+    loaded = PipelineModel.load(path)
+    a = M.churn_scores(model, data, ["tier"]).select("customer_id", F.col("churn_probability").alias("p1"))
+    b = M.churn_scores(loaded, data, ["tier"]).select("customer_id", F.col("churn_probability").alias("p2"))
+    return a.join(b, "customer_id").agg(F.count(F.lit(1)).alias("n_scored"),
+                                        F.count_if(F.col("p1") == F.col("p2")).alias("n_identical"))

@@ -140,3 +140,27 @@ def test_segment_shares_sum_to_100(spark):
     prof = K.segment_profile(ent, "cluster", "store", "store_id").collect()
     assert len(prof) == 2  # NULL segment dropped, but counted in the totals
     assert sum(r["revenue_share_pct"] for r in prof) == pytest.approx(230 / 240 * 100)
+
+
+def test_spark_ridge_matches_sklearn_form(spark):
+    from shelfscope.operators import models as M
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(60, 3))
+    y = x @ [1.0, -2.0, 0.5] + rng.normal(0, .3, 60) + 4
+    pdf = pd.DataFrame(x, columns=list("abc")).assign(y=y)
+    m = M.fit_regressor(spark.createDataFrame(pdf), list("abc"), "y", "ridge", alpha=1.0)
+    z = (x - x.mean(0)) / x.std(0, ddof=1)  # StandardScaler: sample std
+    zc, yc = z - z.mean(0), y - y.mean()
+    beta = np.linalg.solve(zc.T @ zc + np.eye(3), zc.T @ yc)
+    assert list(m.stages[-1].coefficients.toArray()) == pytest.approx(list(beta), rel=1e-6)
+
+
+def test_classification_metrics_auc_equals_pair_count(spark):
+    from shelfscope.operators import models as M
+    rng = np.random.default_rng(4)
+    y = rng.integers(0, 2, 120)
+    s = np.round(rng.uniform(size=120) + 0.3 * y, 1)
+    r = M.classification_metrics(spark.createDataFrame(pd.DataFrame({"y": y, "s": s})), "y", "s").first()
+    pos, neg = s[y == 1], s[y == 0]
+    auc = np.mean([(a > b) + 0.5 * (a == b) for a in pos for b in neg])
+    assert r["auc_roc"] == pytest.approx(auc)
