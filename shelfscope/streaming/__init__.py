@@ -1,0 +1,9 @@
+"""Streaming: intentionally empty.
+
+The analytics this package re-expresses work on static Parquet tables only;
+there are no streams, watermarks, event-time windows or stateful operators
+to reproduce (SURVEY §2.17).  Every operator here is a batch DataFrame
+transformation, so a caller that needs incremental refresh can apply the
+same functions to each micro-batch inside ``foreachBatch`` of a Structured
+Streaming query without any operator changes.
+"""
