@@ -175,30 +175,52 @@ def _source_token(sf_dir: str) -> str:
     return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
 
 
+def _checkpoint_base(spark: SparkSession) -> str | None:
+    try:
+        base = spark.conf.get("spark.checkpoint.dir", None)
+    except Exception:  # noqa: BLE001
+        base = None
+    if not base:
+        try:
+            base = spark.sparkContext.getCheckpointDir()
+        except Exception:  # noqa: BLE001  (e.g. Spark Connect: no SparkContext)
+            base = None
+    return base
+
+
 def materialize_transactions(spark: SparkSession, tx: DataFrame, sf_dir: str) -> DataFrame | None:
     """Write the denormalised transaction fact once per session as Parquet
     under ``spark.checkpoint.dir`` (the cluster's shared folder) and read it
     back: every later analysis scans only the columns it needs instead of
     re-running lineitem ⋈ orders ⋈ part, and the table survives executor
-    loss (unlike a cache).  Returns None when no checkpoint dir is set."""
-    base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    loss (unlike a cache).  Returns None (caller keeps the lazy join) when no
+    checkpoint dir is configured or the write is not possible."""
+    base = _checkpoint_base(spark)
     if not base:
         return None
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir) if "://" not in sf_dir else sf_dir)
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001
+        app = spark.conf.get("spark.app.id", "session")
+    key = (app, os.path.abspath(sf_dir) if "://" not in sf_dir else sf_dir)
     path = _MATERIALIZED.get(key)
-    if path is None:
-        path = f"{base.rstrip('/')}/shelfscope-tx-{_source_token(sf_dir)}-{uuid.uuid4().hex[:8]}"
-        out = tx
-        est = estimated_bytes(tx)
-        if est is not None and est < SMALL_FACT_BYTES:
-            # small fact: the joins were broadcast, so the output keeps the
-            # scan's (possibly single) partitioning; spread it so later scans
-            # run in parallel.  Large facts come out of a shuffled join
-            # already spread and are written as they are (no extra shuffle).
-            out = tx.repartition(spark.sparkContext.defaultParallelism)
-        out.write.mode("overwrite").parquet(path)
-        _MATERIALIZED[key] = path
-    return spark.read.parquet(path)
+    try:
+        if path is None:
+            path = f"{base.rstrip('/')}/shelfscope-tx-{_source_token(sf_dir)}-{uuid.uuid4().hex[:8]}"
+            out = tx
+            est = estimated_bytes(tx)
+            if est is not None and est < SMALL_FACT_BYTES:
+                # small fact: the joins were broadcast, so the output keeps the
+                # scan's (possibly single) partitioning; spread it so later scans
+                # run in parallel.  Large facts come out of a shuffled join
+                # already spread and are written as they are (no extra shuffle).
+                out = tx.repartition(int(spark.conf.get("spark.sql.shuffle.partitions", "8")))
+            out.write.mode("overwrite").parquet(path)
+            _MATERIALIZED[key] = path
+        return spark.read.parquet(path)
+    except Exception:  # noqa: BLE001
+        _MATERIALIZED.pop(key, None)
+        return None
 
 
 def retail(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Retail:
