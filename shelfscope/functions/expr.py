@@ -71,10 +71,14 @@ def rnd(c, bits: int) -> Column:
     addition, so DuckDB evaluates the identical formula bit for bit.  A
     plain half-step (φ = 0.5) or decimal grid is hit exactly by values such
     as cent sums halved k times; φ's deep binary expansion is not.  Used in
-    the presentation step of checked queries only."""
+    the presentation step of checked queries only.
+
+    Values with |x| ≥ 2^(53−k) (already on the grid, and beyond Spark's
+    long range for large k) and non-finite values pass through unchanged."""
     scale = float(2 ** bits)
     c = col(c)
-    return F.floor(c * F.lit(scale) + F.lit(ROUND_OFFSET)) / F.lit(scale)
+    keep = c.isNull() | F.isnan(c) | (F.abs(c) >= F.lit(float(2 ** (53 - bits))))
+    return F.when(keep, c).otherwise(F.floor(c * F.lit(scale) + F.lit(ROUND_OFFSET)) / F.lit(scale))
 
 
 # ---- threshold labels (fixed values that must equal the reference) -------

@@ -161,3 +161,101 @@ def filter_actions(r: Retail):
           digits={"total_profit_delta": MONEY, "total_revenue_delta": MONEY, "total_cost": MONEY})
 def action_summary(r: Retail):
     return O.action_summary(O.rice_rank(_recs(r)))
+
+
+# ---- DuckDB twins of the store-investment what-if and the recommendations --
+
+AF = "(SELECT 12.0 / count(DISTINCT period) FROM tx)"
+STORE_MARGIN = ("sm AS (SELECT store_id, sum(gross_revenue) AS revenue, sum(gross_profit) AS profit, "
+                "CASE WHEN sum(gross_revenue) <> 0 THEN sum(gross_profit) / sum(gross_revenue) END AS margin "
+                "FROM tx GROUP BY store_id)")
+
+STORE_INV_SQL = with_(TX, STORE_MARGIN) + f""", sc(scenario_id, n_stores, investment_per_store, revenue_uplift_pct)
+  AS (VALUES {", ".join(f"('{a}', {b}, CAST({c} AS DOUBLE), CAST({d} AS DOUBLE))" for a, b, c, d in STORE_SCENARIOS)}),
+low AS (SELECT *, row_number() OVER (ORDER BY margin, store_id) AS worst_rank FROM sm
+        WHERE margin <= (SELECT quantile_cont(margin, 0.2) FROM sm)),
+agg AS (SELECT scenario_id, count(*) AS stores_selected, sum(revenue * {AF}) AS rv, sum(profit * {AF}) AS pf
+        FROM low JOIN sc ON worst_rank <= n_stores GROUP BY scenario_id),
+x AS (SELECT sc.*, coalesce(stores_selected, 0) AS stores_selected, coalesce(rv, 0.0) * revenue_uplift_pct AS ur,
+        CASE WHEN rv > 0 THEN pf / rv ELSE 0.0 END AS m,
+        coalesce(stores_selected, 0) * investment_per_store AS cost FROM sc LEFT JOIN agg USING (scenario_id))
+SELECT scenario_id, 'store_investment' AS scenario_type, stores_selected, ur AS revenue_delta,
+  ur * m - cost / 3 AS profit_delta, cost AS implementation_cost FROM x"""
+
+def _impact_sql(src: str) -> str:
+    """O6 over ``src`` (profit_delta, implementation_cost, timeline_months)."""
+    return f"""SELECT *, CASE WHEN implementation_cost > 0 THEN profit_delta / implementation_cost
+    WHEN profit_delta > 0 THEN CAST('inf' AS DOUBLE) ELSE 0.0 END AS roi,
+  CAST(CASE WHEN implementation_cost <= 0 THEN 0 WHEN profit_delta / 12.0 > 0
+    THEN least(floor(implementation_cost / (profit_delta / 12.0)), 999) ELSE 999 END AS INTEGER) AS payback_months,
+  profit_delta / pow(CAST(1.1 AS DOUBLE), 1 + timeline_months / 12.0)
+    + profit_delta / pow(CAST(1.1 AS DOUBLE), 2 + timeline_months / 12.0)
+    + profit_delta / pow(CAST(1.1 AS DOUBLE), 3 + timeline_months / 12.0) - implementation_cost AS npv_3yr,
+  (profit_delta * 3 - implementation_cost) / 3 AS annualized_impact FROM {src}"""
+
+
+def _params_values() -> str:
+    return ", ".join(f"('{a}', CAST({b} AS DOUBLE), CAST({c} AS DOUBLE), {d}, CAST({e} AS DOUBLE), {f}, '{g}', '{h}')"
+                     for a, b, c, d, e, f, g, h in REC_PARAMS)
+
+
+RECS_CTE = f"""{STORE_MARGIN},
+inel AS (SELECT category, elasticity FROM el WHERE n >= 30 AND sdp >= 1e-6 AND abs(elasticity) < 1),
+cat AS (SELECT category, sum(gross_revenue) AS revenue, sum(gross_profit) AS profit FROM tx GROUP BY category),
+r1 AS (SELECT 'REC-001' AS rec_id, 'pricing' AS category,
+  CAST(coalesce((SELECT count(DISTINCT customer_id) FROM tx WHERE category IN (SELECT category FROM inel)), 0) AS BIGINT)
+    AS reach,
+  coalesce(sum(revenue * ((1 + 0.05) * (1 + elasticity * 0.05) - 1) * {AF}), 0.0) AS revenue_delta,
+  coalesce(sum(profit * ((1 + 0.05) * (1 + elasticity * 0.05) - 1) * {AF}), 0.0) AS profit_delta
+  FROM cat JOIN inel USING (category)),
+r2 AS (SELECT 'REC-002', 'pricing', CAST(count(DISTINCT customer_id) AS BIGINT), 0.0,
+  coalesce(sum(gross_revenue), 0.0) * 0.05 * {AF} FROM tx WHERE brand_type = 'private_label'),
+r3 AS (SELECT 'REC-003', 'pricing', CAST(count(DISTINCT customer_id) AS BIGINT),
+  coalesce(sum(gross_revenue / (1 - discount_pct) * least(discount_pct, 0.03)), 0.0) * {AF},
+  coalesce(sum(gross_revenue / (1 - discount_pct) * least(discount_pct, 0.03)), 0.0) * {AF}
+  FROM tx WHERE discount_pct > 0),
+pc AS (SELECT customer_id, max(date) AS l, sum(gross_profit) AS p FROM tx
+  WHERE customer_id IN (SELECT customer_id FROM customers WHERE tier = '{FOCUS_TIER}') GROUP BY customer_id),
+r6 AS (SELECT 'REC-006', 'retention', count(*), 0.0,
+  coalesce(sum(CASE WHEN l < (SELECT max(date) FROM tx) - INTERVAL 180 DAY THEN p END), 0.0) * {AF} * 0.25 FROM pc),
+q AS (SELECT quantile_cont(margin, 0.25) AS a, quantile_cont(margin, 0.75) AS b, quantile_cont(margin, 0.05) AS c5
+  FROM sm),
+r7 AS (SELECT 'REC-007', 'operations', count(*), 0.0, coalesce(sum(profit), 0.0) * 0.1 * {AF} FROM sm, q
+  WHERE margin >= a AND margin <= b),
+sc AS (SELECT store_id, sum(operating_cost) AS cost FROM tx GROUP BY store_id),
+r8 AS (SELECT 'REC-008', 'portfolio', count(*), -coalesce(sum(revenue), 0.0) * {AF},
+  (coalesce(sum(cost), 0.0) - coalesce(sum(profit), 0.0)) * {AF} FROM sm LEFT JOIN sc USING (store_id), q
+  WHERE margin <= c5),
+recs AS (SELECT * FROM r1 UNION ALL SELECT * FROM r2 UNION ALL SELECT * FROM r3 UNION ALL SELECT * FROM r6
+  UNION ALL SELECT * FROM r7 UNION ALL SELECT * FROM r8),
+params(rec_id, impact_score, confidence, effort_weeks, implementation_cost, timeline_months, priority, timeline)
+  AS (VALUES {_params_values()}),
+rj AS ({_impact_sql("(SELECT * FROM recs JOIN params USING (rec_id))")}),
+rr AS (SELECT *, reach / 1000.0 * impact_score * confidence / greatest(effort_weeks, 1) AS rice_score FROM rj),
+rk AS (SELECT *, row_number() OVER (ORDER BY rice_score DESC, rec_id) AS rice_rank FROM rr)"""
+
+REC_SQL_HEAD = with_(TX, CUSTOMERS, ELAST_SQL, RECS_CTE)
+
+# attach oracles to the already-registered builders
+from .registry import REGISTRY  # noqa: E402
+
+REGISTRY["whatif_store_investment"].sql = STORE_INV_SQL
+REGISTRY["recommendations"].sql = REC_SQL_HEAD + "SELECT * EXCLUDE (rice_score) FROM rr"
+REGISTRY["rice_rank"].sql = REC_SQL_HEAD + "SELECT * FROM rk"
+REGISTRY["filter_actions"].sql = (REC_SQL_HEAD + "SELECT * FROM rk WHERE priority IN ('critical', 'high') "
+                                  "AND timeline IN ('quick_win')")
+REGISTRY["action_summary"].sql = REC_SQL_HEAD + """, pr AS (SELECT *, row_number() OVER (ORDER BY profit_delta DESC, rec_id)
+  AS profit_rank FROM rk)
+SELECT count(*) AS n_actions, sum(profit_delta) AS total_profit_delta, sum(revenue_delta) AS total_revenue_delta,
+  sum(implementation_cost) AS total_cost, count_if(priority = 'critical') AS n_critical,
+  count_if(timeline = 'quick_win') AS n_quick_win, count_if(timeline = 'medium_term') AS n_medium_term,
+  count_if(timeline = 'long_term') AS n_long_term,
+  list(rec_id ORDER BY rice_rank) FILTER (WHERE rice_rank <= 3) AS top_by_rice,
+  list(rec_id ORDER BY profit_rank) FILTER (WHERE profit_rank <= 3) AS top_by_profit FROM pr"""
+
+_PRICE_SQL = REGISTRY["whatif_price"].sql
+_RET_SQL = REGISTRY["whatif_retention"].sql
+REGISTRY["whatif_batch"].sql = _impact_sql(f"""(SELECT *, 6 AS timeline_months FROM (
+  SELECT scenario_id, scenario_type, revenue_delta, profit_delta, 0.0 AS implementation_cost FROM ({_PRICE_SQL})
+  UNION ALL SELECT scenario_id, scenario_type, 0.0, profit_delta, implementation_cost FROM ({_RET_SQL})
+  UNION ALL SELECT scenario_id, scenario_type, revenue_delta, profit_delta, implementation_cost FROM ({STORE_INV_SQL})))""")

@@ -53,7 +53,12 @@ def wrap_sql(sql: str, digits: dict[str, int]) -> str:
     if not digits:
         return sql
     off = f"CAST('{ROUND_OFFSET!r}' AS DOUBLE)"
-    repl = ", ".join(f'floor("{c}" * {2 ** d} + {off}) / {2 ** d} AS "{c}"' for c, d in digits.items())
+
+    def one(c: str, d: int) -> str:
+        x = f'"{c}"'
+        return (f"CASE WHEN {x} IS NULL OR isnan({x}) OR abs({x}) >= CAST({float(2 ** (53 - d))!r} AS DOUBLE) "
+                f"THEN {x} ELSE floor({x} * {2 ** d} + {off}) / {2 ** d} END AS {x}")
+    repl = ", ".join(one(c, d) for c, d in digits.items())
     return f"SELECT * REPLACE ({repl}) FROM ({sql}) AS q"
 
 
