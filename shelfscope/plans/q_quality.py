@@ -331,7 +331,7 @@ def audit_flags(r: Retail):
     return Q.audit_flags(prof, tp)
 
 
-SCORECARD_TABLES = ("customer", "supplier", "part", "orders", "lineitem", "events")
+SCORECARD_TABLES = TABLES
 
 
 def _scorecard_sql(t: str) -> str:

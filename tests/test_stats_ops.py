@@ -164,3 +164,38 @@ def test_classification_metrics_auc_equals_pair_count(spark):
     pos, neg = s[y == 1], s[y == 0]
     auc = np.mean([(a > b) + 0.5 * (a == b) for a in pos for b in neg])
     assert r["auc_roc"] == pytest.approx(auc)
+
+
+def test_product_elasticity_ridge_matches_numpy(spark):
+    from shelfscope.operators import elasticity as E
+    rng = np.random.default_rng(5)
+    rows = []
+    for pid, brand in ((1, 0), (2, 1), (3, 0), (4, 1)):
+        p = rng.uniform(5, 50, 40)
+        q = np.maximum(1, np.round(np.exp(4 - (1.5 + 0.5 * brand) * np.log(p) + rng.normal(0, .1, 40))))
+        rows += [(pid, "C", float(x), float(y), brand) for x, y in zip(p, q)]
+    pdf = pd.DataFrame(rows, columns=["product_id", "category", "unit_price", "quantity", "is_private_label"])
+    out = {r["product_id"]: r["elasticity"] for r in E.product_elasticity(spark.createDataFrame(pdf)).collect()}
+    lp, lq, b = np.log(pdf.unit_price), np.log(pdf.quantity), pdf.is_private_label.astype(float)
+    x = np.column_stack([lp, b, lp * b])
+    xc, yc = x - x.mean(0), lq - lq.mean()
+    beta = np.linalg.solve(xc.T @ xc + 0.01 * np.eye(3), xc.T @ yc)
+    for pid, brand in ((1, 0), (2, 1)):
+        assert out[pid] == pytest.approx(beta[0] + beta[2] * brand, rel=1e-9)
+
+
+def test_mmm_predict_metrics_match_numpy(spark):
+    rng = np.random.default_rng(8)
+    x = rng.uniform(0, 10, (30, 2))
+    y = 3 + x @ np.array([2.0, 0.5]) + rng.normal(0, 1, 30)
+    pdf = pd.DataFrame(x, columns=["a", "b"]).assign(revenue=y)
+    df = spark.createDataFrame(pdf)
+    coef = N.mmm_fit(df, ["a", "b"], alpha=1.0)
+    got = N.mmm_predict(df, coef, ["a", "b"]).first()
+    zx = (x - x.mean(0)) / x.std(0)
+    zy = (y - y.mean()) / y.std()
+    beta = np.linalg.solve(zx.T @ zx + np.eye(2), zx.T @ zy)
+    pred = y.mean() + y.std() * zx @ beta
+    err = y - pred
+    assert got["rmse"] == pytest.approx(np.sqrt(np.mean(err ** 2)))
+    assert got["r_squared"] == pytest.approx(1 - np.sum(err ** 2) / np.sum((y - y.mean()) ** 2))
