@@ -81,7 +81,8 @@ def rice_rank(recs: DataFrame) -> DataFrame:
     score = (F.col("reach") / 1000.0 * F.col("impact_score") * F.col("confidence")
              / F.greatest(F.col("effort_weeks"), F.lit(1)))
     r = recs.withColumn("rice_score", score)
-    return r.withColumn("rice_rank", F.row_number().over(Window.orderBy(F.col("rice_score").desc(), "rec_id")))
+    return r.withColumn("rice_rank", F.row_number().over(Window.orderBy(F.col("rice_score").desc(), "rec_id"))
+                        .cast("long"))
 
 
 def filter_actions(ranked: DataFrame, priorities=None, categories=None, timelines=None) -> DataFrame:

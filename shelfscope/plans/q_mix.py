@@ -101,7 +101,7 @@ def channel_allocation(r: Retail):
 
 ELAST_DIGITS = {"elasticity": STAT, "intercept": STAT, "r_squared": STAT, "std_error": STAT,
                 "revenue_impact_10pct": STAT}
-ELAST_SQL = """el AS (SELECT category, regr_count(ln_q, ln_p) AS n, regr_slope(ln_q, ln_p) AS elasticity,
+ELAST_SQL = """el AS (SELECT category, CAST(regr_count(ln_q, ln_p) AS BIGINT) AS n, regr_slope(ln_q, ln_p) AS elasticity,
   regr_intercept(ln_q, ln_p) AS intercept, regr_r2(ln_q, ln_p) AS r_squared,
   sqrt(greatest(regr_syy(ln_q, ln_p) - regr_sxy(ln_q, ln_p) * regr_sxy(ln_q, ln_p) / regr_sxx(ln_q, ln_p), 0.0)
        / (regr_count(ln_q, ln_p) - 2) / regr_sxx(ln_q, ln_p)) AS std_error, stddev_samp(ln_p) AS sdp

@@ -67,6 +67,30 @@ def run_query(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_columns(q.build(retail(spark, sf_dir)), q.digits)
 
 
+def bigint_counts(sql: str) -> str:
+    """DuckDB types ``count_if`` as HUGEINT; Spark's ``count_if`` is BIGINT.
+    Wrap every ``count_if(...)`` call in ``CAST(... AS BIGINT)``."""
+    out, i, key = [], 0, "count_if("
+    while True:
+        j = sql.find(key, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 0, j + len(key) - 1
+        while True:
+            if sql[k] == "(":
+                depth += 1
+            elif sql[k] == ")":
+                depth -= 1
+                if depth == 0:
+                    break
+            k += 1
+        out.append(sql[i:j])
+        inner = bigint_counts(sql[j + len(key):k])
+        out.append(f"CAST({key}{inner}) AS BIGINT)")
+        i = k + 1
+
+
 def oracle(name: str) -> str | None:
     q = REGISTRY[name]
-    return None if q.sql is None else wrap_sql(q.sql, q.digits)
+    return None if q.sql is None else wrap_sql(bigint_counts(q.sql), q.digits)
