@@ -286,3 +286,28 @@ def store_size_vs_margin(r: Retail):
     return r.stores.join(agg, "store_id", "left").select(
         "store_id", "size", F.when(F.col("revenue") != 0, F.col("profit") / F.col("revenue") * 100)
         .alias("margin_pct"), "cluster")
+
+
+@register("size_revenue_per_unit", survey_id="H8", digits={"avg_revenue_per_size_unit": UNIT},
+          sql=with_(TX, STORES) + f"""SELECT avg(CASE WHEN size <> 0 THEN revenue / size END) AS avg_revenue_per_size_unit,
+  count(*) AS n_stores FROM {SIZE_REV_SQL} s""")
+def size_revenue_per_unit(r: Retail):
+    """H8 companion: mean over stores of total revenue ÷ size (NULL when size is 0)."""
+    from ..functions.expr import div
+    return _size_revenue(r).agg(F.avg(div("revenue", "size")).alias("avg_revenue_per_size_unit"),
+                                F.count(F.lit(1)).alias("n_stores"))
+
+
+@register("tier_spend_means", survey_id="H9", digits={"mean_spend": UNIT, "ratio_to_bottom_tier": STAT},
+          sql=with_(TX, CUSTOMERS) + f""", m AS (SELECT tier, tier_code, avg(spend) AS mean_spend FROM {TIER_SPEND_SQL} t
+  JOIN customers USING (customer_id) GROUP BY tier, tier_code)
+SELECT tier, tier_code, mean_spend,
+  CASE WHEN (SELECT mean_spend FROM m WHERE tier_code = 1) > 0
+       THEN mean_spend / (SELECT mean_spend FROM m WHERE tier_code = 1) END AS ratio_to_bottom_tier FROM m""")
+def tier_spend_means(r: Retail):
+    """H9 companion: mean customer spend per tier and its ratio to the
+    lowest-coded tier's mean (the reference's top / bottom spend ratio)."""
+    from ..functions.expr import div
+    m = _tier_spend(r).groupBy("tier", "tier_code").agg(F.avg("spend").alias("mean_spend"))
+    bottom = m.where(F.col("tier_code") == 1).agg(F.max("mean_spend")).scalar()
+    return m.withColumn("ratio_to_bottom_tier", F.when(F.lit(bottom) > 0, div(F.col("mean_spend"), F.lit(bottom))))
