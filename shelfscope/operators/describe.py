@@ -7,7 +7,7 @@ is needed regardless of how many stores / products / customers there are."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import ranks
@@ -90,7 +90,7 @@ def tier_revenue_share(tx: DataFrame, customers: DataFrame, tier: str = "tier")
     """H4 companion: % of revenue by customer tier."""
     spend = base.by_customer(tx).join(customers.select("customer_id", tier), "customer_id", "left")
     t = spend.groupBy(tier).agg(F.sum("revenue").alias("revenue"))
-    return t.withColumn("revenue_share_pct", div(F.col("revenue"), F.sum("revenue").over(Window.partitionBy())) * 100)
+    return t.withColumn("revenue_share_pct", div(F.col("revenue"), t.agg(F.sum("revenue")).scalar()) * 100)
 
 
 def brand_margin_gap(tx: DataFrame, brand: str = "brand_type", hi: str = "private_label",

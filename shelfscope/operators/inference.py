@@ -6,7 +6,7 @@ rows — go through the p-value functions (Arrow-batched pandas UDFs)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import ranks
@@ -27,8 +27,8 @@ def anova_oneway(df: DataFrame, group: str, value: str) -> DataFrame:
          .where(F.col("n") >= 2))
     # grand mean over the per-group table (one row per group), then the
     # centred between-group sum of squares (no large-number cancellation)
-    w = Window.partitionBy()
-    g = g.withColumn("_grand", F.sum(F.col("n") * F.col("m")).over(w) / F.sum("n").over(w))
+    grand = g.agg(div(F.sum(F.col("n") * F.col("m")), F.sum("n"))).scalar()
+    g = g.withColumn("_grand", grand)
     a = g.agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n_total"),
               F.sum(F.col("n") * F.col("vp")).alias("ssw"),
               F.sum(F.col("n") * (F.col("m") - F.col("_grand")) * (F.col("m") - F.col("_grand"))).alias("_ssb"))

@@ -3,7 +3,7 @@ store performance, category views, basket and brand margins)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import ranks
@@ -129,7 +129,7 @@ def category_performance(tx: DataFrame) -> DataFrame:
     """Revenue, profit, margin and revenue share per category."""
     c = base.by_category(tx)
     return (c.withColumn("margin_pct", div("profit", "revenue") * 100)
-            .withColumn("revenue_share_pct", div(F.col("revenue"), F.sum("revenue").over(Window.partitionBy())) * 100)
+            .withColumn("revenue_share_pct", div(F.col("revenue"), c.agg(F.sum("revenue")).scalar()) * 100)
             .select("category", "revenue", "profit", "margin_pct", "revenue_share_pct"))
 
 

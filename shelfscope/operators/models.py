@@ -185,19 +185,69 @@ def cross_validated_auc(data: DataFrame, numeric: list[str], categorical: list[s
 
 def store_report(scores: DataFrame, pred: str = "prediction", revenue: str = "avg_monthly_revenue",
                  low: float = 0.2, high: float = 0.8) -> DataFrame:
-    """M9: p20 / median / p80 of predicted store performance, top (≥ p80) and
-    bottom (≤ p20) counts, monitor band (p20, p35], and the annual uplift of
-    lifting the bottom stores to the median: gap × their mean revenue × n × 12."""
+    """M9 (regression): p20 / median / p80 of predicted performance, top
+    (≥ p80) and bottom (< p20) counts, monitor band [p20, p35), and the annual
+    uplift of lifting the bottom stores to the median:
+    max(0, median − mean bottom prediction) × their mean revenue × n × 12."""
     q = ranks.quantiles(scores, pred, [low, 0.35, 0.5, high], ["p_low", "p35", "p50", "p_high"]).select(
         F.struct("*")).scalar()
     s = scores.withColumn("_q", q)
-    bottom = F.col(pred) <= F.col("_q.p_low")
+    bottom = F.col(pred) < F.col("_q.p_low")
     a = s.agg(F.first("_q.p_low").alias("p20"), F.first("_q.p50").alias("median"), F.first("_q.p_high").alias("p80"),
               F.count_if(F.col(pred) >= F.col("_q.p_high")).alias("n_top"), F.count_if(bottom).alias("n_bottom"),
-              F.count_if((F.col(pred) > F.col("_q.p_low")) & (F.col(pred) <= F.col("_q.p35"))).alias("n_monitor"),
+              F.count_if((F.col(pred) >= F.col("_q.p_low")) & (F.col(pred) < F.col("_q.p35"))).alias("n_monitor"),
               F.avg(F.when(bottom, F.col(pred))).alias("_bm"), F.avg(F.when(bottom, F.col(revenue))).alias("_br"))
+    gap = F.greatest(F.lit(0.0), F.col("median") - F.coalesce(F.col("_bm"), F.lit(0.0)))
     return a.select("p20", "median", "p80", "n_top", "n_bottom", "n_monitor",
-                    ((F.col("median") - F.col("_bm")) * F.col("_br") * F.col("n_bottom") * 12).alias("annual_uplift"))
+                    F.coalesce(gap * F.col("_br") * F.col("n_bottom") * 12, F.lit(0.0)).alias("annual_uplift"))
+
+
+def store_action_lists(scores: DataFrame, key: str = "store_id", pred: str = "prediction",
+                       revenue: str = "avg_monthly_revenue", k: int = 20) -> DataFrame:
+    """M9 lists: ``invest`` = the k bottom stores (< p20) with the largest
+    uplift potential (median − prediction) × revenue; ``monitor`` = the first
+    k stores (by key) in [p20, p35).  A top-k report: the limit is the feature."""
+    from pyspark.sql import Window
+    q = ranks.quantiles(scores, pred, [0.2, 0.35, 0.5], ["a", "b", "m"]).select(F.struct("*")).scalar()
+    s = scores.withColumn("_q", q)
+    # top-k via orderBy().limit() (per-partition top-k, then a k-row merge);
+    # row numbers are assigned only to the ≤ k survivors
+    inv = (s.where(F.col(pred) < F.col("_q.a"))
+           .withColumn("uplift_potential", (F.col("_q.m") - F.col(pred)) * F.col(revenue))
+           .orderBy(F.col("uplift_potential").desc(), key).limit(k)
+           .withColumn("rank", F.row_number().over(Window.orderBy(F.col("uplift_potential").desc(), key)))
+           .select(F.lit("invest").alias("list_type"), key, F.col("rank").cast("long").alias("rank"),
+                   "uplift_potential"))
+    mon = (s.where((F.col(pred) >= F.col("_q.a")) & (F.col(pred) < F.col("_q.b")))
+           .orderBy(key).limit(k)
+           .withColumn("rank", F.row_number().over(Window.orderBy(key)))
+           .select(F.lit("monitor").alias("list_type"), key, F.col("rank").cast("long").alias("rank"),
+                   F.lit(None).cast("double").alias("uplift_potential")))
+    return inv.unionByName(mon)
+
+
+def store_report_classification(scores: DataFrame, proba: str = "probability",
+                                revenue: str = "avg_monthly_revenue") -> DataFrame:
+    """Predicted top (p ≥ 0.5) / bottom counts, invest band 0.4 ≤ p < 0.5,
+    high-risk p < 0.3, uplift = n_bottom × mean monthly revenue × 0.05 × 12."""
+    p = F.col(proba)
+    a = scores.agg(F.count_if(p >= 0.5).alias("n_top"), F.count_if(p < 0.5).alias("n_bottom"),
+                   F.count_if((p >= 0.4) & (p < 0.5)).alias("n_invest"), F.count_if(p < 0.3).alias("n_high_risk"),
+                   F.avg(revenue).alias("_r"))
+    return a.select("n_top", "n_bottom", "n_invest", "n_high_risk",
+                    (F.col("n_bottom") * F.col("_r") * 0.05 * 12).alias("annual_uplift"))
+
+
+def store_uplift_trainer(scores: DataFrame, pred: str = "prediction", revenue: str = "avg_monthly_revenue") -> DataFrame:
+    """M11 (trainer variant): max(0, median − mean bottom prediction) × mean
+    revenue over all stores × n_bottom (monthly, not annualised)."""
+    q = ranks.quantiles(scores, pred, [0.2, 0.5], ["a", "m"]).select(F.struct("*")).scalar()
+    s = scores.withColumn("_q", q)
+    bottom = F.col(pred) < F.col("_q.a")
+    a = s.agg(F.count_if(bottom).alias("n_bottom"), F.avg(F.when(bottom, F.col(pred))).alias("_bm"),
+              F.first("_q.m").alias("_m"), F.avg(revenue).alias("_r"))
+    gap = F.greatest(F.lit(0.0), F.col("_m") - F.coalesce(F.col("_bm"), F.lit(0.0)))
+    return a.select("n_bottom", (gap * F.col("_r") * F.col("n_bottom")).alias("uplift_monthly"))
 
 
 def linear_attribution(model, df: DataFrame, numeric: list[str]) -> DataFrame:

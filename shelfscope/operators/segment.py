@@ -3,7 +3,7 @@ summary, segment counts, tier revenue and cluster statistics."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expr import clip_lower, div
@@ -23,9 +23,11 @@ def segment_profile(entity: DataFrame, segment: str, segment_type: str,
         F.count(F.lit(1)).alias("n_members"), F.sum("revenue").alias("_r"), F.sum("profit").alias("_p"),
         F.avg("revenue").alias("avg_revenue"), F.avg("profit").alias("avg_profit"),
         F.avg("_m").alias("avg_margin_pct"))
-    w = Window.partitionBy()  # over the per-segment result (a handful of rows)
-    return (g.withColumn("_n", F.sum("n_members").over(w)).withColumn("_tr", F.sum("_r").over(w))
-            .withColumn("_tp", F.sum("_p").over(w))
+    # totals over all entities (incl. those without a segment) as one scalar
+    # subquery: no window, however many segments there are
+    tot = g.agg(F.struct(F.sum("n_members").alias("n"), F.sum("_r").alias("r"), F.sum("_p").alias("p"))).scalar()
+    return (g.withColumn("_t", tot).withColumn("_n", F.col("_t.n")).withColumn("_tr", F.col("_t.r"))
+            .withColumn("_tp", F.col("_t.p"))
             .where(F.col(segment).isNotNull())
             .select(F.lit(segment_type).alias("segment_type"), F.col(segment).cast("string").alias("segment_name"),
                     "n_members",
@@ -105,7 +107,7 @@ def tier_revenue(tx: DataFrame, customers: DataFrame, tier: str = "tier") -> Dat
     g = j.groupBy(tier).agg(F.sum("revenue").alias("revenue"), F.sum("profit").alias("profit"),
                             F.count(F.lit(1)).alias("n_customers"))
     return (g.withColumn("margin_pct", div("profit", "revenue") * 100)
-            .withColumn("revenue_share_pct", div(F.col("revenue"), F.sum("revenue").over(Window.partitionBy())) * 100))
+            .withColumn("revenue_share_pct", div(F.col("revenue"), g.agg(F.sum("revenue")).scalar()) * 100))
 
 
 def cluster_stats(tx: DataFrame, stores: DataFrame, cluster: str = "cluster") -> DataFrame:
@@ -114,7 +116,7 @@ def cluster_stats(tx: DataFrame, stores: DataFrame, cluster: str = "cluster") ->
     g = j.groupBy(cluster).agg(
         F.sum("n_txns").alias("n_txns"), F.sum("revenue").alias("revenue"),
         F.sum("profit").alias("profit"), F.count(F.lit(1)).alias("n_stores"))
-    w = Window.partitionBy()
-    return (g.withColumn("margin_pct", div("profit", "revenue") * 100)
-            .withColumn("revenue_share_pct", div(F.col("revenue"), F.sum("revenue").over(w)) * 100)
-            .withColumn("profit_share_pct", div(F.col("profit"), F.sum("profit").over(w)) * 100))
+    tot = g.agg(F.struct(F.sum("revenue").alias("r"), F.sum("profit").alias("p"))).scalar()
+    return (g.withColumn("_t", tot).withColumn("margin_pct", div("profit", "revenue") * 100)
+            .withColumn("revenue_share_pct", div(F.col("revenue"), F.col("_t.r")) * 100)
+            .withColumn("profit_share_pct", div(F.col("profit"), F.col("_t.p")) * 100).drop("_t"))

@@ -108,23 +108,62 @@ def churn_model_cv(r: Retail):
     return M.cross_validated_auc(_churn_data(r), NUMERIC, ["tier"], "label", folds=5)
 
 
+def _scored_stores(r: Retail):
+    from ..operators import features as LF
+    from .q_kpi import CLUSTERS
+    f = LF.store_features(r.transactions, r.stores, r.store_costs, CLUSTERS)
+    # deterministic score (the margin ratio as predicted performance /
+    # probability) so the DuckDB oracle can check the report logic
+    return f.withColumn("prediction", F.col("margin_ratio")).withColumn("probability", F.col("margin_ratio"))
+
+
 @register("store_report", survey_id="M9",
           digits={"p20": STAT, "median": STAT, "p80": STAT, "annual_uplift": UNIT},
           sql=f"""WITH s AS ({SF_SQL}),
 q AS (SELECT quantile_cont(margin_ratio, 0.2) AS a, quantile_cont(margin_ratio, 0.35) AS b,
              quantile_cont(margin_ratio, 0.5) AS c, quantile_cont(margin_ratio, 0.8) AS d FROM s)
-SELECT a AS p20, c AS median, d AS p80, count_if(margin_ratio >= d) AS n_top, count_if(margin_ratio <= a) AS n_bottom,
-  count_if(margin_ratio > a AND margin_ratio <= b) AS n_monitor,
-  (c - avg(CASE WHEN margin_ratio <= a THEN margin_ratio END)) * avg(CASE WHEN margin_ratio <= a THEN avg_monthly_revenue END)
-    * count_if(margin_ratio <= a) * 12 AS annual_uplift
+SELECT a AS p20, c AS median, d AS p80, count_if(margin_ratio >= d) AS n_top, count_if(margin_ratio < a) AS n_bottom,
+  count_if(margin_ratio >= a AND margin_ratio < b) AS n_monitor,
+  coalesce(greatest(0.0, c - coalesce(avg(CASE WHEN margin_ratio < a THEN margin_ratio END), 0.0))
+    * avg(CASE WHEN margin_ratio < a THEN avg_monthly_revenue END) * count_if(margin_ratio < a) * 12, 0.0)
+    AS annual_uplift
 FROM s, q GROUP BY a, b, c, d""")
 def store_report(r: Retail):
-    """Store report from a deterministic score (the margin ratio as the
-    predicted performance), so the DuckDB oracle can check it."""
-    from ..operators import features as LF
-    from .q_kpi import CLUSTERS
-    f = LF.store_features(r.transactions, r.stores, r.store_costs, CLUSTERS)
-    return M.store_report(f.withColumn("prediction", F.col("margin_ratio")))
+    return M.store_report(_scored_stores(r))
+
+
+@register("store_action_lists", survey_id="M9", digits={"uplift_potential": UNIT},
+          sql=f"""WITH s AS ({SF_SQL}),
+q AS (SELECT quantile_cont(margin_ratio, 0.2) AS a, quantile_cont(margin_ratio, 0.35) AS b,
+             quantile_cont(margin_ratio, 0.5) AS m FROM s),
+inv AS (SELECT store_id, (m - margin_ratio) * avg_monthly_revenue AS uplift_potential FROM s, q WHERE margin_ratio < a),
+mon AS (SELECT store_id FROM s, q WHERE margin_ratio >= a AND margin_ratio < b)
+SELECT * FROM (SELECT 'invest' AS list_type, store_id,
+  row_number() OVER (ORDER BY uplift_potential DESC, store_id) AS rank, uplift_potential FROM inv) WHERE rank <= 20
+UNION ALL
+SELECT * FROM (SELECT 'monitor' AS list_type, store_id, row_number() OVER (ORDER BY store_id) AS rank,
+  CAST(NULL AS DOUBLE) AS uplift_potential FROM mon) WHERE rank <= 20""")
+def store_action_lists(r: Retail):
+    return M.store_action_lists(_scored_stores(r))
+
+
+@register("store_report_classification", survey_id="M10", digits={"annual_uplift": UNIT},
+          sql=f"""WITH s AS ({SF_SQL})
+SELECT count_if(margin_ratio >= 0.5) AS n_top, count_if(margin_ratio < 0.5) AS n_bottom,
+  count_if(margin_ratio >= 0.4 AND margin_ratio < 0.5) AS n_invest, count_if(margin_ratio < 0.3) AS n_high_risk,
+  count_if(margin_ratio < 0.5) * avg(avg_monthly_revenue) * 0.05 * 12 AS annual_uplift FROM s""")
+def store_report_classification(r: Retail):
+    return M.store_report_classification(_scored_stores(r))
+
+
+@register("store_uplift_trainer", survey_id="M11", digits={"uplift_monthly": UNIT},
+          sql=f"""WITH s AS ({SF_SQL}),
+q AS (SELECT quantile_cont(margin_ratio, 0.2) AS a, quantile_cont(margin_ratio, 0.5) AS m FROM s)
+SELECT count_if(margin_ratio < a) AS n_bottom,
+  greatest(0.0, m - coalesce(avg(CASE WHEN margin_ratio < a THEN margin_ratio END), 0.0))
+    * avg(avg_monthly_revenue) * count_if(margin_ratio < a) AS uplift_monthly FROM s, q GROUP BY a, m""")
+def store_uplift_trainer(r: Retail):
+    return M.store_uplift_trainer(_scored_stores(r))
 
 
 @register("linear_attribution", survey_id="M13", digits={"mean_abs_shap": STAT})
