@@ -16,63 +16,85 @@ from . import base
 from .whatif import annual_factor, financial_impact
 
 
-def _row(df: DataFrame, rec_id: str, category: str, reach, revenue_delta, profit_delta) -> DataFrame:
-    return df.select(F.lit(rec_id).alias("rec_id"), F.lit(category).alias("category"),
-                     reach.cast("long").alias("reach"), revenue_delta.cast("double").alias("revenue_delta"),
+def _row(df: DataFrame, rec_id: str, reach, revenue_delta, profit_delta) -> DataFrame:
+    return df.select(F.lit(rec_id).alias("rec_id"), reach.cast("long").alias("reach"),
+                     revenue_delta.cast("double").alias("revenue_delta"),
                      profit_delta.cast("double").alias("profit_delta"))
 
 
-def recommendations(tx: DataFrame, customers: DataFrame, store_costs: DataFrame, elasticities: DataFrame,
-                    params: DataFrame, focus_tier: str, price_up: float = 0.05, pl_margin_pts: float = 0.05,
-                    discount_cut: float = 0.03, ops_gain: float = 0.10, tier: str = "tier") -> DataFrame:
-    """O7-O11 → one row per recommendation with reach and annual deltas,
-    joined with the parameter table (impact_score, confidence, effort_weeks,
-    implementation_cost, timeline_months, priority, timeline) and O6."""
+# Fixed values of the recommendation rules (must equal the reference's).
+PRICE_UP = 0.05               # REC-001: +5 % price on inelastic categories
+PL_SHARE_POINTS = 0.05        # REC-002: private-label share +5 points of revenue
+PL_REVENUE_FACTOR = 0.5       # REC-002: half of the shifted revenue is incremental
+REVENUE_PER_CUSTOMER = 150.0  # REC-002: reach proxy, customers touched per $150
+DISCOUNT_CUT = 0.03           # REC-003: discounts −3 points of revenue
+CHURN_REDUCTION = 0.30        # REC-006: churn reduced by 30 %
+RETENTION_COST = 500_000.0    # REC-006: intervention cost
+ASSUMED_CHURN = 0.20          # REC-006: reach = 20 % of the tier
+OPS_UPLIFT = 0.10             # REC-007: +10 % revenue on mid-margin stores
+STORE_COST = 800_000.0        # REC-008: annual operating cost per store
+CLOSURE_NET = 0.30            # REC-008: 30 % of that cost is a net gain
+CLOSURE_REVENUE_LOSS = 0.5    # REC-008: half of the closed stores' revenue is lost
+
+
+def recommendations(tx: DataFrame, customers: DataFrame, elasticities: DataFrame, params: DataFrame,
+                    focus_tier: str, tier: str = "tier") -> DataFrame:
+    """One row per recommendation (reach, annual revenue / profit
+    deltas) computed from Spark aggregates, joined with the catalogue
+    parameters (category, impact score, confidence, effort, cost, ROI
+    fallback, priority, timeline); ROI = profit ÷ cost when positive else
+    the fallback; O6 payback / NPV / annualised impact."""
+    from .whatif import whatif_retention
     af = annual_factor(tx)
-    # REC-001: +price on inelastic categories (|ε| < 1), profit at baseline margin
+    b = tx.agg(F.struct((F.sum("gross_revenue") * af).alias("rev"),
+                        (F.sum("gross_profit") * af).alias("profit")).alias("b")).scalar()
+    base_rev = b.getField("rev")
+    base_margin = div(b.getField("profit"), b.getField("rev"))
+    one = tx.agg(F.count(F.lit(1)).alias("_n"))  # single-row frame to carry scalar rows
+    # REC-001: price +5 % on inelastic categories (|ε| < 1), O1 deltas summed
     inel = elasticities.where(F.abs("elasticity") < 1).select("category", "elasticity")
-    c = tx.join(inel, "category", "left_semi")
-    e = base.by_category(tx).join(inel, "category")
-    rev_mult = (1 + price_up) * (1 + F.col("elasticity") * price_up) - 1
-    r1 = e.agg(F.sum(F.col("revenue") * rev_mult * af).alias("rd"),
-               F.sum(F.col("profit") * rev_mult * af).alias("pd"))
-    reach1 = c.agg(F.count_distinct("customer_id")).scalar()
-    rec1 = _row(r1, "REC-001", "pricing", F.coalesce(reach1, F.lit(0)), F.coalesce(F.col("rd"), F.lit(0.0)),
+    mult = (1 + PRICE_UP) * (1 + F.col("elasticity") * PRICE_UP) - 1
+    r1 = base.by_category(tx).join(inel, "category").agg(
+        F.sum(F.col("revenue") * af * mult).alias("rd"), F.sum(F.col("profit") * af * mult).alias("pd"))
+    reach1 = n_distinct_customers(tx.join(inel, "category", "left_semi"))
+    rec1 = _row(r1, "REC-001", F.coalesce(reach1, F.lit(0)), F.coalesce(F.col("rd"), F.lit(0.0)),
                 F.coalesce(F.col("pd"), F.lit(0.0)))
-    # REC-002: private-label margin +pts on its revenue
-    pl = tx.where(F.col("brand_type") == "private_label")
-    rec2 = _row(pl.agg(F.count_distinct("customer_id").alias("n"), F.sum("gross_revenue").alias("r")),
-                "REC-002", "pricing", F.col("n"), F.lit(0.0), F.coalesce(F.col("r"), F.lit(0.0)) * pl_margin_pts * af)
-    # REC-003: cut discounts by pp on discounted rows (list revenue = revenue / (1 - d))
-    dsc = tx.where(F.col("discount_pct") > 0)
-    lst = F.col("gross_revenue") / (1 - F.col("discount_pct"))
-    rec3 = _row(dsc.agg(F.count_distinct("customer_id").alias("n"),
-                        F.sum(lst * F.least(F.col("discount_pct"), F.lit(discount_cut))).alias("g")),
-                "REC-003", "pricing", F.col("n"), F.coalesce(F.col("g"), F.lit(0.0)) * af,
-                F.coalesce(F.col("g"), F.lit(0.0)) * af)
-    # REC-006: retention of the focus tier (value at risk of its churned buyers)
-    max_date = tx.agg(F.max("date")).scalar()
-    pc = (tx.groupBy("customer_id").agg(F.max("date").alias("_l"), F.sum("gross_profit").alias("_p"))
-          .join(customers.where(F.col(tier) == focus_tier).select("customer_id"), "customer_id", "left_semi"))
-    rec6 = _row(pc.agg(F.count(F.lit(1)).alias("n"),
-                       F.sum(F.when(F.col("_l") < max_date - F.expr("INTERVAL 180 DAYS"), F.col("_p"))).alias("v")),
-                "REC-006", "retention", F.col("n"), F.lit(0.0), F.coalesce(F.col("v"), F.lit(0.0)) * af * 0.25)
-    # REC-007: operations on mid-margin stores (p25 ≤ margin ≤ p75): +gain on their profit
+    # REC-002: private-label share +5 points at the private-label margin premium
+    m = tx.agg(F.avg(F.when(F.col("brand_type") == "private_label", div("gross_profit", "gross_revenue"))).alias("pl"),
+               F.avg(F.when(F.col("brand_type") == "national_brand", div("gross_profit", "gross_revenue"))).alias("nb"))
+    rec2 = _row(m, "REC-002", F.floor(base_rev * PL_SHARE_POINTS / REVENUE_PER_CUSTOMER),
+                base_rev * PL_SHARE_POINTS * PL_REVENUE_FACTOR,
+                base_rev * PL_SHARE_POINTS * (F.col("pl") - F.col("nb")))
+    # REC-003: discount −3 points, revenue neutral
+    rec3 = _row(one, "REC-003", n_distinct_customers(tx), F.lit(0.0), base_rev * DISCOUNT_CUT)
+    # REC-006: O3 on the focus tier
+    spark = tx.sparkSession
+    sc = spark.createDataFrame([("REC-006", focus_tier, CHURN_REDUCTION, RETENTION_COST)],
+                               f"scenario_id string, {tier} string, churn_reduction_pct double, intervention_cost double")
+    ret = whatif_retention(tx, customers, F.broadcast(sc), tier=tier)
+    rec6 = _row(ret, "REC-006", F.floor(F.col("n_customers") * ASSUMED_CHURN), F.col("revenue_delta"),
+                F.col("profit_delta"))
+    # REC-007: mid-margin stores (p25 ≤ margin ≤ p75): +10 % revenue at the portfolio margin
     s = base.by_store(tx).withColumn("margin", div("profit", "revenue"))
-    q = ranks.quantiles(s, "margin", [0.25, 0.75], ["a", "b"]).select(F.struct("*")).scalar()
-    mid = s.withColumn("_q", q).where((F.col("margin") >= F.col("_q.a")) & (F.col("margin") <= F.col("_q.b")))
-    rec7 = _row(mid.agg(F.count(F.lit(1)).alias("n"), F.sum("profit").alias("p")), "REC-007", "operations",
-                F.col("n"), F.lit(0.0), F.coalesce(F.col("p"), F.lit(0.0)) * ops_gain * af)
-    # REC-008: portfolio — stores at or below the margin p5: saved cost vs lost revenue
-    p5 = ranks.quantiles(s, "margin", [0.05], ["p5"]).scalar()
-    low = s.where(F.col("margin") <= p5).join(
-        store_costs.groupBy("store_id").agg(F.sum("total_operating_cost").alias("cost")), "store_id", "left")
-    rec8 = _row(low.agg(F.count(F.lit(1)).alias("n"), F.sum("revenue").alias("r"), F.sum("profit").alias("p"),
-                        F.sum("cost").alias("c")), "REC-008", "portfolio", F.col("n"),
-                -F.coalesce(F.col("r"), F.lit(0.0)) * af,
-                (F.coalesce(F.col("c"), F.lit(0.0)) - F.coalesce(F.col("p"), F.lit(0.0))) * af)
+    q = ranks.quantiles(s, "margin", [0.25, 0.75, 0.05], ["a", "b", "c"]).select(F.struct("*")).scalar()
+    sq = s.withColumn("_q", q)
+    mid = sq.where((F.col("margin") >= F.col("_q.a")) & (F.col("margin") <= F.col("_q.b")))
+    r7 = mid.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("revenue") * af).alias("r"))
+    up = F.coalesce(F.col("r"), F.lit(0.0)) * OPS_UPLIFT
+    rec7 = _row(r7, "REC-007", F.col("n"), up, up * base_margin)
+    # REC-008: close stores at or below the margin p5
+    low = sq.where(F.col("margin") <= F.col("_q.c"))
+    r8 = low.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("revenue") * af).alias("r"))
+    rec8 = _row(r8, "REC-008", F.col("n"), -F.coalesce(F.col("r"), F.lit(0.0)) * CLOSURE_REVENUE_LOSS,
+                F.col("n") * STORE_COST * CLOSURE_NET)
     recs = reduce(DataFrame.unionByName, [rec1, rec2, rec3, rec6, rec7, rec8])
-    return financial_impact(recs.join(F.broadcast(params), "rec_id"))
+    out = financial_impact(recs.join(F.broadcast(params), "rec_id"))
+    p, c = F.col("profit_delta"), F.col("implementation_cost")
+    return out.withColumn("roi", F.when(p > 0, div(p, c)).otherwise(F.col("roi_fallback"))).drop("roi_fallback")
+
+
+def n_distinct_customers(df: DataFrame):
+    return df.select("customer_id").distinct().agg(F.count(F.lit(1))).scalar()
 
 
 def rice_rank(recs: DataFrame) -> DataFrame:
@@ -94,19 +116,21 @@ def filter_actions(ranked: DataFrame, priorities=None, categories=None, timeline
     return out
 
 
+TIMELINES = {"n_immediate": "0-30 days", "n_short_term": "1-3 months", "n_medium_term": "3-6 months",
+             "n_long_term": "6-12 months"}
+
+
 def action_summary(ranked: DataFrame, top: int = 3) -> DataFrame:
-    """Totals, count of critical actions, counts per timeline and the
-    top-n rec ids by RICE and by profit."""
+    """Totals, count of critical actions, counts per timeline bucket and
+    the top-n rec ids by RICE and by profit (recommendation-grained input)."""
     by_profit = F.row_number().over(Window.orderBy(F.col("profit_delta").desc(), "rec_id"))
     r = ranked.withColumn("_pr", by_profit)
     return r.agg(
         F.count(F.lit(1)).alias("n_actions"), F.sum("profit_delta").alias("total_profit_delta"),
         F.sum("revenue_delta").alias("total_revenue_delta"),
         F.sum("implementation_cost").alias("total_cost"),
-        F.count_if(F.col("priority") == "critical").alias("n_critical"),
-        F.count_if(F.col("timeline") == "quick_win").alias("n_quick_win"),
-        F.count_if(F.col("timeline") == "medium_term").alias("n_medium_term"),
-        F.count_if(F.col("timeline") == "long_term").alias("n_long_term"),
+        F.count_if(F.col("priority") == "Critical").alias("n_critical"),
+        *[F.count_if(F.col("timeline") == v).alias(k) for k, v in TIMELINES.items()],
         F.array_sort(F.collect_list(F.when(F.col("rice_rank") <= top, F.struct("rice_rank", "rec_id"))))
         .alias("_top_rice"),
         F.array_sort(F.collect_list(F.when(F.col("_pr") <= top, F.struct("_pr", "rec_id")))).alias("_top_profit"),

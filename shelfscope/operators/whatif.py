@@ -48,54 +48,87 @@ def whatif_price(tx: DataFrame, scenarios: DataFrame, elasticities: DataFrame,
         F.when(F.abs(e) < 1.0, 0.80).otherwise(0.70).alias("confidence"))
 
 
+def _baseline(tx: DataFrame):
+    """Annual portfolio revenue and profit as one scalar-subquery struct."""
+    af = annual_factor(tx)
+    return tx.agg(F.struct((F.sum("gross_revenue") * af).alias("rev"),
+                           (F.sum("gross_profit") * af).alias("profit")).alias("b")).scalar()
+
+
+def _projection(df: DataFrame, revenue_gain, profit_gain, confidence: float) -> DataFrame:
+    """Baseline vs projected portfolio columns with the reference's profit
+    floor: projected profit ≥ 0.5 × baseline profit."""
+    base_rev, base_profit = F.col("_b.rev"), F.col("_b.profit")
+    proj_rev = base_rev + revenue_gain
+    proj_profit = F.greatest(base_profit + profit_gain, base_profit * 0.5)
+    return (df.withColumn("baseline_revenue", base_rev).withColumn("baseline_profit", base_profit)
+            .withColumn("projected_revenue", proj_rev).withColumn("projected_profit", proj_profit)
+            .withColumn("revenue_delta", proj_rev - base_rev).withColumn("profit_delta", proj_profit - base_profit)
+            .withColumn("confidence", F.lit(confidence)))
+
+
+PROJECTION_COLS = ["baseline_revenue", "baseline_profit", "projected_revenue", "projected_profit",
+                   "revenue_delta", "profit_delta"]
+
+
 def whatif_store_investment(tx: DataFrame, scenarios: DataFrame, q: float = 0.2) -> DataFrame:
     """Scenarios (scenario_id, n_stores, investment_per_store,
-    revenue_uplift_pct): the n worst-margin stores among those at or below
-    the margin p20; uplift = their annual revenue × uplift at their margin;
-    cost amortised over 3 years."""
+    revenue_uplift_pct).  Among stores with margin ≤ p20 take the n worst by
+    margin (ties by store id); uplift = their annual revenue × pct, earning
+    the portfolio margin; the investment (requested n × per-store) is
+    amortised over 3 years; profit floor 0.5 × baseline; confidence 0.65."""
     af = annual_factor(tx)
     s = base.by_store(tx).withColumn("margin", div("profit", "revenue"))
     p = ranks.quantiles(s, "margin", [q], ["p"]).scalar()
     low = s.where(F.col("margin") <= p)
     fr = ranks.first_ranks(low, "margin", "store_id", out="worst_rank")
     ranked = low.join(fr, "store_id")
+    # scenario rows are parameters: a handful, broadcast
     j = ranked.join(F.broadcast(scenarios.select("scenario_id", "n_stores")), F.col("worst_rank") <= F.col("n_stores"))
     agg = j.groupBy("scenario_id").agg(F.count(F.lit(1)).alias("stores_selected"),
-                                       F.sum(F.col("revenue") * af).alias("_rev"),
-                                       F.sum(F.col("profit") * af).alias("_profit"))
-    x = scenarios.join(agg, "scenario_id", "left")
-    uplift_rev = F.coalesce(F.col("_rev"), F.lit(0.0)) * F.col("revenue_uplift_pct")
-    margin = F.when(F.col("_rev") > 0, F.col("_profit") / F.col("_rev")).otherwise(0.0)
-    cost = F.coalesce(F.col("stores_selected"), F.lit(0)) * F.col("investment_per_store")
-    return x.select("scenario_id", F.lit("store_investment").alias("scenario_type"),
-                    F.coalesce(F.col("stores_selected"), F.lit(0)).alias("stores_selected"),
-                    uplift_rev.alias("revenue_delta"),
-                    (uplift_rev * margin - cost / 3).alias("profit_delta"), cost.alias("implementation_cost"))
+                                       F.sum(F.col("revenue") * af).alias("_rev"))
+    b = _baseline(tx)
+    x = scenarios.join(agg, "scenario_id", "left").withColumn("_b", b)
+    margin = F.when(F.col("_b.rev") > 0, F.col("_b.profit") / F.col("_b.rev")).otherwise(0.0)
+    uplift = F.coalesce(F.col("_rev"), F.lit(0.0)) * F.col("revenue_uplift_pct")
+    cost = F.col("n_stores") * F.col("investment_per_store")
+    out = _projection(x.withColumn("implementation_cost", cost), uplift, uplift * margin - cost / 3, 0.65)
+    return out.select("scenario_id", F.lit("store_investment").alias("scenario_type"),
+                      F.coalesce(F.col("stores_selected"), F.lit(0)).alias("stores_selected"),
+                      *PROJECTION_COLS, "implementation_cost", "confidence")
+
+
+DEFAULT_CHURN_RATE = 0.18
 
 
 def whatif_retention(tx: DataFrame, customers: DataFrame, scenarios: DataFrame, days: int = 180,
-                     tier: str = "tier") -> DataFrame:
-    """O3: scenarios (scenario_id, tier, churn_reduction_pct, cost_per_customer):
-    tier size, observed churn rate (no purchase in ``days``), annual profit
-    per customer; saved = floor(n · rate · reduction); net = saved profit −
-    programme cost."""
+                     tier: str = "tier", all_label: str = "All") -> DataFrame:
+    """O3: scenarios (scenario_id, tier | 'All', churn_reduction_pct,
+    intervention_cost).  Customers at risk = the tier's customers; annual
+    value = the tier's annual profit ÷ customers; churn rate = the tier's
+    observed rate (no purchase in ``days``; 0.18 when unknown); churners =
+    floor(n · rate); impact = churners · reduction · annual value, net of the
+    intervention cost; profit floor 0.5 × baseline; confidence 0.75."""
     af = annual_factor(tx)
     max_date = tx.agg(F.max("date")).scalar()
     per_c = tx.groupBy("customer_id").agg(F.max("date").alias("_last"), F.sum("gross_profit").alias("_p"))
     c = customers.select("customer_id", tier).join(per_c, "customer_id", "left")
-    t = c.groupBy(tier).agg(
-        F.count(F.lit(1)).alias("n_customers"),
-        F.count_if(F.coalesce(F.col("_last") < max_date - F.expr(f"INTERVAL {days} DAYS"), F.lit(False))).alias("_ch"),
-        F.sum(F.coalesce(F.col("_p"), F.lit(0.0))).alias("_profit"))
-    x = scenarios.join(t, tier)
-    rate = F.col("_ch") / F.col("n_customers")
-    ppc = F.col("_profit") * af / F.col("n_customers")
-    saved = F.floor(F.col("n_customers") * rate * F.col("churn_reduction_pct"))
-    cost = F.col("n_customers") * F.col("cost_per_customer")
-    return x.select("scenario_id", F.lit("retention").alias("scenario_type"), tier, "n_customers",
-                    rate.alias("churn_rate"), ppc.alias("annual_profit_per_customer"),
-                    saved.cast("long").alias("customers_saved"), (saved * ppc).alias("profit_retained"),
-                    cost.alias("implementation_cost"), (saved * ppc - cost).alias("profit_delta"))
+    churned = F.coalesce(F.col("_last") < max_date - F.expr(f"INTERVAL {days} DAYS"), F.lit(False))
+    stats = [F.count(F.lit(1)).alias("n_customers"), F.count_if(churned).alias("_ch"),
+             F.sum(F.coalesce(F.col("_p"), F.lit(0.0))).alias("_profit")]
+    t = c.groupBy(tier).agg(*stats).unionByName(c.agg(*stats).select(F.lit(all_label).alias(tier), "*"))
+    x = scenarios.join(t, tier, "left").withColumn("_b", _baseline(tx))
+    n = F.coalesce(F.col("n_customers"), F.lit(0))
+    rate = F.coalesce(div("_ch", "n_customers"), F.lit(DEFAULT_CHURN_RATE))
+    value = F.coalesce(div(F.col("_profit") * af, F.col("n_customers")), F.lit(0.0))
+    churners = F.floor(n * rate)
+    impact = churners * F.col("churn_reduction_pct") * value
+    x = (x.withColumn("churn_rate", rate).withColumn("annual_value_per_customer", value)
+         .withColumn("n_churners", churners.cast("long")).withColumn("implementation_cost", F.col("intervention_cost")))
+    out = _projection(x, impact, impact - F.col("intervention_cost"), 0.75)
+    return out.select("scenario_id", F.lit("retention").alias("scenario_type"), tier,
+                      n.cast("long").alias("n_customers"), "churn_rate", "annual_value_per_customer", "n_churners",
+                      *PROJECTION_COLS, "implementation_cost", "confidence")
 
 
 def financial_impact(df: DataFrame, revenue: str = "revenue_delta", profit: str = "profit_delta",

@@ -16,17 +16,19 @@ from .sql import CUSTOMERS, TX, with_
 
 # Scenario presets (parameters, one row per scenario)
 PRICE_SCENARIOS = [("P1", "PROMO", 0.05, None), ("P2", "STANDARD", -0.05, None), ("P3", "LARGE", 0.10, -1.2)]
-RETENTION_SCENARIOS = [("R1", FOCUS_TIER, 0.20, 15.0), ("R2", "MACHINERY", 0.10, 5.0)]
+RETENTION_SCENARIOS = [("R1", FOCUS_TIER, 0.30, 50000.0), ("R2", "MACHINERY", 0.10, 20000.0), ("R3", "All", 0.05, 0.0)]
 STORE_SCENARIOS = [("S1", 5, 25000.0, 0.08), ("S2", 10, 15000.0, 0.05)]
-# Recommendation catalogue parameters:
-# rec_id, impact_score, confidence, effort_weeks, implementation_cost, timeline_months, priority, timeline
+# Recommendation catalogue (fixed values that must equal the reference's):
+# rec_id, category, impact_score, confidence, effort_weeks, implementation_cost (ROI divisor),
+# roi_fallback (ROI when profit ≤ 0), timeline_months (O6 ramp: upper end of the timeline bucket),
+# priority, timeline
 REC_PARAMS = [
-    ("REC-001", 3.0, 0.80, 4, 150000.0, 3, "critical", "quick_win"),
-    ("REC-002", 2.0, 0.75, 12, 400000.0, 9, "high", "medium_term"),
-    ("REC-003", 2.0, 0.70, 6, 100000.0, 3, "high", "quick_win"),
-    ("REC-006", 2.0, 0.65, 10, 300000.0, 6, "critical", "medium_term"),
-    ("REC-007", 1.0, 0.60, 16, 500000.0, 12, "medium", "long_term"),
-    ("REC-008", 1.0, 0.55, 26, 250000.0, 12, "medium", "long_term"),
+    ("REC-001", "Pricing", 8.0, 0.82, 2, 200000.0, 1.5, 3, "High", "1-3 months"),
+    ("REC-002", "Pricing", 8.5, 0.72, 16, 800000.0, 1.0, 6, "High", "3-6 months"),
+    ("REC-003", "Pricing", 9.0, 0.85, 4, 150000.0, 5.0, 1, "Critical", "0-30 days"),
+    ("REC-006", "Retention", 9.5, 0.80, 3, 500000.0, 2.0, 1, "Critical", "0-30 days"),
+    ("REC-007", "Operations", 7.0, 0.68, 12, 1000000.0, 1.5, 6, "Medium", "3-6 months"),
+    ("REC-008", "Store Portfolio", 7.0, 0.70, 26, 2000000.0, 1.0, 12, "Medium", "6-12 months"),
 ]
 
 
@@ -77,27 +79,45 @@ def whatif_price(r: Retail):
 def _whatif_retention(r: Retail):
     spark = r.transactions.sparkSession
     sc = spark.createDataFrame(RETENTION_SCENARIOS, "scenario_id string, tier string, churn_reduction_pct double, "
-                                                    "cost_per_customer double")
+                                                    "intervention_cost double")
     return W.whatif_retention(r.transactions, r.customers, F.broadcast(sc))
 
 
-@register("whatif_retention", survey_id="O3",
-          digits={"churn_rate": STAT, "annual_profit_per_customer": UNIT, "profit_retained": MONEY,
-                  "implementation_cost": MONEY, "profit_delta": MONEY},
-          sql=with_(TX, CUSTOMERS) + f""", sc(scenario_id, tier, churn_reduction_pct, cost_per_customer) AS
+PROJ_DIGITS = {c: MONEY for c in ("baseline_revenue", "baseline_profit", "projected_revenue", "projected_profit",
+                                  "revenue_delta", "profit_delta", "implementation_cost")}
+PROJ_DIGITS["confidence"] = STAT
+
+BASE_SQL = ("b AS (SELECT sum(gross_revenue) * (SELECT 12.0 / count(DISTINCT period) FROM tx) AS brev, "
+            "sum(gross_profit) * (SELECT 12.0 / count(DISTINCT period) FROM tx) AS bprof FROM tx)")
+
+
+def _proj_sql(rev_gain: str, profit_gain: str, confidence: float) -> str:
+    return (f"brev AS baseline_revenue, bprof AS baseline_profit, brev + ({rev_gain}) AS projected_revenue, "
+            f"greatest(bprof + ({profit_gain}), bprof * 0.5) AS projected_profit, "
+            f"brev + ({rev_gain}) - brev AS revenue_delta, "
+            f"greatest(bprof + ({profit_gain}), bprof * 0.5) - bprof AS profit_delta")
+
+
+RETENTION_SQL = with_(TX, CUSTOMERS, BASE_SQL) + f""", sc(scenario_id, tier, churn_reduction_pct, intervention_cost) AS
   (VALUES {_sql_values(RETENTION_SCENARIOS)}),
-af AS (SELECT 12.0 / count(DISTINCT period) AS f FROM tx),
 pc AS (SELECT customer_id, max(date) AS l, sum(gross_profit) AS p FROM tx GROUP BY customer_id),
-t AS (SELECT tier, count(*) AS n_customers,
-  count_if(coalesce(l < (SELECT max(date) FROM tx) - INTERVAL 180 DAY, false)) AS ch, sum(coalesce(p, 0.0)) AS profit
-  FROM customers LEFT JOIN pc USING (customer_id) GROUP BY tier),
-x AS (SELECT sc.scenario_id, tier, n_customers, ch / n_customers AS churn_rate,
-  profit * (SELECT f FROM af) / n_customers AS ppc,
-  floor(n_customers * (ch / n_customers) * churn_reduction_pct) AS saved, n_customers * cost_per_customer AS cost
-  FROM sc JOIN t USING (tier))
-SELECT scenario_id, 'retention' AS scenario_type, tier, n_customers, churn_rate, ppc AS annual_profit_per_customer,
-  CAST(saved AS BIGINT) AS customers_saved, saved * ppc AS profit_retained, cost AS implementation_cost,
-  saved * ppc - cost AS profit_delta FROM x""")
+c AS (SELECT tier, coalesce(l < (SELECT max(date) FROM tx) - INTERVAL 180 DAY, false) AS ch, coalesce(p, 0.0) AS p
+  FROM customers LEFT JOIN pc USING (customer_id)),
+t AS (SELECT tier, count(*) AS n_customers, count_if(ch) AS chn, sum(p) AS profit FROM c GROUP BY tier
+  UNION ALL SELECT 'All', count(*), count_if(ch), sum(p) FROM c),
+x AS (SELECT sc.*, coalesce(n_customers, 0) AS n,
+  coalesce(CASE WHEN n_customers <> 0 THEN chn / n_customers END, 0.18) AS rate,
+  coalesce(CASE WHEN n_customers <> 0 THEN profit * (SELECT 12.0 / count(DISTINCT period) FROM tx) / n_customers END,
+    0.0) AS val FROM sc LEFT JOIN t USING (tier)),
+y AS (SELECT *, floor(n * rate) AS churners, floor(n * rate) * churn_reduction_pct * val AS impact FROM x, b)
+SELECT scenario_id, 'retention' AS scenario_type, tier, CAST(n AS BIGINT) AS n_customers, rate AS churn_rate,
+  val AS annual_value_per_customer, CAST(churners AS BIGINT) AS n_churners,
+  {_proj_sql("impact", "impact - intervention_cost", 0.75)}, intervention_cost AS implementation_cost,
+  0.75 AS confidence FROM y"""
+
+
+@register("whatif_retention", survey_id="O3",
+          digits=dict(PROJ_DIGITS, churn_rate=STAT, annual_value_per_customer=UNIT), sql=RETENTION_SQL)
 def whatif_retention(r: Retail):
     return _whatif_retention(r)
 
@@ -109,8 +129,7 @@ def _whatif_store(r: Retail):
     return W.whatif_store_investment(r.transactions, sc)
 
 
-@register("whatif_store_investment", survey_id="O4",
-          digits={"revenue_delta": MONEY, "profit_delta": MONEY, "implementation_cost": MONEY})
+@register("whatif_store_investment", survey_id="O4", digits=PROJ_DIGITS)
 def whatif_store_investment(r: Retail):
     return _whatif_store(r)
 
@@ -121,21 +140,22 @@ def whatif_store_investment(r: Retail):
 def whatif_batch(r: Retail):
     cols = ["scenario_id", "scenario_type", "revenue_delta", "profit_delta", "implementation_cost"]
     price = _whatif_price(r).withColumn("implementation_cost", F.lit(0.0)).select(*cols)
-    ret = _whatif_retention(r).withColumn("revenue_delta", F.lit(0.0)).select(*cols)
+    ret = _whatif_retention(r).select(*cols)
     store = _whatif_store(r).select(*cols)
     allr = price.unionByName(ret).unionByName(store).withColumn("timeline_months", F.lit(6))
     return W.financial_impact(allr)
 
 
 def _params(spark) -> DataFrame:
-    return spark.createDataFrame(REC_PARAMS, "rec_id string, impact_score double, confidence double, "
-                                             "effort_weeks int, implementation_cost double, timeline_months int, "
-                                             "priority string, timeline string")
+    return spark.createDataFrame(REC_PARAMS, "rec_id string, category string, impact_score double, "
+                                             "confidence double, effort_weeks int, implementation_cost double, "
+                                             "roi_fallback double, timeline_months int, priority string, "
+                                             "timeline string")
 
 
 def _recs(r: Retail):
     spark = r.transactions.sparkSession
-    return O.recommendations(r.transactions, r.customers, r.store_costs, E.category_elasticity(r.transactions),
+    return O.recommendations(r.transactions, r.customers, E.category_elasticity(r.transactions),
                              _params(spark), FOCUS_TIER)
 
 
@@ -154,7 +174,8 @@ def rice_rank(r: Retail):
 
 @register("filter_actions", survey_id="O13", digits=dict(REC_DIGITS, rice_score=STAT))
 def filter_actions(r: Retail):
-    return O.filter_actions(O.rice_rank(_recs(r)), priorities=["critical", "high"], timelines=["quick_win"])
+    return O.filter_actions(O.rice_rank(_recs(r)), priorities=["Critical", "High"],
+                            timelines=["0-30 days", "1-3 months"])
 
 
 @register("action_summary", survey_id="P11",
@@ -170,17 +191,19 @@ STORE_MARGIN = ("sm AS (SELECT store_id, sum(gross_revenue) AS revenue, sum(gros
                 "CASE WHEN sum(gross_revenue) <> 0 THEN sum(gross_profit) / sum(gross_revenue) END AS margin "
                 "FROM tx GROUP BY store_id)")
 
-STORE_INV_SQL = with_(TX, STORE_MARGIN) + f""", sc(scenario_id, n_stores, investment_per_store, revenue_uplift_pct)
-  AS (VALUES {", ".join(f"('{a}', {b}, CAST({c} AS DOUBLE), CAST({d} AS DOUBLE))" for a, b, c, d in STORE_SCENARIOS)}),
+STORE_INV_SQL = with_(TX, STORE_MARGIN, BASE_SQL) + f""", sc(scenario_id, n_stores, investment_per_store,
+  revenue_uplift_pct) AS (VALUES {", ".join(f"('{a}', {b}, CAST({c} AS DOUBLE), CAST({d} AS DOUBLE))"
+                                           for a, b, c, d in STORE_SCENARIOS)}),
 low AS (SELECT *, row_number() OVER (ORDER BY margin, store_id) AS worst_rank FROM sm
         WHERE margin <= (SELECT quantile_cont(margin, 0.2) FROM sm)),
-agg AS (SELECT scenario_id, count(*) AS stores_selected, sum(revenue * {AF}) AS rv, sum(profit * {AF}) AS pf
+agg AS (SELECT scenario_id, count(*) AS stores_selected, sum(revenue * {AF}) AS rv
         FROM low JOIN sc ON worst_rank <= n_stores GROUP BY scenario_id),
 x AS (SELECT sc.*, coalesce(stores_selected, 0) AS stores_selected, coalesce(rv, 0.0) * revenue_uplift_pct AS ur,
-        CASE WHEN rv > 0 THEN pf / rv ELSE 0.0 END AS m,
-        coalesce(stores_selected, 0) * investment_per_store AS cost FROM sc LEFT JOIN agg USING (scenario_id))
-SELECT scenario_id, 'store_investment' AS scenario_type, stores_selected, ur AS revenue_delta,
-  ur * m - cost / 3 AS profit_delta, cost AS implementation_cost FROM x"""
+        CASE WHEN brev > 0 THEN bprof / brev ELSE 0.0 END AS m, n_stores * investment_per_store AS cost, brev, bprof
+        FROM sc LEFT JOIN agg USING (scenario_id), b)
+SELECT scenario_id, 'store_investment' AS scenario_type, stores_selected,
+  {_proj_sql("ur", "ur * m - cost / 3", 0.65)}, cost AS implementation_cost, 0.65 AS confidence FROM x"""
+
 
 def _impact_sql(src: str) -> str:
     """O6 over ``src`` (profit_delta, implementation_cost, timeline_months)."""
@@ -195,42 +218,51 @@ def _impact_sql(src: str) -> str:
 
 
 def _params_values() -> str:
-    return ", ".join(f"('{a}', CAST({b} AS DOUBLE), CAST({c} AS DOUBLE), {d}, CAST({e} AS DOUBLE), {f}, '{g}', '{h}')"
-                     for a, b, c, d, e, f, g, h in REC_PARAMS)
+    return ", ".join(f"('{a}', '{b}', CAST({c} AS DOUBLE), CAST({d} AS DOUBLE), {e}, CAST({f} AS DOUBLE), "
+                     f"CAST({g} AS DOUBLE), {h}, '{i}', '{j}')" for a, b, c, d, e, f, g, h, i, j in REC_PARAMS)
+
+
+def _rec_retention_sql() -> str:
+    """REC-006 = O3 for the focus tier (reduction 0.30, cost 500k)."""
+    body = RETENTION_SQL.replace(f"(VALUES {_sql_values(RETENTION_SCENARIOS)})",
+                                 f"(VALUES ('REC-006', '{FOCUS_TIER}', CAST(0.3 AS DOUBLE), CAST(500000.0 AS DOUBLE)))")
+    return body
 
 
 RECS_CTE = f"""{STORE_MARGIN},
+bl AS (SELECT sum(gross_revenue) * {AF} AS brev, sum(gross_profit) * {AF} AS bprof FROM tx),
 inel AS (SELECT category, elasticity FROM el WHERE n >= 30 AND sdp >= 1e-6 AND abs(elasticity) < 1),
 cat AS (SELECT category, sum(gross_revenue) AS revenue, sum(gross_profit) AS profit FROM tx GROUP BY category),
-r1 AS (SELECT 'REC-001' AS rec_id, 'pricing' AS category,
+r1 AS (SELECT 'REC-001' AS rec_id,
   CAST(coalesce((SELECT count(DISTINCT customer_id) FROM tx WHERE category IN (SELECT category FROM inel)), 0) AS BIGINT)
     AS reach,
-  coalesce(sum(revenue * ((1 + 0.05) * (1 + elasticity * 0.05) - 1) * {AF}), 0.0) AS revenue_delta,
-  coalesce(sum(profit * ((1 + 0.05) * (1 + elasticity * 0.05) - 1) * {AF}), 0.0) AS profit_delta
+  coalesce(sum(revenue * {AF} * ((1 + 0.05) * (1 + elasticity * 0.05) - 1)), 0.0) AS revenue_delta,
+  coalesce(sum(profit * {AF} * ((1 + 0.05) * (1 + elasticity * 0.05) - 1)), 0.0) AS profit_delta
   FROM cat JOIN inel USING (category)),
-r2 AS (SELECT 'REC-002', 'pricing', CAST(count(DISTINCT customer_id) AS BIGINT), 0.0,
-  coalesce(sum(gross_revenue), 0.0) * 0.05 * {AF} FROM tx WHERE brand_type = 'private_label'),
-r3 AS (SELECT 'REC-003', 'pricing', CAST(count(DISTINCT customer_id) AS BIGINT),
-  coalesce(sum(gross_revenue / (1 - discount_pct) * least(discount_pct, 0.03)), 0.0) * {AF},
-  coalesce(sum(gross_revenue / (1 - discount_pct) * least(discount_pct, 0.03)), 0.0) * {AF}
-  FROM tx WHERE discount_pct > 0),
-pc AS (SELECT customer_id, max(date) AS l, sum(gross_profit) AS p FROM tx
-  WHERE customer_id IN (SELECT customer_id FROM customers WHERE tier = '{FOCUS_TIER}') GROUP BY customer_id),
-r6 AS (SELECT 'REC-006', 'retention', count(*), 0.0,
-  coalesce(sum(CASE WHEN l < (SELECT max(date) FROM tx) - INTERVAL 180 DAY THEN p END), 0.0) * {AF} * 0.25 FROM pc),
+m AS (SELECT avg(CASE WHEN brand_type = 'private_label' THEN
+               CASE WHEN gross_revenue <> 0 THEN gross_profit / gross_revenue END END) AS pl,
+             avg(CASE WHEN brand_type = 'national_brand' THEN
+               CASE WHEN gross_revenue <> 0 THEN gross_profit / gross_revenue END END) AS nb FROM tx),
+r2 AS (SELECT 'REC-002', CAST(floor(brev * 0.05 / 150.0) AS BIGINT), brev * 0.05 * 0.5, brev * 0.05 * (pl - nb)
+  FROM m, bl),
+r3 AS (SELECT 'REC-003', (SELECT count(DISTINCT customer_id) FROM tx), 0.0, brev * 0.03 FROM bl),
+ret AS (SELECT * FROM ({_rec_retention_sql()})),
+r6 AS (SELECT 'REC-006', CAST(floor(n_customers * 0.2) AS BIGINT), revenue_delta, profit_delta FROM ret),
 q AS (SELECT quantile_cont(margin, 0.25) AS a, quantile_cont(margin, 0.75) AS b, quantile_cont(margin, 0.05) AS c5
   FROM sm),
-r7 AS (SELECT 'REC-007', 'operations', count(*), 0.0, coalesce(sum(profit), 0.0) * 0.1 * {AF} FROM sm, q
-  WHERE margin >= a AND margin <= b),
-sc AS (SELECT store_id, sum(operating_cost) AS cost FROM tx GROUP BY store_id),
-r8 AS (SELECT 'REC-008', 'portfolio', count(*), -coalesce(sum(revenue), 0.0) * {AF},
-  (coalesce(sum(cost), 0.0) - coalesce(sum(profit), 0.0)) * {AF} FROM sm LEFT JOIN sc USING (store_id), q
-  WHERE margin <= c5),
+r7 AS (SELECT 'REC-007', count(*), coalesce(sum(revenue * {AF}), 0.0) * 0.1,
+  coalesce(sum(revenue * {AF}), 0.0) * 0.1 * (SELECT CASE WHEN brev <> 0 THEN bprof / brev END FROM bl)
+  FROM sm, q WHERE margin >= a AND margin <= b),
+r8 AS (SELECT 'REC-008', count(*), -coalesce(sum(revenue * {AF}), 0.0) * 0.5,
+  CAST(count(*) AS DOUBLE) * CAST(800000.0 AS DOUBLE) * CAST(0.3 AS DOUBLE)
+  FROM sm, q WHERE margin <= c5),
 recs AS (SELECT * FROM r1 UNION ALL SELECT * FROM r2 UNION ALL SELECT * FROM r3 UNION ALL SELECT * FROM r6
   UNION ALL SELECT * FROM r7 UNION ALL SELECT * FROM r8),
-params(rec_id, impact_score, confidence, effort_weeks, implementation_cost, timeline_months, priority, timeline)
-  AS (VALUES {_params_values()}),
-rj AS ({_impact_sql("(SELECT * FROM recs JOIN params USING (rec_id))")}),
+params(rec_id, category, impact_score, confidence, effort_weeks, implementation_cost, roi_fallback,
+  timeline_months, priority, timeline) AS (VALUES {_params_values()}),
+rj0 AS ({_impact_sql("(SELECT * FROM recs JOIN params USING (rec_id))")}),
+rj AS (SELECT * EXCLUDE (roi, roi_fallback), CASE WHEN profit_delta > 0 THEN
+  CASE WHEN implementation_cost <> 0 THEN profit_delta / implementation_cost END ELSE roi_fallback END AS roi FROM rj0),
 rr AS (SELECT *, reach / 1000.0 * impact_score * confidence / greatest(effort_weeks, 1) AS rice_score FROM rj),
 rk AS (SELECT *, row_number() OVER (ORDER BY rice_score DESC, rec_id) AS rice_rank FROM rr)"""
 
@@ -242,14 +274,14 @@ from .registry import REGISTRY  # noqa: E402
 REGISTRY["whatif_store_investment"].sql = STORE_INV_SQL
 REGISTRY["recommendations"].sql = REC_SQL_HEAD + "SELECT * EXCLUDE (rice_score) FROM rr"
 REGISTRY["rice_rank"].sql = REC_SQL_HEAD + "SELECT * FROM rk"
-REGISTRY["filter_actions"].sql = (REC_SQL_HEAD + "SELECT * FROM rk WHERE priority IN ('critical', 'high') "
-                                  "AND timeline IN ('quick_win')")
+REGISTRY["filter_actions"].sql = (REC_SQL_HEAD + "SELECT * FROM rk WHERE priority IN ('Critical', 'High') "
+                                  "AND timeline IN ('0-30 days', '1-3 months')")
 REGISTRY["action_summary"].sql = REC_SQL_HEAD + """, pr AS (SELECT *, row_number() OVER (ORDER BY profit_delta DESC, rec_id)
   AS profit_rank FROM rk)
 SELECT count(*) AS n_actions, sum(profit_delta) AS total_profit_delta, sum(revenue_delta) AS total_revenue_delta,
-  sum(implementation_cost) AS total_cost, count_if(priority = 'critical') AS n_critical,
-  count_if(timeline = 'quick_win') AS n_quick_win, count_if(timeline = 'medium_term') AS n_medium_term,
-  count_if(timeline = 'long_term') AS n_long_term,
+  sum(implementation_cost) AS total_cost, count_if(priority = 'Critical') AS n_critical,
+  count_if(timeline = '0-30 days') AS n_immediate, count_if(timeline = '1-3 months') AS n_short_term,
+  count_if(timeline = '3-6 months') AS n_medium_term, count_if(timeline = '6-12 months') AS n_long_term,
   list(rec_id ORDER BY rice_rank) FILTER (WHERE rice_rank <= 3) AS top_by_rice,
   list(rec_id ORDER BY profit_rank) FILTER (WHERE profit_rank <= 3) AS top_by_profit FROM pr"""
 
@@ -257,5 +289,5 @@ _PRICE_SQL = REGISTRY["whatif_price"].sql
 _RET_SQL = REGISTRY["whatif_retention"].sql
 REGISTRY["whatif_batch"].sql = _impact_sql(f"""(SELECT *, 6 AS timeline_months FROM (
   SELECT scenario_id, scenario_type, revenue_delta, profit_delta, 0.0 AS implementation_cost FROM ({_PRICE_SQL})
-  UNION ALL SELECT scenario_id, scenario_type, 0.0, profit_delta, implementation_cost FROM ({_RET_SQL})
+  UNION ALL SELECT scenario_id, scenario_type, revenue_delta, profit_delta, implementation_cost FROM ({_RET_SQL})
   UNION ALL SELECT scenario_id, scenario_type, revenue_delta, profit_delta, implementation_cost FROM ({STORE_INV_SQL})))""")
