@@ -8,6 +8,7 @@ from statistics import NormalDist
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.expr import size_label
 from ..operators import base
 from ..operators import inference as J
 from ..sources.retail import Retail
@@ -222,7 +223,7 @@ def run_hypotheses(r: Retail):
     h5 = D.with_corr_test(D.pearson(_row_margin(r), "discount_pct", "margin_pct")).select(
         F.lit("H5").alias("hypothesis_id"), F.lit("Pearson r").alias("test_name"),
         F.col("r").alias("statistic"), "p_value", F.col("abs_r").alias("effect_size"),
-        F.col("strength").alias("effect_label"), F.coalesce(F.col("significant"), F.lit(False)).alias("rejected"))
+        size_label("abs_r").alias("effect_label"), F.coalesce(F.col("significant"), F.lit(False)).alias("rejected"))
     return reduce(DataFrame.unionByName, [h1, h2, h3, h4, h5])
 
 
@@ -231,3 +232,25 @@ for _name, _fn, _alt in [("anova_oneway_test", lambda r: J.with_anova_test(anova
                          ("group_mean_welch_test", lambda r: J.with_welch_test(group_mean_welch(r)), None),
                          ("mann_whitney_u_test", lambda r: J.with_mwu_test(mann_whitney_u(r)), None)]:
     register(_name, survey_id="J1-J4 p-values", digits={"p_value": STAT})(_fn)
+
+
+@register("pearson_test", survey_id="J5",
+          digits={"r": STAT, "t_stat": STAT, "effect_size": STAT, "avg_discount_pct": STAT, "avg_margin_pct": STAT},
+          sql=with_(TX) + f"""SELECT r, n, r * sqrt((n - 2) / (1.0 - r * r)) AS t_stat, n - 2 AS df, abs(r) AS effect_size,
+  {EFFECT_CASE.format(x="r")} AS effect_label, avg_discount_pct, avg_margin_pct FROM (
+  SELECT covar_pop(margin_pct, discount_pct) / sqrt(var_pop(margin_pct) * var_pop(discount_pct)) AS r, count(*) AS n,
+    avg(discount_pct) * 100 AS avg_discount_pct, avg(margin_pct) AS avg_margin_pct
+  FROM (SELECT discount_pct, gross_profit / gross_revenue * 100 AS margin_pct FROM tx WHERE gross_revenue > 0))""")
+def pearson_test(r: Retail):
+    """Discount vs row margin over all rows with revenue > 0 (no
+    sampling): r, t, effect |r| with Cohen's-d cut-offs, mean discount % and
+    mean margin %.  The p-value is in ``run_hypotheses``."""
+    from ..functions.expr import div, safe_corr
+    from .q_describe import _row_margin
+    m = _row_margin(r)
+    a = m.agg(safe_corr("margin_pct", "discount_pct").alias("r"), F.count(F.lit(1)).alias("n"),
+              (F.avg("discount_pct") * 100).alias("avg_discount_pct"), F.avg("margin_pct").alias("avg_margin_pct"))
+    n = F.col("n")
+    return a.select("r", "n", (F.col("r") * F.sqrt(div(n - 2, F.lit(1.0) - F.col("r") * F.col("r")))).alias("t_stat"),
+                    (n - 2).alias("df"), F.abs("r").alias("effect_size"), size_label("r").alias("effect_label"),
+                    "avg_discount_pct", "avg_margin_pct")
