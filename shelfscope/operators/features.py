@@ -42,17 +42,22 @@ def customer_features(tx: DataFrame, customers: DataFrame, stores: DataFrame, ti
     rfm = segment.rfm_scores(segment.rfm_base(tx)).select(
         "customer_id", "recency_score", "frequency_score", "monetary_score")
     tier_code = F.create_map(*[x for i, lv in enumerate(tier_levels, 1) for x in (F.lit(lv), F.lit(i))])
-    c = (customers.select("customer_id", "tier", "customer_region")
-         .join(agg, "customer_id", "left").join(rfm, "customer_id", "left")
+    # one row per buying customer (as the source's RFM frame), customer
+    # attributes joined on
+    c = (agg.join(customers.select("customer_id", "tier", "customer_region"), "customer_id", "left")
+         .join(rfm, "customer_id", "left")
          .withColumn("recency_days", F.datediff(F.to_date(F.lit(ref)), F.to_date("last_purchase")))
-         .withColumn("avg_basket", div("total_spend", "n_txns"))
+         .withColumn("avg_basket", div("total_spend", F.greatest(F.col("n_txns"), F.lit(1))))
          .withColumn("months_as_customer", whole_months_between(F.lit(ref), "first_purchase"))
          .withColumn("tier_code", tier_code[F.col("tier")]))
     c = one_hot(c, "tier", tier_levels, "tier")
     c = one_hot(c, "customer_region", region_levels, "region")
-    fills = {"n_txns": 0, "total_spend": 0.0, "total_profit": 0.0, "n_products": 0, "avg_discount": 0.0,
-             "avg_basket": 0.0, "recency_score": 0, "frequency_score": 0, "monetary_score": 0}
-    return c.fillna(fills).drop("first_purchase")
+    c = c.drop("first_purchase")
+    # numeric gaps → 0, text gaps → "unknown" (as the source)
+    numeric = [f.name for f in c.schema.fields
+               if f.dataType.typeName() in ("integer", "long", "double") and f.name != "customer_id"]
+    text = [f.name for f in c.schema.fields if f.dataType.typeName() == "string"]
+    return c.fillna(0, subset=numeric).fillna("unknown", subset=text)
 
 
 def churn_label(features: DataFrame, days: int = 90) -> DataFrame:

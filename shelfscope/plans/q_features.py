@@ -30,20 +30,24 @@ CF_SQL = with_(TX, CUSTOMERS, STORES, RFM_SCORES_SQL) + f""", ag AS (SELECT cust
   mode() WITHIN GROUP (ORDER BY cluster) AS preferred_cluster
   FROM tx LEFT JOIN stores USING (store_id) GROUP BY customer_id),
 mx AS (SELECT max(date) AS ref FROM tx),
-c AS (SELECT customers.customer_id, tier, customer_region, last_purchase, first_purchase, n_txns, total_spend,
+c AS (SELECT ag.customer_id, tier, customer_region, last_purchase, first_purchase, n_txns, total_spend,
   total_profit, n_products, avg_discount, preferred_cluster, recency_score, frequency_score, monetary_score,
   CAST(datediff('day', CAST(last_purchase AS DATE), CAST(ref AS DATE)) AS INT) AS recency_days,
-  total_spend / n_txns AS avg_basket,
+  total_spend / greatest(n_txns, 1) AS avg_basket,
   greatest(0, (year(ref) - year(first_purchase)) * 12 + month(ref) - month(first_purchase)) AS months_as_customer,
   {_code_sql("tier", TIER_ORDER)} AS tier_code
-  FROM customers LEFT JOIN ag USING (customer_id) LEFT JOIN rs USING (customer_id), mx)
-SELECT customer_id, tier, customer_region, last_purchase,
-  coalesce(n_txns, 0) AS n_txns, coalesce(total_spend, 0.0) AS total_spend, coalesce(total_profit, 0.0) AS total_profit,
-  coalesce(n_products, 0) AS n_products, coalesce(avg_discount, 0.0) AS avg_discount, preferred_cluster,
+  FROM ag LEFT JOIN customers USING (customer_id) LEFT JOIN rs USING (customer_id), mx)
+SELECT customer_id, coalesce(tier, 'unknown') AS tier, coalesce(customer_region, 'unknown') AS customer_region,
+  last_purchase, coalesce(n_txns, 0) AS n_txns, coalesce(total_spend, 0.0) AS total_spend,
+  coalesce(total_profit, 0.0) AS total_profit, coalesce(n_products, 0) AS n_products,
+  coalesce(avg_discount, 0.0) AS avg_discount, coalesce(preferred_cluster, 'unknown') AS preferred_cluster,
   coalesce(recency_score, 0) AS recency_score, coalesce(frequency_score, 0) AS frequency_score,
-  coalesce(monetary_score, 0) AS monetary_score, recency_days, coalesce(avg_basket, 0.0) AS avg_basket,
-  CAST(months_as_customer AS INT) AS months_as_customer, tier_code,
-  {_dummies_sql("tier", TIER_ORDER, "tier")}, {_dummies_sql("customer_region", CLUSTERS, "region")}
+  coalesce(monetary_score, 0) AS monetary_score, coalesce(recency_days, 0) AS recency_days,
+  coalesce(avg_basket, 0.0) AS avg_basket, CAST(coalesce(months_as_customer, 0) AS INT) AS months_as_customer,
+  coalesce(tier_code, 0) AS tier_code,
+  {", ".join(f"coalesce(CAST(tier = '{lv}' AS INT), 0) AS tier_{lv.lower().replace(' ', '_')}" for lv in TIER_ORDER)},
+  {", ".join(f"coalesce(CAST(customer_region = '{lv}' AS INT), 0) AS region_{lv.lower().replace(' ', '_')}"
+             for lv in CLUSTERS)}
 FROM c"""
 
 CF_DIGITS = {"total_spend": MONEY, "total_profit": MONEY, "avg_discount": STAT, "avg_basket": UNIT}

@@ -20,7 +20,8 @@ from .sql import TX, with_
 
 
 @register("feature_store_manifest", survey_id="A5,A6,A8",
-          sql="SELECT 'customer_features' AS name, count(*) AS n_rows FROM customer "
+          sql="SELECT 'customer_features' AS name, count(DISTINCT o_custkey) AS n_rows FROM lineitem "
+              "JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey "
               "UNION ALL SELECT 'product_features', count(*) FROM part "
               "UNION ALL SELECT 'store_features', count(*) FROM supplier")
 def feature_store_manifest(r: Retail):
