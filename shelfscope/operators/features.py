@@ -41,7 +41,8 @@ def customer_features(tx: DataFrame, customers: DataFrame, stores: DataFrame, ti
     agg = agg.join(pref, "customer_id", "left")
     rfm = segment.rfm_scores(segment.rfm_base(tx)).select(
         "customer_id", "recency_score", "frequency_score", "monetary_score")
-    tier_code = F.create_map(*[x for i, lv in enumerate(tier_levels, 1) for x in (F.lit(lv), F.lit(i))])
+    # ordinal code of the tier, 0-based (0 also for unknown tiers, as the source)
+    tier_code = F.create_map(*[x for i, lv in enumerate(tier_levels) for x in (F.lit(lv), F.lit(i))])
     # one row per buying customer (as the source's RFM frame), customer
     # attributes joined on
     c = (agg.join(customers.select("customer_id", "tier", "customer_region"), "customer_id", "left")
@@ -100,14 +101,19 @@ def store_features(tx: DataFrame, stores: DataFrame, costs: DataFrame, cluster_l
         F.stddev_samp("rev").alias("revenue_volatility"), F.count(F.lit(1)).alias("active_months"),
         F.sum("prof").alias("_p"), F.sum("rev").alias("_r"))
     cost = costs.groupBy("store_id").agg(F.avg("total_operating_cost").alias("avg_monthly_cost"))
-    code = F.create_map(*[x for i, lv in enumerate(cluster_levels, 1) for x in (F.lit(lv), F.lit(i))])
-    s = (stores.select("store_id", "size", "cluster").join(m, "store_id", "left")
+    # 0-based cluster code, −1 when unknown (as the source)
+    code = F.create_map(*[x for i, lv in enumerate(cluster_levels) for x in (F.lit(lv), F.lit(i))])
+    # one row per store with transactions (the source's monthly frame), attributes joined on
+    s = (m.join(stores.select("store_id", "size", "cluster"), "store_id", "left")
          .join(store_revenue_slope(tx), "store_id", "left").join(cost, "store_id", "left")
          .withColumn("margin_ratio", F.col("_p") / clip_lower("_r", 1.0))
          .withColumn("cost_ratio", F.col("avg_monthly_cost") / clip_lower("avg_monthly_revenue", 1.0))
-         .withColumn("cluster_code", code[F.col("cluster")])
+         .withColumn("cluster_code", F.coalesce(code[F.col("cluster")], F.lit(-1)))
          .drop("_p", "_r"))
-    return one_hot(s, "cluster", cluster_levels, "cluster")
+    s = one_hot(s, "cluster", cluster_levels, "cluster")
+    numeric = [f.name for f in s.schema.fields
+               if f.dataType.typeName() in ("integer", "long", "double") and f.name != "store_id"]
+    return s.fillna(0, subset=numeric)
 
 
 def top_performer_label(features: DataFrame, col: str = "avg_monthly_profit", q: float = 0.8) -> DataFrame:

@@ -16,8 +16,9 @@ def _dummies_sql(col: str, levels, prefix: str) -> str:
     return ", ".join(f"CAST({col} = '{lv}' AS INT) AS {prefix}_{lv.lower().replace(' ', '_')}" for lv in levels)
 
 
-def _code_sql(col: str, levels) -> str:
-    return "CASE " + col + " " + " ".join(f"WHEN '{lv}' THEN {i}" for i, lv in enumerate(levels, 1)) + " END"
+def _code_sql(col: str, levels, unknown: int | None = None) -> str:
+    other = f" ELSE {unknown}" if unknown is not None else ""
+    return "CASE " + col + " " + " ".join(f"WHEN '{lv}' THEN {i}" for i, lv in enumerate(levels)) + other + " END"
 
 
 def _customer_features(r: Retail):
@@ -100,11 +101,13 @@ x AS (SELECT *, CAST(row_number() OVER (PARTITION BY store_id ORDER BY period) -
 sl AS (SELECT store_id, coalesce(regr_slope(rev, x), 0.0) AS revenue_slope FROM x GROUP BY store_id),
 co AS (SELECT store_id, avg(c) AS avg_monthly_cost FROM (SELECT store_id, period, sum(operating_cost) AS c FROM tx
   GROUP BY ALL) GROUP BY store_id)
-SELECT store_id, size, cluster, avg_monthly_revenue, avg_monthly_profit, revenue_volatility, active_months,
-  revenue_slope, avg_monthly_cost, p / greatest(r, 1) AS margin_ratio,
-  avg_monthly_cost / greatest(avg_monthly_revenue, 1) AS cost_ratio, {_code_sql("cluster", CLUSTERS)} AS cluster_code,
-  {_dummies_sql("cluster", CLUSTERS, "cluster")}
-FROM stores LEFT JOIN m USING (store_id) LEFT JOIN sl USING (store_id) LEFT JOIN co USING (store_id)"""
+SELECT store_id, coalesce(size, 0.0) AS size, cluster, avg_monthly_revenue, avg_monthly_profit,
+  coalesce(revenue_volatility, 0.0) AS revenue_volatility, active_months, coalesce(revenue_slope, 0.0) AS revenue_slope,
+  coalesce(avg_monthly_cost, 0.0) AS avg_monthly_cost, p / greatest(r, 1) AS margin_ratio,
+  coalesce(avg_monthly_cost / greatest(avg_monthly_revenue, 1), 0.0) AS cost_ratio,
+  {_code_sql("cluster", CLUSTERS, -1)} AS cluster_code,
+  {", ".join(f"coalesce(CAST(cluster = '{lv}' AS INT), 0) AS cluster_{lv.lower().replace(' ', '_')}" for lv in CLUSTERS)}
+FROM m LEFT JOIN stores USING (store_id) LEFT JOIN sl USING (store_id) LEFT JOIN co USING (store_id)"""
 
 
 def _store_features(r: Retail):
