@@ -135,21 +135,35 @@ def market_marketing_features(marketing: DataFrame, response: DataFrame, digital
             .drop("_d"))
 
 
+def dense_code(df: DataFrame, col: str, out: str) -> DataFrame:
+    """0-based code of ``col`` in the sorted list of its distinct
+    values (−1 for NULL).  The code table has one row per distinct value."""
+    codes = (df.select(col).where(F.col(col).isNotNull()).distinct()
+             .withColumn(out, (F.dense_rank().over(Window.orderBy(col)) - 1).cast("int")))
+    return df.join(codes, col, "left").withColumn(out, F.coalesce(F.col(out), F.lit(-1)))
+
+
 def product_features(tx: DataFrame, products: DataFrame, category_levels: list[str]) -> DataFrame:
     """Units, revenue, profit, rows, mean unit price, mean discount, price
-    std, margin %, share of its category's revenue, brand code and
-    category dummies (products without sales keep their attributes)."""
+    std, margin % (÷ max(revenue, 1)), % share of the category's revenue
+    (÷ max(category revenue, 1)), brand code and category dummies; one row
+    per product with sales, catalogue attributes joined on, numeric gaps 0."""
     p = tx.groupBy("product_id").agg(
         F.sum("quantity").alias("units"), F.sum("gross_revenue").alias("revenue"),
         F.sum("gross_profit").alias("profit"), F.count(F.lit(1)).alias("n_txns"),
         F.avg("unit_price").alias("avg_price"), F.avg("discount_pct").alias("avg_discount"),
         F.stddev_samp("unit_price").alias("price_std"))
-    base = products.select("product_id", "category", "brand_type").join(p, "product_id", "left")
+    b = p.join(products.select("product_id", "category", "subcategory", "brand_type", "unit_cost"),
+               "product_id", "left")
     # category totals as an aggregate + join (a window per category would put
     # every product of a category into one task)
-    cat = base.groupBy("category").agg(F.sum("revenue").alias("_cat_rev"))
-    out = (base.join(cat, "category", "left")
+    cat = b.groupBy("category").agg(F.sum("revenue").alias("_cat_rev"))
+    out = (b.join(cat, "category", "left")
            .withColumn("margin_pct", F.col("profit") / clip_lower("revenue", 1.0) * 100)
-           .withColumn("category_share", div("revenue", "_cat_rev")).drop("_cat_rev")
+           .withColumn("category_share_pct", F.col("revenue") / clip_lower("_cat_rev", 1.0) * 100).drop("_cat_rev")
            .withColumn("is_private_label", (F.col("brand_type") == "private_label").cast("int")))
-    return one_hot(out, "category", category_levels, "cat")
+    out = dense_code(out, "brand_type", "brand_type_code")
+    out = one_hot(out, "category", category_levels, "cat")
+    numeric = [f.name for f in out.schema.fields
+               if f.dataType.typeName() in ("integer", "long", "double") and f.name != "product_id"]
+    return out.fillna(0, subset=numeric)

@@ -140,15 +140,20 @@ def marketing_features(r: Retail):
 
 @register("product_features", survey_id="L8",
           digits={"units": UNIT, "revenue": MONEY, "profit": MONEY, "avg_price": UNIT, "avg_discount": STAT,
-                  "price_std": UNIT, "margin_pct": STAT, "category_share": STAT},
+                  "price_std": UNIT, "margin_pct": STAT, "category_share_pct": STAT, "unit_cost": UNIT},
           sql=with_(TX, PRODUCTS) + f""", p AS (SELECT product_id, sum(quantity) AS units, sum(gross_revenue) AS revenue,
   sum(gross_profit) AS profit, count(*) AS n_txns, avg(unit_price) AS avg_price, avg(discount_pct) AS avg_discount,
   stddev_samp(unit_price) AS price_std FROM tx GROUP BY product_id),
-b AS (SELECT products.product_id, category, brand_type, p.* EXCLUDE (product_id) FROM products
-  LEFT JOIN p USING (product_id))
-SELECT product_id, category, brand_type, units, revenue, profit, n_txns, avg_price, avg_discount, price_std,
-  profit / greatest(revenue, 1) * 100 AS margin_pct, revenue / sum(revenue) OVER (PARTITION BY category) AS category_share,
-  CAST(brand_type = 'private_label' AS INT) AS is_private_label, {_dummies_sql("category", PART_TYPES, "cat")}
-FROM b""")
+b AS (SELECT p.*, category, subcategory, brand_type, unit_cost FROM p LEFT JOIN products USING (product_id)),
+bc AS (SELECT brand_type, CAST(dense_rank() OVER (ORDER BY brand_type) - 1 AS INT) AS code
+       FROM (SELECT DISTINCT brand_type FROM b WHERE brand_type IS NOT NULL))
+SELECT b.product_id, category, subcategory, b.brand_type, units, revenue, profit, n_txns, avg_price, avg_discount,
+  coalesce(price_std, 0.0) AS price_std, coalesce(unit_cost, 0.0) AS unit_cost,
+  profit / greatest(revenue, 1) * 100 AS margin_pct,
+  revenue / greatest(sum(revenue) OVER (PARTITION BY category), 1) * 100 AS category_share_pct,
+  coalesce(CAST(b.brand_type = 'private_label' AS INT), 0) AS is_private_label,
+  coalesce(code, -1) AS brand_type_code,
+  {", ".join(f"coalesce(CAST(category = '{lv}' AS INT), 0) AS cat_{lv.lower().replace(' ', '_')}" for lv in PART_TYPES)}
+FROM b LEFT JOIN bc USING (brand_type)""")
 def product_features(r: Retail):
     return L.product_features(r.transactions, r.products, list(PART_TYPES))

@@ -22,8 +22,10 @@ from .sql import TX, with_
 @register("feature_store_manifest", survey_id="A5,A6,A8",
           sql="SELECT 'customer_features' AS name, count(DISTINCT o_custkey) AS n_rows FROM lineitem "
               "JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey "
-              "UNION ALL SELECT 'product_features', count(*) FROM part "
-              "UNION ALL SELECT 'store_features', count(*) FROM supplier")
+              "UNION ALL SELECT 'product_features', count(DISTINCT l_partkey) FROM lineitem "
+              "JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey "
+              "UNION ALL SELECT 'store_features', count(DISTINCT l_suppkey) FROM lineitem "
+              "JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey")
 def feature_store_manifest(r: Retail):
     """Writes the three feature tables to a feature store on shared storage
     and returns the manifest row counts read back from the written tables."""
