@@ -167,15 +167,19 @@ def quintile_scores(df: DataFrame, value: str, key: str, out: str, q: int = 5,
             .select(key, F.when(F.col("_strict"), qs).otherwise(F.col("_fb")).cast("int").alias(out)))
 
 
-def top_k_sum(df: DataFrame, value: str, frac: float, group: list[str] | None = None,
-              n_buckets: int | None = None) -> DataFrame:
-    """Σ of the k largest values with k = max(1, floor(n·frac)) (pandas
-    ``nlargest(k).sum()``): Σ of values above the k-th largest t plus the
-    tied copies of t needed to reach k.  Columns: group…, n, k, top_sum, total."""
+def top_k_sum(df: DataFrame, value: str, frac: float | None = None, group: list[str] | None = None,
+              n_buckets: int | None = None, k: int | None = None) -> DataFrame:
+    """Σ of the k largest values (pandas ``nlargest(k).sum()``) with
+    k = max(1, floor(n·frac)), or a fixed k (capped at n): Σ of values above
+    the k-th largest t plus the tied copies of t needed to reach k.
+    Columns: group…, n, k, top_sum, total."""
     group = list(group or [])
     p = value_prefix(df, value, group, n_buckets)
     n = F.col("n_total")
-    k = F.greatest(F.lit(1), F.floor(n * F.lit(float(frac)))).cast("long")
+    if k is not None:
+        k = F.least(F.lit(int(k)).cast("long"), n)
+    else:
+        k = F.greatest(F.lit(1), F.floor(n * F.lit(float(frac)))).cast("long")
     # rows with value strictly above v: n - cum_before - cnt
     above = n - F.col("cum_before") - F.col("cnt")
     sum_above = F.col("sum_total") - F.col("sum_before") - F.col("v") * F.col("cnt")

@@ -111,18 +111,18 @@ def tier_activity_shift(tx: DataFrame, customers: DataFrame, focus: str, split_m
                     (per_cust * F.col("n_churners")).alias("revenue_at_risk"))
 
 
-def store_performance(tx: DataFrame, top_frac: float = 0.10) -> DataFrame:
-    """Top-decile store revenue share, mean margin of the bottom
-    quartile (margin ≤ p25) and stores with margin ≤ 0."""
-    s = base.by_store(tx).withColumn("margin_pct", div("profit", "revenue") * 100)
-    top = ranks.top_k_sum(s, "revenue", top_frac).select(
-        (div("top_sum", "total") * 100).alias("top_store_share_pct"), F.col("n").alias("n_stores"))
-    p25 = ranks.quantiles(s, "margin_pct", [0.25], ["p25"]).scalar()
+def store_performance(tx: DataFrame, stores: DataFrame, top_n: int = 10) -> DataFrame:
+    """Revenue share of the top ``top_n`` stores, mean margin (%) of the
+    bottom-quartile stores (margin ≤ p25), stores at or below break-even and
+    the store count (margins as fractions, as the source)."""
+    s = base.by_store(tx).withColumn("margin", div("profit", "revenue"))
+    top = ranks.top_k_sum(s, "revenue", k=top_n).select(
+        div("top_sum", "total").alias("top_stores_revenue_share"))
+    p25 = ranks.quantiles(s, "margin", [0.25], ["p25"]).scalar()
     low = s.withColumn("_p25", p25).agg(
-        F.first("_p25").alias("margin_p25"),
-        F.avg(F.when(F.col("margin_pct") <= F.col("_p25"), F.col("margin_pct"))).alias("bottom_quartile_margin_pct"),
-        F.count_if(F.col("margin_pct") <= 0).alias("n_stores_non_positive_margin"))
-    return one_row_join(top, low)
+        (F.avg(F.when(F.col("margin") <= F.col("_p25"), F.col("margin"))) * 100).alias("bottom_quartile_avg_margin_pct"),
+        F.count_if(F.col("margin") <= 0).alias("stores_below_breakeven"))
+    return one_row_join(top, low).withColumn("total_stores", stores.agg(F.count(F.lit(1))).scalar())
 
 
 def category_performance(tx: DataFrame) -> DataFrame:

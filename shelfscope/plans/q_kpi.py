@@ -100,17 +100,17 @@ STORE_AGG = ("SELECT store_id, sum(gross_revenue) AS revenue, sum(gross_profit)
 
 
 @register("store_performance", survey_id="P4",
-          digits={"top_store_share_pct": STAT, "margin_p25": STAT, "bottom_quartile_margin_pct": STAT},
-          sql=with_(TX) + f""", s AS ({STORE_AGG}),
+          digits={"top_stores_revenue_share": STAT, "bottom_quartile_avg_margin_pct": STAT},
+          sql=with_(TX) + """, s AS (SELECT store_id, sum(gross_revenue) AS revenue,
+  CASE WHEN sum(gross_revenue) <> 0 THEN sum(gross_profit) / sum(gross_revenue) END AS margin FROM tx GROUP BY store_id),
 o AS (SELECT revenue, row_number() OVER (ORDER BY revenue DESC) AS rn FROM s),
-q AS (SELECT quantile_cont(margin_pct, 0.25) AS p25 FROM s)
-SELECT (SELECT sum(revenue) FROM o WHERE rn <= greatest(1, floor((SELECT count(*) FROM s) * 0.1)))
-         / (SELECT sum(revenue) FROM s) * 100 AS top_store_share_pct,
-       (SELECT count(*) FROM s) AS n_stores, p25 AS margin_p25,
-       (SELECT avg(margin_pct) FROM s WHERE margin_pct <= p25) AS bottom_quartile_margin_pct,
-       (SELECT count_if(margin_pct <= 0) FROM s) AS n_stores_non_positive_margin FROM q""")
+q AS (SELECT quantile_cont(margin, 0.25) AS p25 FROM s)
+SELECT (SELECT sum(revenue) FROM o WHERE rn <= 10) / (SELECT sum(revenue) FROM s) AS top_stores_revenue_share,
+       (SELECT avg(margin) FROM s WHERE margin <= p25) * 100 AS bottom_quartile_avg_margin_pct,
+       (SELECT count_if(margin <= 0) FROM s) AS stores_below_breakeven,
+       (SELECT count(*) FROM supplier) AS total_stores FROM q""")
 def store_performance(r: Retail):
-    return P.store_performance(r.transactions)
+    return P.store_performance(r.transactions, r.stores)
 
 
 @register("pricing_mix", survey_id="P6",
