@@ -163,17 +163,29 @@ def brand_margin(tx: DataFrame, brand: str = "brand_type") -> DataFrame:
 
 def discount_leaders(tx: DataFrame, k: int = 3) -> DataFrame:
     """The k categories with the highest mean discount (ties by name)."""
-    g = tx.groupBy("category").agg(F.avg("discount_pct").alias("avg_discount"))
-    return g.orderBy(F.col("avg_discount").desc(), "category").limit(k)
+    g = tx.groupBy("category").agg((F.avg("discount_pct") * 100).alias("avg_discount_pct"))
+    return g.orderBy(F.col("avg_discount_pct").desc(), "category").limit(k)
 
 
-def private_label_mix(tx: DataFrame, brand: str = "brand_type", pl: str = "private_label") -> DataFrame:
-    """Private-label vs other margin (ratio of sums) and revenue mix."""
+def private_label_mix(tx: DataFrame, elasticities: DataFrame | None = None, brand: str = "brand_type",
+                      pl: str = "private_label", nb: str = "national_brand", price_up: float = 0.05) -> DataFrame:
+    """Private-label vs national-brand margin (ratio of sums), premium
+    multiple, private-label revenue mix and the annual revenue opportunity of
+    a +5 % price on inelastic categories (|ε| < 1)."""
     a = tx.agg(
         F.sum(F.when(F.col(brand) == pl, F.col("gross_profit"))).alias("_pp"),
         F.sum(F.when(F.col(brand) == pl, F.col("gross_revenue"))).alias("_pr"),
-        F.sum(F.when(F.col(brand) != pl, F.col("gross_profit"))).alias("_np"),
-        F.sum(F.when(F.col(brand) != pl, F.col("gross_revenue"))).alias("_nr"))
-    return a.select((div("_pp", "_pr") * 100).alias("pl_margin_pct"),
-                    (div("_np", "_nr") * 100).alias("nb_margin_pct"),
-                    (div(F.col("_pr"), F.col("_pr") + F.col("_nr")) * 100).alias("pl_revenue_share_pct"))
+        F.sum(F.when(F.col(brand) == nb, F.col("gross_profit"))).alias("_np"),
+        F.sum(F.when(F.col(brand) == nb, F.col("gross_revenue"))).alias("_nr"))
+    plm = F.when(F.col("_pr") > 0, F.col("_pp") / F.col("_pr")).otherwise(0.0)
+    nbm = F.when(F.col("_nr") > 0, F.col("_np") / F.col("_nr")).otherwise(0.0)
+    out = a.select((plm * 100).alias("pl_margin_pct"), (nbm * 100).alias("nb_margin_pct"),
+                   F.when(nbm > 0, plm / nbm).alias("pl_margin_premium_mult"),
+                   (div(F.col("_pr"), F.col("_pr") + F.col("_nr")) * 100).alias("pl_revenue_share_pct"))
+    if elasticities is None:
+        return out
+    years = tx.agg(F.count_distinct("period") / 12).scalar()
+    inel = elasticities.where(F.abs("elasticity") < 1).select("category", "elasticity")
+    opp = (tx.groupBy("category").agg(F.sum("gross_revenue").alias("_r")).join(inel, "category")
+           .agg(F.sum(F.col("_r") / years * ((1 + price_up) * (1 + F.col("elasticity") * price_up) - 1))))
+    return out.withColumn("inelastic_revenue_opportunity", F.coalesce(opp.scalar(), F.lit(0.0)))

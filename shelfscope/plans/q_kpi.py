@@ -8,6 +8,7 @@ from ..operators import kpi as P
 from ..sources import tables as A
 from ..sources.retail import Retail
 from .registry import MONEY, STAT, UNIT, register
+from .q_mix import ELAST_SQL
 from .sql import CUSTOMERS, STORES, TX, with_
 
 CLUSTERS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
@@ -114,21 +115,29 @@ def store_performance(r: Retail):
 
 
 @register("pricing_mix", survey_id="P6",
-          digits={"pl_margin_pct": STAT, "nb_margin_pct": STAT, "pl_revenue_share_pct": STAT},
-          sql=with_(TX) + """, a AS (SELECT
+          digits={"pl_margin_pct": STAT, "nb_margin_pct": STAT, "pl_margin_premium_mult": STAT,
+                  "pl_revenue_share_pct": STAT, "inelastic_revenue_opportunity": MONEY},
+          sql=with_(TX, ELAST_SQL) + """, a AS (SELECT
   sum(CASE WHEN brand_type = 'private_label' THEN gross_profit END) AS pp,
   sum(CASE WHEN brand_type = 'private_label' THEN gross_revenue END) AS pr,
-  sum(CASE WHEN brand_type <> 'private_label' THEN gross_profit END) AS np,
-  sum(CASE WHEN brand_type <> 'private_label' THEN gross_revenue END) AS nr FROM tx)
-SELECT pp / pr * 100 AS pl_margin_pct, np / nr * 100 AS nb_margin_pct, pr / (pr + nr) * 100 AS pl_revenue_share_pct
-FROM a""")
+  sum(CASE WHEN brand_type = 'national_brand' THEN gross_profit END) AS np,
+  sum(CASE WHEN brand_type = 'national_brand' THEN gross_revenue END) AS nr FROM tx),
+b AS (SELECT *, CASE WHEN pr > 0 THEN pp / pr ELSE 0.0 END AS plm, CASE WHEN nr > 0 THEN np / nr ELSE 0.0 END AS nbm
+  FROM a),
+inel AS (SELECT category, elasticity FROM el WHERE n >= 30 AND sdp >= 1e-6 AND abs(elasticity) < 1),
+opp AS (SELECT sum(r / ((SELECT count(DISTINCT period) FROM tx) / 12) * ((1 + 0.05) * (1 + elasticity * 0.05) - 1))
+  AS o FROM (SELECT category, sum(gross_revenue) AS r FROM tx GROUP BY category) JOIN inel USING (category))
+SELECT plm * 100 AS pl_margin_pct, nbm * 100 AS nb_margin_pct, CASE WHEN nbm > 0 THEN plm / nbm END
+  AS pl_margin_premium_mult, pr / (pr + nr) * 100 AS pl_revenue_share_pct,
+  coalesce((SELECT o FROM opp), 0.0) AS inelastic_revenue_opportunity FROM b""")
 def pricing_mix(r: Retail):
-    return P.private_label_mix(r.transactions)
+    from ..operators import elasticity as E
+    return P.private_label_mix(r.transactions, E.category_elasticity(r.transactions))
 
 
-@register("discount_leaders", survey_id="P6", digits={"avg_discount": STAT},
-          sql=with_(TX) + "SELECT category, avg(discount_pct) AS avg_discount FROM tx GROUP BY category "
-          "ORDER BY avg_discount DESC, category LIMIT 3")
+@register("discount_leaders", survey_id="P6", digits={"avg_discount_pct": STAT},
+          sql=with_(TX) + "SELECT category, avg(discount_pct) * 100 AS avg_discount_pct FROM tx GROUP BY category "
+          "ORDER BY avg_discount_pct DESC, category LIMIT 3")
 def discount_leaders(r: Retail):
     return P.discount_leaders(r.transactions)
 
