@@ -142,23 +142,27 @@ def margin_matrix(tx: DataFrame, stores: DataFrame, rows: str = "category", cols
     return g.groupBy(rows).pivot(cols, values).agg(F.first("m"))
 
 
-def avg_basket(tx: DataFrame, order_key: str = "order_id") -> DataFrame:
-    """Mean revenue per order and annualised revenue / orders."""
-    per_order = tx.groupBy(order_key).agg(F.sum("gross_revenue").alias("_r"))
-    months = tx.agg(F.count_distinct("period")).scalar()
-    return per_order.agg(F.avg("_r").alias("avg_basket_value"), F.count(F.lit(1)).alias("n_orders"),
-                         F.sum("_r").alias("total_revenue")).select(
-        "avg_basket_value", "n_orders", (F.col("total_revenue") / (months / 12)).alias("annual_revenue"),
-        (F.col("n_orders") / (months / 12)).alias("annual_orders"))
-
-
-def brand_margin(tx: DataFrame, brand: str = "brand_type") -> DataFrame:
-    """P10: mean product margin by brand type and its ratio to the overall mean."""
+def avg_basket(tx: DataFrame) -> DataFrame:
+    """Key financial metrics of the report: totals, annualised revenue /
+    profit (÷ months/12), average margin, transaction rows and the average
+    basket = mean revenue per transaction row (a transaction is one line)."""
+    years = n_distinct(tx, "period") / 12
+    a = tx.agg(F.sum("gross_revenue").alias("total_revenue"), F.sum("gross_profit").alias("total_profit"),
+               F.count(F.lit(1)).alias("n_transactions"), F.avg("gross_revenue").alias("avg_basket_value"))
+    return a.select("total_revenue", "total_profit", (F.col("total_revenue") / years).alias("annual_revenue"),
+                    (F.col("total_profit") / years).alias("annual_profit"),
+                    (div("total_profit", "total_revenue") * 100).alias("avg_margin_pct"),
+                    "n_transactions", "avg_basket_value")
+
+
+def brand_margin(tx: DataFrame, brand: str = "brand_type", reference: str = "national_brand") -> DataFrame:
+    """P10: mean product margin by brand type and its ratio to the
+    ``reference`` brand's mean (private label ÷ national brand)."""
     pm = (tx.groupBy("product_id", brand).agg(F.sum("gross_profit").alias("p"), F.sum("gross_revenue").alias("r"))
           .withColumn("m", div("p", "r") * 100))
     g = pm.groupBy(brand).agg(F.avg("m").alias("mean_margin_pct"), F.count(F.lit(1)).alias("n_products"))
-    overall = pm.agg(F.avg("m")).scalar()
-    return g.withColumn("ratio_to_overall", div(F.col("mean_margin_pct"), overall))
+    ref = g.where(F.col(brand) == reference).agg(F.max("mean_margin_pct")).scalar()
+    return g.withColumn("ratio_to_national_brand", div(F.col("mean_margin_pct"), ref))
 
 
 def discount_leaders(tx: DataFrame, k: int = 3) -> DataFrame:

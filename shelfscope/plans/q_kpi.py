@@ -161,19 +161,22 @@ def category_format_margin(r: Retail):
 
 
 @register("avg_basket", survey_id="P9",
-          digits={"avg_basket_value": UNIT, "annual_revenue": MONEY, "annual_orders": STAT},
-          sql=with_(TX) + """, o AS (SELECT order_id, sum(gross_revenue) AS r FROM tx GROUP BY order_id),
-m AS (SELECT count(DISTINCT period) AS months FROM tx)
-SELECT avg(r) AS avg_basket_value, count(*) AS n_orders, sum(r) / (months / 12) AS annual_revenue,
-  count(*) / (months / 12) AS annual_orders FROM o, m GROUP BY months""")
+          digits={"total_revenue": MONEY, "total_profit": MONEY, "annual_revenue": MONEY, "annual_profit": MONEY,
+                  "avg_margin_pct": STAT, "avg_basket_value": UNIT},
+          sql=with_(TX) + """, m AS (SELECT count(DISTINCT period) / 12 AS years FROM tx)
+SELECT sum(gross_revenue) AS total_revenue, sum(gross_profit) AS total_profit,
+  sum(gross_revenue) / years AS annual_revenue, sum(gross_profit) / years AS annual_profit,
+  sum(gross_profit) / sum(gross_revenue) * 100 AS avg_margin_pct, count(*) AS n_transactions,
+  avg(gross_revenue) AS avg_basket_value FROM tx, m GROUP BY years""")
 def avg_basket(r: Retail):
     return P.avg_basket(r.transactions)
 
 
-@register("brand_catalog_margin", survey_id="P10", digits={"mean_margin_pct": STAT, "ratio_to_overall": STAT},
+@register("brand_catalog_margin", survey_id="P10", digits={"mean_margin_pct": STAT, "ratio_to_national_brand": STAT},
           sql=with_(TX) + """, pm AS (SELECT product_id, brand_type, sum(gross_profit) / sum(gross_revenue) * 100 AS m
-  FROM tx GROUP BY product_id, brand_type)
-SELECT brand_type, avg(m) AS mean_margin_pct, count(*) AS n_products,
-  avg(m) / (SELECT avg(m) FROM pm) AS ratio_to_overall FROM pm GROUP BY brand_type""")
+  FROM tx GROUP BY product_id, brand_type), g AS (SELECT brand_type, avg(m) AS mean_margin_pct, count(*) AS n_products
+  FROM pm GROUP BY brand_type)
+SELECT *, mean_margin_pct / (SELECT max(mean_margin_pct) FROM g WHERE brand_type = 'national_brand')
+  AS ratio_to_national_brand FROM g""")
 def brand_catalog_margin(r: Retail):
     return P.brand_margin(r.transactions)
