@@ -70,7 +70,7 @@ def churn_label(features: DataFrame, days: int = 90) -> DataFrame:
 def point_in_time_churn(tx: DataFrame, cutoff: str, horizon_days: int = 90) -> DataFrame:
     """L2 (leak-free form): features from purchases up to ``cutoff``; label 1
     when the customer buys nothing in the next ``horizon_days``."""
-    cut = F.to_timestamp(F.lit(cutoff))
+    cut = F.to_timestamp_ntz(F.lit(cutoff))
     hist = tx.where(F.col("date") <= cut)
     fut = tx.where((F.col("date") > cut) & (F.col("date") <= cut + F.expr(f"INTERVAL {horizon_days} DAYS")))
     f = hist.groupBy("customer_id").agg(
