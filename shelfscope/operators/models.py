@@ -262,3 +262,19 @@ def linear_attribution(model, df: DataFrame, numeric: list[str]) -> DataFrame:
                    for i, c in enumerate(numeric)])
     return out.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("mean_abs_shap"))
                                           for c in numeric])).alias("x")).select("x.*")
+
+
+def model_comparison(train: DataFrame, test: DataFrame, numeric: list[str], categorical: list[str],
+                     label_col: str, candidates: tuple[str, ...] = ("logistic", "random_forest")) -> DataFrame:
+    """M2/M4: fit each candidate on the training split, score the held-out
+    split, and flag the best candidate by test AUC (ties: first listed)."""
+    from functools import reduce
+    from pyspark.sql import Window
+    rows = []
+    for i, kind in enumerate(candidates):
+        model = fit_classifier(train, numeric, categorical, kind)
+        m = classification_metrics(churn_scores(model, test, categorical), label_col, "churn_probability")
+        rows.append(m.select(F.lit(kind).alias("model"), F.lit(i).alias("_order"), "*"))
+    allm = reduce(DataFrame.unionByName, rows)
+    best = F.row_number().over(Window.orderBy(F.col("auc_roc").desc_nulls_last(), "_order"))  # ≤ 3 rows
+    return allm.withColumn("is_best", best == 1).drop("_order")

@@ -188,3 +188,15 @@ def model_roundtrip(r: Retail):
     b = M.churn_scores(loaded, data, ["tier"]).select("customer_id", F.col("churn_probability").alias("p2"))
     return a.join(b, "customer_id").agg(F.count(F.lit(1)).alias("n_scored"),
                                         F.count_if(F.col("p1") == F.col("p2")).alias("n_identical"))
+
+
+@register("churn_model_comparison", survey_id="M2,M4",
+          digits={"auc_roc": STAT, "precision": STAT, "recall": STAT, "f1": STAT, "accuracy": STAT})
+def churn_model_comparison(r: Retail):
+    """Logistic vs random forest on a deterministic 80/20 hash split; the
+    best by test AUC is flagged.  (Boosted trees are available through
+    ``churn_classifiers("gbt")``; their 300 sequential rounds are left out
+    of the registered comparison.)"""
+    data = _churn_data(r)
+    train, test = M.hash_split(data, "customer_id")
+    return M.model_comparison(train, test, NUMERIC, ["tier"], "is_churned")

@@ -5,6 +5,7 @@ import datetime as dt
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from shelfscope.functions import ranks
 from shelfscope.operators import describe as D
@@ -199,3 +200,24 @@ def test_mmm_predict_metrics_match_numpy(spark):
     err = y - pred
     assert got["rmse"] == pytest.approx(np.sqrt(np.mean(err ** 2)))
     assert got["r_squared"] == pytest.approx(1 - np.sum(err ** 2) / np.sum((y - y.mean()) ** 2))
+
+
+def test_ab_inference_ci_and_power_by_hand(spark):
+    from statistics import NormalDist
+    from shelfscope.functions import pvalues as pv
+    a, b = [3.0, 4.0, 5.0, 6.0, 7.0, 8.0], [1.0, 2.0, 2.5, 3.0, 4.0]
+    df = spark.createDataFrame([("t", x) for x in a] + [("c", x) for x in b], "g string, v double")
+    w = J.welch(J.two_group_stats(df, "g", "v", "t", "c")).withColumn(
+        "power_effect", F.abs(F.col("mean1") - F.col("mean2")) / F.sqrt((F.col("var1") + F.col("var2")) / 2))
+    r = J.with_ab_inference(w).first()
+    va, vb = np.var(a, ddof=1), np.var(b, ddof=1)
+    se = np.sqrt(va / 6 + vb / 5)
+    dfw = (va / 6 + vb / 5) ** 2 / ((va / 6) ** 2 / 5 + (vb / 5) ** 2 / 4)
+    tc = pv.t_ppf(0.975, dfw)
+    diff = np.mean(a) - np.mean(b)
+    assert (r["ci_low"], r["ci_high"]) == pytest.approx((diff - tc * se, diff + tc * se))
+    d = abs(diff) / np.sqrt((va + vb) / 2)
+    nh = 2 / (1 / 6 + 1 / 5)
+    z = NormalDist().inv_cdf(0.975)
+    assert r["power"] == pytest.approx(1 - NormalDist().cdf(z - d * np.sqrt(nh / 2)))
+    assert r["p_value"] == pytest.approx(pv.t_two_sided(diff / se, dfw))
