@@ -142,54 +142,69 @@ def _is_numeric(dt) -> bool:
 
 
 def profile_columns(df: DataFrame, table: str, n_buckets: int | None = None) -> DataFrame:
-    """Per column dtype, nulls, distinct values, moments, exact
+    """G16 for one table (see ``profile_tables``)."""
+    return profile_tables({table: df}, n_buckets)
+
+
+def profile_tables(tables: dict[str, DataFrame], n_buckets: int | None = None) -> DataFrame:
+    """Per (table, column) dtype, nulls, distinct values, moments, exact
     quartiles and 1.5·IQR outliers.
 
-    The table is unpivoted once to (column_name, v); every statistic is a
-    grouped aggregate over that long frame, so the job count does not grow
-    with the number of columns."""
-    fields = [f for f in df.schema.fields if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
-    num = [f.name for f in fields if _is_numeric(f.dataType)]
-    dtypes = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    n_rows = df.agg(F.count(F.lit(1))).scalar()
-
-    nulls = df.agg(*[F.count_if(F.col(f.name).isNull()).alias(f.name) for f in df.schema.fields])
-    nulls_long = nulls.unpivot([], [f.name for f in df.schema.fields], "column_name", "null_count")
-
-    kinds = F.create_map(*[x for f in df.schema.fields for x in (F.lit(f.name), F.lit(dtypes[f.name]))])
-
-    str_long = (df.select(*[F.col(f.name).cast("string").alias(f.name) for f in fields])
-                .unpivot([], [f.name for f in fields], "column_name", "s")
-                .where(F.col("s").isNotNull()))
-    uniq = (str_long.groupBy("column_name", "s").agg(F.lit(1).alias("_one"))
-            .groupBy("column_name").agg(F.count(F.lit(1)).alias("unique_count")))
-
-    out = nulls_long.join(uniq, "column_name", "left")
-    if num:
-        long = (df.select(*[F.col(c).cast("double").alias(c) for c in num])
-                .unpivot([], num, "column_name", "v").where(F.col("v").isNotNull()))
-        mom = long.groupBy("column_name").agg(
+    Every table is unpivoted once to (table_name, column_name, value); the
+    long frames of all tables are unioned and every statistic is one grouped
+    aggregate over them, so the number of jobs does not grow with the number
+    of tables or columns."""
+    nulls_parts, str_parts, num_parts, meta = [], [], [], []
+    for table, df in tables.items():
+        fields = [f for f in df.schema.fields
+                  if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
+        num = [f.name for f in fields if _is_numeric(f.dataType)]
+        allc = [f.name for f in df.schema.fields]
+        meta += [(table, f.name, f.dataType.simpleString()) for f in df.schema.fields]
+        nulls_parts.append(
+            df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in allc])
+            .unpivot(["_rows"], allc, "column_name", "null_count")
+            .select(F.lit(table).alias("table_name"), "column_name", "null_count", F.col("_rows").alias("n_rows")))
+        if fields:
+            str_parts.append(df.select(*[F.col(f.name).cast("string").alias(f.name) for f in fields])
+                             .unpivot([], [f.name for f in fields], "column_name", "s")
+                             .select(F.lit(table).alias("table_name"), "column_name", "s"))
+        if num:
+            num_parts.append(df.select(*[F.col(c).cast("double").alias(c) for c in num])
+                             .unpivot([], num, "column_name", "v")
+                             .select(F.lit(table).alias("table_name"), "column_name", "v"))
+    keys = ["table_name", "column_name"]
+    out = reduce(DataFrame.unionByName, nulls_parts)
+    if str_parts:
+        uniq = (reduce(DataFrame.unionByName, str_parts).where(F.col("s").isNotNull())
+                .groupBy(*keys, "s").agg(F.lit(1).alias("_one"))
+                .groupBy(*keys).agg(F.count(F.lit(1)).alias("unique_count")))
+        out = out.join(uniq, keys, "left")
+    else:
+        out = out.withColumn("unique_count", F.lit(None).cast("long"))
+    if num_parts:
+        long = reduce(DataFrame.unionByName, num_parts).where(F.col("v").isNotNull())
+        mom = long.groupBy(*keys).agg(
             F.count("v").alias("_n"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
             F.min("v").alias("min"), F.max("v").alias("max"))
-        qs = quantiles(long, "v", [0.25, 0.5, 0.75], ["p25", "p50", "p75"],
-                       group=["column_name"], n_buckets=n_buckets)
-        fences = qs.select("column_name", "p25", "p50", "p75",
+        qs = quantiles(long, "v", [0.25, 0.5, 0.75], ["p25", "p50", "p75"], group=keys, n_buckets=n_buckets)
+        fences = qs.select(*keys, "p25", "p50", "p75",
                            (F.col("p25") - 1.5 * (F.col("p75") - F.col("p25"))).alias("_lo"),
                            (F.col("p75") + 1.5 * (F.col("p75") - F.col("p25"))).alias("_hi"))
-        # one row per numeric column: bounded by the schema width
-        outl = long.join(F.broadcast(fences.select("column_name", "_lo", "_hi")), "column_name").groupBy(
-            "column_name").agg(F.count_if((F.col("v") < F.col("_lo")) | (F.col("v") > F.col("_hi")))
-                               .alias("outlier_count"))
-        stats = mom.join(fences.drop("_lo", "_hi"), "column_name", "left").join(outl, "column_name", "left")
-        out = out.join(stats, "column_name", "left")
+        # one fence row per numeric column: bounded by the schema widths
+        outl = long.join(F.broadcast(fences.select(*keys, "_lo", "_hi")), keys).groupBy(*keys).agg(
+            F.count_if((F.col("v") < F.col("_lo")) | (F.col("v") > F.col("_hi"))).alias("outlier_count"))
+        stats = mom.join(fences.drop("_lo", "_hi"), keys, "left").join(outl, keys, "left")
+        out = out.join(stats, keys, "left")
     else:
-        for c in ["_n", "mean", "std", "min", "max", "p25", "p50", "p75"]:
-            out = out.withColumn(c, F.lit(None).cast("double" if c != "_n" else "long"))
-        out = out.withColumn("outlier_count", F.lit(None).cast("long"))
+        for c in ["mean", "std", "min", "max", "p25", "p50", "p75"]:
+            out = out.withColumn(c, F.lit(None).cast("double"))
+        out = out.withColumn("_n", F.lit(None).cast("long")).withColumn("outlier_count", F.lit(None).cast("long"))
+    spark = next(iter(tables.values())).sparkSession
+    dtypes = F.broadcast(spark.createDataFrame(meta, "table_name string, column_name string, dtype string"))
     n = F.col("n_rows")
-    return out.withColumn("n_rows", n_rows).select(
-        F.lit(table).alias("table_name"), "column_name",
-        kinds[F.col("column_name")].alias("dtype"), "n_rows",
+    return out.join(dtypes, keys, "left").select(
+        "table_name", "column_name", "dtype", "n_rows",
         F.col("null_count").cast("long").alias("null_count"),
         F.when(n > 0, F.col("null_count") / n * 100).otherwise(0.0).alias("null_pct"),
         F.coalesce(F.col("unique_count"), F.lit(0)).cast("long").alias("unique_count"),

@@ -300,7 +300,7 @@ PROFILE_DIGITS = {**{c: STAT for c in ("null_pct", "unique_pct", "outlier_pct")}
 @register("profile_columns", survey_id="G16", digits=PROFILE_DIGITS,
           sql="\nUNION ALL\n".join(_profile_sql_one(t) for t in PROFILE_TABLES))
 def profile_columns(r: Retail):
-    return reduce(DataFrame.unionByName, [Q.profile_columns(r.tables[t], t) for t in PROFILE_TABLES])
+    return Q.profile_tables({t: r.tables[t] for t in PROFILE_TABLES})
 
 
 def _table_profile_sql(t: str) -> str:
@@ -326,7 +326,7 @@ f AS (SELECT table_name, column_name, unnest([CASE WHEN null_pct > 5.0 THEN 'hig
 SELECT * FROM f WHERE flag IS NOT NULL
 UNION ALL SELECT table_name, CAST(NULL AS VARCHAR), 'high_duplicates' FROM tp WHERE duplicate_row_pct > 1.0""")
 def audit_flags(r: Retail):
-    prof = reduce(DataFrame.unionByName, [Q.profile_columns(r.tables[t], t) for t in PROFILE_TABLES])
+    prof = Q.profile_tables({t: r.tables[t] for t in PROFILE_TABLES})
     tp = reduce(DataFrame.unionByName, [Q.profile_table(r.tables[t], t) for t in PROFILE_TABLES])
     return Q.audit_flags(prof, tp)
 
