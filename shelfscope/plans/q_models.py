@@ -1,4 +1,4 @@
-"""Registered model queries (M1-M8, M12).  Metric queries with a
+"""Registered model queries (M1-M14).  Metric queries with a
 deterministic score have DuckDB oracles; trained-model outputs are rows-only."""
 
 from __future__ import annotations
