@@ -216,13 +216,26 @@ def profile_tables(tables: dict[str, DataFrame], n_buckets: int | None = None) -
 
 
 def profile_table(df: DataFrame, table: str) -> DataFrame:
-    """Rows, columns, duplicate rows (beyond the first copy) and %."""
-    g = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_c"))
-    a = g.agg(F.sum("_c").alias("n"), F.sum(F.col("_c") - 1).alias("d"))
+    """G17 for one table (see ``profile_table_many``)."""
+    return profile_table_many({table: df})
+
+
+def profile_table_many(tables: dict[str, DataFrame]) -> DataFrame:
+    """Rows, columns, duplicate rows (beyond the first copy) and % per
+    table.  Each row is encoded exactly as JSON of all its columns, keyed by
+    table, so all tables are de-duplicated by one grouped aggregate."""
+    enc = reduce(DataFrame.unionByName, [
+        df.select(F.lit(t).alias("table_name"), F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("_row"))
+        for t, df in tables.items()])
+    g = enc.groupBy("table_name", "_row").agg(F.count(F.lit(1)).alias("_c"))
+    a = g.groupBy("table_name").agg(F.sum("_c").alias("n"), F.sum(F.col("_c") - 1).alias("d"))
+    spark = next(iter(tables.values())).sparkSession
+    names = spark.createDataFrame([(t, len(df.columns)) for t, df in tables.items()],
+                                  "table_name string, column_count long")
+    x = names.join(a, "table_name", "left")  # one row per table either side
     n = F.coalesce(F.col("n"), F.lit(0))
     d = F.coalesce(F.col("d"), F.lit(0))
-    return a.select(F.lit(table).alias("table_name"), n.cast("long").alias("row_count"),
-                    F.lit(len(df.columns)).cast("long").alias("column_count"),
+    return x.select("table_name", n.cast("long").alias("row_count"), "column_count",
                     d.cast("long").alias("duplicate_row_count"),
                     F.when(n > 0, d / n * 100).otherwise(0.0).alias("duplicate_row_pct"))
 

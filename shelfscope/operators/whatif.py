@@ -71,18 +71,28 @@ PROJECTION_COLS = ["baseline_revenue", "baseline_profit", "projected_revenue", "
                    "revenue_delta", "profit_delta"]
 
 
-def whatif_store_investment(tx: DataFrame, scenarios: DataFrame, q: float = 0.2) -> DataFrame:
+def whatif_store_investment(tx: DataFrame, scenarios: DataFrame, q: float = 0.2,
+                            max_n: int | None = None) -> DataFrame:
     """Scenarios (scenario_id, n_stores, investment_per_store,
     revenue_uplift_pct).  Among stores with margin ≤ p20 take the n worst by
     margin (ties by store id); uplift = their annual revenue × pct, earning
     the portfolio margin; the investment (requested n × per-store) is
-    amortised over 3 years; profit floor 0.5 × baseline; confidence 0.65."""
+    amortised over 3 years; profit floor 0.5 × baseline; confidence 0.65.
+    With ``max_n`` (the largest n of the scenarios) the worst stores come
+    from a distributed top-k instead of a full ranking."""
     af = annual_factor(tx)
     s = base.by_store(tx).withColumn("margin", div("profit", "revenue"))
     p = ranks.quantiles(s, "margin", [q], ["p"]).scalar()
     low = s.where(F.col("margin") <= p)
-    fr = ranks.first_ranks(low, "margin", "store_id", out="worst_rank")
-    ranked = low.join(fr, "store_id")
+    if max_n is not None:
+        # the largest requested n is a parameter: the n worst stores are a
+        # top-k (per-partition top-k, then a k-row merge); rank the survivors
+        from pyspark.sql import Window
+        ranked = (low.orderBy("margin", "store_id").limit(int(max_n))
+                  .withColumn("worst_rank", F.row_number().over(Window.orderBy("margin", "store_id"))))
+    else:
+        fr = ranks.first_ranks(low, "margin", "store_id", out="worst_rank")
+        ranked = low.join(fr, "store_id")
     # scenario rows are parameters: a handful, broadcast
     j = ranked.join(F.broadcast(scenarios.select("scenario_id", "n_stores")), F.col("worst_rank") <= F.col("n_stores"))
     agg = j.groupBy("scenario_id").agg(F.count(F.lit(1)).alias("stores_selected"),

@@ -316,7 +316,7 @@ TABLE_PROFILE_SQL = "\nUNION ALL\n".join(_table_profile_sql(t) for t in PROFILE_
 
 @register("profile_table", survey_id="G17-G18", digits={"duplicate_row_pct": STAT}, sql=TABLE_PROFILE_SQL)
 def profile_table(r: Retail):
-    return reduce(DataFrame.unionByName, [Q.profile_table(r.tables[t], t) for t in PROFILE_TABLES])
+    return Q.profile_table_many({t: r.tables[t] for t in PROFILE_TABLES})
 
 
 @register("audit_flags", survey_id="G19", sql=f"""WITH p AS ({"UNION ALL ".join(
@@ -327,7 +327,7 @@ SELECT * FROM f WHERE flag IS NOT NULL
 UNION ALL SELECT table_name, CAST(NULL AS VARCHAR), 'high_duplicates' FROM tp WHERE duplicate_row_pct > 1.0""")
 def audit_flags(r: Retail):
     prof = Q.profile_tables({t: r.tables[t] for t in PROFILE_TABLES})
-    tp = reduce(DataFrame.unionByName, [Q.profile_table(r.tables[t], t) for t in PROFILE_TABLES])
+    tp = Q.profile_table_many({t: r.tables[t] for t in PROFILE_TABLES})
     return Q.audit_flags(prof, tp)
 
 

@@ -126,7 +126,7 @@ def _whatif_store(r: Retail):
     spark = r.transactions.sparkSession
     sc = spark.createDataFrame(STORE_SCENARIOS, "scenario_id string, n_stores int, investment_per_store double, "
                                                 "revenue_uplift_pct double")
-    return W.whatif_store_investment(r.transactions, sc)
+    return W.whatif_store_investment(r.transactions, sc, max_n=max(x[1] for x in STORE_SCENARIOS))
 
 
 @register("whatif_store_investment", survey_id="O4", digits=PROJ_DIGITS)
