@@ -64,3 +64,12 @@ def test_profile_and_duplicates(spark):
     assert prof["v"]["outlier_count"] == 1  # 100 lies beyond p75 + 1.5 IQR
     tp = Q.profile_table(df, "t").first()
     assert tp["duplicate_row_count"] == 1 and tp["row_count"] == 5
+
+
+def test_duplicate_rows_treat_nulls_and_arrays_by_value(spark):
+    a = spark.createDataFrame([(1, None, [1.0, 2.0]), (1, None, [1.0, 2.0]), (None, 1, [1.0, 2.0]),
+                               (1, None, [2.0, 1.0])], "x int, y int, v array<double>")
+    b = spark.createDataFrame([(1,), (1,), (1,)], "k int")
+    got = {r["table_name"]: r for r in Q.profile_table_many({"a": a, "b": b}).collect()}
+    assert got["a"]["duplicate_row_count"] == 1 and got["a"]["row_count"] == 4
+    assert got["b"]["duplicate_row_count"] == 2 and got["b"]["column_count"] == 1
