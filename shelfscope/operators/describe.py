@@ -191,3 +191,15 @@ def grouped_ols(df: DataFrame, group: str, x: str, y: str) -> DataFrame:
     return df.groupBy(group).agg(
         F.count(F.lit(1)).alias("n"), F.regr_slope(y, x).alias("slope"),
         F.regr_intercept(y, x).alias("intercept"), F.regr_r2(y, x).alias("r_squared"))
+
+
+def outlier_rows(df: DataFrame, key: str, value: str, fence: float = 3.0) -> DataFrame:
+    """H2 companion: the rows whose value lies beyond ``fence``·IQR of the
+    quartiles (side = high / low), with the fences."""
+    q = ranks.quantiles(df, value, [0.25, 0.75], ["p25", "p75"]).select(F.struct("*")).scalar()
+    x = df.withColumn("_q", q)
+    iqr = F.col("_q.p75") - F.col("_q.p25")
+    lo, hi = F.col("_q.p25") - fence * iqr, F.col("_q.p75") + fence * iqr
+    return (x.where((F.col(value) > hi) | (F.col(value) < lo))
+            .select(key, value, F.when(F.col(value) > hi, "high").otherwise("low").alias("side"),
+                    lo.alias("lower_fence"), hi.alias("upper_fence")))

@@ -311,3 +311,15 @@ def tier_spend_means(r: Retail):
     m = _tier_spend(r).groupBy("tier", "tier_code").agg(F.avg("spend").alias("mean_spend"))
     bottom = m.where(F.col("tier_code") == 1).agg(F.max("mean_spend")).scalar()
     return m.withColumn("ratio_to_bottom_tier", F.when(F.lit(bottom) > 0, div(F.col("mean_spend"), F.lit(bottom))))
+
+
+@register("store_revenue_outliers", survey_id="H2",
+          digits={"total_revenue": MONEY, "lower_fence": MONEY, "upper_fence": MONEY},
+          sql=with_(TX) + f""", s AS ({STORE_REV}),
+q AS (SELECT quantile_cont(total_revenue, 0.25) AS a, quantile_cont(total_revenue, 0.75) AS b FROM s)
+SELECT store_id, total_revenue, CASE WHEN total_revenue > b + 3.0 * (b - a) THEN 'high' ELSE 'low' END AS side,
+  a - 3.0 * (b - a) AS lower_fence, b + 3.0 * (b - a) AS upper_fence
+FROM s, q WHERE total_revenue > b + 3.0 * (b - a) OR total_revenue < a - 3.0 * (b - a)""")
+def store_revenue_outliers(r: Retail):
+    per_store = base.by_store(r.transactions).select("store_id", F.col("revenue").alias("total_revenue"))
+    return D.outlier_rows(per_store, "store_id", "total_revenue")

@@ -221,3 +221,13 @@ def test_ab_inference_ci_and_power_by_hand(spark):
     z = NormalDist().inv_cdf(0.975)
     assert r["power"] == pytest.approx(1 - NormalDist().cdf(z - d * np.sqrt(nh / 2)))
     assert r["p_value"] == pytest.approx(pv.t_two_sided(diff / se, dfw))
+
+
+def test_outlier_rows_beyond_three_iqr(spark):
+    vals = [10.0, 11, 12, 12, 13, 14, 15, 100.0, -80.0]
+    df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(vals)], "k long, v double")
+    out = {r["k"]: r["side"] for r in D.outlier_rows(df, "k", "v").collect()}
+    q1, q3 = np.quantile(vals, [0.25, 0.75])
+    exp = {i: ("high" if v > q3 + 3 * (q3 - q1) else "low") for i, v in enumerate(vals)
+           if v > q3 + 3 * (q3 - q1) or v < q1 - 3 * (q3 - q1)}
+    assert out == exp == {7: "high", 8: "low"}
