@@ -168,3 +168,17 @@ def margin_line_fit(series: DataFrame) -> DataFrame:
     return ix.select("period", "value",
                      (my + slope * (F.col("x") - mx)).alias("fitted"),
                      my.alias("mean_value"))
+
+
+def margin_drift_mean(pnl: DataFrame, n_months: int = 3) -> DataFrame:
+    """I11 (report variant): mean of the monthly margins over the first vs the
+    last ``n_months`` periods and the relative change in %.  The month-grained
+    P&L is bounded by the horizon, so the period ranks are series-sized."""
+    m = pnl.withColumn("_m", div("profit", "revenue") * 100)
+    tagged = (m.withColumn("_f", F.row_number().over(Window.orderBy("period")))
+              .withColumn("_l", F.row_number().over(Window.orderBy(F.col("period").desc()))))
+    a = tagged.agg(F.avg(F.when(F.col("_f") <= n_months, F.col("_m"))).alias("margin_start_pct"),
+                   F.avg(F.when(F.col("_l") <= n_months, F.col("_m"))).alias("margin_end_pct"))
+    return a.select(F.lit(n_months).alias("n_months"), "margin_start_pct", "margin_end_pct",
+                    (div(F.col("margin_end_pct") - F.col("margin_start_pct"), F.col("margin_start_pct")) * 100)
+                    .alias("margin_change_pct"))

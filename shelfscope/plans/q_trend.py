@@ -149,3 +149,15 @@ st AS (SELECT regr_slope(value, x) AS b, avg(x) AS mx, avg(value) AS my FROM ix)
 SELECT period, value, my + b * (x - mx) AS fitted, my AS mean_value FROM ix, st""")
 def margin_line_fit(r: Retail):
     return T.margin_line_fit(SERIES["margin"][0](r))
+
+
+@register("margin_drift_mean_3m", survey_id="I11",
+          digits={"margin_start_pct": STAT, "margin_end_pct": STAT, "margin_change_pct": STAT},
+          sql=with_(TX) + f""", p AS ({PNL_SQL}),
+t AS (SELECT *, profit / revenue * 100 AS m, row_number() OVER (ORDER BY period) AS f,
+      row_number() OVER (ORDER BY period DESC) AS l FROM p),
+a AS (SELECT avg(CASE WHEN f <= 3 THEN m END) AS s, avg(CASE WHEN l <= 3 THEN m END) AS e FROM t)
+SELECT 3 AS n_months, s AS margin_start_pct, e AS margin_end_pct,
+  CASE WHEN s <> 0 THEN (e - s) / s * 100 END AS margin_change_pct FROM a""")
+def margin_drift_mean_3m(r: Retail):
+    return T.margin_drift_mean(T.monthly_pnl(r.transactions), 3)
