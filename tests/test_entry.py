@@ -34,3 +34,11 @@ def test_query_matches_oracle(spark, name):
     ocols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(ocols)
     assert digest(df.columns, [tuple(r) for r in df.collect()])[0] == digest(ocols, res.fetchall())[0]
+
+
+def test_entry_schema_is_stable(spark):
+    import __spark_entry__ as e
+    a, b = e.entry(spark), e.entry(spark)
+    assert a.schema == b.schema
+    assert [f.name for f in a.schema.fields][:4] == ["metric", "n_periods", "slope", "intercept"]
+    assert len(b.collect()) == 1
