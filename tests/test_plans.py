@@ -33,3 +33,10 @@ def test_dimension_joins_happen_after_entity_aggregation(spark):
     # the customer join input is the per-customer aggregate, not raw rows
     join_at = text.index("Join")
     assert "Aggregate [customer_id" in text[join_at:]
+
+
+def test_time_filter_reaches_orders_scan_through_the_lazy_join(spark):
+    r = retail(spark, SF001, materialize=False)
+    plan = _plan(L.point_in_time_churn(r.transactions, "1998-01-01 00:00:00"))
+    orders_scan = [line for line in plan.split("\n") if "orders.parquet" in line]
+    assert orders_scan and "LessThanOrEqual(o_orderdate" in orders_scan[0], plan
