@@ -89,7 +89,7 @@ def customer_spend_dist(tx: DataFrame, top_frac: float = 0.20) -> DataFrame:
 def tier_revenue_share(tx: DataFrame, customers: DataFrame, tier: str = "tier") -> DataFrame:
     """H4 companion: % of revenue by customer tier."""
     spend = base.by_customer(tx).join(customers.select("customer_id", tier), "customer_id", "left")
-    t = spend.groupBy(tier).agg(F.sum("revenue").alias("revenue"))
+    t = spend.where(F.col(tier).isNotNull()).groupBy(tier).agg(F.sum("revenue").alias("revenue"))
     return t.withColumn("revenue_share_pct", div(F.col("revenue"), t.agg(F.sum("revenue")).scalar()) * 100)
 
 

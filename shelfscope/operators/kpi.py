@@ -127,7 +127,7 @@ def store_performance(tx: DataFrame, stores: DataFrame, top_n: int = 10) -> Data
 
 def category_performance(tx: DataFrame) -> DataFrame:
     """Revenue, profit, margin and revenue share per category."""
-    c = base.by_category(tx)
+    c = base.by_category(tx.where(F.col("category").isNotNull()))
     return (c.withColumn("margin_pct", div("profit", "revenue") * 100)
             .withColumn("revenue_share_pct", div(F.col("revenue"), c.agg(F.sum("revenue")).scalar()) * 100)
             .select("category", "revenue", "profit", "margin_pct", "revenue_share_pct"))

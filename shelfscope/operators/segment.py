@@ -104,8 +104,9 @@ def tier_revenue(tx: DataFrame, customers: DataFrame, tier: str = "tier") -> Dat
     # one row per customer before the join: a customer holding a third of
     # all rows is a single row here, so the join cannot be skewed
     j = base.by_customer(tx).join(customers.select("customer_id", tier), "customer_id", "left")
-    g = j.groupBy(tier).agg(F.sum("revenue").alias("revenue"), F.sum("profit").alias("profit"),
-                            F.count(F.lit(1)).alias("n_customers"))
+    # NULL tiers are dropped, as pandas groupby drops NaN keys
+    g = j.where(F.col(tier).isNotNull()).groupBy(tier).agg(
+        F.sum("revenue").alias("revenue"), F.sum("profit").alias("profit"), F.count(F.lit(1)).alias("n_customers"))
     return (g.withColumn("margin_pct", div("profit", "revenue") * 100)
             .withColumn("revenue_share_pct", div(F.col("revenue"), g.agg(F.sum("revenue")).scalar()) * 100))
 
@@ -113,7 +114,7 @@ def tier_revenue(tx: DataFrame, customers: DataFrame, tier: str = "tier") -> Dat
 def cluster_stats(tx: DataFrame, stores: DataFrame, cluster: str = "cluster") -> DataFrame:
     """K9: transactions, revenue, profit, margin, shares and store count by cluster."""
     j = base.by_store(tx).join(stores.select("store_id", cluster), "store_id", "left")
-    g = j.groupBy(cluster).agg(
+    g = j.where(F.col(cluster).isNotNull()).groupBy(cluster).agg(
         F.sum("n_txns").alias("n_txns"), F.sum("revenue").alias("revenue"),
         F.sum("profit").alias("profit"), F.count(F.lit(1)).alias("n_stores"))
     tot = g.agg(F.struct(F.sum("revenue").alias("r"), F.sum("profit").alias("p"))).scalar()

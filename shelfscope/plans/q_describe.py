@@ -101,7 +101,7 @@ def customer_spend_dist(r: Retail):
 @register("tier_revenue_share", survey_id="H4", digits={"revenue": MONEY, "revenue_share_pct": STAT},
           sql=with_(TX, CUSTOMERS) + f""", s AS (SELECT tier, sum(gross_revenue) AS revenue FROM
   ({CUST_SPEND.replace("sum(gross_revenue) AS total_spend", "sum(gross_revenue) AS gross_revenue")}) c
-  LEFT JOIN customers USING (customer_id) GROUP BY tier)
+  LEFT JOIN customers USING (customer_id) WHERE tier IS NOT NULL GROUP BY tier)
 SELECT tier, revenue, revenue / sum(revenue) OVER () * 100 AS revenue_share_pct FROM s""")
 def tier_revenue_share(r: Retail):
     return D.tier_revenue_share(r.transactions, r.customers)

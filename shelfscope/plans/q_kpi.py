@@ -146,7 +146,8 @@ def discount_leaders(r: Retail):
           digits={"revenue": MONEY, "profit": MONEY, "margin_pct": STAT, "revenue_share_pct": STAT},
           sql=with_(TX) + """SELECT category, sum(gross_revenue) AS revenue, sum(gross_profit) AS profit,
   sum(gross_profit) / sum(gross_revenue) * 100 AS margin_pct,
-  sum(gross_revenue) / sum(sum(gross_revenue)) OVER () * 100 AS revenue_share_pct FROM tx GROUP BY category""")
+  sum(gross_revenue) / sum(sum(gross_revenue)) OVER () * 100 AS revenue_share_pct FROM tx WHERE category IS NOT NULL
+  GROUP BY category""")
 def category_performance(r: Retail):
     return P.category_performance(r.transactions)
 
