@@ -30,3 +30,10 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .piece_bpe import digests, encode_decode
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return digests(encode_decode(docs, piece_model_file()))
+
+
+@query
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import digests, find_overlaps
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return digests(find_overlaps(docs, table(spark, sf_dir, "benchmark")))
