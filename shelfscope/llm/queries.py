@@ -37,3 +37,14 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .decontaminate import digests, find_overlaps
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return digests(find_overlaps(docs, table(spark, sf_dir, "benchmark")))
+
+
+def good_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "labels").where("quality = 1 and coalesce(toxic, 0) = 0").select("doc_id")
+
+
+@query
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .resample import resample
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return resample(docs, good_labels(spark, sf_dir)).select("doc_id", "log_weight", "key", "kept")
