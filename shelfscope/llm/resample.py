@@ -87,7 +87,8 @@ def features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fit(docs: DataFrame, good: DataFrame, text: str = "text", doc_id: str = "doc_id") -> np.ndarray:
-    """Log ratio (target to raw) of every bucket."""
+    """Log ratio (target to raw) of every bucket in whole steps of 1 / SCALE, so that a sum is the same
+    whichever rows share its batch."""
     spark = docs.sparkSession
     sample = good.select(F.col(doc_id).alias("_id")).where("_id is not null").distinct()
     sample = sample.orderBy(F.xxhash64("_id"), "_id").limit(MAX_TARGETS)
@@ -118,7 +119,7 @@ def fit(docs: DataFrame, good: DataFrame, text: str = "text", doc_id: str = "doc
             # the raw model is the prior of the target model: unseen buckets tend to the raw rate
             p = (target[part] + SMOOTHING * BUCKETS * q * 0.05 + SMOOTHING * 0.05) / (target[part].sum() + SMOOTHING * BUCKETS * 0.1)
             out[part] = np.log(p) - np.log(q)
-    return out
+    return np.rint(out * SCALE).astype(np.int64)
 
 
 def with_key(docs: DataFrame, ratio, seed: int, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -133,10 +134,10 @@ def with_key(docs: DataFrame, ratio, seed: int, text: str = "text", doc_id: str
             out = []
             for k in range(0, len(texts), 500):
                 flat, n = features(texts[k:k + 500])
-                total = np.concatenate([[0.0], np.cumsum(weights[flat])])
+                total = np.concatenate([[0], np.cumsum(weights[flat])])
                 end = np.cumsum(n)
                 got = total[end] - total[end - n]
-                out += [float(x) if m else None for x, m in zip(got, n)]
+                out += [float(x) / SCALE if m else None for x, m in zip(got, n)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.float64())], [*b.schema.names, "log_weight"])
 
     uniform = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(doc_id).cast("string")), 11) + F.lit(0.5)) * F.lit(2.0 ** -53)
