@@ -32,7 +32,7 @@ from .common import map_batches, materialise
 
 BUCKETS = 1 << 15          # for token n-grams, and as many again for shapes
 MAX_TARGETS = 20_000
-SMOOTHING = 1.0
+PRIOR = 40.0               # target counts that a bucket starts with, at the raw rate
 KEPT_TOKENS = 400_000
 SCALE = 1 << 20            # keys are compared in steps of 2^-20
 _TOKEN = re.compile(r"\w+|[^\w\s]+|\n")
@@ -115,10 +115,10 @@ def fit(docs: DataFrame, good: DataFrame, text: str = "text", doc_id: str = "doc
     out = np.zeros(2 * BUCKETS)
     for part in (slice(0, BUCKETS), slice(BUCKETS, 2 * BUCKETS)):
         if target[part].sum():
-            q = (raw[part] + SMOOTHING) / (raw[part].sum() + SMOOTHING * BUCKETS)
-            # the raw model is the prior of the target model: unseen buckets tend to the raw rate
-            p = (target[part] + SMOOTHING * BUCKETS * q * 0.05 + SMOOTHING * 0.05) / (target[part].sum() + SMOOTHING * BUCKETS * 0.1)
-            out[part] = np.log(p) - np.log(q)
+            q = raw[part] / raw[part].sum()
+            # the raw model is the prior of the target model: buckets with few expected target counts stay near it
+            p = q * (target[part] + PRIOR) / (target[part].sum() * q + PRIOR)
+            out[part] = np.log(np.where(q > 0, p / p.sum(), 1) / np.where(q > 0, q, 1))
     return np.rint(out * SCALE).astype(np.int64)
 
 
