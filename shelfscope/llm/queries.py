@@ -48,3 +48,14 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .resample import resample
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return resample(docs, good_labels(spark, sf_dir)).select("doc_id", "log_weight", "key", "kept")
+
+
+@query
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .line_chunks import dedup_lines
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return dedup_lines(docs).select(
+        "doc_id", "removed_lines", F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_chars_left"),
+        F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256"))
