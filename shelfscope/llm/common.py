@@ -3,16 +3,19 @@
 * ``shared_path`` / ``materialise``: lineage is cut by writing a table into the shared folder that the
   session names in ``spark.checkpoint.dir`` (every executor can reread it); nothing is kept on one machine.
 * ``words``: the word rule of the contracts on UTF-8 bytes.
-* ``map_batches``: Arrow-in / Arrow-out over whole partitions, one bounded batch at a time.
+* ``map_groups``: Arrow-in / Arrow-out over bounded groups.
 """
 
 from __future__ import annotations
 
 import uuid
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # Word characters in UTF-8: 0-9, a-z and every byte of a multi-byte character; the rest separates.
 _WORD_TABLE = bytes(b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
@@ -47,20 +50,52 @@ def words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "replace").lower().translate(_WORD_TABLE).split()
 
 
-def map_batches(df: DataFrame, fn, schema: str, rows_per_batch: int | None = None) -> DataFrame:
-    """``fn(pa.RecordBatch) -> dict[column, values] | pa.RecordBatch | None`` over every Arrow batch."""
-    ddl = schema
+def map_groups(df: DataFrame, keys: list[str], fn, schema: str) -> DataFrame:
+    """``fn(pa.RecordBatch of one group) -> {column: values} | None`` for every group of ``keys`` (bounded
+    groups only: one is held at a time).  Rows meet by a shuffle on the keys and are read in their order, so
+    many small groups cost no worker call each."""
+    out = to_arrow_schema(T.StructType.fromDDL(schema))
 
     def run(batches):
-        from pyspark.sql.pandas.types import to_arrow_schema
-        out = to_arrow_schema(T.StructType.fromDDL(ddl))
-        for batch in batches:
-            step = rows_per_batch or max(1, batch.num_rows)
-            for at in range(0, batch.num_rows, step):
-                got = fn(batch.slice(at, step))
-                if got is None:
+        kept: list[dict] = []
+        size = 0
+
+        def flush():
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate([g[f.name] for g in kept]), f.type) for f in out], schema=out)
+
+        def groups():
+            carry = None
+            for b in batches:
+                if not b.num_rows:
                     continue
-                yield got if isinstance(got, pa.RecordBatch) else pa.RecordBatch.from_arrays(
-                    [v if isinstance(v, (pa.Array, pa.ChunkedArray)) else pa.array(v, type=out.field(c).type)
-                     for c, v in ((f.name, got[f.name]) for f in out)], schema=out)
-    return df.mapInArrow(run, ddl)
+                if carry is not None:
+                    b = pa.Table.from_batches([carry, b]).combine_chunks().to_batches()[0]
+                edge = np.zeros(b.num_rows - 1, bool)
+                for k in keys:
+                    col = b.column(b.schema.names.index(k))
+                    edge |= ~np.asarray(pc.fill_null(pc.equal(col[1:], col[:-1]), False))
+                cuts = np.concatenate([[0], np.flatnonzero(edge) + 1]).tolist()
+                for s, e in zip(cuts, cuts[1:]):
+                    yield b.slice(s, e - s)
+                carry = b.slice(cuts[-1])
+            if carry is not None:
+                yield carry
+
+        for g in groups():
+            got = fn(g)
+            if got is not None:
+                kept.append(got)
+                size += len(next(iter(got.values())))
+                if size >= 20_000:
+                    yield flush()
+                    kept, size = [], 0
+        if kept:
+            yield flush()
+    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+
+
+def fixed(column: pa.Array, dtype) -> np.ndarray:
+    """A binary column of equally long values as the rows of a matrix."""
+    flat = b"".join(column.to_pylist())
+    return np.frombuffer(flat, dtype).reshape(len(column), -1) if flat else np.empty((len(column), 0), dtype)

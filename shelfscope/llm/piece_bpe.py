@@ -28,8 +28,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches
-
 BLANK = "▁"
 CACHE_ENTRIES = 400_000  # strings kept per task and generation
 CACHED_CHARS = 64        # longer stretches are encoded each time

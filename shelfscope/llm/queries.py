@@ -59,3 +59,9 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(docs).select(
         "doc_id", "removed_lines", F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_chars_left"),
         F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256"))
+
+
+@query
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .vector_join import near_vectors
+    return near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"), 0.98)
