@@ -65,3 +65,9 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .vector_join import near_vectors
     return near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"), 0.98)
+
+
+@query
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard_join import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
