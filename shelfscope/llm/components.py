@@ -93,8 +93,8 @@ class Forest:
 
 
 def linked_rows(rows: DataFrame, members: DataFrame, found: DataFrame, id_name: str, class_name: str) -> DataFrame:
-    """Link counts and classes of ``rows`` (id, rep).  ``members``: the distinct rows with a rep; ``found``: (a, links, b)
-    rows of blocks, a and b being reps.  A row links to the other members of its rep and to
+    """Link counts and classes of ``rows`` (id, rep and more).  ``members``: the distinct rows with a rep; ``found``:
+    (a, links, b) rows of blocks, a and b being reps.  A row links to the other members of its rep and to
     all members of the linked reps; its class is the smallest id of the reps' component."""
     component = connected_components(found.select("a", "b")).withColumnRenamed("node", "rep")
     links = found.groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
@@ -102,8 +102,9 @@ def linked_rows(rows: DataFrame, members: DataFrame, found: DataFrame, id_name:
     reps = reps.join(links, "rep", "left").join(component, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     least = reps.groupBy("component").agg(F.min("least").alias("class"))
     reps = reps.join(least, "component").select(
-        "rep", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).cast("long").alias("n_links"), "class")
-    out = rows.join(reps, "rep", "left")
+        "rep", "component", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).cast("long").alias("links"), "class")
     name = F.when(F.col("rep").isNull(), F.col("id")).otherwise(F.col("class"))
-    return out.select(F.col("id").alias(id_name), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-                      name.alias(class_name), F.coalesce(F.col("id") == name, name.isNull()).alias("kept"))
+    more = [c for c in rows.columns if c != "id"]
+    return rows.join(reps, "rep", "left").select(
+        F.col("id").alias(id_name), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), name.alias(class_name),
+        F.coalesce(F.col("id") == name, name.isNull()).alias("kept"), "component", *more)

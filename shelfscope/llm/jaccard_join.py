@@ -189,6 +189,10 @@ def _family(threshold: float):
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per document: doc_id, n_links, class_id (smallest doc_id of its class) and kept."""
+    return _classes(docs, threshold, text, doc_id).drop("component", "rep", "text_hash")
+
+
+def _classes(docs: DataFrame, threshold: float, text: str, doc_id: str) -> DataFrame:
     keyed = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("text_hash"))
     kind = docs.schema[doc_id].dataType.simpleString()
     signed = materialise(keyed.mapInArrow(
@@ -212,10 +216,16 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, text: str = "
     found = materialise(map_groups(families, ["family", "_i", "_j"], _family(threshold), "a long, links long, b long"), "jaccard-links")
     rows = keyed.select("id", "text_hash").join(members.withColumnRenamed("id", "m_id").withColumnRenamed("text_hash", "m_hash"),
                                                 F.col("text_hash").eqNullSafe(F.col("m_hash")) & F.col("id").eqNullSafe(F.col("m_id")), "left")
-    return linked_rows(rows.select("id", "rep"), members.select("id", "rep"), found, doc_id, "class_id")
+    return linked_rows(rows.select("id", "rep", "text_hash"), members.select("id", "rep"), found, doc_id, "class_id")
 
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """``docs`` with one document of each class: that of the smallest doc_id.  Equal ids: one row of each class."""
-    kept = near_duplicates(docs, threshold, text, doc_id).where("kept").select(F.col(doc_id).alias("_kept")).distinct()
-    return docs.join(kept, F.col(doc_id).eqNullSafe(F.col("_kept")), "left_semi").dropDuplicates([doc_id])
+    """``docs`` with one document of each class, that of the smallest doc_id (then text hash); texts without words stay.
+    The kept ones are named by two 64-bit hashes, of the text and of it with the id."""
+    rows = _classes(docs, threshold, text, doc_id).withColumnRenamed(doc_id, "id")
+    first = rows.where("rep is not null").groupBy("component").agg(
+        F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "text_hash")).alias("first"))
+    kept = first.select("first.id", "first.text_hash").union(rows.where("rep is null").select("id", "text_hash"))
+    kept = kept.select(F.col("text_hash").alias("_text"), F.xxhash64("text_hash", "id").alias("_row")).distinct()
+    keyed = docs.withColumn("_text", F.xxhash64(text)).withColumn("_row", F.xxhash64("_text", doc_id))
+    return keyed.join(kept, ["_text", "_row"], "left_semi").dropDuplicates(["_text", "_row"]).select(*docs.columns)

@@ -116,4 +116,4 @@ def near_vectors(vectors: DataFrame, threshold: float, vec_id: str = "vec_id", v
     cells = classes.mapInArrow(_cells(pivots, radius), f"rep long, part string, n long, vector {kind}, home int, cell int")
     pairs = block_pairs(materialise(cells, "vector-cells"), ["part", "cell"], "rep", BLOCK_ROWS)
     found = materialise(map_groups(pairs, ["part", "cell", "_i", "_j"], _join_block(threshold), "a long, links long, b long"), "vector-links")
-    return linked_rows(rows.select("id", "rep"), members, found, vec_id, "component_id")
+    return linked_rows(rows.select("id", "rep"), members, found, vec_id, "component_id").drop("component", "rep")
