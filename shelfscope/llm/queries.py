@@ -71,3 +71,11 @@ def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .jaccard_join import near_duplicates
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language import fit, held_out, predict
+    docs = table(spark, sf_dir, "documents")
+    model = fit(docs.select("doc_id", "text", "lang").where(~held_out()))
+    return predict(docs.select("doc_id", "text"), model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
