@@ -79,3 +79,9 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = fit(docs.select("doc_id", "text", "lang").where(~held_out()))
     return predict(docs.select("doc_id", "text"), model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .licenses import digests, scan
+    return digests(scan(table(spark, sf_dir, "documents").select("doc_id", "text")))
