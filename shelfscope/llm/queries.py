@@ -85,3 +85,9 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .licenses import digests, scan
     return digests(scan(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+@query
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .url_filter import judge
+    return judge(table(spark, sf_dir, "pages").select("page_id", "url")).drop("purity")
