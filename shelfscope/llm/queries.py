@@ -91,3 +91,10 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .url_filter import judge
     return judge(table(spark, sf_dir, "pages").select("page_id", "url")).drop("purity")
+
+
+@query
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc import archive
+    found = archive(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "time", "shard", "position")
