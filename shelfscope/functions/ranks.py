@@ -28,20 +28,36 @@ def _n_buckets(df: DataFrame, n: int | None) -> int:
     return max(DEFAULT_BUCKETS, parts)
 
 
+def _below(bounds: Column, value: str, n: int) -> Column:
+    """How many of the ``n`` ascending bounds lie below the value: first among every
+    step-th bound, then within one step (about 2·√n comparisons)."""
+    step = max(1, int(n ** 0.5))
+    coarse = F.size(F.filter(F.transform(F.sequence(F.lit(step), F.lit(max(step, n - n % step)), F.lit(step)),
+                                         lambda i: F.get(bounds, i - 1)), lambda x: x < F.col(value)))
+    fine = F.size(F.filter(F.slice(bounds, coarse * step + 1, step), lambda x: x < F.col(value)))
+    return coarse * step + fine
+
+
 def range_bucket(df: DataFrame, value: str, source: DataFrame, n_buckets: int,
                  out: str = "_bucket", group: list[str] | None = None) -> DataFrame:
     """Add a monotone bucket id (0..n-1) of ``value``: the number of
     approximate quantile bounds of ``source[value]`` below it.  With
-    ``group`` the bounds are computed per group (one small row per group)."""
+    ``group`` (a domain-bounded key such as a category, metric or column) the
+    bounds of all groups are one scalar map, so no row moves to its group."""
+    n = n_buckets - 1
     probs = F.array(*[F.lit(i / n_buckets) for i in range(1, n_buckets)])
     sketch = F.percentile_approx(value, probs, SKETCH_ACCURACY).alias("_bounds")
     if group:
-        bounds = source.groupBy(*group).agg(sketch)
-        with_b = df.join(bounds, list(group), "left")
+        key = F.struct(*[F.coalesce(F.col(g).cast("string"), F.lit("")).alias(g) for g in group],
+                       *[F.col(g).isNull().alias(f"{g}_null") for g in group])
+        bounds = source.groupBy(*group).agg(sketch).agg(
+            F.map_from_entries(F.collect_list(F.struct(key, F.col("_bounds")))))
+        with_b = df.withColumn("_all", bounds.scalar()).withColumn("_bounds", F.try_element_at("_all", key)).drop("_all")
     else:
         with_b = df.withColumn("_bounds", source.agg(sketch).scalar())
-    return (with_b.withColumn(out, F.size(F.filter(F.col("_bounds"), lambda x: x < F.col(value))))
-            .drop("_bounds"))
+    # the one-element array makes Catalyst look the bounds up once, not once per use
+    found = F.transform(F.array("_bounds"), lambda b: _below(b, value, n))
+    return with_b.withColumn(out, F.element_at(found, 1)).drop("_bounds")
 
 
 def value_prefix(df: DataFrame, value: str | Column, group: list[str] | None = None,

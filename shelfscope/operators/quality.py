@@ -76,46 +76,51 @@ def run_rules(tables: dict[str, DataFrame], rules: list[Rule]) -> DataFrame:
     for table, trs in by_table.items():
         df = tables[table]
         present = set(df.columns)
-        row_rules = [r for r in trs if r.kind in ROW_KINDS and set(r.cols) <= present]
-        for r in trs:
-            if r.kind == "required":
-                missing = len(set(r.cols) - present)
-                parts.append(df.agg(F.count(F.lit(1)).alias("n")).select(
-                    *_result(table, r.check, F.lit(len(r.cols)), F.lit(missing))))
-            elif r.kind in ROW_KINDS and not set(r.cols) <= present:
-                parts.append(df.agg(F.count(F.lit(1)).alias("n")).select(
-                    *_result(table, r.check, F.col("n"), F.lit(None).cast("long"))))
-        if row_rules:
-            agg = df.agg(F.count(F.lit(1)).alias("_n"),
-                         *[F.count_if(_bad_expr(r)).alias(f"_b{i}") for i, r in enumerate(row_rules)])
-            stacked = agg.select(F.explode(F.array(*[
-                F.struct(*_result(table, r.check, F.col("_n"), F.col(f"_b{i}")))
-                for i, r in enumerate(row_rules)])).alias("s")).select("s.*")
-            parts.append(stacked)
+        flat = [r for r in trs if r.kind in ROW_KINDS | {"required", "group_mean_order"}]
+        if flat:  # one scan answers all of them
+            aggs, rows = [F.count(F.lit(1)).alias("_n")], []
+            for i, r in enumerate(flat):
+                got, outs = _flat_aggregates(r, i, present)
+                aggs += got
+                rows.append(F.struct(*_result(table, r.check, *outs)))
+            parts.append(df.agg(*aggs).select(F.explode(F.array(*rows)).alias("s")).select("s.*"))
         for r in trs:
             if r.kind == "unique":
                 g = df.groupBy(*r.cols).agg(F.count(F.lit(1)).alias("_c"))
                 parts.append(g.agg(F.sum("_c").alias("n"), F.sum(F.col("_c") - 1).alias("b")).select(
                     *_result(table, r.check, F.coalesce(F.col("n"), F.lit(0)),
                              F.coalesce(F.col("b"), F.lit(0)))))
-            elif r.kind == "fk":
-                (parent, pcol) = r.args
-                child = df.select(F.col(r.cols[0]).alias("_fk"))
-                par = tables[parent].select(F.col(pcol).alias("_fk"))
-                orphans = child.join(par, "_fk", "left_anti").agg(F.count(F.lit(1))).scalar()
-                parts.append(df.agg(F.count(F.lit(1)).alias("n")).select(
-                    *_result(table, r.check, F.col("n"), orphans)))
-            elif r.kind == "group_mean_order":
-                (gcol, hi_val, lo_val) = r.args
-                v, g = F.col(r.cols[0]), F.col(gcol)
-                a = df.agg(F.avg(F.when(g == hi_val, v)).alias("hi"),
-                           F.avg(F.when(g == lo_val, v)).alias("lo"),
-                           F.count(F.lit(1)).alias("n"))
-                bad = F.when(F.col("hi") > F.col("lo"), 0).otherwise(1)
-                parts.append(a.select(*_result(table, r.check, F.col("n"), bad)))
+        fks = [r for r in trs if r.kind == "fk"]
+        if fks:  # one pass: a left join per parent, then one aggregate
+            child = df.select(*sorted({r.cols[0] for r in fks}))
+            for i, r in enumerate(fks):
+                parent, pcol = r.args
+                known = tables[parent].select(F.col(pcol).alias(f"_k{i}")).where(F.col(f"_k{i}").isNotNull()).distinct()
+                child = child.join(known, F.col(r.cols[0]) == F.col(f"_k{i}"), "left")
+            agg = child.agg(F.count(F.lit(1)).alias("_n"), *[F.count_if(F.col(f"_k{i}").isNull()).alias(f"_b{i}") for i in range(len(fks))])
+            parts.append(agg.select(F.explode(F.array(*[
+                F.struct(*_result(table, r.check, F.col("_n"), F.col(f"_b{i}"))) for i, r in enumerate(fks)])).alias("s")).select("s.*"))
     return reduce(DataFrame.unionByName, parts)
 
 
+def _flat_aggregates(r: Rule, i: int, present: set[str]) -> tuple[list[Column], tuple[Column, Column]]:
+    """Aggregates of a rule that one scan of its table answers, and its (n_checked, n_bad) over them."""
+    if r.kind == "required":
+        # a required column is there and holds a value somewhere (any row of a non-empty table)
+        there = [c for c in r.cols if c in present]
+        empty = [F.when((F.col(f"_r{i}_{c}") == 0) & (F.col("_n") > 0), 1).otherwise(0) for c in there]
+        return ([F.count(c).alias(f"_r{i}_{c}") for c in there],
+                (F.lit(len(r.cols)), sum(empty, F.lit(len(r.cols) - len(there)))))
+    if not set(r.cols) <= present:
+        return [], (F.col("_n"), F.lit(None).cast("long"))
+    if r.kind == "group_mean_order":
+        gcol, hi_val, lo_val = r.args
+        v, g = F.col(r.cols[0]), F.col(gcol)
+        return ([F.avg(F.when(g == hi_val, v)).alias(f"_hi{i}"), F.avg(F.when(g == lo_val, v)).alias(f"_lo{i}")],
+                (F.col("_n"), F.when(F.col(f"_hi{i}") > F.col(f"_lo{i}"), 0).otherwise(1)))
+    return [F.count_if(_bad_expr(r)).alias(f"_b{i}")], (F.col("_n"), F.col(f"_b{i}"))
+
+
 def validate_all(results: DataFrame) -> DataFrame:
     """Per table: checks run, failed, passed flag (all checks pass)."""
     return results.groupBy("table_name").agg(
@@ -124,6 +129,12 @@ def validate_all(results: DataFrame) -> DataFrame:
     ).withColumn("passed", F.col("n_failed") == 0)
 
 
+def offending_values(df: DataFrame, column: str, allowed: list) -> DataFrame:
+    """values outside the allowed set (NULL included), one row per value with its row count."""
+    c = F.col(column)
+    return df.where(c.isNull() | ~c.isin(allowed)).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+
+
 def expected_by_group(df: DataFrame, group: str, value: str, expected: DataFrame,
                       expected_col: str = "expected") -> DataFrame:
     """Rows whose value differs from the expected value of their group
@@ -156,8 +167,7 @@ def profile_tables(tables: dict[str, DataFrame], n_buckets: int | None = None) -
     of tables or columns."""
     nulls_parts, str_parts, num_parts, meta = [], [], [], []
     for table, df in tables.items():
-        fields = [f for f in df.schema.fields
-                  if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
+        fields = [f for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
         num = [f.name for f in fields if _is_numeric(f.dataType)]
         allc = [f.name for f in df.schema.fields]
         meta += [(table, f.name, f.dataType.simpleString()) for f in df.schema.fields]
@@ -166,7 +176,8 @@ def profile_tables(tables: dict[str, DataFrame], n_buckets: int | None = None) -
             .unpivot(["_rows"], allc, "column_name", "null_count")
             .select(F.lit(table).alias("table_name"), "column_name", "null_count", F.col("_rows").alias("n_rows")))
         if fields:
-            str_parts.append(df.select(*[F.col(f.name).cast("string").alias(f.name) for f in fields])
+            # 128-bit hashes stand for the values, so long texts and arrays do not travel
+            str_parts.append(df.select(*[F.unhex(F.md5(F.col(f.name).cast("string"))).alias(f.name) for f in fields])
                              .unpivot([], [f.name for f in fields], "column_name", "s")
                              .select(F.lit(table).alias("table_name"), "column_name", "s"))
         if num:
@@ -222,10 +233,10 @@ def profile_table(df: DataFrame, table: str) -> DataFrame:
 
 def profile_table_many(tables: dict[str, DataFrame]) -> DataFrame:
     """Rows, columns, duplicate rows (beyond the first copy) and % per
-    table.  Each row is encoded exactly as JSON of all its columns, keyed by
-    table, so all tables are de-duplicated by one grouped aggregate."""
+    table.  Each row is the 256-bit hash of its columns as JSON, keyed by
+    table, so all tables are de-duplicated by one grouped aggregate and no row travels."""
     enc = reduce(DataFrame.unionByName, [
-        df.select(F.lit(t).alias("table_name"), F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("_row"))
+        df.select(F.lit(t).alias("table_name"), F.unhex(F.sha2(F.to_json(F.struct(*[F.col(c) for c in df.columns])), 256)).alias("_row"))
         for t, df in tables.items()])
     g = enc.groupBy("table_name", "_row").agg(F.count(F.lit(1)).alias("_c"))
     a = g.groupBy("table_name").agg(F.sum("_c").alias("n"), F.sum(F.col("_c") - 1).alias("d"))

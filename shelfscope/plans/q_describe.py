@@ -270,10 +270,9 @@ def digital_spend_scatter(r: Retail):
     spend = (r.marketing.where(F.col("channel") == "click").groupBy("market")
              .agg(F.sum("spend").alias("click_spend")))
     rev = r.response.groupBy("market").agg(F.sum("revenue").alias("revenue"))
-    # nation ⋈ region: fixed 25-row reference table, safe to broadcast
     nat = (r.tables["nation"].join(r.tables["region"], F.col("n_regionkey") == F.col("r_regionkey"))
            .select(F.col("n_name").alias("market"), F.col("r_name").alias("region")))
-    return D.grouped_ols(spend.join(rev, "market").join(F.broadcast(nat), "market"), "region",
+    return D.grouped_ols(spend.join(rev, "market").join(nat, "market"), "region",
                          "click_spend", "revenue")
 
 

@@ -106,7 +106,7 @@ def _roi(r: Retail):
     resp = r.response.withColumn("revenue", F.round("revenue", 2))
     nat = (r.tables["nation"].join(r.tables["region"], F.col("n_regionkey") == F.col("r_regionkey"))
            .select(F.col("n_name").alias("market"), (F.col("r_name") == URBAN_REGION).alias("is_urban")))
-    j = resp.join(spend, ["market", "period"]).join(F.broadcast(nat), "market")  # nation: 25 rows
+    j = resp.join(spend, ["market", "period"]).join(nat, "market")
     return j.withColumn("roi", F.col("revenue") / F.greatest(F.col("spend"), F.lit(1.0)))
 
 

@@ -28,7 +28,7 @@ def scan_table(r: Retail):
               f"SELECT '{t}' AS table_name, count(*) AS n_rows, CAST({len(s.fields)} AS BIGINT) AS n_columns, "
               f"'{','.join(f.name for f in s.fields)}' AS column_names FROM {t}" for t, s in A.SCHEMAS.items()))
 def table_manifest(r: Retail):
-    return A.table_manifest(r.tables)
+    return A.table_manifest(r.tables.every())
 
 
 @register("kpi_summary", survey_id="P1", digits={"total_revenue": MONEY, "total_profit": MONEY, "margin_pct": STAT},

@@ -9,14 +9,14 @@ from pyspark.sql import functions as F
 
 from ..operators import features as L
 from ..operators import models as M
+from ..operators import quality as Q
 from ..sources import sinks as S
 from ..sources.retail import Retail
-from ..sources.tables import SCHEMAS
+from ..sources.tables import SCHEMAS, table_path
 from .q_describe import TIER_ORDER
 from .q_kpi import CLUSTERS
 from .q_quality import PART_TYPES, RULES
 from .registry import register
-from .sql import TX, with_
 
 
 @register("feature_store_manifest", survey_id="A5,A6,A8",
@@ -45,7 +45,7 @@ def lineage_record(r: Retail):
     """Lineage rows of every input table, appended as JSON to shared storage,
     then read back."""
     spark = r.transactions.sparkSession
-    rec = S.lineage_records(r.tables, {t: t for t in r.tables}, "0.1.0")
+    rec = S.lineage_records(r.tables.every(), {t: table_path(r.tables.sf_dir, t) for t in r.tables.names}, "0.1.0")
     path = S.write_json(rec, S.shared_root(spark, "lineage"))
     return spark.read.json(path).select("table_name", "n_rows", "n_columns")
 
@@ -54,21 +54,19 @@ ALLOWED = [x for x in RULES if x.kind == "allowed"]
 
 
 @register("dq_offending_values", survey_id="F4,G4",
-          sql=with_(TX) + "\nUNION ALL\n".join(
+          sql="\nUNION ALL\n".join(
               f"SELECT '{x.table}' AS table_name, '{x.check}' AS check_name, "
-              f"coalesce(list_sort(list(DISTINCT coalesce(CAST({x.cols[0]} AS VARCHAR), 'NULL')) FILTER (WHERE "
-              f"{x.cols[0]} IS NULL OR NOT ({x.cols[0]} IN ({', '.join(repr(v) for v in x.args)})))), []) "
-              f"AS offending_values FROM {x.table}" for x in ALLOWED))
+              f"CAST({x.cols[0]} AS VARCHAR) AS offending_value, count(*) AS n FROM {x.table} WHERE "
+              f"{x.cols[0]} IS NULL OR NOT ({x.cols[0]} IN ({', '.join(repr(v) for v in x.args[:-1])})) GROUP BY {x.cols[0]}"
+              for x in ALLOWED))
 def dq_offending_values(r: Retail):
-    """Observed − allowed values per allowed-set rule, sorted."""
+    """Observed − allowed values, one row per value with its count.  Each rule is checked against its domain without the
+    last value, so that the query shows values on clean tables too."""
     parts = []
     for x in ALLOWED:
-        df = r.tables.get(x.table)
         c = F.col(x.cols[0])
-        bad = df.where(c.isNull() | ~c.isin(list(x.args)))
-        parts.append(bad.agg(F.array_sort(F.collect_set(F.coalesce(c.cast("string"), F.lit("NULL"))))
-                             .alias("offending_values")).select(
-            F.lit(x.table).alias("table_name"), F.lit(x.check).alias("check_name"), "offending_values"))
+        parts.append(Q.offending_values(r.tables[x.table], x.cols[0], list(x.args[:-1])).select(
+            F.lit(x.table).alias("table_name"), F.lit(x.check).alias("check_name"), c.cast("string").alias("offending_value"), "n"))
     return reduce(DataFrame.unionByName, parts)
 
 

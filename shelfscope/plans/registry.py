@@ -62,9 +62,10 @@ def wrap_sql(sql: str, digits: dict[str, int]) -> str:
     return f"SELECT * REPLACE ({repl}) FROM ({sql}) AS q"
 
 
-def run_query(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+def run_query(name: str, spark: SparkSession, sf_dir: str, fact_path: str | None = None) -> DataFrame:
+    """The query's lazy plan; ``fact_path`` names transactions written by ``prepare_fact``."""
     q = REGISTRY[name]
-    return round_columns(q.build(retail(spark, sf_dir)), q.digits)
+    return round_columns(q.build(retail(spark, sf_dir, fact_path)), q.digits)
 
 
 def bigint_counts(sql: str) -> str:

@@ -9,6 +9,8 @@ TX = """tx AS (
          l_extendedprice * (1 - l_discount) AS gross_revenue,
          l_quantity * p_retailprice AS cogs,
          l_extendedprice * (1 - l_discount) - l_quantity * p_retailprice AS gross_profit,
+         CASE WHEN l_extendedprice * (1 - l_discount) <> 0 THEN
+           (l_extendedprice * (1 - l_discount) - l_quantity * p_retailprice) / (l_extendedprice * (1 - l_discount)) END AS margin,
          l_extendedprice * (1 - l_discount) / l_quantity AS unit_price,
          l_extendedprice * l_tax AS operating_cost,
          p_type AS category, p_brand AS subcategory,
@@ -45,10 +47,3 @@ resp AS (SELECT market, day AS period, sum(value) AS revenue
 
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
-
-
-def r(expr: str, digits: int) -> str:
-    """The same deterministic rounding as ``functions.expr.rnd``."""
-    from ..functions.expr import ROUND_OFFSET
-    s = 2 ** digits
-    return f"(floor(({expr}) * {s} + CAST('{ROUND_OFFSET!r}' AS DOUBLE)) / {s})"

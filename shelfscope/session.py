@@ -7,17 +7,16 @@ settings that are *unset* so they never override cluster configuration.
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
 
 def get_spark(app: str = "shelfscope", cpus: int | str | None = None,
               shuffle_partitions: int | None = None,
-              driver_memory: str = "16g") -> SparkSession:
+              driver_memory: str = "16g", checkpoint_dir: str | None = None) -> SparkSession:
     cpus = cpus or os.environ.get("BENCH_CPUS") or "*"
     parts = shuffle_partitions or (int(cpus) if str(cpus).isdigit() else os.cpu_count() or 8)
-    spark = (
+    builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
@@ -29,22 +28,17 @@ def get_spark(app: str = "shelfscope", cpus: int | str | None = None,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", driver_memory)
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .getOrCreate()
     )
+    if checkpoint_dir:
+        builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; create a scratch one only
-    when the session has none (local tests)."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="shelfscope-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+def checkpoint_base(spark: SparkSession) -> str:
+    """The shared folder that the session names; there is no local fallback."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        raise RuntimeError("spark.checkpoint.dir is not set: no shared folder to write to")
+    return base.rstrip("/")

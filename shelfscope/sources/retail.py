@@ -3,7 +3,7 @@
 The reference works on stores / customers / products / transactions /
 marketing tables.  On the TPC-H-like tables the roles map as:
 
-* transaction  = lineitem ⋈ orders ⋈ part (inner, FK-complete)
+* transaction  = lineitem, left-joined to orders and part (orphans stay, with NULL attributes)
 * date/period  = o_orderdate / first day of its month
 * revenue      = l_extendedprice * (1 - l_discount); cogs = l_quantity * p_retailprice
 * store        = supplier, cluster = region name, size attribute = s_acctbal
@@ -12,47 +12,95 @@ marketing tables.  On the TPC-H-like tables the roles map as:
                  private label = p_type 'PROMO'
 * marketing    = events: one row per (customer nation, day, channel=event_type)
                  with spend = Σ value over non-purchase events; the response
-                 is Σ value of purchase events.
+                 is Σ value of purchase events.  Unknown users are the NULL market.
 
-Every frame is a lazy plan.  Only nation and region (fixed 25 / 5 rows) are
-broadcast explicitly; joins of scale-dependent tables are left to the
-optimizer and AQE.
+Every frame is a lazy plan, built when it is first asked for; nothing is
+written here.  ``prepare_fact`` writes the joined transactions to a folder of
+the caller's choice, and ``retail(..., fact_path=...)`` reads them from there.
+NaN becomes NULL at ingest.  No join carries a hint: sizes decide.
 """
 
 from __future__ import annotations
 
-import hashlib
-import os
-import uuid
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .tables import load_all, table_path
+from .tables import TABLES, scan_table
 
 PRIVATE_LABEL_TYPE = "PROMO"
 PURCHASE_EVENT = "purchase"
 
 
-@dataclass
+def nan_to_null(df: DataFrame) -> DataFrame:
+    """NaN in floating columns becomes NULL, so one NaN cannot poison a sum."""
+    return df.select(*[
+        F.when(~F.isnan(f.name), F.col(f.name)).alias(f.name) if isinstance(f.dataType, (T.DoubleType, T.FloatType))
+        else F.col(f.name) for f in df.schema.fields])
+
+
+class Tables(dict):
+    """Table scans by name, made when first used."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, names=TABLES):
+        super().__init__()
+        self.spark, self.sf_dir, self.names = spark, sf_dir, tuple(names)
+
+    def __missing__(self, name: str) -> DataFrame:
+        if name not in self.names:
+            raise KeyError(name)
+        self[name] = nan_to_null(scan_table(self.spark, self.sf_dir, name))
+        return self[name]
+
+    def every(self) -> dict[str, DataFrame]:
+        return {n: self[n] for n in self.names}
+
+
 class Retail:
-    transactions: DataFrame
-    stores: DataFrame
-    customers: DataFrame
-    products: DataFrame
-    marketing: DataFrame
-    response: DataFrame
-    store_costs: DataFrame
-    tables: dict
+    """Role frames; each is planned on first use only."""
+
+    def __init__(self, tables: dict, fact: DataFrame | None = None):
+        self.tables = tables
+        self._fact = fact
+
+    @cached_property
+    def transactions(self) -> DataFrame:
+        return self._fact if self._fact is not None else transactions(self.tables)
+
+    @cached_property
+    def stores(self) -> DataFrame:
+        return stores(self.tables)
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        return customers(self.tables)
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return products(self.tables)
+
+    @cached_property
+    def marketing(self) -> DataFrame:
+        return marketing(self.tables)
+
+    @cached_property
+    def response(self) -> DataFrame:
+        return response(self.tables)
+
+    @cached_property
+    def store_costs(self) -> DataFrame:
+        return store_costs(self.transactions)
 
 
 def _geo(tables) -> DataFrame:
-    # nation and region have a fixed size (25 / 5 rows): safe to broadcast.
-    return F.broadcast(
-        tables["nation"].join(F.broadcast(tables["region"]),
-                              F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("n_nationkey", "n_name", "r_name"))
+    return tables["nation"].join(tables["region"], F.col("n_regionkey") == F.col("r_regionkey"), "left").select(
+        "n_nationkey", "n_name", "r_name")
+
+
+def _brand_type():
+    return F.when(F.col("p_type") == PRIVATE_LABEL_TYPE, "private_label").when(F.col("p_type").isNotNull(), "national_brand")
 
 
 def transactions(tables) -> DataFrame:
@@ -60,8 +108,8 @@ def transactions(tables) -> DataFrame:
     rev = F.col("l_extendedprice") * (1 - F.col("l_discount"))
     cogs = F.col("l_quantity") * F.col("p_retailprice")
     return (
-        li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(p, F.col("l_partkey") == F.col("p_partkey"))
+        li.join(o, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+        .join(p, F.col("l_partkey") == F.col("p_partkey"), "left")
         .select(
             F.col("l_orderkey").alias("order_id"),
             F.col("l_linenumber").alias("line_no"),
@@ -76,19 +124,19 @@ def transactions(tables) -> DataFrame:
             rev.alias("gross_revenue"),
             cogs.alias("cogs"),
             (rev - cogs).alias("gross_profit"),
-            (rev / F.col("l_quantity")).alias("unit_price"),
+            F.try_divide(rev - cogs, rev).alias("margin"),
+            F.try_divide(rev, F.col("l_quantity")).alias("unit_price"),
             (F.col("l_extendedprice") * F.col("l_tax")).alias("operating_cost"),
             F.col("p_type").alias("category"),
             F.col("p_brand").alias("subcategory"),
-            F.when(F.col("p_type") == PRIVATE_LABEL_TYPE, "private_label")
-            .otherwise("national_brand").alias("brand_type"),
+            _brand_type().alias("brand_type"),
         )
     )
 
 
 def stores(tables) -> DataFrame:
     s = tables["supplier"]
-    return s.join(_geo(tables), F.col("s_nationkey") == F.col("n_nationkey")).select(
+    return s.join(_geo(tables), F.col("s_nationkey") == F.col("n_nationkey"), "left").select(
         F.col("s_suppkey").alias("store_id"),
         F.col("s_name").alias("store_name"),
         F.col("n_name").alias("store_nation"),
@@ -99,7 +147,7 @@ def stores(tables) -> DataFrame:
 
 def customers(tables) -> DataFrame:
     c = tables["customer"]
-    return c.join(_geo(tables), F.col("c_nationkey") == F.col("n_nationkey")).select(
+    return c.join(_geo(tables), F.col("c_nationkey") == F.col("n_nationkey"), "left").select(
         F.col("c_custkey").alias("customer_id"),
         F.col("c_mktsegment").alias("tier"),
         F.col("n_name").alias("customer_nation"),
@@ -115,8 +163,7 @@ def products(tables) -> DataFrame:
         F.col("p_name").alias("product_name"),
         F.col("p_type").alias("category"),
         F.col("p_brand").alias("subcategory"),
-        F.when(F.col("p_type") == PRIVATE_LABEL_TYPE, "private_label")
-        .otherwise("national_brand").alias("brand_type"),
+        _brand_type().alias("brand_type"),
         F.col("p_retailprice").alias("unit_cost"),
         F.col("p_size").alias("size"),
     )
@@ -125,8 +172,8 @@ def products(tables) -> DataFrame:
 def _events_by_nation(tables) -> DataFrame:
     e, c = tables["events"], tables["customer"]
     return e.join(c.select("c_custkey", "c_nationkey"),
-                  F.col("user_id") == F.col("c_custkey")).join(
-        _geo(tables), F.col("c_nationkey") == F.col("n_nationkey"))
+                  F.col("user_id") == F.col("c_custkey"), "left").join(
+        _geo(tables), F.col("c_nationkey") == F.col("n_nationkey"), "left")
 
 
 def marketing(tables) -> DataFrame:
@@ -151,85 +198,14 @@ def store_costs(tx: DataFrame) -> DataFrame:
     return tx.groupBy("store_id", "period").agg(F.sum("operating_cost").alias("total_operating_cost"))
 
 
-_MATERIALIZED: dict[tuple[str, str], str] = {}
-SMALL_FACT_BYTES = 1 << 30
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Optimizer size estimate of a plan (None when unavailable)."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001
-        return None
-
-
-def _source_token(sf_dir: str) -> str:
-    parts = []
-    for name in ("lineitem", "orders", "part"):
-        path = table_path(sf_dir, name)
-        try:
-            st = os.stat(path)
-            parts.append(f"{path}:{st.st_size}:{st.st_mtime_ns}")
-        except OSError:
-            parts.append(path)
-    return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
-
-
-def _checkpoint_base(spark: SparkSession) -> str | None:
-    try:
-        base = spark.conf.get("spark.checkpoint.dir", None)
-    except Exception:  # noqa: BLE001
-        base = None
-    if not base:
-        try:
-            base = spark.sparkContext.getCheckpointDir()
-        except Exception:  # noqa: BLE001  (e.g. Spark Connect: no SparkContext)
-            base = None
-    return base
-
-
-def materialize_transactions(spark: SparkSession, tx: DataFrame, sf_dir: str) -> DataFrame | None:
-    """Write the denormalised transaction fact once per session as Parquet
-    under ``spark.checkpoint.dir`` (the cluster's shared folder) and read it
-    back: every later analysis scans only the columns it needs instead of
-    re-running lineitem ⋈ orders ⋈ part, and the table survives executor
-    loss (unlike a cache).  Returns None (caller keeps the lazy join) when no
-    checkpoint dir is configured or the write is not possible."""
-    base = _checkpoint_base(spark)
-    if not base:
-        return None
-    try:
-        app = spark.sparkContext.applicationId
-    except Exception:  # noqa: BLE001
-        app = spark.conf.get("spark.app.id", "session")
-    key = (app, os.path.abspath(sf_dir) if "://" not in sf_dir else sf_dir)
-    path = _MATERIALIZED.get(key)
-    try:
-        if path is None:
-            path = f"{base.rstrip('/')}/shelfscope-tx-{_source_token(sf_dir)}-{uuid.uuid4().hex[:8]}"
-            out = tx
-            est = estimated_bytes(tx)
-            if est is not None and est < SMALL_FACT_BYTES:
-                # small fact: the joins were broadcast, so the output keeps the
-                # scan's (possibly single) partitioning; spread it so later scans
-                # run in parallel.  Large facts come out of a shuffled join
-                # already spread and are written as they are (no extra shuffle).
-                out = tx.repartition(int(spark.conf.get("spark.sql.shuffle.partitions", "8")))
-            out.write.mode("overwrite").parquet(path)
-            _MATERIALIZED[key] = path
-        return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001
-        _MATERIALIZED.pop(key, None)
-        return None
-
-
-def retail(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Retail:
-    """Role-mapped frames for ``sf_dir``.  With ``materialize`` the joined
-    transaction fact is written once per session (see
-    ``materialize_transactions``); otherwise it stays a lazy join."""
-    t = load_all(spark, sf_dir)
-    tx = transactions(t)
-    if materialize:
-        tx = materialize_transactions(spark, tx, sf_dir) or tx
-    return Retail(tx, stores(t), customers(t), products(t), marketing(t), response(t),
-                  store_costs(tx), t)
+def prepare_fact(spark: SparkSession, sf_dir: str, path: str) -> str:
+    """Write the joined transactions as Parquet to ``path`` (shared storage): analyses
+    that read them with ``fact_path`` scan just their columns instead of joining again."""
+    transactions(Tables(spark, sf_dir)).write.parquet(path)
+    return path
+
+
+def retail(spark: SparkSession, sf_dir: str, fact_path: str | None = None) -> Retail:
+    """Role-mapped frames for ``sf_dir``; transactions come from ``fact_path`` when one was prepared."""
+    fact = None if fact_path is None else spark.read.parquet(fact_path)
+    return Retail(Tables(spark, sf_dir), fact)

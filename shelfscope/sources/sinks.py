@@ -10,16 +10,14 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_base
+
 
 def shared_root(spark: SparkSession, name: str) -> str:
     """A fresh folder under the session's ``spark.checkpoint.dir`` (the
     cluster's shared folder).  There is no local fallback: without a
     configured folder the sink refuses to write."""
-    from .retail import _checkpoint_base
-    base = _checkpoint_base(spark)
-    if not base:
-        raise RuntimeError("spark.checkpoint.dir is not set: no shared folder to write to")
-    return f"{base.rstrip('/')}/shelfscope-{name}-{uuid.uuid4().hex[:8]}"
+    return f"{checkpoint_base(spark)}/shelfscope-{name}-{uuid.uuid4().hex[:8]}"
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None, mode: str = "overwrite") -> str:

@@ -10,7 +10,7 @@ SF01 = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from shelfscope.session import get_spark
-    s = get_spark("tests", cpus="*", shuffle_partitions=8, driver_memory="8g")
-    yield s
+    yield get_spark("tests", cpus="*", shuffle_partitions=8, driver_memory="8g",
+                    checkpoint_dir=str(tmp_path_factory.mktemp("shared")))

@@ -3,7 +3,7 @@
 from conftest import SF001
 from shelfscope.operators import features as L
 from shelfscope.operators import kpi as P
-from shelfscope.sources.retail import retail
+from shelfscope.sources.retail import prepare_fact, retail
 
 
 def _plan(df) -> str:
@@ -11,7 +11,7 @@ def _plan(df) -> str:
 
 
 def test_lazy_fact_scan_reads_only_needed_columns(spark):
-    r = retail(spark, SF001, materialize=False)
+    r = retail(spark, SF001)
     plan = _plan(P.category_performance(r.transactions))
     li = [line for line in plan.split("\n") if "lineitem.parquet" in line]
     assert li, plan
@@ -20,8 +20,8 @@ def test_lazy_fact_scan_reads_only_needed_columns(spark):
     assert "l_returnflag" not in read and "l_shipdate" not in read and "l_tax" not in read
 
 
-def test_time_filter_is_pushed_to_the_materialised_fact(spark):
-    r = retail(spark, SF001)
+def test_time_filter_is_pushed_to_the_prepared_fact(spark, tmp_path):
+    r = retail(spark, SF001, prepare_fact(spark, SF001, f"file://{tmp_path}/fact"))
     plan = _plan(L.point_in_time_churn(r.transactions, "1998-01-01 00:00:00"))
     assert "PushedFilters: [IsNotNull(date), LessThanOrEqual(date" in plan or "LessThanOrEqual(date" in plan
 
@@ -36,7 +36,52 @@ def test_dimension_joins_happen_after_entity_aggregation(spark):
 
 
 def test_time_filter_reaches_orders_scan_through_the_lazy_join(spark):
-    r = retail(spark, SF001, materialize=False)
+    r = retail(spark, SF001)
     plan = _plan(L.point_in_time_churn(r.transactions, "1998-01-01 00:00:00"))
     orders_scan = [line for line in plan.split("\n") if "orders.parquet" in line]
     assert orders_scan and "LessThanOrEqual(o_orderdate" in orders_scan[0], plan
+
+
+def _copy(spark, tmp_path, **changed):
+    """A copy of the small tables with some of them replaced."""
+    from shelfscope.sources.tables import TABLES
+    for t in TABLES:
+        df = spark.read.parquet(f"{SF001}/{t}.parquet")
+        (changed[t](df) if t in changed else df).write.parquet(f"{tmp_path}/{t}.parquet")
+    return str(tmp_path)
+
+
+def test_orphans_stay_and_are_reported(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from shelfscope.plans.catalog import run_query
+    orphan = {
+        "lineitem": lambda d: d.unionByName(d.limit(50).withColumn("l_partkey", F.lit(99_999_999).cast("long"))),
+        "customer": lambda d: d.withColumn("c_nationkey", F.when(F.col("c_custkey") == 1, 99).otherwise(F.col("c_nationkey"))),
+        "events": lambda d: d.unionByName(d.limit(20).withColumn("user_id", F.lit(99_999_999).cast("long"))),
+    }
+    d = _copy(spark, tmp_path, **orphan)
+    n = spark.read.parquet(f"{SF001}/lineitem.parquet").count()
+    r = retail(spark, d)
+    assert r.transactions.count() == n + 50 and r.customers.count() == r.tables["customer"].count()
+    bad = {(x.table_name, x.check_name): x.n_bad for x in run_query("dq_referential", spark, d).collect()}
+    assert bad["transactions", "product_fk"] == 50 and bad["customer", "nation_fk"] >= 1 and bad["events", "user_fk"] >= 20
+    total = spark.read.parquet(f"{d}/events.parquet").where("event_type <> 'purchase'").agg(F.sum("value")).first()[0]
+    assert abs(r.marketing.agg(F.sum("spend")).first()[0] - total) < 1e-6 * abs(total)
+
+
+def test_building_a_query_writes_nothing(spark):
+    import os
+
+    from shelfscope.plans.catalog import run_query
+    shared = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
+    before = sorted(os.listdir(shared)) if os.path.isdir(shared) else []
+    run_query("segment_counts", spark, SF001).collect()
+    run_query("kpi_summary", spark, SF001).collect()
+    assert before == (sorted(os.listdir(shared)) if os.path.isdir(shared) else [])
+
+
+def test_nan_is_null(spark):
+    from shelfscope.sources.retail import nan_to_null
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (None,)], "x double")
+    assert [r.x for r in nan_to_null(df).collect()] == [1.0, None, None]
