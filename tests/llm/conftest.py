@@ -6,8 +6,7 @@ def spark(tmp_path_factory):
     from pyspark.sql import SparkSession
     s = (SparkSession.builder.master("local[4]").appName("llm-tests")
          .config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "4")
-         .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "6g").getOrCreate())
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+         .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "6g")
+         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared"))).getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     yield s
