@@ -198,11 +198,11 @@ def _classes(docs: DataFrame, threshold: float, text: str, doc_id: str) -> DataF
     signed = materialise(keyed.mapInArrow(
         _signatures, f"id {kind}, text_hash long, rep long, sketch binary, bands array<long>"), "jaccard-signatures")
     members = signed.select("id", "text_hash", "rep").distinct()
-    classes = signed.select("rep", "bands").dropDuplicates(["rep"])
+    classes = materialise(signed.select("rep", "sketch", "bands").dropDuplicates(["rep"]), "jaccard-classes")
     in_bands = classes.select("rep", F.posexplode("bands").alias("band", "band_key")).select("rep", F.xxhash64("band", "band_key").alias("key"))
     crowded = in_bands.groupBy("key").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("key")
     candidates = materialise(in_bands.join(crowded, "key"), "jaccard-candidates")
-    sketches = signed.select("rep", "sketch").join(candidates.select("rep").distinct(), "rep", "left_semi").dropDuplicates(["rep"])
+    sketches = classes.select("rep", "sketch")
     buckets = block_pairs(candidates.join(sketches, "rep"), ["key"], "rep", BLOCK_ROWS)
     alike = map_groups(buckets, ["key", "_i", "_j"], _bucket(threshold), "a long, b long")
     family = connected_components(alike).withColumnRenamed("node", "rep").withColumnRenamed("component", "family")
