@@ -71,22 +71,27 @@ def fit_sets(sets: list[np.ndarray], langs: list[str], landmarks: int = LANDMARK
     if not names:
         return Model([], np.zeros((BUCKETS, 0)))
     y = np.where(np.array(langs)[:, None] == np.array(names)[None, :], 1.0, -1.0)
-    b = np.zeros((len(sets), BUCKETS), np.float32)
-    for k, s in enumerate(sets):
-        b[k, s] = 1 / np.sqrt(len(s))
+    def rows(some: list[np.ndarray]) -> np.ndarray:
+        b = np.zeros((len(some), BUCKETS), np.float32)
+        for k, s in enumerate(some):
+            b[k, s] = 1 / np.sqrt(len(s))
+        return b
+
     per = max(1, landmarks // len(names))
     chosen = np.concatenate([np.flatnonzero(y[:, j] > 0)[:per] for j in range(len(names))])
-    z = b[chosen]
+    z = rows([sets[k] for k in chosen])
+    # kernel of all examples and the landmarks, a block of examples at a time
+    kernel = np.concatenate([rows(sets[at:at + 128]) @ z.T for at in range(0, len(sets), 128)]).astype(np.float64)
     values, vectors = np.linalg.eigh((z @ z.T).astype(np.float64))
     sound = values > 1e-6 * values.max()
     root = vectors[:, sound] / np.sqrt(values[sound])  # K(Z, Z)^-1/2 up to a rotation
-    phi = (b @ z.T).astype(np.float64) @ root
+    phi = kernel @ root
     # each language's examples weigh the same in its regression and in the rest
     share = 1 / (y > 0).sum(0)
     w = np.array([share[names.index(lang)] for lang in langs]) / len(names) * len(langs)
     gram = (phi * w[:, None]).T @ phi + ridge * len(langs) * np.eye(phi.shape[1])
     dual = root @ np.linalg.solve(gram, (phi * w[:, None]).T @ y)
-    return Model(names, z.T.astype(np.float64) @ dual)
+    return Model(names, z.T @ dual.astype(np.float32))
 
 
 def _sets(batches):
