@@ -33,7 +33,7 @@ HASHES, BAND = 96, 4
 STEP = 16
 TOLERANCE = 1e-4
 BLOCK_ROWS = 512
-KEPT_WORDS = 400_000
+KEPT_WORDS = 200_000
 _MULT = np.random.default_rng(20240607).integers(1, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _P = np.uint64(0x9E3779B97F4A7C15)
 

@@ -17,9 +17,7 @@ are passed through untouched and the new ones must not clash with them (``prefix
 
 from __future__ import annotations
 
-import itertools
 from array import array
-from collections.abc import Iterator
 from functools import lru_cache
 
 import ahocorasick
@@ -29,7 +27,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BLANK = "▁"
-CACHE_ENTRIES = 400_000  # strings kept per task and generation
+STRETCHES_KEPT = 200_000  # per task and generation; workers are reused, so all of a pipeline's dictionaries add up
+PARTS_KEPT = 100_000
+PAIRS_KEPT = 1_000_000
 CACHED_CHARS = 64        # longer stretches are encoded each time
 
 
@@ -82,7 +82,7 @@ class PieceModel:
         self.automaton.make_automaton()
         self.sizes = {i: len(p) for p, i in self.id_of.items()}
         # two characters that no piece holds side by side: no merge crosses the place between them
-        self.pairs = {p[k:k + 2] for p in self.id_of for k in range(len(p) - 1)}
+        self.pairs = {pair for p in self.id_of for pair in zip(p, p[1:])}
         most = self.longest_blank
         if any(self._leftmost(most + n) != [most, *self._leftmost(n)] for n in range(2 * most)):
             raise ValueError("runs of blanks of this model need a full merge replay")
@@ -118,7 +118,7 @@ class PieceModel:
         got = self.valid.get(key)
         if got is None:
             got = self._compatible(left, right)
-            if len(self.valid) < 4 * CACHE_ENTRIES:
+            if len(self.valid) < PAIRS_KEPT:
                 self.valid[key] = got
         return got
 
@@ -199,10 +199,10 @@ class PieceModel:
             return self.blanks(n)
         known = (BLANK if n else "") + word
         pairs, start, out = self.pairs, 0, []
-        for cut in range(1, len(known) + 1):
-            if cut == len(known) or known[cut - 1:cut + 1] not in pairs:
-                out += part_ids(known[start:cut])
-                start = cut
+        cuts = [k for k, pair in enumerate(zip(known, known[1:]), 1) if pair not in pairs]
+        for cut in [*cuts, len(known)]:
+            out += part_ids(known[start:cut])
+            start = cut
         if n and out[0] == self.id_of[BLANK]:  # the last blank did not merge with the word
             return self.blanks(n) + out[1:]
         return (self.blanks(n - 1) if n > 1 else []) + out
@@ -225,17 +225,17 @@ class PieceModel:
 
 
 class _Kept(dict):
-    """Results by string in two generations of ``CACHE_ENTRIES`` at most: what is still in use moves on."""
+    """Results by string in two generations of ``most`` each: what is still in use moves on."""
 
-    def __init__(self, make):
-        self.make, self.older = make, {}
+    def __init__(self, make, most: int):
+        self.make, self.older, self.most = make, {}, most
 
     def __missing__(self, key: str):
         got = self.older.get(key)
         if got is None:
             got = self.make(key)
         if len(key) <= CACHED_CHARS:
-            if len(self) >= CACHE_ENTRIES:
+            if len(self) >= self.most:
                 self.older = dict(self)
                 self.clear()
             self[key] = got
@@ -252,23 +252,29 @@ def _loaded(model_file: str) -> tuple[PieceModel, _Kept]:
 
     codecs.register_error("one-by-one", _one_by_one)
     model = PieceModel(model_file)
-    parts = _Kept(model.encode_part)
+    parts = _Kept(lambda part: tuple(model.encode_part(part)), PARTS_KEPT)
     # ids as the bytes of 32-bit integers: those of a text are joined at once
-    return model, _Kept(lambda stretch: array("i", model.encode_stretch(stretch, parts.__getitem__)).tobytes())
-
-
-def stretches(text: str) -> Iterator[str]:
-    """The text with the blank in front that the model adds, cut before each run of blanks."""
-    marked = (" " + text).replace(" ", BLANK)
-    parts = marked.split(BLANK)  # parts[0] is '' as the text begins with a blank
-    run = 0
-    for part in itertools.islice(parts, 1, None):
-        run += 1
+    return model, _Kept(lambda stretch: array("i", model.encode_stretch(BLANK + stretch, parts.__getitem__)).tobytes(), STRETCHES_KEPT)
+
+
+def stretches(text: str) -> list[str]:
+    """The text with the blank in front that the model adds, cut before each run of blanks; each stretch
+    without its first blank."""
+    if BLANK in text:
+        text = text.replace(BLANK, " ")
+    parts = text.split(" ")
+    if "" not in parts:
+        return parts  # no run of blanks anywhere
+    out, run = [], 0
+    for part in parts:
         if part:
-            yield BLANK * run + part
+            out.append(BLANK * run + part)
             run = 0
+        else:
+            run += 1
     if run:
-        yield BLANK * run
+        out.append(BLANK * (run - 1))
+    return out
 
 
 def encode_text(model_file: str, text: str | None) -> np.ndarray:
@@ -276,11 +282,7 @@ def encode_text(model_file: str, text: str | None) -> np.ndarray:
     if not text:
         return np.empty(0, np.int32)
     _, kept = _loaded(model_file)
-    if "  " not in text and BLANK not in text and text[0] != " " and text[-1] != " ":
-        parts = (BLANK + text.replace(" ", " " + BLANK)).split(" ")  # no run of blanks anywhere
-    else:
-        parts = stretches(text)
-    return np.frombuffer(b"".join(map(kept.__getitem__, parts)), np.int32)
+    return np.frombuffer(b"".join(map(kept.__getitem__, stretches(text))), np.int32)
 
 
 def decode_ids(model_file: str, ids) -> str:

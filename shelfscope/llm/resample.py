@@ -33,7 +33,7 @@ from .common import materialise
 BUCKETS = 1 << 15          # for token n-grams, and as many again for shapes
 MAX_TARGETS = 20_000
 PRIOR = 40.0               # target counts that a bucket starts with, at the raw rate
-KEPT_TOKENS = 400_000
+KEPT_TOKENS = 200_000
 SCALE = 1 << 20            # keys are compared in steps of 2^-20
 _TOKEN = re.compile(r"\w+|[^\w\s]+|\n")
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
