@@ -39,8 +39,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words that benchmark windows cover are cut out of the texts."""
-    found = decontaminate.find_overlaps(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark"))
-    return _recounted(decontaminate.remove_overlaps(found))
+    return _recounted(decontaminate.find_overlaps(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark"), cut=True))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

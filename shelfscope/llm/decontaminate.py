@@ -94,7 +94,7 @@ def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def _scan(docs: DataFrame, text: str, block, names: tuple[str, str, str]) -> DataFrame:
+def _scan(docs: DataFrame, text: str, block, names: tuple[str, str, str], cut: bool) -> DataFrame:
     n_words, spans, items = names
     old = spans in docs.columns
     keep = [c for c in docs.columns if c not in names]
@@ -128,9 +128,12 @@ def _scan(docs: DataFrame, text: str, block, names: tuple[str, str, str]) -> Dat
                 s.append((first, first + int(phrases.lengths[phrase]) - 1))
                 i.update(phrases.items[phrase])
             rows = [found.get(k, ((), ())) for k in range(len(counts))]
+            merged = [[{"first": x, "last": y} for x, y in merge(s)] for s, _ in rows]
+            cols = {c: b.column(b.schema.names.index(c)) for c in keep}
+            if cut and found:
+                cols[text] = pa.array([cut_words(t, s) if s else t for t, s in zip(cols[text].to_pylist(), merged)], cols[text].type)
             yield pa.RecordBatch.from_arrays(
-                [*(b.column(c) for c in keep), pa.array(counts, pa.int64()),
-                 pa.array([[{"first": x, "last": y} for x, y in merge(s)] for s, _ in rows], arrow.field(spans).type),
+                [*cols.values(), pa.array(counts, pa.int64()), pa.array(merged, arrow.field(spans).type),
                  pa.array([sorted(i) for _, i in rows], pa.list_(pa.string())).cast(arrow.field(items).type)],
                 schema=arrow)
     return docs.mapInArrow(run, schema)
@@ -138,9 +141,10 @@ def _scan(docs: DataFrame, text: str, block, names: tuple[str, str, str]) -> Dat
 
 def find_overlaps(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id",
                   item_text: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES,
-                  names: tuple[str, str, str] = ("n_words", "spans", "items")) -> DataFrame:
+                  names: tuple[str, str, str] = ("n_words", "spans", "items"), cut: bool = False) -> DataFrame:
     """``docs`` plus the number of words, the merged word ranges (inclusive, from 0) that benchmark
-    windows cover, and the sorted ids (as strings) of the items they come from."""
+    windows cover, and the sorted ids (as strings) of the items they come from.  With ``cut`` the covered words
+    are cut out of the text; counts and ranges are those of the text before."""
     clash = set(names) & set(docs.columns)
     if clash:
         raise ValueError(f"columns {sorted(clash)} exist already")
@@ -151,7 +155,7 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
     for k in range(blocks):
         part = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == k) if blocks > 1 else items
         block = spark.sparkContext.broadcast(Phrases([(r.i, r.t) for r in part.collect()], window))
-        docs = _scan(docs, text, block, names)
+        docs = _scan(docs, text, block, names, cut and k + 1 == blocks)
         if k + 1 < blocks:
             docs = materialise(docs, "overlaps")
     return docs
@@ -175,15 +179,3 @@ def cut_words(text: str, spans: list[dict]) -> str:
         out.append(raw[at:place[s["first"]][0]])
         at = place[s["last"]][1]
     return b"".join([*out, raw[at:]]).decode("utf-8")
-
-
-def remove_overlaps(found: DataFrame, text: str = "text", spans: str = "spans") -> DataFrame:
-    """Rows of ``find_overlaps`` with the covered words cut out of the text."""
-    names = found.columns
-
-    def run(batches):
-        for b in batches:
-            t, s = b.column(names.index(text)).to_pylist(), b.column(names.index(spans)).to_pylist()
-            t = [cut_words(x, y) if y else x for x, y in zip(t, s)]
-            yield b.set_column(names.index(text), text, pa.array(t, pa.string()))
-    return found.mapInArrow(run, found.schema)

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 BLANK = "▁"
 STRETCHES_KEPT = 200_000  # per task and generation; workers are reused, so all of a pipeline's dictionaries add up
 PARTS_KEPT = 100_000
-PAIRS_KEPT = 1_000_000
+PAIRS_KEPT = 300_000
 CACHED_CHARS = 64        # longer stretches are encoded each time
 
 

@@ -7,8 +7,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .oracles import ORACLES as ORACLE_SQL  # noqa: F401
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
 
 
 def query(fn):
@@ -97,4 +98,4 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .warc import archive
     found = archive(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
-    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "time", "shard", "position")
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "capture_no")

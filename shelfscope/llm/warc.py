@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import materialise, shared_path
@@ -218,10 +218,18 @@ def merge_runs(runs: DataFrame) -> DataFrame:
     return runs.repartitionByRange(n, *ORDER).mapInArrow(run, f"{ENTRY}, shard int, position long")
 
 
+def numbered(merged: DataFrame) -> DataFrame:
+    """``merged`` plus capture_no, the place in the global order: one count per shard carries the offsets."""
+    counts = merged.groupBy("shard").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row per shard
+    offsets = counts.select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    return merged.join(offsets, "shard").withColumn("capture_no", F.col("before") + F.col("position")).drop("before")
+
+
 def archive(pages: DataFrame, path: str | None = None, **names) -> DataFrame:
     """Write the pages' archives below ``path`` (a fresh shared folder by default), read them back and return the
-    merged index: one row per record, globally ordered by (shard, position)."""
+    merged index: one row per record, globally ordered by capture_no (shard, then position)."""
     spark = pages.sparkSession
     path = path or shared_path(spark, "warc")
     write_archives(pages, path, **names)
-    return merge_runs(materialise(read_runs(spark, path), "warc-runs"))
+    return numbered(materialise(merge_runs(materialise(read_runs(spark, path), "warc-runs")), "warc-index"))

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from shelfscope.llm.common import words
-from shelfscope.llm.decontaminate import cut_words, find_overlaps, digests, merge, remove_overlaps
+from shelfscope.llm.decontaminate import cut_words, find_overlaps, digests, merge
 from shelfscope.llm.fm_index import FMIndex, suffix_order
 
 
@@ -73,5 +73,5 @@ def test_removal(spark):
     assert cut_words("One, two -- Thrée four!", [{"first": 1, "last": 2}]) == "One,  four!"
     item = "alpha beta gamma delta"
     docs = spark.createDataFrame([(1, f"Keep this. {item.upper()}! And this."), (2, "clean text"), (3, None)], "doc_id long, text string")
-    out = remove_overlaps(find_overlaps(docs, spark.createDataFrame([(4, item)], "item_id long, text string")))
+    out = find_overlaps(docs, spark.createDataFrame([(4, item)], "item_id long, text string"), cut=True)
     assert {r.doc_id: r.text for r in out.collect()} == {1: "Keep this. ! And this.", 2: "clean text", 3: None}

@@ -32,7 +32,8 @@ def test_round_trip_matches_brute_force(spark):
     pages = spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, time string").repartition(5)
     got = archive(pages).collect()
     assert sorted(((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got), key=str) == brute(rows)
-    ordered = sorted(got, key=lambda r: (r.shard, r.position))
+    ordered = sorted(got, key=lambda r: r.capture_no)
+    assert [r.capture_no for r in ordered] == list(range(len(rows)))
     keys = [(r.url_key, r.time, r.page_id is not None, r.page_id or 0) for r in ordered]
     assert keys == sorted(keys) and len({r.shard for r in got}) > 1
 
