@@ -11,6 +11,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.expr import div
 
@@ -30,36 +31,52 @@ def decay_column(channel: str, mapping: dict[str, str] | None = None):
 
 
 def adstock(df: DataFrame, keys: list[str], period: str, value: str, decay) -> DataFrame:
-    """a_t = x_t + λ·a_{t−1} per series (keys), in period order.
-
-    A series holds one row per period (rows are aggregated first), so its
-    list length is bounded by the time horizon, not by the data volume; the
-    recursion is a single ``aggregate`` fold, linear in the series length."""
-    d = decay if not isinstance(decay, (int, float)) else F.lit(float(decay))
-    s = (df.groupBy(*keys, period).agg(F.sum(value).alias("_x"))
-         .withColumn("_lam", d))
-    g = s.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct(F.col(period).alias("p"), F.col("_x").alias("x")))).alias("_s"),
-        F.first("_lam").alias("_lam"))
-    init = F.array().cast("array<struct<p:date,x:double,a:double>>")
-
-    def step(acc, e):
-        prev = F.when(F.size(acc) > 0, F.element_at(acc, -1)["a"]).otherwise(F.lit(0.0))
-        return F.concat(acc, F.array(F.struct(e["p"].alias("p"), e["x"].alias("x"),
-                                              (e["x"] + g["_lam"] * prev).alias("a"))))
-    folded = g.select(*keys, F.aggregate("_s", init, step).alias("_r"))
-    return folded.select(*keys, F.inline("_r")).withColumnRenamed("p", period).withColumnRenamed(
-        "x", value).withColumnRenamed("a", "adstock")
+    """a_t = x_t + λ·a_{t−1} per series (keys), in period order, over the rows given.
+
+    A series holds one row per period (rows are aggregated first), so a group is
+    bounded by the time horizon; the recursion runs over its array once."""
+    lam = decay if not isinstance(decay, (int, float)) else F.lit(float(decay))
+    s = df.groupBy(*keys, period).agg(F.sum(value).alias(value)).withColumn("_lam", lam.cast("double"))
+    schema = T.StructType([*(s.schema[c] for c in (*keys, period)), T.StructField(value, T.DoubleType()),
+                           T.StructField("adstock", T.DoubleType())])
+
+    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(period)
+        return pdf.assign(adstock=_decayed(pdf[value], float(pdf["_lam"].iloc[0])))[[*keys, period, value, "adstock"]]
+    return s.groupBy(*keys).applyInPandas(fold, schema)
+
+
+def _decayed(x, lam: float) -> np.ndarray:
+    out, last = np.empty(len(x)), 0.0
+    for k, v in enumerate(x):
+        last = v + lam * last
+        out[k] = last
+    return out
+
+
+def adstock_design(design: DataFrame, channels: list[str], decay: dict[str, float], period: str = "period",
+                   group: list[str] | None = None) -> DataFrame:
+    """Adstock of every channel column of a zero-filled design, in period order per segment
+    (one row per period, so a segment's rows are bounded by the horizon)."""
+    group = list(group or [])
+
+    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(period)
+        return pdf.assign(**{c: _decayed(pdf[c], decay.get(c, DEFAULT_DECAY)) for c in channels})
+    keyed = design if group else design.withColumn("_k", F.lit(1))
+    out = keyed.groupBy(*(group or ["_k"])).applyInPandas(fold, keyed.schema)
+    return out if group else out.drop("_k")
 
 
 def spend_pivot(spend: DataFrame, revenue: DataFrame, channels: list[str], period: str = "period",
-                min_periods: int = 4) -> DataFrame:
-    """Period × channel spend (zero filled) aligned (inner) with period
-    revenue; empty when fewer than ``min_periods`` periods align."""
-    wide = spend.groupBy(period).pivot("channel", channels).agg(F.sum("spend")).na.fill(0.0, channels)
-    rev = revenue.groupBy(period).agg(F.sum("revenue").alias("revenue"))
-    j = wide.join(rev, period)
-    n = F.count(F.lit(1)).over(Window.partitionBy())  # one row per period: bounded by the horizon
+                min_periods: int = 4, group: list[str] | None = None) -> DataFrame:
+    """Period × channel spend (zero filled) aligned (inner) with period revenue, per segment;
+    segments with fewer than ``min_periods`` aligned periods are left out."""
+    group = list(group or [])
+    wide = spend.groupBy(*group, period).pivot("channel", channels).agg(F.sum("spend")).na.fill(0.0, channels)
+    rev = revenue.groupBy(*group, period).agg(F.sum("revenue").alias("revenue"))
+    j = wide.join(rev, [*group, period])
+    n = F.count(F.lit(1)).over(Window.partitionBy(*group))  # one row per period: bounded by the horizon
     return j.withColumn("_n", n).where(F.col("_n") >= min_periods).drop("_n")
 
 
@@ -134,30 +151,33 @@ def mmm_contributions(coef: DataFrame, group: list[str] | None = None) -> DataFr
     return coef.withColumn("contribution_pct", F.when(tot > 0, pos / tot * 100).otherwise(0.0))
 
 
-def mmm_roi(coef: DataFrame, adstock_means: DataFrame, spend_totals: DataFrame, n_channels: int,
-            group: list[str] | None = None) -> DataFrame:
-    """|β|·mean(adstock)·std(y)·n_channels ÷ Σ spend (the reference's formula)."""
-    keys = [*(group or []), "channel"]
-    j = coef.join(adstock_means, keys).join(spend_totals, keys)
-    return j.withColumn("roi", F.abs("beta") * F.col("adstock_mean") * F.col("y_std") * n_channels
-                        / F.greatest(F.col("total_spend"), F.lit(1e-9)))
+def mmm_roi(coef: DataFrame, spend_totals: DataFrame, n_channels: int, group: list[str] | None = None) -> DataFrame:
+    """|β|·x̄·std(y)·n_channels ÷ Σ spend per channel (the reference's formula, x̄ the mean of the
+    channel's design column); 0 without spend."""
+    j = coef.join(spend_totals, [*(group or []), "channel"])
+    value = F.abs("beta") * F.col("x_mean") * F.col("y_std") * n_channels
+    return j.withColumn("roi", F.when(F.col("total_spend") > 0, value / F.col("total_spend")).otherwise(0.0))
 
 
-def mmm_predict(design: DataFrame, coef: DataFrame, channels: list[str], target: str = "revenue") -> DataFrame:
-    """In-sample prediction ŷ = ȳ + σy·Σ β·(x−x̄)/σx and RMSE / MAE / R².
-    Coefficients are one row per channel (broadcast: bounded by channel count)."""
+def mmm_predict(design: DataFrame, coef: DataFrame, channels: list[str], target: str = "revenue",
+                group: list[str] | None = None) -> DataFrame:
+    """In-sample prediction ŷ = ȳ + σy·Σ β·(x−x̄)/σx and RMSE / MAE / R² per segment.
+    Coefficients are one row per segment and channel."""
+    group = list(group or [])
     names = [f"coef_{c}" for c in channels]
-    wide = (coef.withColumn("_k", F.concat(F.lit("coef_"), F.col("channel")))
-            .groupBy().pivot("_k", names).agg(F.first(F.struct("beta", "x_mean", "x_std"))))
-    info = coef.agg(F.first("y_mean").alias("ym"), F.first("y_std").alias("ys"))
-    d = design.crossJoin(F.broadcast(wide)).crossJoin(F.broadcast(info))  # single-row coefficient tables
-    z = sum((F.col(f"{k}.beta") * (F.col(c) - F.col(f"{k}.x_mean")) /
+    d, c = (design, coef) if group else (design.withColumn("_g", F.lit(1)), coef.withColumn("_g", F.lit(1)))
+    keys = group or ["_g"]
+    wide = (c.withColumn("_k", F.concat(F.lit("coef_"), F.col("channel")))
+            .groupBy(*keys).pivot("_k", names).agg(F.first(F.struct("beta", "x_mean", "x_std"))))
+    info = c.groupBy(*keys).agg(F.first("y_mean").alias("ym"), F.first("y_std").alias("ys"))
+    d = d.join(wide, keys).join(info, keys)
+    z = sum((F.col(f"{k}.beta") * (F.col(ch) - F.col(f"{k}.x_mean")) /
              F.when(F.col(f"{k}.x_std") > 0, F.col(f"{k}.x_std")).otherwise(1.0)
-             for c, k in zip(channels, names)), F.lit(0.0))
+             for ch, k in zip(channels, names)), F.lit(0.0))
     pred = d.withColumn("prediction", F.col("ym") + F.col("ys") * z)
     err = F.col(target) - F.col("prediction")
-    return pred.agg(F.sqrt(F.avg(err * err)).alias("rmse"), F.avg(F.abs(err)).alias("mae"),
-                    (1 - F.sum(err * err) / (F.count(F.lit(1)) * F.var_pop(target))).alias("r_squared"))
+    return pred.groupBy(*group).agg(F.sqrt(F.avg(err * err)).alias("rmse"), F.avg(F.abs(err)).alias("mae"),
+                                    (1 - F.sum(err * err) / (F.count(F.lit(1)) * F.var_pop(target))).alias("r_squared"))
 
 
 def budget_recommendation(roi: DataFrame, budget: float, default_split: dict[str, float]) -> DataFrame:
@@ -180,20 +200,37 @@ def channel_allocation(spend: DataFrame, by: list[str], periods_per_year: float)
             .withColumn("share_pct", div(F.col("spend"), F.sum("spend").over(w)) * 100))
 
 
-def whatif_marketing(scenarios: DataFrame, mix: DataFrame, roi: DataFrame, tolerance: float = 0.02) -> DataFrame:
-    """O2: per scenario, normalise the proposed channel shares when their sum
-    is off by more than ``tolerance``; blended ROI of the current and the
-    proposed mix; revenue delta = annual budget × (new − current ROI).
-    All inputs are channel-grained (bounded by the channel count)."""
-    w = Window.partitionBy("scenario_id")
-    tot = F.sum("new_share").over(w)
-    s = scenarios.withColumn("share_sum", tot).withColumn(
-        "share", F.when(F.abs(tot - 1) > tolerance, div(F.col("new_share"), tot)).otherwise(F.col("new_share")))
-    j = s.join(mix, "channel", "left").join(roi, "channel", "left")
-    budget = mix.agg(F.sum("annual_spend")).scalar()
-    cur = mix.join(roi, "channel", "left").agg(F.sum(F.col("cur_share") * F.coalesce(F.col("roi"), F.lit(0.0)))).scalar()
-    return j.groupBy("scenario_id").agg(
-        F.first("share_sum").alias("share_sum"),
-        F.sum(F.col("share") * F.coalesce(F.col("roi"), F.lit(0.0))).alias("new_roi"),
-    ).select("scenario_id", "share_sum", cur.alias("current_roi"), "new_roi",
-             (budget * (F.col("new_roi") - cur)).alias("revenue_delta"))
+def whatif_marketing(scenarios: DataFrame, spend: DataFrame, baseline: DataFrame, roi: DataFrame,
+                     annual: "F.Column", tolerance: float = 0.02, all_label: str = "all") -> DataFrame:
+    """O2: marketing reallocation per scenario row set (scenario_id, segment | 'all', channel, new_share).
+
+    ``spend`` (segment, channel, spend), ``baseline`` (segment, revenue, profit, n_stores) and ``roi`` (segment,
+    channel, roi) are segment-grained; ``annual`` turns sums into a year.  Shares are normalised when their
+    sum is off by more than ``tolerance``.  The ROI of 'all' blends the segments by store count; a channel without
+    ROI counts 1.  Revenue lift = annual budget × (new − current weighted ROI), earned at the segment's margin;
+    the result is scaled back to the portfolio.  Confidence 0.72."""
+    total = baseline.agg(F.struct((F.sum("revenue") * annual).alias("rev"), (F.sum("profit") * annual).alias("profit")).alias("t")).scalar()
+    seg = baseline.select("segment", "revenue", "profit").unionByName(
+        baseline.agg(F.sum("revenue").alias("revenue"), F.sum("profit").alias("profit")).select(F.lit(all_label).alias("segment"), "*"))
+    per = spend.groupBy("segment", "channel").agg(F.sum("spend").alias("spend"))
+    per = per.unionByName(per.groupBy("channel").agg(F.sum("spend").alias("spend")).select(F.lit(all_label).alias("segment"), "*"))
+    budget = per.groupBy("segment").agg(F.sum("spend").alias("seg_spend"))
+    known = roi.join(baseline.select("segment", "n_stores"), "segment")
+    blended = known.groupBy("channel").agg((F.sum(F.col("roi") * F.col("n_stores")) / F.sum("n_stores")).alias("roi"))
+    rates = roi.select("segment", "channel", "roi").unionByName(blended.select(F.lit(all_label).alias("segment"), "channel", "roi"))
+    cur = (per.join(budget, "segment").join(rates, ["segment", "channel"], "left").groupBy("segment").agg(
+        F.sum(div("spend", "seg_spend") * F.coalesce("roi", F.lit(1.0))).alias("current_roi"), F.first("seg_spend").alias("seg_spend")))
+    sums = scenarios.groupBy("scenario_id").agg(F.sum("new_share").alias("share_sum"))
+    share = F.when(F.abs(F.col("share_sum") - 1) > tolerance, div("new_share", "share_sum")).otherwise(F.col("new_share"))
+    new = (scenarios.join(sums, "scenario_id").join(rates, ["segment", "channel"], "left").groupBy("scenario_id", "segment").agg(
+        F.first("share_sum").alias("share_sum"), F.sum(share * F.coalesce("roi", F.lit(1.0))).alias("new_roi")))
+    x = new.join(cur, "segment").join(seg, "segment").withColumn("_t", total)
+    lift = F.col("seg_spend") * annual * (F.col("new_roi") - F.col("current_roi"))
+    base_rev, base_profit = F.col("revenue") * annual, F.col("profit") * annual
+    margin = F.when(base_rev > 0, base_profit / base_rev).otherwise(0.0)
+    gain = (base_rev + lift) * margin - base_profit
+    return x.select(
+        "scenario_id", F.lit("marketing_reallocation").alias("scenario_type"), "segment", "share_sum", "current_roi", "new_roi",
+        F.col("_t.rev").alias("baseline_revenue"), F.col("_t.profit").alias("baseline_profit"),
+        (F.col("_t.rev") + lift).alias("projected_revenue"), (F.col("_t.profit") + gain).alias("projected_profit"),
+        lift.alias("revenue_delta"), gain.alias("profit_delta"), F.lit(0.72).alias("confidence"))

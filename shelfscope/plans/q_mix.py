@@ -33,25 +33,51 @@ def adstock(r: Retail):
     return _adstock(r)
 
 
-def _design(r: Retail, adstocked: bool = True):
-    """Day-level design: adstocked spend per channel (all markets) + revenue."""
-    src = _adstock(r).select("period", "channel", F.col("adstock" if adstocked else "spend").alias("spend"))
-    return N.spend_pivot(src, r.response, CHANNELS)
-
-
-@register("spend_pivot", survey_id="N2,F6", digits={**{c: MONEY for c in CHANNELS}, "revenue": MONEY},
-          sql=with_(MARKETING) + ", w AS (SELECT period, " + ", ".join(
-              f"coalesce(sum(CASE WHEN channel = '{c}' THEN spend END), 0.0) AS {c}" for c in CHANNELS)
-          + """ FROM mkt GROUP BY period), rv AS (SELECT period, sum(revenue) AS revenue FROM resp GROUP BY period),
-j AS (SELECT w.*, revenue FROM w JOIN rv USING (period))
-SELECT * FROM j WHERE (SELECT count(*) FROM j) >= 4""")
+def segmented(r: Retail, df):
+    """Rows with their market's region as segment, and all rows again as segment 'all'."""
+    geo = r.tables["nation"].join(r.tables["region"], F.col("n_regionkey") == F.col("r_regionkey"), "left").select(
+        F.col("n_name").alias("market"), F.col("r_name").alias("segment"))
+    return df.join(geo, "market", "left").unionByName(df.withColumn("segment", F.lit("all")))
+
+
+def _aligned(r: Retail):
+    """Zero-filled spend per (segment, day) and channel beside the day's revenue."""
+    return N.spend_pivot(segmented(r, r.marketing), segmented(r, r.response), CHANNELS, group=["segment"])
+
+
+def _design(r: Retail):
+    return N.adstock_design(_aligned(r), CHANNELS, DECAY, group=["segment"])
+
+
+ALIGNED_SQL = with_(MARKETING) + """, geo AS (SELECT n_name AS market, r_name AS segment FROM nation JOIN region ON n_regionkey = r_regionkey),
+ms AS (SELECT segment, period, channel, spend FROM mkt JOIN geo USING (market) UNION ALL SELECT 'all', period, channel, spend FROM mkt),
+rs AS (SELECT segment, period, revenue FROM resp JOIN geo USING (market) UNION ALL SELECT 'all', period, revenue FROM resp),
+w AS (SELECT segment, period, """ + ", ".join(
+    f"coalesce(sum(CASE WHEN channel = '{c}' THEN spend END), 0.0) AS {c}" for c in CHANNELS) + """ FROM ms GROUP BY ALL),
+rv AS (SELECT segment, period, sum(revenue) AS revenue FROM rs GROUP BY ALL),
+aligned AS (SELECT * EXCLUDE (n) FROM (SELECT w.*, revenue, count(*) OVER (PARTITION BY segment) AS n FROM w JOIN rv USING (segment, period))
+  WHERE n >= 4),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY segment ORDER BY period) AS rn FROM aligned),
+design AS (SELECT t.segment, t.period, t.revenue, """ + ", ".join(
+    f"sum(s.{c} * pow({lam}, t.rn - s.rn)) AS {c}" for c, lam in DECAY.items()) + """
+  FROM numbered t JOIN numbered s ON s.segment = t.segment AND s.rn <= t.rn GROUP BY ALL)
+"""
+DESIGN_DIGITS = {**{c: MONEY for c in CHANNELS}, "revenue": MONEY}
+
+
+@register("spend_pivot", survey_id="N2,F6", digits=DESIGN_DIGITS, sql=ALIGNED_SQL + "SELECT * FROM aligned")
 def spend_pivot(r: Retail):
-    spend = r.marketing.select("period", "channel", "spend")
-    return N.spend_pivot(spend, r.response, CHANNELS)
+    return _aligned(r)
+
+
+@register("mmm_design", survey_id="N1,N3", digits=DESIGN_DIGITS, sql=ALIGNED_SQL + "SELECT * FROM design")
+def mmm_design(r: Retail):
+    """Design of the mix model per segment: pivoted, zero filled, then adstocked."""
+    return _design(r)
 
 
 def _fit(r: Retail):
-    return N.mmm_fit(_design(r), CHANNELS, "revenue", alpha=1.0)
+    return N.mmm_fit(_design(r), CHANNELS, "revenue", alpha=1.0, group=["segment"])
 
 
 @register("mmm_fit", survey_id="N3", digits={"beta": STAT, "r_squared": STAT})
@@ -61,34 +87,50 @@ def mmm_fit(r: Retail):
 
 @register("mmm_contributions", survey_id="N4", digits={"beta": STAT, "contribution_pct": STAT})
 def mmm_contributions(r: Retail):
-    return N.mmm_contributions(_fit(r)).select("channel", "beta", "contribution_pct")
+    return N.mmm_contributions(_fit(r), ["segment"]).select("segment", "channel", "beta", "contribution_pct")
 
 
 def _roi(r: Retail):
-    ad = _adstock(r).groupBy("channel").agg(F.avg("adstock").alias("adstock_mean"))
-    sp = r.marketing.groupBy("channel").agg(F.sum("spend").alias("total_spend"))
-    return N.mmm_roi(_fit(r), ad, sp, len(CHANNELS))
+    spent = _aligned(r).unpivot(["segment"], CHANNELS, "channel", "spend").groupBy("segment", "channel").agg(
+        F.sum("spend").alias("total_spend"))
+    return N.mmm_roi(_fit(r), spent, len(CHANNELS), ["segment"])
 
 
-@register("mmm_roi", survey_id="N5", digits={"roi": STAT})
+@register("mmm_roi", survey_id="N5,P5", digits={"roi": STAT, "total_spend": MONEY})
 def mmm_roi(r: Retail):
-    return _roi(r).select("channel", "roi")
+    return _roi(r).select("segment", "channel", "total_spend", "roi")
 
 
 @register("mmm_predict", survey_id="N6", digits={"rmse": UNIT, "mae": UNIT, "r_squared": STAT})
 def mmm_predict(r: Retail):
-    return N.mmm_predict(_design(r), _fit(r), CHANNELS)
+    return N.mmm_predict(_design(r), _fit(r), CHANNELS, group=["segment"])
 
 
 # default split when no channel has positive ROI (adapter channels)
 DEFAULT_SPLIT = {"click": 0.4, "view": 0.3, "signup": 0.2, "error": 0.1}
+BUDGET_DIGITS = {"roi": STAT, "share": STAT, "recommended_budget": MONEY}
 
 
-@register("budget_recommendation", survey_id="N7", digits={"roi": STAT, "share": STAT, "recommended_budget": MONEY})
+@register("budget_recommendation", survey_id="N7", digits=BUDGET_DIGITS)
 def budget_recommendation(r: Retail):
-    budget = r.marketing.agg(F.sum("spend")).scalar()
-    return N.budget_recommendation(_roi(r).withColumn("_b", budget).select("channel", "roi"),
-                                   1_000_000.0, DEFAULT_SPLIT)
+    return N.budget_recommendation(_roi(r).where("segment = 'all'").select("channel", "roi"), 1_000_000.0, DEFAULT_SPLIT)
+
+
+# ROI per channel as given values (a parameter table)
+GIVEN_ROI = {"click": 1.5, "view": 0.8, "signup": -0.2, "error": 0.0}
+GIVEN_CASE = "CASE channel " + " ".join(f"WHEN '{c}' THEN CAST({v} AS DOUBLE)" for c, v in GIVEN_ROI.items()) + " END"
+
+
+@register("budget_recommendation_given_roi", survey_id="N7", digits=BUDGET_DIGITS,
+          sql=with_(MARKETING) + f""", roi AS (SELECT channel, {GIVEN_CASE} AS roi, sum(spend) AS spend FROM mkt GROUP BY channel),
+p AS (SELECT channel, roi, spend, greatest(roi, 0.0) AS pos, sum(greatest(roi, 0.0)) OVER () AS tot, sum(spend) OVER () AS budget FROM roi),
+s AS (SELECT channel, roi, budget, CASE WHEN tot > 0 THEN pos / tot ELSE 0.0 END AS share FROM p)
+SELECT channel, roi, share, share * budget AS recommended_budget FROM s""")
+def budget_recommendation_given_roi(r: Retail):
+    """N7 with given ROI values: the total spend dealt out by ROI share."""
+    m = F.create_map(*[x for k, v in GIVEN_ROI.items() for x in (F.lit(k), F.lit(v))])
+    roi = r.marketing.groupBy("channel").agg(F.sum("spend").alias("_s")).select("channel", m[F.col("channel")].alias("roi"))
+    return N.budget_recommendation(roi, r.marketing.agg(F.sum("spend")).scalar(), DEFAULT_SPLIT)
 
 
 @register("channel_allocation", survey_id="N8,P5", digits={"spend": MONEY, "annual_spend": MONEY, "share_pct": STAT},
@@ -99,6 +141,14 @@ def channel_allocation(r: Retail):
     return N.channel_allocation(r.marketing, [], 365.0)
 
 
+@register("channel_allocation_by_segment", survey_id="N8,P5", digits={"spend": MONEY, "annual_spend": MONEY, "share_pct": STAT},
+          sql=ALIGNED_SQL + """, g AS (SELECT segment, channel, sum(spend) AS spend FROM ms WHERE segment <> 'all' GROUP BY ALL)
+SELECT segment, channel, spend, spend / (SELECT count(DISTINCT period) FROM mkt) * 365.0 AS annual_spend,
+  spend / sum(spend) OVER (PARTITION BY segment) * 100 AS share_pct FROM g""")
+def channel_allocation_by_segment(r: Retail):
+    return N.channel_allocation(segmented(r, r.marketing).where("segment <> 'all'"), ["segment"], 365.0)
+
+
 ELAST_DIGITS = {"elasticity": STAT, "intercept": STAT, "r_squared": STAT, "std_error": STAT,
                 "revenue_impact_10pct": STAT}
 ELAST_SQL = """el AS (SELECT category, CAST(regr_count(ln_q, ln_p) AS BIGINT) AS n, regr_slope(ln_q, ln_p) AS elasticity,
@@ -124,59 +174,90 @@ def category_elasticity_ci(r: Retail):
 
 
 def _tx_brand(r: Retail):
-    return r.transactions.withColumn("is_private_label", (F.col("brand_type") == "private_label").cast("int"))
+    return r.transactions.withColumn("is_private_label", F.coalesce(F.col("brand_type") == "private_label", F.lit(False)).cast("int"))
 
 
-@register("product_elasticity", survey_id="N12", digits={"elasticity": STAT, "ci_low": STAT, "ci_high": STAT,
-                                                         "r_squared": STAT, "avg_price": UNIT, "avg_ln_q": STAT})
-def product_elasticity(r: Retail):
+def _products(r: Retail):
     return E.product_elasticity(_tx_brand(r))
 
 
-@register("category_elasticity_summary", survey_id="N13",
-          digits={"mean_elasticity": STAT, "mean_r_squared": STAT})
+# ridge (0.01) of ln q on [ln p, brand, ln p·brand] per category by Cramer's rule on the centred sums
+PE_SQL = """lg AS (SELECT product_id, category, quantity, unit_price, ln(greatest(unit_price, 0.01)) AS a,
+    CAST(brand_type = 'private_label' AS DOUBLE) AS b, ln(greatest(unit_price, 0.01)) * CAST(brand_type = 'private_label' AS DOUBLE) AS c,
+    ln(greatest(quantity, 0.001)) AS y FROM tx WHERE category IS NOT NULL AND unit_price IS NOT NULL AND quantity IS NOT NULL),
+cs AS (SELECT category, count(*) AS n, avg(a) AS ma, avg(b) AS mb, avg(c) AS mc, avg(y) AS my,
+    regr_sxx(y, a) + 0.01 AS aa, regr_sxx(y, b) + 0.01 AS bb, regr_sxx(y, c) + 0.01 AS cc, regr_sxy(a, b) AS ab, regr_sxy(a, c) AS ac,
+    regr_sxy(b, c) AS bc, regr_sxy(y, a) AS ya, regr_sxy(y, b) AS yb, regr_sxy(y, c) AS yc FROM lg GROUP BY category HAVING count(*) >= 10),
+cd AS (SELECT *, aa * (bb * cc - bc * bc) - ab * (ab * cc - bc * ac) + ac * (ab * bc - bb * ac) AS det FROM cs),
+cb AS (SELECT *, (ya * (bb * cc - bc * bc) - ab * (yb * cc - bc * yc) + ac * (yb * bc - bb * yc)) / det AS b1,
+    (aa * (yb * cc - yc * bc) - ya * (ab * cc - bc * ac) + ac * (ab * yc - yb * ac)) / det AS b2,
+    (aa * (bb * yc - bc * yb) - ab * (ab * yc - yb * ac) + ya * (ab * bc - bb * ac)) / det AS b3 FROM cd),
+pr AS (SELECT product_id, category, count(*) AS n_obs, max(b) AS brand, avg(unit_price) AS avg_price, avg(quantity) AS avg_quantity,
+    avg(a) AS pa, avg(y) AS py, regr_sxx(y, a) AS sxx, regr_syy(y, a) AS syy, regr_sxy(y, a) AS sxy,
+    stddev_samp(a) AS sda, stddev_samp(y) AS sdy FROM lg GROUP BY product_id, category HAVING count(*) >= 5),
+pe0 AS (SELECT pr.*, b1 + b3 * brand AS e, py - (my - b1 * ma - b2 * mb - b3 * mc + b2 * brand) - (b1 + b3 * brand) * pa AS d FROM pr JOIN cb USING (category)),
+pe AS (SELECT product_id, category, CAST(n_obs AS BIGINT) AS n_obs, avg_price, avg_quantity, e AS elasticity,
+    e - CASE WHEN n_obs >= 10 THEN 1.96 * sdy / greatest(sda * sqrt(n_obs), 1e-8) ELSE 0.5 END AS ci_low,
+    e + CASE WHEN n_obs >= 10 THEN 1.96 * sdy / greatest(sda * sqrt(n_obs), 1e-8) ELSE 0.5 END AS ci_high,
+    CASE WHEN syy > 0 THEN 1 - (syy - 2 * e * sxy + e * e * sxx + n_obs * d * d) / syy ELSE 0.0 END AS r_squared,
+    CASE WHEN abs(e) > 1.0 THEN 'elastic' WHEN abs(e) < 1.0 THEN 'inelastic' ELSE 'unit elastic' END AS elasticity_class FROM pe0)"""
+FINE = 20  # products: a ridge solve in two ways agrees to about six digits
+PE_DIGITS = {"elasticity": FINE, "ci_low": FINE, "ci_high": FINE, "r_squared": FINE, "avg_price": UNIT, "avg_quantity": UNIT}
+
+
+@register("product_elasticity", survey_id="N12", digits=PE_DIGITS, sql=with_(TX, PE_SQL) + "SELECT * FROM pe")
+def product_elasticity(r: Retail):
+    return _products(r)
+
+
+@register("category_elasticity_summary", survey_id="N13", digits={"mean_elasticity": FINE, "mean_r_squared": FINE},
+          sql=with_(TX, PE_SQL) + """SELECT category, avg(elasticity) AS mean_elasticity, avg(r_squared) AS mean_r_squared,
+  count(*) AS n_products FROM pe GROUP BY category""")
 def category_elasticity_summary(r: Retail):
-    return E.category_summary(E.product_elasticity(_tx_brand(r)))
+    return E.category_summary(_products(r))
 
 
-@register("all_elasticities", survey_id="N16", digits={"elasticity": STAT})
+@register("all_elasticities", survey_id="N16", digits={"elasticity": FINE},
+          sql=with_(TX, PE_SQL) + "SELECT product_id, category, elasticity, elasticity_class FROM pe")
 def all_elasticities(r: Retail):
-    return (E.product_elasticity(_tx_brand(r)).select("product_id", "category", "elasticity", "elasticity_class")
+    return (_products(r).select("product_id", "category", "elasticity", "elasticity_class")
             .orderBy("elasticity", "product_id"))
 
 
-MULTIPLIERS = [0.9, 1.0, 1.1]
-
-
-def _product_base(r: Retail):
-    tx = r.transactions.where((F.col("quantity") > 0) & (F.col("unit_price") > 0))
-    p = tx.groupBy("product_id", "category").agg(F.avg("unit_price").alias("avg_price"),
-                                                 F.avg(F.log("quantity")).alias("avg_ln_q"))
-    e = E.category_elasticity(r.transactions).select("category", "elasticity")
-    return p.join(e, "category")
+@register("elasticity_table_sink", survey_id="A8", digits={"elasticity": FINE, "ci_low": FINE, "ci_high": FINE},
+          sql=with_(TX, PE_SQL) + "SELECT product_id, category, elasticity, ci_low, ci_high FROM pe")
+def elasticity_table_sink(r: Retail):
+    """Writes the elasticity table to shared storage and reads it back."""
+    from ..sources import sinks as S
+    out = _products(r)
+    path = S.write_table(out.select("product_id", "category", "elasticity", "ci_low", "ci_high"),
+                         S.shared_root(out.sparkSession, "elasticity"))
+    return out.sparkSession.read.parquet(path)
 
 
-PB_SQL = """pb AS (SELECT product_id, category, avg(unit_price) AS avg_price, avg(ln(quantity)) AS avg_ln_q FROM tx
-  WHERE quantity > 0 AND unit_price > 0 GROUP BY product_id, category),
-base AS (SELECT pb.*, elasticity FROM pb JOIN (SELECT category, elasticity FROM el WHERE n >= 30 AND sdp >= 1e-6)
-  USING (category))"""
+MULTIPLIERS = [0.9, 1.0, 1.1]
 
 
 @register("predict_demand", survey_id="N14",
-          digits={"avg_price": UNIT, "avg_ln_q": STAT, "elasticity": STAT, "price": UNIT, "predicted_quantity": STAT},
-          sql=with_(TX, ELAST_SQL, PB_SQL) + ", m(price_multiplier) AS (VALUES " + ", ".join(
+          digits={"avg_price": UNIT, "avg_quantity": UNIT, "elasticity": FINE, "price": UNIT, "predicted_quantity": UNIT},
+          sql=with_(TX, PE_SQL) + ", m(price_multiplier) AS (VALUES " + ", ".join(
               f"(CAST({x} AS DOUBLE))" for x in MULTIPLIERS) + """)
-SELECT base.*, price_multiplier, avg_price * price_multiplier AS price,
-  exp(avg_ln_q + elasticity * ln(price_multiplier)) AS predicted_quantity FROM base, m""")
+SELECT product_id, category, avg_price, avg_quantity, elasticity, price_multiplier, avg_price * price_multiplier AS price,
+  CASE WHEN avg_price <= 0 OR avg_quantity <= 0 THEN avg_quantity
+    ELSE exp(ln(avg_quantity) + elasticity * ln(greatest(avg_price * price_multiplier, 0.01) / avg_price)) END AS predicted_quantity FROM pe, m""")
 def predict_demand(r: Retail):
-    return E.predict_demand(_product_base(r), MULTIPLIERS)
+    base = _products(r).select("product_id", "category", "avg_price", "avg_quantity", "elasticity")
+    return E.predict_demand(base, MULTIPLIERS)
 
 
 @register("optimal_price", survey_id="N15",
-          digits={"avg_price": UNIT, "avg_ln_q": STAT, "elasticity": STAT, "unit_cost": UNIT, "optimal_price": UNIT},
-          sql=with_(TX, PRODUCTS, ELAST_SQL, PB_SQL) + """SELECT base.*, unit_cost,
-  greatest(unit_cost / (1 - 0.2), coalesce(CASE WHEN elasticity < -1 THEN avg_price * elasticity / (elasticity + 1) END,
-  unit_cost / (1 - 0.2))) AS optimal_price FROM base JOIN products USING (product_id)""")
+          digits={"avg_price": UNIT, "elasticity": FINE, "unit_cost": UNIT, "optimal_price": UNIT},
+          sql=with_(TX, PRODUCTS, PE_SQL) + """, f AS (SELECT product_id, unit_cost,
+  CASE WHEN unit_cost > 0 THEN unit_cost / greatest(1.0 - 0.3, 0.01) ELSE 0.01 END AS min_price FROM products)
+SELECT product_id, avg_price, elasticity, unit_cost, CASE WHEN elasticity < -1
+  THEN greatest(min_price, avg_price * (elasticity / (elasticity + 1))) ELSE min_price END AS optimal_price
+FROM f LEFT JOIN pe USING (product_id)""")
 def optimal_price(r: Retail):
-    b = _product_base(r).join(r.products.select("product_id", "unit_cost"), "product_id")
-    return E.optimal_price(b)
+    base = r.products.select("product_id", "unit_cost").join(
+        _products(r).select("product_id", "avg_price", "elasticity"), "product_id", "left")
+    return E.optimal_price(base)
