@@ -38,8 +38,9 @@ CLOSURE_REVENUE_LOSS = 0.5    # REC-008: half of the closed stores' revenue is l
 
 
 def recommendations(tx: DataFrame, customers: DataFrame, elasticities: DataFrame, params: DataFrame,
-                    focus_tier: str, tier: str = "tier") -> DataFrame:
-    """One row per recommendation (reach, annual revenue / profit
+                    focus_tier: str, rates: dict[str, float] | None = None, marketing: DataFrame | None = None,
+                    tier: str = "tier") -> DataFrame:
+    """``marketing`` holds O2 rows named REC-004 / REC-005 (with n_stores), ``rates`` the churn table.  One row per recommendation (reach, annual revenue / profit
     deltas) computed from Spark aggregates, joined with the catalogue
     parameters (category, impact score, confidence, effort, cost, ROI
     fallback, priority, timeline); ROI = profit ÷ cost when positive else
@@ -50,7 +51,7 @@ def recommendations(tx: DataFrame, customers: DataFrame, elasticities: DataFrame
                         (F.sum("gross_profit") * af).alias("profit")).alias("b")).scalar()
     base_rev = b.getField("rev")
     base_margin = div(b.getField("profit"), b.getField("rev"))
-    one = tx.agg(F.count(F.lit(1)).alias("_n"))  # single-row frame to carry scalar rows
+    one = tx.sparkSession.range(1)  # a row to carry scalars
     # REC-001: price +5 % on inelastic categories (|ε| < 1), O1 deltas summed
     inel = elasticities.where(F.abs("elasticity") < 1).select("category", "elasticity")
     mult = (1 + PRICE_UP) * (1 + F.col("elasticity") * PRICE_UP) - 1
@@ -71,7 +72,7 @@ def recommendations(tx: DataFrame, customers: DataFrame, elasticities: DataFrame
     spark = tx.sparkSession
     sc = spark.createDataFrame([("REC-006", focus_tier, CHURN_REDUCTION, RETENTION_COST)],
                                f"scenario_id string, {tier} string, churn_reduction_pct double, intervention_cost double")
-    ret = whatif_retention(tx, customers, F.broadcast(sc), tier=tier)
+    ret = whatif_retention(tx, customers, sc, rates, tier=tier)
     rec6 = _row(ret, "REC-006", F.floor(F.col("n_customers") * ASSUMED_CHURN), F.col("revenue_delta"),
                 F.col("profit_delta"))
     # REC-007: mid-margin stores (p25 ≤ margin ≤ p75): +10 % revenue at the portfolio margin
@@ -87,10 +88,14 @@ def recommendations(tx: DataFrame, customers: DataFrame, elasticities: DataFrame
     r8 = low.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("revenue") * af).alias("r"))
     rec8 = _row(r8, "REC-008", F.col("n"), -F.coalesce(F.col("r"), F.lit(0.0)) * CLOSURE_REVENUE_LOSS,
                 F.col("n") * STORE_COST * CLOSURE_NET)
-    recs = reduce(DataFrame.unionByName, [rec1, rec2, rec3, rec6, rec7, rec8])
-    out = financial_impact(recs.join(F.broadcast(params), "rec_id"))
+    parts = [rec1, rec2, rec3, rec6, rec7, rec8]
+    if marketing is not None:  # REC-004 / REC-005: O2 on the segment, profit at the portfolio margin
+        parts.append(marketing.select(F.col("scenario_id").alias("rec_id"), F.col("n_stores").cast("long").alias("reach"),
+                                      "revenue_delta", (F.col("revenue_delta") * base_margin).alias("profit_delta")))
+    out = financial_impact(reduce(DataFrame.unionByName, parts).join(params, "rec_id"))
     p, c = F.col("profit_delta"), F.col("implementation_cost")
-    return out.withColumn("roi", F.when(p > 0, div(p, c)).otherwise(F.col("roi_fallback"))).drop("roi_fallback")
+    ratio = F.when((p > 0) | F.col("roi_fallback").isNull(), div(p, c)).otherwise(F.col("roi_fallback"))
+    return out.withColumn("roi", ratio).drop("roi_fallback")
 
 
 def n_distinct_customers(df: DataFrame):
@@ -120,9 +125,9 @@ TIMELINES = {"n_immediate": "0-30 days", "n_short_term": "1-3 months", "n_medium
              "n_long_term": "6-12 months"}
 
 
-def action_summary(ranked: DataFrame, top: int = 3) -> DataFrame:
+def action_summary(ranked: DataFrame, top: int = 3, top_profit: int = 6) -> DataFrame:
     """Totals, count of critical actions, counts per timeline bucket and
-    the top-n rec ids by RICE and by profit (recommendation-grained input)."""
+    the top rec ids by RICE and by profit (recommendation-grained input)."""
     by_profit = F.row_number().over(Window.orderBy(F.col("profit_delta").desc(), "rec_id"))
     r = ranked.withColumn("_pr", by_profit)
     return r.agg(
@@ -133,6 +138,6 @@ def action_summary(ranked: DataFrame, top: int = 3) -> DataFrame:
         *[F.count_if(F.col("timeline") == v).alias(k) for k, v in TIMELINES.items()],
         F.array_sort(F.collect_list(F.when(F.col("rice_rank") <= top, F.struct("rice_rank", "rec_id"))))
         .alias("_top_rice"),
-        F.array_sort(F.collect_list(F.when(F.col("_pr") <= top, F.struct("_pr", "rec_id")))).alias("_top_profit"),
+        F.array_sort(F.collect_list(F.when(F.col("_pr") <= top_profit, F.struct("_pr", "rec_id")))).alias("_top_profit"),
     ).select("*", F.col("_top_rice.rec_id").alias("top_by_rice"),
              F.col("_top_profit.rec_id").alias("top_by_profit")).drop("_top_rice", "_top_profit")

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import ranks
@@ -71,52 +71,41 @@ PROJECTION_COLS = ["baseline_revenue", "baseline_profit", "projected_revenue", "
                    "revenue_delta", "profit_delta"]
 
 
-def whatif_store_investment(tx: DataFrame, scenarios: DataFrame, q: float = 0.2,
-                            max_n: int | None = None) -> DataFrame:
+def whatif_store_investment(tx: DataFrame, scenarios: DataFrame, q: float = 0.2) -> DataFrame:
     """Scenarios (scenario_id, n_stores, investment_per_store,
     revenue_uplift_pct).  Among stores with margin ≤ p20 take the n worst by
     margin (ties by store id); uplift = their annual revenue × pct, earning
     the portfolio margin; the investment (requested n × per-store) is
     amortised over 3 years; profit floor 0.5 × baseline; confidence 0.65.
-    With ``max_n`` (the largest n of the scenarios) the worst stores come
-    from a distributed top-k instead of a full ranking."""
+    The largest n of the scenarios bounds a distributed top-k; its running revenue is looked up
+    at each scenario's n."""
     af = annual_factor(tx)
     s = base.by_store(tx).withColumn("margin", div("profit", "revenue"))
     p = ranks.quantiles(s, "margin", [q], ["p"]).scalar()
-    low = s.where(F.col("margin") <= p)
-    if max_n is not None:
-        # the largest requested n is a parameter: the n worst stores are a
-        # top-k (per-partition top-k, then a k-row merge); rank the survivors
-        from pyspark.sql import Window
-        ranked = (low.orderBy("margin", "store_id").limit(int(max_n))
-                  .withColumn("worst_rank", F.row_number().over(Window.orderBy("margin", "store_id"))))
-    else:
-        fr = ranks.first_ranks(low, "margin", "store_id", out="worst_rank")
-        ranked = low.join(fr, "store_id")
-    # scenario rows are parameters: a handful, broadcast
-    j = ranked.join(F.broadcast(scenarios.select("scenario_id", "n_stores")), F.col("worst_rank") <= F.col("n_stores"))
-    agg = j.groupBy("scenario_id").agg(F.count(F.lit(1)).alias("stores_selected"),
-                                       F.sum(F.col("revenue") * af).alias("_rev"))
-    b = _baseline(tx)
-    x = scenarios.join(agg, "scenario_id", "left").withColumn("_b", b)
+    most = int(scenarios.agg(F.max("n_stores")).first()[0] or 0)  # a parameter, not data
+    worst = s.where(F.col("margin") <= p).orderBy("margin", "store_id").limit(most)
+    order = Window.orderBy("margin", "store_id")  # over the k survivors
+    ranked = worst.select(F.row_number().over(order).alias("worst_rank"), (F.sum("revenue").over(order) * af).alias("_rev"))
+    found = ranked.agg(F.count(F.lit(1))).scalar()
+    at = scenarios.withColumn("stores_selected", F.least(F.col("n_stores").cast("long"), found))
+    x = at.join(ranked, F.col("stores_selected") == F.col("worst_rank"), "left").withColumn("_b", _baseline(tx))
     margin = F.when(F.col("_b.rev") > 0, F.col("_b.profit") / F.col("_b.rev")).otherwise(0.0)
     uplift = F.coalesce(F.col("_rev"), F.lit(0.0)) * F.col("revenue_uplift_pct")
     cost = F.col("n_stores") * F.col("investment_per_store")
     out = _projection(x.withColumn("implementation_cost", cost), uplift, uplift * margin - cost / 3, 0.65)
-    return out.select("scenario_id", F.lit("store_investment").alias("scenario_type"),
-                      F.coalesce(F.col("stores_selected"), F.lit(0)).alias("stores_selected"),
+    return out.select("scenario_id", F.lit("store_investment").alias("scenario_type"), "stores_selected",
                       *PROJECTION_COLS, "implementation_cost", "confidence")
 
 
 DEFAULT_CHURN_RATE = 0.18
 
 
-def whatif_retention(tx: DataFrame, customers: DataFrame, scenarios: DataFrame, days: int = 180,
-                     tier: str = "tier", all_label: str = "All") -> DataFrame:
+def whatif_retention(tx: DataFrame, customers: DataFrame, scenarios: DataFrame, rates: dict[str, float] | None = None,
+                     days: int = 180, tier: str = "tier", all_label: str = "All") -> DataFrame:
     """O3: scenarios (scenario_id, tier | 'All', churn_reduction_pct,
     intervention_cost).  Customers at risk = the tier's customers; annual
-    value = the tier's annual profit ÷ customers; churn rate = the tier's
-    observed rate (no purchase in ``days``; 0.18 when unknown); churners =
+    value = the tier's annual profit ÷ customers; churn rate = ``rates`` by tier (0.18 for
+    others), or without ``rates`` the tier's observed rate (no purchase in ``days``; 0.18 when unknown); churners =
     floor(n · rate); impact = churners · reduction · annual value, net of the
     intervention cost; profit floor 0.5 × baseline; confidence 0.75."""
     af = annual_factor(tx)
@@ -129,15 +118,20 @@ def whatif_retention(tx: DataFrame, customers: DataFrame, scenarios: DataFrame,
     t = c.groupBy(tier).agg(*stats).unionByName(c.agg(*stats).select(F.lit(all_label).alias(tier), "*"))
     x = scenarios.join(t, tier, "left").withColumn("_b", _baseline(tx))
     n = F.coalesce(F.col("n_customers"), F.lit(0))
-    rate = F.coalesce(div("_ch", "n_customers"), F.lit(DEFAULT_CHURN_RATE))
+    if rates is None:
+        rate = F.coalesce(div("_ch", "n_customers"), F.lit(DEFAULT_CHURN_RATE))
+    else:
+        table = F.create_map(*[v for k, x_ in rates.items() for v in (F.lit(k), F.lit(float(x_)))])
+        rate = F.coalesce(F.try_element_at(table, F.col(tier)), F.lit(DEFAULT_CHURN_RATE))
     value = F.coalesce(div(F.col("_profit") * af, F.col("n_customers")), F.lit(0.0))
     churners = F.floor(n * rate)
     impact = churners * F.col("churn_reduction_pct") * value
     x = (x.withColumn("churn_rate", rate).withColumn("annual_value_per_customer", value)
-         .withColumn("n_churners", churners.cast("long")).withColumn("implementation_cost", F.col("intervention_cost")))
+         .withColumn("n_churners", churners.cast("long")).withColumn("value_at_risk", churners * value)
+         .withColumn("implementation_cost", F.col("intervention_cost")))
     out = _projection(x, impact, impact - F.col("intervention_cost"), 0.75)
     return out.select("scenario_id", F.lit("retention").alias("scenario_type"), tier,
-                      n.cast("long").alias("n_customers"), "churn_rate", "annual_value_per_customer", "n_churners",
+                      n.cast("long").alias("n_customers"), "churn_rate", "annual_value_per_customer", "n_churners", "value_at_risk",
                       *PROJECTION_COLS, "implementation_cost", "confidence")
 
 

@@ -92,21 +92,3 @@ def eda_summary(r: Retail):
     lead = (F.when((F.col("margin_direction") == "declining") & (F.col("margin_change_pct") < -5), "margin")
             .when(F.col("revenue_direction") == "declining", "revenue").otherwise("concentration"))
     return out.withColumn("lead_finding", lead)
-
-
-# O2: reallocation scenarios (scenario_id, channel, new_share); shares are
-# normalised when they do not sum to 1 within 0.02.
-MARKETING_SCENARIOS = [("M1", "click", 0.5), ("M1", "view", 0.2), ("M1", "signup", 0.2), ("M1", "error", 0.1),
-                       ("M2", "click", 0.7), ("M2", "view", 0.7), ("M2", "signup", 0.3), ("M2", "error", 0.3)]
-
-
-@register("whatif_marketing", survey_id="O2", digits={"current_roi": STAT, "new_roi": STAT, "revenue_delta": UNIT,
-                                                      "share_sum": STAT})
-def whatif_marketing(r: Retail):
-    from .q_mix import _roi
-    spark = r.transactions.sparkSession
-    sc = spark.createDataFrame(MARKETING_SCENARIOS, "scenario_id string, channel string, new_share double")
-    mix = N.channel_allocation(r.marketing, [], 365.0).select("channel", "annual_spend",
-                                                              (F.col("share_pct") / 100).alias("cur_share"))
-    roi = _roi(r).select("channel", "roi")
-    return N.whatif_marketing(F.broadcast(sc), mix, roi)
