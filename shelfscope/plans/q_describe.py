@@ -8,7 +8,7 @@ from ..operators import base
 from ..operators import describe as D
 from ..sources.retail import Retail
 from .registry import MONEY, STAT, UNIT, register
-from .sql import MARKETING, STORES, TX, CUSTOMERS, with_
+from .sql import MARKETING, STORES, TX, CUSTOMERS, with_, t_two_sided_sql
 
 STATS_COLS = ["mean", "median", "std", "skew", "kurtosis", "min", "max", "p5", "p25", "p75", "p95"]
 
@@ -201,7 +201,9 @@ def _make_corr(name, sid, kind, frame, x, y, ctes, src):
     fn = D.spearman if kind == "spearman" else D.pearson
     sql = with_(*ctes) + (spearman_sql(src, x, y) if kind == "spearman" else pearson_sql(src, x, y))
     register(name, sql=sql, digits=CORR_DIGITS, survey_id=sid)(lambda r: fn(frame(r), x, y))
-    register(name + "_test", digits=dict(CORR_DIGITS, p_value=STAT), survey_id="H11")(
+    p = f"CASE WHEN r IS NULL THEN NULL WHEN abs(r) >= 1.0 THEN 0.0 ELSE {t_two_sided_sql('t_stat', 'df')} END"
+    test = f"SELECT *, p_value < 0.05 AS significant FROM (SELECT *, {p} AS p_value FROM ({sql}) b)"
+    register(name + "_test", digits=dict(CORR_DIGITS, p_value=STAT), survey_id="H11", sql=test)(
         lambda r: D.with_corr_test(fn(frame(r), x, y)))
 
 

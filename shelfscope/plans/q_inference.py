@@ -12,8 +12,9 @@ from ..functions.expr import size_label
 from ..operators import base
 from ..operators import inference as J
 from ..sources.retail import Retail
-from .registry import STAT, UNIT, register
-from .sql import CUSTOMERS, MARKETING, STORES, TX, with_
+from .registry import REGISTRY, STAT, UNIT, register
+from . import q_describe  # noqa: F401  (its queries are tested here)
+from .sql import CUSTOMERS, MARKETING, STORES, TX, with_, f_sf_sql, norm_sf_sql, t_greater_sql, t_quantile_sql, t_two_sided_sql
 
 TREATMENT, CONTROL = "BUILDING", "AUTOMOBILE"
 URBAN_REGION = "AMERICA"
@@ -210,11 +211,11 @@ def run_hypotheses(r: Retail):
         "effect_label", "rejected")
     h2 = J.with_welch_test(J.frequency_decline(r.transactions, r.customers, TREATMENT), "greater").select(
         F.lit("H2").alias("hypothesis_id"), F.lit("Welch t (greater)").alias("test_name"),
-        F.col("t_stat").alias("statistic"), "p_value", F.col("cohens_d").alias("effect_size"),
+        F.col("t_stat").alias("statistic"), "p_value", F.abs("cohens_d").alias("effect_size"),
         "effect_label", "rejected")
     h3 = J.with_welch_test(J.group_mean_welch(r.transactions)).select(
         F.lit("H3").alias("hypothesis_id"), F.lit("Welch t").alias("test_name"),
-        F.col("t_stat").alias("statistic"), "p_value", F.col("cohens_d").alias("effect_size"),
+        F.col("t_stat").alias("statistic"), "p_value", F.abs("cohens_d").alias("effect_size"),
         "effect_label", "rejected")
     h4 = J.with_mwu_test(J.mann_whitney(_roi(r), "roi", "is_urban")).select(
         F.lit("H4").alias("hypothesis_id"), F.lit("Mann-Whitney U (greater)").alias("test_name"),
@@ -227,11 +228,45 @@ def run_hypotheses(r: Retail):
     return reduce(DataFrame.unionByName, [h1, h2, h3, h4, h5])
 
 
-for _name, _fn, _alt in [("anova_oneway_test", lambda r: J.with_anova_test(anova_oneway(r)), None),
-                         ("freq_decline_welch_test", lambda r: J.with_welch_test(freq_decline_welch(r), "greater"), None),
-                         ("group_mean_welch_test", lambda r: J.with_welch_test(group_mean_welch(r)), None),
-                         ("mann_whitney_u_test", lambda r: J.with_mwu_test(mann_whitney_u(r)), None)]:
-    register(_name, survey_id="J1-J4 p-values", digits={"p_value": STAT})(_fn)
+def _tested(base_name: str, p: str) -> str:
+    """SQL of a query with its p-value and verdict."""
+    return (f"SELECT *, coalesce(p_value < 0.05, false) AS rejected FROM (SELECT *, {p} AS p_value "
+            f"FROM ({REGISTRY[base_name].sql}) b)")
+
+
+_T2 = f"CASE WHEN t_stat IS NULL THEN NULL ELSE {t_two_sided_sql('t_stat', 'df')} END"
+_TG = f"CASE WHEN t_stat IS NULL THEN NULL ELSE {t_greater_sql('t_stat', 'df')} END"
+_FP = f"CASE WHEN f_stat IS NULL THEN NULL ELSE {f_sf_sql('f_stat', 'df_between', 'df_within')} END"
+_ZP = f"CASE WHEN z IS NULL THEN NULL ELSE {norm_sf_sql('z')} END"
+
+for _name, _fn, _p, _digits in [
+        ("anova_oneway", lambda r: J.with_anova_test(anova_oneway(r)), _FP, ANOVA_DIGITS),
+        ("freq_decline_welch", lambda r: J.with_welch_test(freq_decline_welch(r), "greater"), _TG, dict(WELCH_DIGITS, pct_change=STAT)),
+        ("group_mean_welch", lambda r: J.with_welch_test(group_mean_welch(r)), _T2, dict(WELCH_DIGITS, margin_gap_pp=STAT)),
+        ("mann_whitney_u", lambda r: J.with_mwu_test(mann_whitney_u(r)), _ZP, MWU_DIGITS)]:
+    register(_name + "_test", survey_id="J1-J4 p-values", digits=dict(_digits, p_value=STAT), sql=_tested(_name, _p))(_fn)
+
+_Z95 = NormalDist().inv_cdf(0.975)
+REGISTRY["ab_welch_inference"].digits.update(REGISTRY["ab_welch"].digits)
+REGISTRY["ab_welch_inference"].sql = f"""SELECT *, mean_diff - {t_quantile_sql(_Z95, 'df')} * se AS ci_low,
+  mean_diff + {t_quantile_sql(_Z95, 'df')} * se AS ci_high,
+  {norm_sf_sql(f"(CAST({_Z95!r} AS DOUBLE) - power_effect * sqrt((2.0 / (1.0 / n1 + 1.0 / n2)) / 2))")} AS power
+FROM ({_tested("ab_welch", _T2)}) c"""
+
+
+def _hypotheses_sql() -> str:
+    size = "CASE WHEN abs_r < 0.2 THEN 'negligible' WHEN abs_r < 0.5 THEN 'small' WHEN abs_r < 0.8 THEN 'medium' ELSE 'large' END"
+    rows = [("H1", "one-way ANOVA", "anova_oneway_test", "f_stat", "eta_squared", "effect_label", "rejected"),
+            ("H2", "Welch t (greater)", "freq_decline_welch_test", "t_stat", "abs(cohens_d)", "effect_label", "rejected"),
+            ("H3", "Welch t", "group_mean_welch_test", "t_stat", "abs(cohens_d)", "effect_label", "rejected"),
+            ("H4", "Mann-Whitney U (greater)", "mann_whitney_u_test", "u_stat", "abs(rank_biserial)", "effect_label", "rejected"),
+            ("H5", "Pearson r", "discount_margin_pearson_test", "r", "abs_r", size, "coalesce(significant, false)")]
+    return "\nUNION ALL\n".join(
+        f"SELECT '{h}' AS hypothesis_id, '{t}' AS test_name, CAST({stat} AS DOUBLE) AS statistic, p_value, CAST({size_} AS DOUBLE) AS effect_size, "
+        f"{label} AS effect_label, {rej} AS rejected FROM ({REGISTRY[q].sql}) q{h}" for h, t, q, stat, size_, label, rej in rows)
+
+
+REGISTRY["run_hypotheses"].sql = _hypotheses_sql()
 
 
 @register("pearson_test", survey_id="J5",

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from statistics import NormalDist
+
 from pyspark.sql import functions as F
 
 from ..operators import elasticity as E
 from ..operators import mix as N
 from ..sources.retail import Retail
-from .registry import MONEY, STAT, UNIT, register
-from .sql import MARKETING, PRODUCTS, TX, with_
+from .registry import MONEY, REGISTRY, STAT, UNIT, register
+from .sql import MARKETING, PRODUCTS, TX, t_quantile_sql, with_
 
 CHANNELS = ["click", "error", "signup", "view"]
 # event type → media channel name used for the decay table (adapter choice)
@@ -168,7 +170,9 @@ def category_elasticity(r: Retail):
     return E.category_elasticity(r.transactions)
 
 
-@register("category_elasticity_ci", survey_id="N9", digits=dict(ELAST_DIGITS, ci_low=STAT, ci_high=STAT))
+@register("category_elasticity_ci", survey_id="N9", digits=dict(ELAST_DIGITS, ci_low=STAT, ci_high=STAT),
+          sql=f"""SELECT *, elasticity - {t_quantile_sql(NormalDist().inv_cdf(0.975), "n - 2")} * std_error AS ci_low,
+  elasticity + {t_quantile_sql(NormalDist().inv_cdf(0.975), "n - 2")} * std_error AS ci_high FROM ({REGISTRY["category_elasticity"].sql})""")
 def category_elasticity_ci(r: Retail):
     return E.with_elasticity_ci(E.category_elasticity(r.transactions))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from ..operators import trend as T
 from ..sources.retail import Retail
 from .registry import MONEY, STAT, UNIT, register
-from .sql import MARKETING, TX, with_
+from .sql import MARKETING, TX, with_, t_two_sided_sql
 
 # ---- series definitions: Spark builder + SQL twin -------------------------
 
@@ -68,7 +68,10 @@ def _make_trend(name, kind, metric, level):
     register(name, sql=trend_sql(kind, metric), digits=_trend_digits(level), survey_id="I5-I8")(
         lambda r: T.trend_summary(SERIES[kind][0](r), metric))
     digits = dict(_trend_digits(level), p_value=STAT)
-    register(name + "_test", digits=digits, survey_id="I2-I3")(
+    p = f"CASE WHEN r_squared >= 1.0 THEN 0.0 WHEN t_stat IS NULL THEN NULL ELSE {t_two_sided_sql('t_stat', 'df')} END"
+    test = f"""SELECT *, CASE WHEN p_value IS NULL OR p_value >= 0.05 THEN 'stable' WHEN slope > 0 THEN 'growing' ELSE 'declining' END
+  AS direction FROM (SELECT *, {p} AS p_value FROM ({trend_sql(kind, metric)}) b)"""
+    register(name + "_test", digits=digits, survey_id="I2-I3", sql=test)(
         lambda r: T.trend_summary(SERIES[kind][0](r), metric, with_test=True))
 
 

@@ -47,3 +47,45 @@ resp AS (SELECT market, day AS period, sum(value) AS revenue
 
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
+
+
+# ---- p-values in SQL: Simpson sums of the densities, independent of functions/pvalues.py ----
+_N = 20000
+_W = f"(CASE WHEN k IN (0, {_N}) THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END)"
+
+
+def _simpson(f: str, top: str) -> str:
+    """∫ f(u) du from 0 to ``top``; ``f`` uses {u}."""
+    return f"((SELECT sum({_W} * ({f.format(u=f'({top} * k / {_N}.0)')})) FROM range(0, {_N} + 1) steps(k)) * ({top}) / {_N}.0 / 3)"
+
+
+def t_two_sided_sql(t: str, df: str) -> str:
+    body = _simpson(f"pow(1 + {{u}} * {{u}} / ({df}), -(({df}) + 1) / 2.0)", f"least(abs({t}), 40.0)")
+    scale = f"exp(lgamma((({df}) + 1) / 2.0) - lgamma(({df}) / 2.0)) / sqrt(({df}) * pi())"
+    return f"greatest(0.0, 1 - 2 * {scale} * {body})"
+
+
+def t_greater_sql(t: str, df: str) -> str:
+    two = t_two_sided_sql(t, df)
+    return f"CASE WHEN {t} > 0 THEN {two} / 2 ELSE 1 - {two} / 2 END"
+
+
+def norm_sf_sql(z: str) -> str:
+    body = _simpson("exp(-{u} * {u} / 2)", f"least(abs({z}), 40.0)")
+    half = f"greatest(0.0, 0.5 - {body} / sqrt(2 * pi()))"
+    return f"CASE WHEN {z} > 0 THEN {half} ELSE 1 - {half} END"
+
+
+def f_sf_sql(f: str, d1: str, d2: str) -> str:
+    """The beta integral up to d2 / (d2 + d1 f), for d1 ≥ 2."""
+    a, b = f"(({d2}) / 2.0)", f"(({d1}) / 2.0)"
+    body = _simpson(f"CASE WHEN k = 0 THEN 0.0 ELSE pow({{u}}, {a} - 1) * pow(1 - {{u}}, {b} - 1) END", f"(({d2}) / (({d2}) + ({d1}) * ({f})))")
+    return f"exp(lgamma({a} + {b}) - lgamma({a}) - lgamma({b})) * {body}"
+
+
+def t_quantile_sql(z: float, df: str) -> str:
+    """Student quantile at the normal quantile z by the Cornish-Fisher series (df of a hundred or more)."""
+    z3, z5, z7, z9 = z ** 3, z ** 5, z ** 7, z ** 9
+    terms = [z, (z3 + z) / 4, (5 * z5 + 16 * z3 + 3 * z) / 96, (3 * z7 + 19 * z5 + 17 * z3 - 15 * z) / 384,
+             (79 * z9 + 776 * z7 + 1482 * z5 - 1920 * z3 - 945 * z) / 92160]
+    return "(" + " + ".join(f"CAST({c!r} AS DOUBLE) / pow(({df}), {k})" for k, c in enumerate(terms)) + ")"

@@ -40,3 +40,22 @@ def test_against_jvm_commons_math(spark):
         pytest.skip("commons-math3 not reachable")
     assert pv.t_cdf(1.7, 12) == pytest.approx(t.cumulativeProbability(1.7), rel=1e-9)
     assert pv.f_sf(2.5, 3, 40) == pytest.approx(1 - f.cumulativeProbability(2.5), rel=1e-8)
+
+
+def test_large_degrees_of_freedom():
+    """Student t tends to the normal and F to the chi-square, without losing digits on the way."""
+    normal = math.erfc(2 / math.sqrt(2))
+    for df in (9_999.0, 10_001.0, 1e6, 1e10, 6e11):
+        first_order = normal + 2 * (2 ** 3 + 2) / (4 * df) * math.exp(-2) / math.sqrt(2 * math.pi)
+        assert pv.t_two_sided(2.0, df) == pytest.approx(first_order, rel=1e-7)
+        assert pv.t_two_sided(0.01, df) == pytest.approx(math.erfc(0.01 / math.sqrt(2)), rel=1e-5)
+    assert pv.t_two_sided(2.0, 10_000.0) == pytest.approx(pv.t_two_sided(2.0, 10_000.0001), rel=1e-9)  # both sides of the switch
+    for d2 in (1e8, 1e10, 1e12):
+        assert pv.f_sf(3.0, 4, d2) == pytest.approx(math.exp(-6) * 7, rel=1e-6)
+    assert pv.f_sf(30.0, 4, 1e10) == pytest.approx(math.exp(-60) * 61, abs=1e-15)
+
+
+def test_fraction_must_converge(monkeypatch):
+    monkeypatch.setattr(pv, "_EPS", 0.0)
+    with pytest.raises(ArithmeticError):
+        pv.betainc(3.3, 2.2, 0.3)
