@@ -5,86 +5,119 @@ fitted model's coefficients reaches the driver."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import (Imputer, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer,
+                                VectorAssembler)
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import ranks
 from ..functions.expr import div
 
 
-def preprocess_stages(numeric: list[str], categorical: list[str]) -> list:
+def preprocess_stages(numeric: list[str], categorical: list[str], fills: dict[str, str] | None = None) -> list:
     """M1: median imputation + standardisation of numeric columns; most
-    frequent fill + one-hot (unknown levels kept) of categoricals."""
+    frequent fill (``fills``, learnt on the training rows and kept as a stage) + one-hot (unknown levels kept) of categoricals."""
     imp = [f"{c}__imp" for c in numeric]
     stages = [Imputer(inputCols=numeric, outputCols=imp, strategy="median"),
               VectorAssembler(inputCols=imp, outputCol="_num", handleInvalid="keep"),
               StandardScaler(inputCol="_num", outputCol="_num_std", withMean=True, withStd=True)]
-    idx = [f"{c}__idx" for c in categorical]
-    ohe = [f"{c}__ohe" for c in categorical]
+    filled, idx, ohe = ([f"{c}__{x}" for c in categorical] for x in ("fill", "idx", "ohe"))
     if categorical:
-        stages += [StringIndexer(inputCols=categorical, outputCols=idx, handleInvalid="keep"),
+        def quoted(v):
+            return "'" + str(v).replace("'", "''") + "'"
+        cols = ", ".join(f"coalesce({c}, {quoted((fills or {}).get(c, ''))}) AS {f}" for c, f in zip(categorical, filled))
+        stages += [SQLTransformer(statement=f"SELECT *, {cols} FROM __THIS__"),
+                   StringIndexer(inputCols=filled, outputCols=idx, handleInvalid="keep"),
                    OneHotEncoder(inputCols=idx, outputCols=ohe, handleInvalid="keep")]
     stages.append(VectorAssembler(inputCols=["_num_std", *ohe], outputCol="features"))
     return stages
 
 
-def fill_categoricals(df: DataFrame, categorical: list[str]) -> DataFrame:
-    """Most-frequent fill for categoricals (mode, smallest on ties)."""
-    modes = df.agg(*[F.mode(c, True).alias(c) for c in categorical]).select(F.struct("*")).scalar()
-    x = df.withColumn("_modes", modes)
-    return x.withColumns({c: F.coalesce(F.col(c), F.col(f"_modes.{c}")) for c in categorical}).drop("_modes")
+def most_frequent(train: DataFrame, categorical: list[str]) -> dict[str, str]:
+    """Most frequent level per categorical of the training rows (smallest on ties): one row."""
+    if not categorical:
+        return {}
+    row = train.agg(*[F.mode(c, True).alias(c) for c in categorical]).first()
+    return {c: row[c] for c in categorical if row[c] is not None}
 
 
 def hash_split(df: DataFrame, key: str, test_frac: float = 0.2, label: str | None = None, seed: int = 42):
-    """M4: deterministic train/test split on a hash of the key (stratified
-    when a label is given: the hash is taken within each label)."""
-    h = F.abs(F.xxhash64(F.col(key), F.lit(seed))) % 10000 / 10000.0
-    t = df.withColumn("_is_test", h < test_frac)
+    """M4: deterministic train/test split by the order of a hash of the key; with a label exactly
+    ``test_frac`` of each label's rows (rounded half up) are test rows.  Keys are unique."""
+    h = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1 << 31)).cast("double")
+    if label is None:
+        t = df.withColumn("_is_test", h < test_frac * (1 << 31))
+    else:
+        hashed = df.withColumn("_h", h)
+        order = ranks.first_ranks(hashed, "_h", key, group=[label], out="_rank")
+        size = df.groupBy(label).agg(F.floor(F.count(F.lit(1)) * test_frac + 0.5).alias("_n_test"))
+        t = (df.join(order.select(key, "_rank"), key).join(size, label)
+             .withColumn("_is_test", F.col("_rank") <= F.col("_n_test")).drop("_rank", "_n_test"))
     return t.where(~F.col("_is_test")).drop("_is_test"), t.where(F.col("_is_test")).drop("_is_test")
 
 
+def seeded_sample(df: DataFrame, key: str, frac: float, seed: int = 42) -> DataFrame:
+    """F8: rows whose key's hash (first 32 bits of an MD5 with the seed) falls below the fraction."""
+    h = F.conv(F.substring(F.md5(F.concat_ws("-", F.col(key).cast("string"), F.lit(str(seed)))), 1, 8), 16, 10).cast("double")
+    return df.where(h < frac * 2.0 ** 32)
+
+
 def with_balanced_weights(df: DataFrame, label: str) -> DataFrame:
     """sklearn ``class_weight='balanced'``: n / (k · n_class) per row."""
     cnt = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
     n = df.agg(F.count(F.lit(1))).scalar()
     k = cnt.agg(F.count(F.lit(1))).scalar()
-    return df.join(F.broadcast(cnt), label).withColumn("weight", n / (k * F.col("_nc"))).drop("_nc")
+    return df.join(cnt, label).withColumn("weight", n / (k * F.col("_nc"))).drop("_nc")
 
 
-def churn_classifiers(kind: str, label: str = "label"):
-    """M2: logistic (C=1 → regParam 1/n left to the caller), random forest
-    (200 trees, depth 8, min leaf 20), boosted trees (300 iters, depth 6,
-    step 0.05, subsample 0.8)."""
+GBT_ROUNDS = 300  # boosted trees are sequential; callers may ask for fewer
+
+
+def churn_classifiers(kind: str, label: str = "label", n: int = 1, rounds: int = GBT_ROUNDS, min_leaf: int = 20):
+    """M2: logistic (C = 1 on n rows of balanced weight, so regParam = 1/n), random forest
+    (200 trees, depth 8, min leaf 20), boosted trees (depth 6, step 0.05, subsample 0.8)."""
     if kind == "logistic":
-        return LogisticRegression(labelCol=label, weightCol="weight", maxIter=200, regParam=0.0)
+        return LogisticRegression(labelCol=label, weightCol="weight", maxIter=200, regParam=1.0 / max(n, 1), standardization=False)
     if kind == "random_forest":
         return RandomForestClassifier(labelCol=label, weightCol="weight", numTrees=200, maxDepth=8,
-                                      minInstancesPerNode=20, seed=42)
+                                      minInstancesPerNode=min_leaf, seed=42)
     if kind == "gbt":
-        return GBTClassifier(labelCol=label, weightCol="weight", maxIter=300, maxDepth=6, stepSize=0.05,
+        return GBTClassifier(labelCol=label, weightCol="weight", maxIter=rounds, maxDepth=6, stepSize=0.05,
                              subsamplingRate=0.8, seed=42)
     raise ValueError(kind)
 
 
-def fit_classifier(train: DataFrame, numeric: list[str], categorical: list[str], kind: str, label: str = "label"):
-    data = fill_categoricals(train, categorical) if categorical else train
-    pipe = Pipeline(stages=preprocess_stages(numeric, categorical) + [churn_classifiers(kind, label)])
-    return pipe.fit(with_balanced_weights(data, label))
+def fit_classifier(train: DataFrame, numeric: list[str], categorical: list[str], kind: str, label: str = "label",
+                   rounds: int = GBT_ROUNDS, min_leaf: int = 20):
+    n = train.count()
+    est = churn_classifiers(kind, label, n, rounds, min_leaf)
+    pipe = Pipeline(stages=preprocess_stages(numeric, categorical, most_frequent(train, categorical)) + [est])
+    return pipe.fit(with_balanced_weights(train, label))
 
 
-def churn_scores(model, df: DataFrame, categorical: list[str], threshold: float = 0.5) -> DataFrame:
+def churn_scores(model, df: DataFrame, threshold: float = 0.5) -> DataFrame:
     """M7: probability of the positive class and the flag at ``threshold``."""
-    data = fill_categoricals(df, categorical) if categorical else df
-    out = model.transform(data)
+    out = model.transform(df)
     p = vector_to_array("probability")[1]
     return out.withColumn("churn_probability", p).withColumn(
         "churn_flag", (F.col("churn_probability") >= threshold).cast("int"))
 
 
+def average_precision(df: DataFrame, label: str, score: str):
+    """M5: Σ over distinct scores, from the top, of recall gained × precision there, as a scalar column.
+    Ranks are counted by distributed prefix sums over distinct scores."""
+    base = df.where(F.col(label).isNotNull() & F.col(score).isNotNull()).select(score, label)
+    every = ranks.value_prefix(base, score).select("v", (F.col("n_total") - F.col("cum_before")).alias("_n"))
+    pos = ranks.value_prefix(base.where(F.col(label) == 1), score).select(
+        "v", "cnt", F.col("n_total").alias("_p"), (F.col("n_total") - F.col("cum_before")).alias("_tp"))
+    return pos.join(every, "v").agg(F.sum(F.col("cnt") / F.col("_p") * F.col("_tp") / F.col("_n"))).scalar()
+
+
 def classification_metrics(df: DataFrame, label: str, score: str, threshold: float = 0.5) -> DataFrame:
     """M5: AUC-ROC (= Mann-Whitney U ÷ n1·n0 from distributed average ranks
     of the score), precision, recall, F1, accuracy and confusion counts."""
@@ -106,7 +139,8 @@ def classification_metrics(df: DataFrame, label: str, score: str, threshold: flo
         F.when((n1 > 0) & (n0 > 0), (F.lit(r1) - n1 * (n1 + 1) / 2) / (n1 * n0)).alias("auc_roc"),
         prec.alias("precision"), rec.alias("recall"),
         F.when(prec + rec > 0, 2 * prec * rec / (prec + rec)).otherwise(0.0).alias("f1"),
-        div(F.col("tp") + F.col("tn"), n1 + n0).alias("accuracy"))
+        div(F.col("tp") + F.col("tn"), n1 + n0).alias("accuracy"),
+        F.lit(average_precision(base, label, score)).alias("average_precision"))
 
 
 def regression_metrics(df: DataFrame, label: str, pred: str) -> DataFrame:
@@ -131,22 +165,44 @@ def churn_report(scores: DataFrame, customers: DataFrame, value_per_churner: flo
         "revenue_at_risk", F.col("n_churners") * value_per_churner)
 
 
+def slot_names(model, numeric: list[str], categorical: list[str]) -> list[str]:
+    """Names of the feature vector's slots: numeric columns, then level by level of each categorical."""
+    indexers = [st for st in model.stages if hasattr(st, "labelsArray")]
+    levels = indexers[0].labelsArray if indexers else []
+    return numeric + [f"{c}={v}" for c, vs in zip(categorical, levels) for v in [*vs, "(unknown)"]]
+
+
 def feature_importance(model, names: list[str], top: int = 10) -> DataFrame:
     """Top feature importances (trees) or |coefficients| (linear)."""
     last = model.stages[-1]
-    if hasattr(last, "featureImportances"):
-        vals = last.featureImportances.toArray().tolist()
-    else:
-        vals = [abs(x) for x in last.coefficients.toArray().tolist()]
-    rows = sorted(zip(names + [f"f{i}" for i in range(len(names), len(vals))], vals), key=lambda t: -t[1])[:top]
+    vals = (last.featureImportances if hasattr(last, "featureImportances") else last.coefficients).toArray().tolist()
+    rows = sorted(zip(names, map(abs, vals)), key=lambda t: (-t[1], t[0]))[:top]
     from pyspark.sql import SparkSession
     return SparkSession.getActiveSession().createDataFrame(rows, "feature string, importance double")
 
 
-def fit_regressor(train: DataFrame, numeric: list[str], label: str, kind: str, alpha: float = 1.0):
-    """M3: ridge (unpenalised intercept) or random forest regression on
+def permutation_importance(model, df: DataFrame, features: list[str], label: str, key: str, seed: int = 7) -> DataFrame:
+    """M13 for trees: loss of AUC when one feature's values are dealt out anew among the rows (each row
+    gets the value of the row at its place in another hash order)."""
+    def auc(scored):
+        return classification_metrics(scored, label, "churn_probability").select("auc_roc")
+
+    def order(salt):
+        h = F.pmod(F.xxhash64(F.col(key), F.lit(salt)), F.lit(1 << 31)).cast("double")
+        return ranks.first_ranks(df.select(key).withColumn("_h", h), "_h", key, out="_rank")
+    whole = auc(churn_scores(model, df)).scalar()
+    mine, rows = order(seed), []
+    for i, c in enumerate(features):
+        other = order(seed + 1 + i).join(df.select(key, F.col(c).alias("_new")), key).select("_rank", "_new")
+        mixed = df.join(mine, key).join(other, "_rank").withColumn(c, F.col("_new")).drop("_new", "_rank")
+        rows.append(auc(churn_scores(model, mixed)).select(F.lit(c).alias("feature"), (F.lit(whole) - F.col("auc_roc")).alias("auc_loss")))
+    return reduce(DataFrame.unionByName, rows)
+
+
+def fit_regressor(train: DataFrame, numeric: list[str], label: str, kind: str, alpha: float = 1.0, rounds: int = GBT_ROUNDS):
+    """M3: ridge (unpenalised intercept), random forest (200 trees, depth 8, min leaf 5) or boosted trees on
     standardised numeric features."""
-    from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+    from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
     if kind == "ridge":
         # sklearn Ridge(alpha) ≡ Spark regParam = alpha / n · σ_pop(y) without
         # Spark's own standardisation (inputs are already standardised)
@@ -154,33 +210,27 @@ def fit_regressor(train: DataFrame, numeric: list[str], label: str, kind: str, a
         est = LinearRegression(labelCol=label, regParam=float(alpha) / max(n, 1) * float(sd or 0.0),
                                elasticNetParam=0.0, standardization=False, solver="normal")
     elif kind == "random_forest":
-        est = RandomForestRegressor(labelCol=label, numTrees=100, maxDepth=6, seed=42)
+        est = RandomForestRegressor(labelCol=label, numTrees=200, maxDepth=8, minInstancesPerNode=5, seed=42)
+    elif kind == "gbt":
+        est = GBTRegressor(labelCol=label, maxIter=rounds, maxDepth=6, stepSize=0.05, subsamplingRate=0.8, seed=42)
     else:
         raise ValueError(kind)
     return Pipeline(stages=preprocess_stages(numeric, []) + [est]).fit(train)
 
 
-def cross_validated_auc(data: DataFrame, numeric: list[str], categorical: list[str], label: str = "label",
-                        folds: int = 5, kind: str = "logistic") -> DataFrame:
-    """M4: k-fold cross-validation (deterministic hash folds on the key
-    column ``customer_id``): AUC per fold, mean and std, fitted on the
-    executors through Spark ML's CrossValidator."""
-    from pyspark.ml.evaluation import BinaryClassificationEvaluator
-    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-    d = fill_categoricals(data, categorical) if categorical else data
-    d = with_balanced_weights(d, label).withColumn(
-        "fold", (F.abs(F.xxhash64("customer_id", F.lit(7))) % folds).cast("int"))
-    pipe = Pipeline(stages=preprocess_stages(numeric, categorical) + [churn_classifiers(kind, label)])
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=ParamGridBuilder().build(),
-                        evaluator=BinaryClassificationEvaluator(labelCol=label), foldCol="fold",
-                        numFolds=folds, parallelism=2, collectSubModels=False)
-    model = cv.fit(d)
-    from pyspark.sql import SparkSession
-    spark = SparkSession.getActiveSession()
-    metrics = model.avgMetrics
-    std = model.stdMetrics if hasattr(model, "stdMetrics") and model.stdMetrics else [float("nan")]
-    return spark.createDataFrame([(folds, float(metrics[0]), float(std[0]))],
-                                 "n_folds int, mean_auc double, std_auc double")
+def cross_validated_auc(train: DataFrame, numeric: list[str], categorical: list[str], key: str, label: str = "label",
+                        folds: int = 5, kind: str = "logistic", rounds: int = GBT_ROUNDS, min_leaf: int = 20) -> DataFrame:
+    """M4: k-fold cross-validation on the training rows (hash folds on the key): mean and standard deviation
+    of the folds' AUC.  Fills, scaling and the model are fitted anew on each fold's other rows."""
+    fold = F.pmod(F.xxhash64(F.col(key), F.lit(7)), F.lit(folds))
+    rows = []
+    for k in range(folds):
+        part = train.withColumn("_fold", fold)
+        model = fit_classifier(part.where(F.col("_fold") != k), numeric, categorical, kind, label, rounds, min_leaf)
+        rows.append(classification_metrics(churn_scores(model, part.where(F.col("_fold") == k)), label, "churn_probability").select("auc_roc"))
+    return reduce(DataFrame.unionByName, rows).agg(
+        F.lit(kind).alias("model"), F.count("auc_roc").cast("int").alias("n_folds"), F.avg("auc_roc").alias("mean_auc"),
+        F.stddev_pop("auc_roc").alias("std_auc"))
 
 
 def store_report(scores: DataFrame, pred: str = "prediction", revenue: str = "avg_monthly_revenue",
@@ -203,11 +253,10 @@ def store_report(scores: DataFrame, pred: str = "prediction", revenue: str = "av
 
 
 def store_action_lists(scores: DataFrame, key: str = "store_id", pred: str = "prediction",
-                       revenue: str = "avg_monthly_revenue", k: int = 20) -> DataFrame:
+                       revenue: str = "avg_monthly_revenue", k: int = 20, k_monitor: int | None = None) -> DataFrame:
     """M9 lists: ``invest`` = the k bottom stores (< p20) with the largest
-    uplift potential (median − prediction) × revenue; ``monitor`` = the first
-    k stores (by key) in [p20, p35).  A top-k report: the limit is the feature."""
-    from pyspark.sql import Window
+    uplift potential (median − prediction) × revenue; ``monitor`` = all
+    stores in [p20, p35), ranked by prediction (the first ``k_monitor`` if given)."""
     q = ranks.quantiles(scores, pred, [0.2, 0.35, 0.5], ["a", "b", "m"]).select(F.struct("*")).scalar()
     s = scores.withColumn("_q", q)
     # top-k via orderBy().limit() (per-partition top-k, then a k-row merge);
@@ -218,12 +267,11 @@ def store_action_lists(scores: DataFrame, key: str = "store_id", pred: str = "pr
            .withColumn("rank", F.row_number().over(Window.orderBy(F.col("uplift_potential").desc(), key)))
            .select(F.lit("invest").alias("list_type"), key, F.col("rank").cast("long").alias("rank"),
                    "uplift_potential"))
-    mon = (s.where((F.col(pred) >= F.col("_q.a")) & (F.col(pred) < F.col("_q.b")))
-           .orderBy(key).limit(k)
-           .withColumn("rank", F.row_number().over(Window.orderBy(key)))
-           .select(F.lit("monitor").alias("list_type"), key, F.col("rank").cast("long").alias("rank"),
-                   F.lit(None).cast("double").alias("uplift_potential")))
-    return inv.unionByName(mon)
+    band = s.where((F.col(pred) >= F.col("_q.a")) & (F.col(pred) < F.col("_q.b")))
+    mon = band.join(ranks.first_ranks(band, pred, key, out="rank"), key).select(
+        F.lit("monitor").alias("list_type"), key, F.col("rank").cast("long").alias("rank"),
+        F.lit(None).cast("double").alias("uplift_potential"))
+    return inv.unionByName(mon if k_monitor is None else mon.where(F.col("rank") <= k_monitor))
 
 
 def store_report_classification(scores: DataFrame, proba: str = "probability",
@@ -264,17 +312,17 @@ def linear_attribution(model, df: DataFrame, numeric: list[str]) -> DataFrame:
                                           for c in numeric])).alias("x")).select("x.*")
 
 
-def model_comparison(train: DataFrame, test: DataFrame, numeric: list[str], categorical: list[str],
-                     label_col: str, candidates: tuple[str, ...] = ("logistic", "random_forest")) -> DataFrame:
-    """M2/M4: fit each candidate on the training split, score the held-out
-    split, and flag the best candidate by test AUC (ties: first listed)."""
-    from functools import reduce
-    from pyspark.sql import Window
+def model_comparison(train: DataFrame, test: DataFrame, numeric: list[str], categorical: list[str], key: str,
+                     label: str = "label", candidates: tuple[str, ...] = ("logistic", "random_forest", "gbt"),
+                     folds: int = 5, rounds: int = GBT_ROUNDS, min_leaf: int = 20) -> DataFrame:
+    """M2/M4: per candidate the cross-validated AUC on the training rows and the metrics on the held-out rows; the
+    best by test AUC is flagged (ties: first listed)."""
     rows = []
     for i, kind in enumerate(candidates):
-        model = fit_classifier(train, numeric, categorical, kind)
-        m = classification_metrics(churn_scores(model, test, categorical), label_col, "churn_probability")
-        rows.append(m.select(F.lit(kind).alias("model"), F.lit(i).alias("_order"), "*"))
+        cv = cross_validated_auc(train, numeric, categorical, key, label, folds, kind, rounds, min_leaf)
+        model = fit_classifier(train, numeric, categorical, kind, label, rounds, min_leaf)
+        m = classification_metrics(churn_scores(model, test), label, "churn_probability")
+        rows.append(m.crossJoin(cv.select("mean_auc", "std_auc")).select(F.lit(kind).alias("model"), F.lit(i).alias("_order"), "*"))
     allm = reduce(DataFrame.unionByName, rows)
-    best = F.row_number().over(Window.orderBy(F.col("auc_roc").desc_nulls_last(), "_order"))  # ≤ 3 rows
+    best = F.row_number().over(Window.orderBy(F.col("auc_roc").desc_nulls_last(), "_order"))  # a row per candidate
     return allm.withColumn("is_best", best == 1).drop("_order")

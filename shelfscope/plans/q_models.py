@@ -3,13 +3,18 @@ deterministic score have DuckDB oracles; trained-model outputs are rows-only."""
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators import features as L
 from ..operators import models as M
+from ..sources import sinks as S
 from ..sources.retail import Retail
 from .q_features import CUTOFF, SF_SQL
 from .registry import STAT, UNIT, register
+from .sql import CUSTOMERS, TX, with_
 
 NUMERIC = ["recency_days", "n_txns", "total_spend", "avg_discount"]
 
@@ -20,25 +25,51 @@ def _churn_data(r: Retail):
         "label", F.col("is_churned").cast("double"))
 
 
-@register("churn_model_eval", survey_id="M1-M5,M7",
-          digits={"auc_roc": STAT, "precision": STAT, "recall": STAT, "f1": STAT, "accuracy": STAT})
+# rounds of boosted trees in the registered comparisons; the operators' default is 300
+ROUNDS = 10
+METRIC_DIGITS = {"auc_roc": STAT, "precision": STAT, "recall": STAT, "f1": STAT, "accuracy": STAT, "average_precision": STAT}
+
+
+def _cut(df: DataFrame, name: str) -> DataFrame:
+    """Training passes over its rows many times: they are written to the shared folder once and reread."""
+    spark = df.sparkSession
+    return spark.read.parquet(S.write_table(df, S.shared_root(spark, name)))
+
+
+def _churn_split(r: Retail):
+    train, test = M.hash_split(_cut(_churn_data(r), "churn"), "customer_id", label="label")
+    return _cut(train, "churn-train"), _cut(test, "churn-test")
+
+
+@register("churn_model_eval", survey_id="M1-M5,M7", digits=METRIC_DIGITS)
 def churn_model_eval(r: Retail):
-    data = _churn_data(r)
-    train, test = M.hash_split(data, "customer_id")
-    model = M.fit_classifier(train, NUMERIC, ["tier"], "logistic")
-    scores = M.churn_scores(model, test, ["tier"])
-    return M.classification_metrics(scores, "is_churned", "churn_probability")
+    train, test = _churn_split(r)
+    return M.classification_metrics(M.churn_scores(M.fit_classifier(train, NUMERIC, ["tier"], "logistic"), test), "label", "churn_probability")
 
 
 @register("churn_report", survey_id="M8", digits={"churn_rate": STAT, "revenue_at_risk": STAT})
 def churn_report(r: Retail):
-    data = _churn_data(r)
-    model = M.fit_classifier(data, NUMERIC, ["tier"], "logistic")
-    return M.churn_report(M.churn_scores(model, data, ["tier"]), r.customers)
+    """Fitted on the training rows, reported on the held-out ones."""
+    train, test = _churn_split(r)
+    model = M.fit_classifier(train, NUMERIC, ["tier"], "logistic")
+    return M.churn_report(M.churn_scores(model, test), r.customers)
+
+
+@register("churn_report_given_scores", survey_id="M8", digits={"churn_rate": STAT, "revenue_at_risk": STAT},
+          sql=with_(TX, CUSTOMERS) + """, s AS (SELECT customer_id, tier, avg(discount_pct) * 10 AS p FROM tx JOIN customers USING (customer_id)
+  GROUP BY customer_id, tier),
+g AS (SELECT tier, count(*) AS n, count_if(p >= 0.5) AS n_churners, count_if(p >= 0.7) AS n_high_confidence FROM s GROUP BY tier
+  UNION ALL SELECT 'ALL', count(*), count_if(p >= 0.5), count_if(p >= 0.7) FROM s)
+SELECT tier, n, n_churners, n_high_confidence, n_churners / n AS churn_rate, n_churners * 850.0 AS revenue_at_risk FROM g""")
+def churn_report_given_scores(r: Retail):
+    """The report on a score that SQL can state (ten times the mean discount)."""
+    p = r.transactions.groupBy("customer_id").agg((F.avg("discount_pct") * 10).alias("churn_probability"))
+    s = p.join(r.customers.select("customer_id", "tier"), "customer_id").withColumn("churn_flag", (F.col("churn_probability") >= 0.5).cast("int"))
+    return M.churn_report(s, r.customers)
 
 
 @register("classification_metrics", survey_id="M5", digits={"auc_roc": STAT, "precision": STAT, "recall": STAT,
-                                                            "f1": STAT, "accuracy": STAT},
+                                                            "f1": STAT, "accuracy": STAT, "average_precision": STAT},
           sql="""WITH s AS (SELECT CAST(l_returnflag = 'R' AS INT) AS y, l_discount * 10 AS score FROM lineitem),
 rk AS (SELECT y, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0 AS ar FROM s),
 c AS (SELECT count_if(score >= 0.5 AND y = 1) AS tp, count_if(score >= 0.5 AND y = 0) AS fp,
@@ -52,7 +83,10 @@ SELECT tp, fp, tn, fn,
     THEN 2 * (CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END) * (CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END)
     / ((CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END) + (CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END))
     ELSE 0.0 END AS f1,
-  (tp + tn) / (tp + tn + fp + fn) AS accuracy FROM c, a""")
+  (tp + tn) / (tp + tn + fp + fn) AS accuracy,
+  (SELECT sum(pos / CAST(p AS DOUBLE) * tpk / nk) FROM (SELECT score, sum(y) AS pos, sum(sum(y)) OVER () AS p,
+     sum(sum(y)) OVER (ORDER BY score DESC) AS tpk, sum(count(*)) OVER (ORDER BY score DESC) AS nk FROM s GROUP BY score)) AS average_precision
+FROM c, a""")
 def classification_metrics(r: Retail):
     li = r.tables["lineitem"]
     s = li.select((F.col("l_returnflag") == "R").cast("int").alias("y"), (F.col("l_discount") * 10).alias("score"))
@@ -74,9 +108,16 @@ def regression_metrics(r: Retail):
 
 @register("feature_importance", survey_id="M12", digits={"importance": STAT})
 def feature_importance(r: Retail):
-    data = _churn_data(r)
-    model = M.fit_classifier(data, NUMERIC, [], "random_forest")
-    return M.feature_importance(model, NUMERIC)
+    train, _ = _churn_split(r)
+    model = M.fit_classifier(train, NUMERIC, ["tier"], "random_forest")
+    return M.feature_importance(model, M.slot_names(model, NUMERIC, ["tier"]))
+
+
+@register("permutation_importance", survey_id="M13", digits={"auc_loss": STAT})
+def permutation_importance(r: Retail):
+    train, test = _churn_split(r)
+    model = M.fit_classifier(train, NUMERIC, ["tier"], "random_forest")
+    return M.permutation_importance(model, test, [*NUMERIC, "tier"], "label", "customer_id")
 
 
 STORE_NUMERIC = ["size", "avg_monthly_revenue", "revenue_volatility", "active_months", "revenue_slope",
@@ -92,20 +133,27 @@ def _store_data(r: Retail):
 
 @register("store_models", survey_id="M3,M6", digits={"rmse": STAT, "mae": STAT, "r_squared": STAT, "mape": STAT})
 def store_models(r: Retail):
-    """Ridge and random-forest regressions of the margin ratio on store
-    features; in-sample metrics per model."""
-    data = _store_data(r).where(F.col("margin_ratio").isNotNull())
-    rows = []
-    for kind in ("ridge", "random_forest"):
-        m = M.fit_regressor(data, STORE_NUMERIC, "margin_ratio", kind)
-        rows.append(M.regression_metrics(m.transform(data), "margin_ratio", "prediction")
-                    .select(F.lit(kind).alias("model"), "*"))
-    return rows[0].unionByName(rows[1])
+    """Ridge, random-forest and boosted regressions of the margin ratio on store features, judged on held-out stores."""
+    train, test = M.hash_split(_cut(_store_data(r).where(F.col("margin_ratio").isNotNull()), "stores"), "store_id")
+    rows = [M.regression_metrics(M.fit_regressor(train, STORE_NUMERIC, "margin_ratio", kind, rounds=ROUNDS).transform(test),
+                                 "margin_ratio", "prediction").select(F.lit(kind).alias("model"), "*")
+            for kind in ("ridge", "random_forest", "gbt")]
+    best = F.row_number().over(Window.orderBy(F.col("r_squared").desc_nulls_last(), "model"))  # a row per candidate
+    return reduce(DataFrame.unionByName, rows).withColumn("is_best", best == 1)
+
+
+@register("store_classifiers", survey_id="M3,M4", digits=dict(METRIC_DIGITS, mean_auc=STAT, std_auc=STAT))
+def store_classifiers(r: Retail):
+    """Top-performer classifiers on a stratified split, cross-validated on the training stores."""
+    train, test = M.hash_split(_cut(_store_data(r).where(F.col("label_cls").isNotNull()), "stores"), "store_id", label="label_cls")
+    train, test = _cut(train, "stores-train"), _cut(test, "stores-test")
+    return M.model_comparison(train, test, STORE_NUMERIC, [], "store_id", "label_cls", ("logistic", "random_forest"), folds=2, min_leaf=1)
 
 
 @register("churn_model_cv", survey_id="M4", digits={"mean_auc": STAT, "std_auc": STAT})
 def churn_model_cv(r: Retail):
-    return M.cross_validated_auc(_churn_data(r), NUMERIC, ["tier"], "label", folds=5)
+    train, _ = _churn_split(r)
+    return M.cross_validated_auc(train, NUMERIC, ["tier"], "customer_id", folds=5)
 
 
 def _scored_stores(r: Retail):
@@ -137,12 +185,12 @@ def store_report(r: Retail):
 q AS (SELECT quantile_cont(margin_ratio, 0.2) AS a, quantile_cont(margin_ratio, 0.35) AS b,
              quantile_cont(margin_ratio, 0.5) AS m FROM s),
 inv AS (SELECT store_id, (m - margin_ratio) * avg_monthly_revenue AS uplift_potential FROM s, q WHERE margin_ratio < a),
-mon AS (SELECT store_id FROM s, q WHERE margin_ratio >= a AND margin_ratio < b)
+mon AS (SELECT store_id, margin_ratio FROM s, q WHERE margin_ratio >= a AND margin_ratio < b)
 SELECT * FROM (SELECT 'invest' AS list_type, store_id,
   row_number() OVER (ORDER BY uplift_potential DESC, store_id) AS rank, uplift_potential FROM inv) WHERE rank <= 20
 UNION ALL
-SELECT * FROM (SELECT 'monitor' AS list_type, store_id, row_number() OVER (ORDER BY store_id) AS rank,
-  CAST(NULL AS DOUBLE) AS uplift_potential FROM mon) WHERE rank <= 20""")
+SELECT 'monitor' AS list_type, store_id, row_number() OVER (ORDER BY margin_ratio, store_id) AS rank,
+  CAST(NULL AS DOUBLE) AS uplift_potential FROM mon""")
 def store_action_lists(r: Retail):
     return M.store_action_lists(_scored_stores(r))
 
@@ -168,7 +216,7 @@ def store_uplift_trainer(r: Retail):
 
 @register("linear_attribution", survey_id="M13", digits={"mean_abs_shap": STAT})
 def linear_attribution(r: Retail):
-    data = _store_data(r).where(F.col("margin_ratio").isNotNull())
+    data = _cut(_store_data(r).where(F.col("margin_ratio").isNotNull()), "stores")
     model = M.fit_regressor(data, STORE_NUMERIC, "margin_ratio", "ridge")
     return M.linear_attribution(model, data, STORE_NUMERIC)
 
@@ -179,24 +227,20 @@ def model_roundtrip(r: Retail):
     count identical scores."""
     from pyspark.ml import PipelineModel
     from ..sources.sinks import shared_root
-    data = _churn_data(r)
+    data = _cut(_churn_data(r), "churn")
     model = M.fit_classifier(data, NUMERIC, ["tier"], "logistic")
     path = shared_root(r.transactions.sparkSession, "model")
     model.write().overwrite().save(path)
     loaded = PipelineModel.load(path)
-    a = M.churn_scores(model, data, ["tier"]).select("customer_id", F.col("churn_probability").alias("p1"))
-    b = M.churn_scores(loaded, data, ["tier"]).select("customer_id", F.col("churn_probability").alias("p2"))
+    a = M.churn_scores(model, data).select("customer_id", F.col("churn_probability").alias("p1"))
+    b = M.churn_scores(loaded, data).select("customer_id", F.col("churn_probability").alias("p2"))
     return a.join(b, "customer_id").agg(F.count(F.lit(1)).alias("n_scored"),
                                         F.count_if(F.col("p1") == F.col("p2")).alias("n_identical"))
 
 
-@register("churn_model_comparison", survey_id="M2,M4",
-          digits={"auc_roc": STAT, "precision": STAT, "recall": STAT, "f1": STAT, "accuracy": STAT})
+@register("churn_model_comparison", survey_id="M2,M4", digits=dict(METRIC_DIGITS, mean_auc=STAT, std_auc=STAT))
 def churn_model_comparison(r: Retail):
-    """Logistic vs random forest on a deterministic 80/20 hash split; the
-    best by test AUC is flagged.  (Boosted trees are available through
-    ``churn_classifiers("gbt")``; their 300 sequential rounds are left out
-    of the registered comparison.)"""
-    data = _churn_data(r)
-    train, test = M.hash_split(data, "customer_id")
-    return M.model_comparison(train, test, NUMERIC, ["tier"], "is_churned")
+    """Logistic, random forest and boosted trees on a stratified 80/20 split: cross-validated on the training rows, judged on
+    the others, the best by test AUC flagged.  Fold and round counts are kept small here; both are parameters."""
+    train, test = _churn_split(r)
+    return M.model_comparison(train, test, NUMERIC, ["tier"], "customer_id", folds=2, rounds=ROUNDS)

@@ -17,6 +17,7 @@ from .q_describe import TIER_ORDER
 from .q_kpi import CLUSTERS
 from .q_quality import PART_TYPES, RULES
 from .registry import register
+from .sql import TX, with_
 
 
 @register("feature_store_manifest", survey_id="A5,A6,A8",
@@ -70,12 +71,20 @@ def dq_offending_values(r: Retail):
     return reduce(DataFrame.unionByName, parts)
 
 
-@register("stratified_split", survey_id="F8,M4")
+@register("stratified_split", survey_id="F8,M4",
+          sql=with_(TX) + """, c AS (SELECT customer_id, CAST(count_if(date > TIMESTAMP '2000-06-30 00:00:00' AND date <= TIMESTAMP '2000-06-30 00:00:00' + INTERVAL 90 DAY) = 0 AS INT) AS is_churned
+  FROM tx GROUP BY customer_id HAVING count_if(date <= TIMESTAMP '2000-06-30 00:00:00') > 0),
+n AS (SELECT is_churned, count(*) AS n, CAST(floor(count(*) * 0.2 + 0.5) AS BIGINT) AS n_test FROM c GROUP BY is_churned)
+SELECT 'test' AS split, is_churned, n_test AS n FROM n WHERE n_test > 0 UNION ALL SELECT 'train', is_churned, n - n_test FROM n WHERE n > n_test""")
 def stratified_split(r: Retail):
-    """Deterministic hash split (seeded) of the point-in-time churn table:
-    counts per split and label."""
+    """Deterministic stratified 80/20 split of the point-in-time churn table: counts per split and label."""
     f = L.point_in_time_churn(r.transactions, "2000-06-30 00:00:00")
-    train, test = M.hash_split(f, "customer_id", 0.2)
+    train, test = M.hash_split(f, "customer_id", 0.2, label="is_churned")
     return (train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
             .groupBy("split", "is_churned").agg(F.count(F.lit(1)).alias("n")))
 
+
+@register("seeded_sample", survey_id="F8",
+          sql="SELECT c_custkey FROM customer WHERE CAST('0x' || substr(md5(CAST(c_custkey AS VARCHAR) || '-42'), 1, 8) AS UBIGINT) < 0.1 * pow(2, 32)")
+def seeded_sample(r: Retail):
+    return M.seeded_sample(r.tables["customer"].select("c_custkey"), "c_custkey", 0.1)
