@@ -37,16 +37,6 @@ def clip(c, lo: float, hi: float) -> Column:
     return F.when(c.isNotNull(), F.least(F.greatest(c, F.lit(lo)), F.lit(hi)))
 
 
-def ratio_floor(num, den, floor: float = 1.0) -> Column:
-    """``num / max(den, floor)`` — the reference's ratio-of-sums guard."""
-    return col(num) / clip_lower(den, floor)
-
-
-def guarded_ratio(num, den) -> Column:
-    """``num / den`` when den > 0 else NULL (``np.where(den>0, n/d, nan)``)."""
-    return F.when(col(den) > 0, col(num) / col(den))
-
-
 def month_index(period, first_period) -> Column:
     """1-based month number of ``period`` counted from ``first_period``."""
     p, f = col(period), col(first_period)
@@ -112,11 +102,6 @@ def trend_direction(slope, p_value, alpha: float = 0.05) -> Column:
             .when(s > 0, "growing").otherwise("declining"))
 
 
-def change_direction(delta) -> Column:
-    d = col(delta)
-    return F.when(d.isNull(), F.lit(None)).when(d >= 0, "up").otherwise("down")
-
-
 def one_row_join(a: DataFrame, b: DataFrame) -> DataFrame:
     """Side-by-side concatenation of two *global* aggregates (each exactly
     one row by construction); the right side is broadcast, so this is a

@@ -150,39 +150,6 @@ def first_ranks(df: DataFrame, value: str, key: str, descending: bool = False,
             .select(*group, key, out))
 
 
-def quintile_scores(df: DataFrame, value: str, key: str, out: str, q: int = 5,
-                    reverse: bool = False, n_buckets: int | None = None) -> DataFrame:
-    """pandas ``qcut(x, q, labels=1..q)`` with the reference's fallback.
-
-    If the q+1 quantile edges are strictly increasing, score = 1 + #inner
-    edges below x (bins are right-closed, lowest included).  Otherwise
-    (duplicate edges) score = ceil(first_rank / n · q) clipped to 1..q.
-    ``reverse`` gives the highest score to the lowest values.  Returns
-    ``(key, out)`` for rows with a non-NULL value."""
-    probs = [i / q for i in range(q + 1)]
-    names = [f"_e{i}" for i in range(q + 1)]
-    edges = quantiles(df, value, probs, names, n_buckets=n_buckets)
-    strict = F.lit(True)
-    for a, b in zip(names, names[1:]):
-        strict = strict & (F.col(b) > F.col(a))
-    base = df.select(key, value).where(F.col(value).isNotNull())
-    # one scalar subquery carries the edge check, the inner edges and n
-    info = edges.select(F.struct(
-        strict.alias("strict"), F.array(*[F.col(n) for n in names[1:-1]]).alias("inner"))).scalar()
-    scored = (base.withColumn("_info", info)
-              .withColumn("_qs", 1 + F.size(F.filter(F.col("_info.inner"), lambda e: e < F.col(value))))
-              .withColumn("_strict", F.col("_info.strict")).drop("_info"))
-    # fallback ranks only for inputs whose edges collide (empty otherwise)
-    fb_in = base.withColumn("_info", info).where(~F.col("_info.strict")).drop("_info")
-    n_rows = base.agg(F.count(F.lit(1))).scalar()
-    fr = first_ranks(fb_in, value, key, descending=reverse, n_buckets=n_buckets)
-    fb = fr.select(key, F.least(F.lit(q), F.greatest(F.lit(1), F.ceil(F.col("rank_first") / n_rows * q)))
-                   .cast("int").alias("_fb"))
-    qs = F.col("_qs") if not reverse else (q + 1 - F.col("_qs"))
-    return (scored.join(fb, key, "left")
-            .select(key, F.when(F.col("_strict"), qs).otherwise(F.col("_fb")).cast("int").alias(out)))
-
-
 def top_k_sum(df: DataFrame, value: str, frac: float | None = None, group: list[str] | None = None,
               n_buckets: int | None = None, k: int | None = None) -> DataFrame:
     """Σ of the k largest values (pandas ``nlargest(k).sum()``) with
@@ -208,7 +175,9 @@ def top_k_sum(df: DataFrame, value: str, frac: float | None = None, group: list[
 
 def quintile_scores_multi(df: DataFrame, key: str, specs: dict[str, tuple[str, bool]], q: int = 5,
                           n_buckets: int | None = None) -> DataFrame:
-    """``quintile_scores`` for several columns in one grouped pass:
+    """pandas ``qcut(x, q, labels=1..q)`` scores of several columns in one grouped pass.  If the q+1 quantile
+    edges are strictly increasing, score = 1 + #inner edges below x (bins are right-closed, lowest included), mirrored when
+    reversed; otherwise score = ceil(first rank / n · q) clipped to 1..q, ranked from the other end when reversed.
     specs = {out_name: (column, reverse)}.  The columns are unpivoted to
     (metric, value), edges / fallback ranks are computed grouped by metric,
     and the scores are pivoted back to one row per key."""

@@ -17,10 +17,6 @@ def by_store(tx: DataFrame) -> DataFrame:
     return tx.groupBy("store_id").agg(*_sums())
 
 
-def by_store_month(tx: DataFrame) -> DataFrame:
-    return tx.groupBy("store_id", "period").agg(*_sums())
-
-
 def by_customer(tx: DataFrame) -> DataFrame:
     return tx.groupBy("customer_id").agg(*_sums(F.max("date").alias("last_date")))
 

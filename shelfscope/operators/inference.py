@@ -84,11 +84,6 @@ def with_welch_test(df: DataFrame, alternative: str = "two-sided", alpha: float
         "rejected", F.coalesce(F.col("p_value") < alpha, F.lit(False)))
 
 
-def monthly_frequency(tx: DataFrame, month_col: str = "month_num") -> DataFrame:
-    """Per customer, mean transactions per active month."""
-    return (tx.groupBy("customer_id", month_col).agg(F.count(F.lit(1)).alias("_c"))
-            .groupBy("customer_id").agg(F.avg("_c").alias("freq")))
-
 
 def frequency_decline(tx: DataFrame, customers: DataFrame, tier_value: str, split_month: int = 24,
                       tier: str = "tier") -> DataFrame:

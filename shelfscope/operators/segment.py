@@ -71,7 +71,7 @@ def rfm_scores(rfm: DataFrame) -> DataFrame:
 
 
 def rfm_label(r="recency_score", f="frequency_score", m="monetary_score"):
-    """K5: first matching rule wins."""
+    """K5: first matching rule wins.  Labels and score bounds are fixed values."""
     r, f, m = F.col(r), F.col(f), F.col(m)
     return (F.when((r == 5) & (f == 5) & (m == 5), "Champions")
             .when((r >= 4) & (f >= 4) & (m >= 4), "Loyal Customers")

@@ -42,3 +42,13 @@ def checkpoint_base(spark: SparkSession) -> str:
     if not base:
         raise RuntimeError("spark.checkpoint.dir is not set: no shared folder to write to")
     return base.rstrip("/")
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors as a zip, for clusters where it is not installed
+    (its pandas UDFs import it there)."""
+    import shutil
+    import tempfile
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    spark.sparkContext.addPyFile(shutil.make_archive(os.path.join(tempfile.mkdtemp(), "shelfscope"), "zip", root, "shelfscope"))
