@@ -25,6 +25,8 @@ HEADLINE = [
     "dq_checks", "profile_table", "customer_features", "store_features", "product_features",
     "category_elasticity", "whatif_batch", "rice_rank",
 ]
+# model training, run once: the source's published figure is about 5 min for its four model families
+TRAINING = ["churn_model_eval", "store_models", "mmm_fit", "product_elasticity"]
 
 
 def main() -> None:
@@ -43,6 +45,10 @@ def main() -> None:
         t0 = time.perf_counter()
         run_query(name, spark, sf_dir, fact).collect()
         times[name] = round(time.perf_counter() - t0, 3)
+    for name in TRAINING:
+        t0 = time.perf_counter()
+        run_query(name, spark, sf_dir, fact).collect()
+        times[name] = round(time.perf_counter() - t0, 3)
     if os.environ.get("BENCH_WARM", "1") == "1":
         for name in names:  # warm: the same queries again, freshly planned
             t0 = time.perf_counter()
@@ -50,7 +56,8 @@ def main() -> None:
             warm[name] = round(time.perf_counter() - t0, 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     out = {"metric": "headline_queries_total_wall", "value": round(sum(times.values()), 3),
-           "unit": "sec", "queries": times, "sf": sf, "cpus": cpus}
+           "unit": "sec", "queries": times, "sf": sf, "cpus": cpus,
+           "model_training": round(sum(times[n] for n in TRAINING), 3)}
     if warm:
         out.update(value_warm=round(sum(warm.values()), 3), queries_warm=warm)
     print(json.dumps(out))

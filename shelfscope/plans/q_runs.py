@@ -1,5 +1,5 @@
 """Registered composite runs: run_temporal (I9), run_bivariate (H12),
-run_univariate (H6), eda_summary (I14) and the marketing what-if (O2)."""
+run_univariate (H6) and the EDA summary (I14)."""
 
 from __future__ import annotations
 
@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 from ..functions.expr import one_row_join
 from ..operators import describe as D
 from ..operators import kpi as P
-from ..operators import mix as N
 from ..operators import trend as T
 from ..sources.retail import Retail
 from . import q_describe as QD
 from . import q_trend as QT
-from .registry import STAT, UNIT, register
+from . import q_kpi  # noqa: F401  (its SQL is composed here)
+from .registry import REGISTRY, STAT, UNIT, register
 from .sql import with_
 
 TREND_UNION_DIGITS = {"slope": UNIT, "intercept": UNIT, "r_squared": STAT, "t_stat": STAT,
@@ -78,7 +78,12 @@ def run_univariate(r: Retail):
 
 
 @register("eda_summary", survey_id="I14", digits={"total_revenue": UNIT, "total_profit": UNIT, "margin_pct": STAT,
-                                                  "margin_change_pct": STAT})
+                                                  "margin_change_pct": STAT},
+          sql=f"""SELECT total_revenue, total_profit, margin_pct, n_customers, m.direction AS margin_direction,
+  m.pct_change AS margin_change_pct, v.direction AS revenue_direction,
+  CASE WHEN m.direction = 'declining' AND m.pct_change < -5 THEN 'margin' WHEN v.direction = 'declining' THEN 'revenue'
+    ELSE 'concentration' END AS lead_finding
+FROM ({REGISTRY["kpi_summary"].sql}) k, ({REGISTRY["margin_trend_test"].sql}) m, ({REGISTRY["revenue_trend_test"].sql}) v""")
 def eda_summary(r: Retail):
     """Headline totals, trend verdicts and the lead-finding code: margin when
     its trend declines by more than 5 %, else revenue when declining, else
@@ -92,3 +97,29 @@ def eda_summary(r: Retail):
     lead = (F.when((F.col("margin_direction") == "declining") & (F.col("margin_change_pct") < -5), "margin")
             .when(F.col("revenue_direction") == "declining", "revenue").otherwise("concentration"))
     return out.withColumn("lead_finding", lead)
+
+
+def _long(df: DataFrame, name, stats: list[str]) -> DataFrame:
+    return df.select(name.alias("analysis"), F.explode(F.array(*[
+        F.struct(F.lit(c).alias("stat"), F.col(c).cast("double").alias("value")) for c in stats])).alias("x")).select("analysis", "x.*")
+
+
+TREND_STATS = ["slope", "r_squared", "first_value", "last_value", "pct_change"]
+
+
+def _findings_sql() -> str:
+    parts = [f"SELECT analysis, stat, value FROM ({REGISTRY['run_univariate'].sql})",
+             f"SELECT analysis, 'r' AS stat, CAST(r AS DOUBLE) AS value FROM ({REGISTRY['run_bivariate'].sql})"]
+    parts += [f"SELECT metric AS analysis, '{c}' AS stat, CAST({c} AS DOUBLE) AS value FROM ({REGISTRY['run_temporal'].sql})" for c in TREND_STATS]
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("eda_findings", survey_id="I14,A7", digits={"value": UNIT}, sql=_findings_sql())
+def eda_findings(r: Retail):
+    """Every distribution, association and trend figure of the summary as (analysis, stat, value), written as JSON to shared
+    storage and read back."""
+    from ..sources import sinks as S
+    out = run_univariate(r).unionByName(_long(run_bivariate(r), F.col("analysis"), ["r"])).unionByName(
+        _long(run_temporal(r), F.col("metric"), TREND_STATS))
+    path = S.write_json(out, S.shared_root(out.sparkSession, "eda"))
+    return out.sparkSession.read.schema(out.schema).json(path)

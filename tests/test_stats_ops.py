@@ -231,3 +231,70 @@ def test_outlier_rows_beyond_three_iqr(spark):
     exp = {i: ("high" if v > q3 + 3 * (q3 - q1) else "low") for i, v in enumerate(vals)
            if v > q3 + 3 * (q3 - q1) or v < q1 - 3 * (q3 - q1)}
     assert out == exp == {7: "high", 8: "low"}
+
+
+def test_mix_design_decays_across_missing_days(spark):
+    """Pivot, zero fill, then adstock: a day without spend of a channel still decays; ROI uses the design mean."""
+    import datetime as dt
+    day = [dt.date(2024, 1, k) for k in range(1, 6)]
+    spend = spark.createDataFrame([("s", day[0], "a", 100.0), ("s", day[1], "b", 10.0), ("s", day[2], "a", 8.0), ("s", day[3], "b", 1.0), ("s", day[4], "a", 4.0)],
+                                  "segment string, period date, channel string, spend double")
+    rev = spark.createDataFrame([("s", d, float(k)) for k, d in enumerate(day, 1)], "segment string, period date, revenue double")
+    wide = N.spend_pivot(spend, rev, ["a", "b"], group=["segment"])
+    got = N.adstock_design(wide, ["a", "b"], {"a": 0.5, "b": 0.1}, group=["segment"]).orderBy("period").collect()
+    assert [r.a for r in got] == [100.0, 50.0, 33.0, 16.5, 12.25]
+    assert [round(r.b, 6) for r in got] == [0.0, 10.0, 1.0, 1.1, 0.11]
+    coef = spark.createDataFrame([("s", "a", -0.5, 42.0, 3.0)], "segment string, channel string, beta double, x_mean double, y_std double")
+    total = spark.createDataFrame([("s", "a", 112.0)], "segment string, channel string, total_spend double")
+    assert N.mmm_roi(coef, total, 2, ["segment"]).first().roi == pytest.approx(0.5 * 42 * 3 * 2 / 112)
+    assert N.spend_pivot(spend, rev.limit(3), ["a", "b"], group=["segment"]).count() == 0  # fewer than four aligned days
+
+
+def test_product_elasticity_own_rows_and_clipping(spark):
+    from shelfscope.operators import elasticity as E
+    rng = np.random.default_rng(3)
+    n = 240
+    pdf = pd.DataFrame({"product_id": np.arange(n) % 12, "category": "c", "is_private_label": (np.arange(n) % 12 < 4).astype(int),
+                        "unit_price": np.exp(rng.normal(1, 0.3, n)), "quantity": np.exp(rng.normal(2, 0.4, n))})
+    pdf.loc[0, "unit_price"], pdf.loc[1, "quantity"] = -3.0, 0.0
+    lp, lq = np.log(pdf.unit_price.clip(lower=0.01)), np.log(pdf.quantity.clip(lower=0.001))
+    x = np.column_stack([lp, pdf.is_private_label, lp * pdf.is_private_label])
+    xc, yc = x - x.mean(0), lq - lq.mean()
+    beta = np.linalg.solve(xc.T @ xc + 0.01 * np.eye(3), xc.T @ yc)
+    fit = lq.mean() + xc @ beta
+    got = {r.product_id: r for r in E.product_elasticity(spark.createDataFrame(pdf)).collect()}
+    assert len(got) == 12
+    for k, r in got.items():
+        m = pdf.product_id == k
+        e = beta[0] + beta[2] * pdf.is_private_label[m].iloc[0]
+        se = lq[m].std() / (lp[m].std() * np.sqrt(m.sum()))
+        r2 = 1 - ((lq[m] - fit[m]) ** 2).sum() / ((lq[m] - lq[m].mean()) ** 2).sum()
+        assert (r.elasticity, r.ci_low, r.ci_high, r.r_squared) == pytest.approx((e, e - 1.96 * se, e + 1.96 * se, r2), rel=1e-6)
+        assert r.avg_quantity == pytest.approx(pdf.quantity[m].mean())
+
+
+def test_stratified_split_and_average_precision(spark):
+    from shelfscope.operators import models as M
+    df = spark.createDataFrame([(k, float(k % 5 == 0), float((k * 37 % 100)) / 100) for k in range(200)], "k long, y double, p double")
+    train, test = M.hash_split(df, "k", 0.2, label="y")
+    assert {(r.y, r["count"]) for r in test.groupBy("y").count().collect()} == {(1.0, 8), (0.0, 32)}
+    assert train.count() == 160 and train.join(test, "k").count() == 0
+    rows = sorted(((r.p, r.y) for r in df.collect()), reverse=True)
+    ap, tp = 0.0, 0
+    for at in range(0, 200, 2):  # every score occurs twice
+        got = sum(y for _, y in rows[at:at + 2])
+        tp += got
+        ap += got / 40 * tp / (at + 2)
+    assert M.classification_metrics(df, "y", "p").first().average_precision == pytest.approx(ap)
+
+
+def test_planted_signal_is_learnt_and_fills_are_fitted(spark):
+    from shelfscope.operators import models as M
+    rng = np.random.default_rng(5)
+    rows = [(k, float(x), None if k % 9 == 0 else "ab"[k % 2], float(x + 0.3 * rng.normal() > 0)) for k, x in enumerate(rng.normal(size=300))]
+    df = spark.createDataFrame(rows, "k long, x double, c string, label double")
+    train, test = M.hash_split(df, "k", 0.3, label="label")
+    model = M.fit_classifier(train, ["x"], ["c"], "logistic")
+    assert M.classification_metrics(M.churn_scores(model, test), "label", "churn_probability").first().auc_roc > 0.9
+    one = test.where("c is null").limit(1)  # scored alone, the fill is still the training rows'
+    assert M.churn_scores(model, one).first()["c__fill"] == M.most_frequent(train, ["c"])["c"]
