@@ -198,10 +198,12 @@ def store_costs(tx: DataFrame) -> DataFrame:
     return tx.groupBy("store_id", "period").agg(F.sum("operating_cost").alias("total_operating_cost"))
 
 
-def prepare_fact(spark: SparkSession, sf_dir: str, path: str) -> str:
+def prepare_fact(spark: SparkSession, sf_dir: str, path: str, partitions: int | None = None) -> str:
     """Write the joined transactions as Parquet to ``path`` (shared storage): analyses
-    that read them with ``fact_path`` scan just their columns instead of joining again."""
-    transactions(Tables(spark, sf_dir)).write.parquet(path)
+    that read them with ``fact_path`` scan just their columns instead of joining again.  ``partitions`` deals the
+    rows out anew, for inputs of a single file; shuffled joins of large inputs need none."""
+    tx = transactions(Tables(spark, sf_dir))
+    (tx if partitions is None else tx.repartition(partitions)).write.parquet(path)
     return path
 
 
