@@ -6,6 +6,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .oracles import ORACLES as ORACLE_SQL  # noqa: F401
 
@@ -41,7 +42,8 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def good_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "labels").where("quality = 1 and coalesce(toxic, 0) = 0").select("doc_id")
+    """Labels of good quality; those that are toxic as well teach the resampler what goes."""
+    return table(spark, sf_dir, "labels").where("quality = 1").select("doc_id", F.coalesce("toxic", F.lit(0)).alias("toxic"))
 
 
 @query
@@ -53,8 +55,6 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
-
     from .line_chunks import dedup_lines
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return dedup_lines(docs).select(

@@ -67,3 +67,30 @@ def test_held_out_labels(spark):
     rows = labels.where("doc_id % 2 = 1 and toxic = 0").collect()
     good, bad = [[got[r.doc_id] for r in rows if r.quality == q] for q in (1, 0)]
     assert np.mean(good) > 0.85 and np.mean(bad) < 0.1
+
+
+def test_held_out_toxic_rows(spark):
+    """Toxic rows of good quality, fitted on the labels of even ids and judged on those of odd ids."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").where("quality = 1")
+    got = {r.doc_id: r.kept for r in resample(docs, labels.where("doc_id % 2 = 0")).select("doc_id", "kept").collect()}
+    rows = labels.where("doc_id % 2 = 1").collect()
+    clean, toxic = [[got[r.doc_id] for r in rows if r.toxic == x] for x in (0, 1)]
+    print("kept: clean", np.mean(clean), len(clean), "toxic", np.mean(toxic), len(toxic))
+    assert np.mean(clean) > 0.97 and np.mean(toxic) < 0.35
+
+
+def test_toxic_words_count_in_long_texts(spark):
+    rng = np.random.default_rng(3)
+    vocab = ["".join(rng.choice(list("abcdefgh"), 5)) for _ in range(400)]
+    text = lambda n: [vocab[k] for k in rng.integers(0, 400, n)]
+    rows = [(i, " ".join(text(300)), 0) for i in range(300)]
+    for i in range(60):
+        w = text(300)
+        w[int(rng.integers(300))] = "zzbad"
+        rows.append((1000 + i, " ".join(w), 1))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    out = {r.doc_id: r.kept for r in resample(docs.drop("toxic"), docs.where("doc_id % 2 = 0").select("doc_id", "toxic")).collect()}
+    assert sum(out[i] for i in out if i >= 1000) <= 5
+    plain = {r.doc_id: r.kept for r in resample(docs.drop("toxic"), docs.where("doc_id % 2 = 0 and toxic = 0").select("doc_id")).collect()}
+    assert sum(out[i] for i in out if i < 1000) >= sum(plain[i] for i in plain if i < 1000) - 10
