@@ -2,9 +2,12 @@
 
 A rolling hash over the hashes of the last ``WINDOW`` lines closes a chunk where its low bits are zero, so an
 inserted or deleted line moves the borders near it only and the chunks after it are found again.  A line of at least
-``LONG_WORDS`` words is a chunk by itself.  A chunk of at least two lines, or of one long line, that occurs more than
-once in the corpus is kept at its first place (smallest doc_id, then text hash, then position) and
-removed elsewhere, after its bytes were compared with those of the kept one.
+``LONG_WORDS`` words is a chunk by itself.  Where such a border falls depends on the lines before a passage, so a second layer has
+a chunk from every non-blank line to the next one: a passage of any two or more of them is found in whatever stands
+around it.  A first-layer chunk whose outer lines are not blank is covered by these and left out.  A chunk of at least two lines,
+or of one long line, that occurs more than once in the corpus is kept at its first place (smallest doc_id, then text hash,
+then position) and removed elsewhere, after its bytes were compared with those of the kept one.  The first place of
+a line is never removed, as no chunk with it occurs earlier.
 
 Plan: (1) chunk every text and emit place and 128-bit hash per chunk; (2) count the hashes with partial sums, so
 a hash shared by a third of the corpus is one row per task; (3) only repeated chunks carry their bytes to a join
@@ -36,12 +39,14 @@ _WORD_BYTES = bytes(b if chr(b).isalnum() or b >= 0x80 else 0x20 for b in range(
 
 
 def chunks(lines: list[bytes]) -> list[tuple[int, int, bool]]:
-    """[start, end) line ranges of a text's chunks, and whether a repeat of the chunk is removed."""
+    """[start, end) line ranges of a text's chunks of both layers, and whether a repeat of the chunk is removed."""
     out, start, before = [], 0, 0
+    filled = [bool(x.strip()) for x in lines]
 
     def close(end: int) -> None:
-        if start < end:
-            out.append((start, end, end - start >= MIN_LINES and any(x.strip() for x in lines[start:end])))
+        covered = end - start >= MIN_LINES and filled[start] and filled[end - 1]
+        if start < end and not covered:
+            out.append((start, end, end - start >= MIN_LINES and any(filled[start:end])))
 
     for k, line in enumerate(lines):
         now = xxhash.xxh3_64_intdigest(line)
@@ -56,7 +61,8 @@ def chunks(lines: list[bytes]) -> list[tuple[int, int, bool]]:
                 start = k + 1
         before = now
     close(len(lines))
-    return out
+    full = [k for k, x in enumerate(filled) if x]
+    return out + [(a, b + 1, True) for a, b in zip(full, full[1:])]
 
 
 def _lines(text: str | None) -> list[bytes]:
@@ -103,7 +109,7 @@ def repeated_chunks(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     kind = docs.schema[doc_id].dataType.simpleString()
     place = F.struct(F.col("id").isNull().alias("no_id"), "id", "text_hash", "start")
     found = materialise(keyed.mapInArrow(_places, f"id {kind}, text_hash long, start int, end int, hash binary")
-                        .dropDuplicates(["id", "text_hash", "start"]), "line-chunks")
+                        .dropDuplicates(["id", "text_hash", "start", "end"]), "line-chunks")
     repeated = found.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("kept")).where("n > 1")
     parts = (found.join(repeated, "hash").withColumn("is_kept", place == F.col("kept"))
              .groupBy("id", "text_hash").agg(F.collect_list(F.struct("start", "end", "hash", "is_kept")).alias("parts")))
@@ -117,9 +123,10 @@ def repeated_chunks(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
             .groupBy("id", "text_hash").agg(F.collect_set(F.struct("start", "end")).alias("ranges")))
 
 
-def cut_lines(text: str, ranges: list[dict]) -> str:
+def cut_lines(text: str, ranges: list[dict]) -> tuple[str, int]:
+    """The text without the lines of the ranges, which may overlap, and how many lines went."""
     gone = {k for r in ranges for k in range(r["start"], r["end"])}
-    return "\n".join(x for k, x in enumerate(text.split("\n")) if k not in gone)
+    return "\n".join(x for k, x in enumerate(text.split("\n")) if k not in gone), len(gone)
 
 
 def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", drop_emptied: bool = False,
@@ -143,8 +150,7 @@ def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", dro
                 texts, ranges = cols[at].to_pylist(), ranges.to_pylist()
                 for k, r in enumerate(ranges):
                     if r:
-                        texts[k] = cut_lines(texts[k], r)
-                        n[k] = sum(x["end"] - x["start"] for x in r)
+                        texts[k], n[k] = cut_lines(texts[k], r)
                 cols[at] = pa.array(texts, cols[at].type)
                 if drop_emptied:
                     keep = pa.array([not r or bool(t.strip()) for t, r in zip(texts, ranges)])

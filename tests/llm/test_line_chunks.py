@@ -62,3 +62,25 @@ def test_drop_emptied_and_empty_table(spark):
     assert dedup_lines(docs.limit(0)).count() == 0
     with pytest.raises(ValueError):
         dedup_lines(docs.withColumnRenamed("text", "removed_lines"), text="removed_lines")
+
+
+def test_short_passages_in_foreign_contexts(spark):
+    """Planted passages of 2 to 4 lines against a brute force over lines that does not use chunks()."""
+    rnd = random.Random(5)
+    passages = [[f"passage {p} line {j} " + "w " * rnd.randint(15, 40) for j in range(2 + p % 3)] for p in range(30)]
+    passages[4] = [passages[4][0], "", passages[4][1]]
+    rows = []
+    for k in range(90):
+        own = lambda n: [f"own {k} {rnd.random()}" for _ in range(n)]
+        rows.append((k, "\n".join(own(rnd.randint(0, 7)) + passages[k % 30] + own(rnd.randint(0, 7)))))
+    got = {r.doc_id: r for r in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    seen = set()
+    for k, text in rows:
+        lines, gone = text.split("\n"), set()
+        full = [j for j, x in enumerate(lines) if x]
+        for a, b in zip(full, full[1:]):
+            run = "\n".join(lines[a:b + 1])
+            gone |= set(range(a, b + 1)) if run in seen else set()
+        seen |= {"\n".join(lines[a:b + 1]) for a, b in zip(full, full[1:])}
+        assert got[k].text == "\n".join(x for j, x in enumerate(lines) if j not in gone) and got[k].removed_lines == len(gone)
+        assert (k < 30) == any(x in got[k].text for x in passages[k % 30] if x)
