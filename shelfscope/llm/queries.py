@@ -99,3 +99,10 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .warc import archive
     found = archive(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "capture_no")
+
+
+@query
+def op12_target_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .target_resample import draw
+    docs, target = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return draw(docs, target).select("doc_id", "n_features", "weight", "score", "rank")
