@@ -131,4 +131,29 @@ SELECT page_id, j.host, path, rule, coalesce(by_rule, CASE WHEN purity > 0.5 THE
 FROM j JOIN c{LEVELS} d ON d.host = j.host AND d.masked = j.masked JOIN v ON v.host = d.host AND v.t = d.t"""
 
 
-ORACLES = {"op1_embedding_dedup": OP1, "op2_warc": OP2, "op4_license_scan": _op4(), "op5_decontaminate": OP5, "op6_url_filter": _op6(), "op7_jaccard_join": OP7}
+OP13 = f"""WITH d AS (SELECT row_number() OVER () AS r, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
+t AS (SELECT r, lang, source, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM d),
+k AS (SELECT lang, term FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 30),
+lv AS (SELECT lang, count(*) AS v FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM t JOIN k USING (lang, term) GROUP BY lang, source, term),
+gs AS (SELECT lang, source, sum(n) AS total FROM c GROUP BY lang, source),
+lt AS (SELECT lang, term, sum(n) AS n FROM c GROUP BY lang, term),
+ls AS (SELECT lang, sum(n) AS total FROM c GROUP BY lang),
+f AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+    1 + (CAST(1000000000 AS HUGEINT) * (coalesce(c.n, 0) + 5)) // (coalesce(gs.total, 0) + 5 * lv.v) AS p,
+    1 + (CAST(1000000000 AS HUGEINT) * (lt.n + 5)) // (ls.total + 5 * lv.v) AS q
+  FROM g JOIN k ON k.lang = g.lang JOIN lv ON lv.lang = g.lang JOIN ls ON ls.lang = g.lang JOIN lt ON lt.lang = g.lang AND lt.term = k.term
+  LEFT JOIN gs ON gs.lang = g.lang AND gs.source = g.source
+  LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+far AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM f a JOIN f b ON a.lang = b.lang AND a.term = b.term
+  WHERE a.source <> b.source GROUP BY a.lang, a.source, b.source),
+parts AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(far.value, 0) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN far ON far.lang = a.lang AND far.source = a.source AND far.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, p - q FROM f WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS place FROM parts)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(place AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR place <= 50"""
+
+
+ORACLES = {"op1_embedding_dedup": OP1, "op2_warc": OP2, "op4_license_scan": _op4(), "op5_decontaminate": OP5, "op6_url_filter": _op6(), "op7_jaccard_join": OP7,
+           "op13_source_audit": OP13}

@@ -106,3 +106,9 @@ def op12_target_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .target_resample import draw
     docs, target = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
     return draw(docs, target).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query
+def op13_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .source_audit import audit
+    return audit(table(spark, sf_dir, "documents").select("text", "lang", "source"))

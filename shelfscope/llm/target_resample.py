@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -134,7 +135,7 @@ def feature_crcs(texts: list[bytes | None]) -> Iterator[tuple[np.ndarray, np.nda
 def _text_blocks(batch: pa.RecordBatch) -> Iterator[tuple[int, int, list[bytes | None]]]:
     """(from, to, texts) of rows with about TEXT_BLOCK bytes."""
     column = batch.column("text")
-    size = np.array([len(x) if x is not None else 0 for x in (v.as_buffer() for v in column)], np.int64) if len(column) else np.zeros(0, np.int64)
+    size = np.asarray(pc.fill_null(pc.binary_length(column), 0)).astype(np.int64)
     for part in _blocks_of(size, TEXT_BLOCK):
         yield part.start, part.stop, column.slice(part.start, part.stop - part.start).to_pylist()
 
