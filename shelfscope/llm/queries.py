@@ -112,3 +112,12 @@ def op12_target_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .source_audit import audit
     return audit(table(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
+@query
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .token_files import tokenise
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return tokenise(docs, public_tokenizers.path("word_bpe_49k.json")).select("doc_id", "start", "n_tokens", "ids_crc32")
