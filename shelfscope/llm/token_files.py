@@ -14,7 +14,7 @@ mapped file and ids and masks are views of it (``TokenFile``).  Files are writte
 with Arrow's closing magic as line separator, so they go to any store, are committed once and survive lost executors; they are
 read by the binary source.
 
-Words are encoded by the tokenizers library once per distinct blank-delimited chunk and remembered in a bounded dictionary: this
+Texts are encoded by the tokenizers library once per distinct blank-delimited chunk, remembered in a bounded dictionary: this
 tokenizer drops white space, and neither its normaliser nor its patterns reach across a blank or line feed, so the ids of a
 text are those of its chunks in a row (tested against whole texts).
 
@@ -25,10 +25,14 @@ other columns are not read.
 
 from __future__ import annotations
 
+import functools
 import json
+import os
+import re
+import struct
 import zlib
-from collections.abc import Iterator
-from itertools import chain
+from collections.abc import Iterable, Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -42,31 +46,94 @@ END_ID = 2
 SEQUENCE = 2048
 BATCH = 64            # sequences of a record batch
 SHARD_IDS = 1 << 20   # ids of a shard
-REMEMBERED = 200_000  # distinct chunks a worker remembers
+REMEMBERED = 150_000  # distinct chunks in a generation of a worker's dictionary
 LONG_CHUNK = 64       # longer chunks are not remembered
 MAGIC = "ARROW1"      # ends an Arrow file
 META = b"token_file"
 
 
 class ChunkEncoder:
-    """ids of whole texts as bytes, by chunks between blanks and line feeds."""
+    """ids of whole texts as bytes, by chunks between blanks and line feeds.
 
-    def __init__(self, file: str, dtype: np.dtype):
-        from tokenizers import Tokenizer
-        self.tokenizer, self.dtype, self.known = Tokenizer.from_file(file), dtype, {}
+    New chunks that are a word of Latin letters, perhaps with marks behind it (no apostrophe, no ``<``, which may begin a
+    special token), are encoded many at a time: the patterns cut them into the word and the marks, and each word's last
+    token carries the end-of-word suffix, which tells where its ids stop.  Any other chunk is encoded by itself.  Two generations of a dictionary hold what was seen: the young one
+    takes over what the old one still serves, and becomes the old one when it is full."""
 
-    def _bytes(self, chunks: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch(chunks, add_special_tokens=False)]
+    WORD = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+)([!-&(-/:;=-@[-`{-~]*)")
+    TEXTS, JOINED = 32, 2000  # texts looked up and words joined at once
 
-    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
-        if len(self.known) > REMEMBERED:
-            self.known = {}
-        for text in texts:
-            chunks = (text or "").replace("\n", " ").split(" ")
-            new = [c for c in set(chunks) if c not in self.known]
-            got = dict(zip(new, self._bytes(new))) if new else {}
-            self.known.update((c, b) for c, b in got.items() if len(c) <= LONG_CHUNK)
-            yield b"".join([got[c] if c in got else self.known[c] for c in chunks])
+    def __init__(self, file: str, dtype: np.dtype):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
+        from tokenizers import Tokenizer
+        self.tokenizer, self.dtype, self.young, self.old = Tokenizer.from_file(file), dtype, {}, {}
+        self.pack = [struct.Struct(f"<{n}{'H' if dtype.itemsize == 2 else 'I'}").pack for n in range(64)]
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if suffix and t.endswith(suffix)]] = True
+
+    def _ids(self, texts: list[str]) -> Iterator[np.ndarray]:
+        for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
+            yield np.array(e.ids, self.dtype)
+
+    def _alone(self, chunks: list[str]) -> dict[str, bytes]:
+        return {c: ids.tobytes() for c, ids in zip(chunks, self._ids(chunks))}
+
+    def _words(self, words: list[str]) -> dict[str, bytes]:
+        out, pack, tokens = {}, self.pack, self.tokenizer.model.tokenize
+        for w in words:
+            if w.isascii():  # lower-case letters, which normaliser, patterns and byte map leave as they are
+                ids = [t.id for t in tokens(w)]
+                out[w] = pack[len(ids)](*ids) if len(ids) < len(pack) else np.array(ids, self.dtype).tobytes()
+        words = [w for w in words if w not in out]
+        for k in range(0, len(words), self.JOINED):
+            some = words[k:k + self.JOINED]
+            ids = next(self._ids([" ".join(some)]))
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) != len(some):  # a tokenizer without the suffix
+                out |= self._alone(some)
+                continue
+            raw, cuts = ids.tobytes(), (cuts * self.dtype.itemsize).tolist()
+            out.update((w, raw[a:b]) for w, a, b in zip(some, [0, *cuts], cuts))
+        return out
+
+    def _learn(self, chunks: set[str]) -> None:
+        young, old = self.young, self.old
+        young.update([(c, old[c]) for c in chunks if c in old])
+        simple, other = {}, []
+        for c in [c for c in chunks if c not in young]:
+            m = self.WORD.fullmatch(c)
+            if m:
+                simple[c] = m[1].lower(), m[2]
+            else:
+                other.append(c)
+        words = {w for w, _ in simple.values() if w not in young}
+        young.update([(w, old[w]) for w in words if w in old])
+        young.update(self._words([w for w in words if w not in young]))
+        young.update(self._alone([*other, *{marks for _, marks in simple.values() if marks not in young}]))
+        young.update([(c, young[w] + young[marks]) for c, (w, marks) in simple.items()])
+
+    def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+        texts = iter(texts)
+        while some := list(islice(texts, self.TEXTS)):
+            cut = [(t or "").replace("\n", " ").split(" ") for t in some]
+            known = self.young
+            new = {c for c in set().union(*cut) if c not in known}
+            self._learn(new)
+            for chunks in cut:
+                yield b"".join(map(known.__getitem__, chunks))
+            for c in new:
+                if len(c) > LONG_CHUNK:
+                    del known[c]
+            if len(known) > REMEMBERED:
+                self.young, self.old = {}, known
+
+
+@functools.lru_cache(1)
+def encoder(file: str, dtype: str) -> ChunkEncoder:
+    """One encoder a worker process: its dictionary serves all tasks that the worker runs."""
+    return ChunkEncoder(file, np.dtype(dtype))
 
 
 def vocabulary_type(file: str) -> np.dtype:
@@ -145,7 +212,7 @@ def write_files(docs: DataFrame, path: str, tokenizer_file: str, doc_id: str = "
     end = np.array([END_ID], dtype).tobytes()
 
     def run(batches):
-        encoder, shard, number, held = ChunkEncoder(tokenizer_file, dtype), [], 0, 0
+        shard, number, held = [], 0, 0
 
         def flush():
             place = {"partition": TaskContext.get().partitionId(), "shard": number}
@@ -153,7 +220,7 @@ def write_files(docs: DataFrame, path: str, tokenizer_file: str, doc_id: str = "
 
         for b in batches:
             texts = (t.as_py() for t in b.column("text"))
-            for i, ids in zip(b.column("doc_id").to_pylist(), encoder.encode(texts)):
+            for i, ids in zip(b.column("doc_id").to_pylist(), encoder(tokenizer_file, dtype.str).encode(texts)):
                 shard.append((i, ids + end))
                 held += len(ids) // dtype.itemsize + 1
                 if held >= SHARD_IDS:
