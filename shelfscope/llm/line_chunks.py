@@ -1,132 +1,178 @@
 """Operator 9: line dedup by content-defined chunks of lines.
 
-A rolling hash over the hashes of the last ``WINDOW`` lines closes a chunk where its low bits are zero, so an
-inserted or deleted line moves the borders near it only and the chunks after it are found again.  A line of at least
-``LONG_WORDS`` words is a chunk by itself.  Where such a border falls depends on the lines before a passage, so a second layer has
-a chunk from every non-blank line to the next one: a passage of any two or more of them is found in whatever stands
-around it.  A first-layer chunk whose outer lines are not blank is covered by these and left out.  A chunk of at least two lines,
-or of one long line, that occurs more than once in the corpus is kept at its first place (smallest doc_id, then text hash,
-then position) and removed elsewhere, after its bytes were compared with those of the kept one.  The first place of
-a line is never removed, as no chunk with it occurs earlier.
-
-Plan: (1) chunk every text and emit place and 128-bit hash per chunk; (2) count the hashes with partial sums, so
-a hash shared by a third of the corpus is one row per task; (3) only repeated chunks carry their bytes to a join
-with the kept ones (one row per hash on that side; AQE splits a hot hash on the other); (4) the texts
-are joined with the line ranges to remove.  No group is ever collected, no pair of places is made.
+Every line has a 126-bit hash.  A rolling hash over ``WINDOW`` line hashes before and after each gap between two lines gives the gap
+a level, its number of trailing zero bits; gaps of at least k zero bits are the borders of layer k, and layer 0 has one
+wherever the last two bits are not both set.  The window is one line on either side, so a border moves only with the lines next to
+it and a passage has the same inner borders in whatever stands around it.  Layers 0 to ``LAYERS`` are nested, from
+chunks of a line or two to long ones; equal ranges of two layers are one chunk.
+
+A chunk that occurs more than once is tied to its first place (smallest doc_id, then text hash, then line): document, first document
+and distance make an alignment, and along each alignment all runs of equal lines are found, which extends the chunk line by
+line to both sides.  A run of at least two non-blank lines, or with a line of ``LONG_WORDS`` words, is removed,
+without blank lines at its ends, after the bytes of its lines were compared with the kept ones.  A removed line always equals a line at
+an earlier place, so the first place of a line stays.
+
+Plan: (1) chunk hashes with their smallest and largest place, added up in partial aggregates, so a hash shared by a third of
+the corpus is a row a task; (2) only places of repeated chunks are joined with the kept one (AQE splits a hot hash) and give
+distinct alignments; (3) the line hashes of both documents, cut to the overlap, give the runs; (4) the texts meet their runs in one
+shuffle, which serves both the comparison of bytes (smallest and largest line of each hash) and the cut.  No group is collected but
+the runs and kept lines of a document, which its length bounds; no pair of places is made.
 
 Defined results: rows equal in doc_id and text are one document and share their fate; null and empty texts pass
-through; a text that loses every line becomes '' (``drop_emptied`` drops such rows); blank lines take part like others; lines end at
-"\\n" only; other columns pass through.
+through; a text that loses every line becomes '' (``drop_emptied`` drops such rows); lines end at "\\n" only; other columns
+pass through, whatever their names.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialise
+from .common import materialise, nullable
 
-WINDOW = 2        # lines under the rolling hash
-BORDER_BITS = 1   # one place in 2 closes a chunk
+WINDOW = 1        # lines under the rolling hash on either side of a gap
+LAYERS = 3        # the coarsest layer; layer k has a border where k bits are zero
 MIN_LINES = 2
 LONG_WORDS = 50
-_SPREAD = 0x9E3779B97F4A7C15
+FILLED, LONG = 1, 2  # low bits of a line's hash
+_SPREAD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)  # for the lines before and after a gap
 _WORD_BYTES = bytes(b if chr(b).isalnum() or b >= 0x80 else 0x20 for b in range(256))
 
 
-def chunks(lines: list[bytes]) -> list[tuple[int, int, bool]]:
-    """[start, end) line ranges of a text's chunks of both layers, and whether a repeat of the chunk is removed."""
-    out, start, before = [], 0, 0
-    filled = [bool(x.strip()) for x in lines]
-
-    def close(end: int) -> None:
-        covered = end - start >= MIN_LINES and filled[start] and filled[end - 1]
-        if start < end and not covered:
-            out.append((start, end, end - start >= MIN_LINES and any(filled[start:end])))
-
-    for k, line in enumerate(lines):
-        now = xxhash.xxh3_64_intdigest(line)
-        if len(line) >= 2 * LONG_WORDS - 1 and len(line.translate(_WORD_BYTES).split()) >= LONG_WORDS:
-            close(k)
-            out.append((k, k + 1, True))
-            start = k + 1
-        elif k + 1 - start >= MIN_LINES:
-            # rolling hash of the last two lines; the product's middle bits decide
-            if ((before * _SPREAD + now) * _SPREAD >> 40) & ((1 << BORDER_BITS) - 1) == 0:
-                close(k + 1)
-                start = k + 1
-        before = now
-    close(len(lines))
-    full = [k for k, x in enumerate(filled) if x]
-    return out + [(a, b + 1, True) for a, b in zip(full, full[1:])]
-
-
 def _lines(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "replace").split(b"\n") if text else []
 
 
-def _places(batches):
-    """id, text, text_hash -> a row for each chunk whose repeat would be removed."""
+def line_hashes(lines: list[bytes]) -> np.ndarray:
+    """A row of two 64-bit words for each line; the lowest bits tell whether it is blank and whether it is long."""
+    out = np.frombuffer(b"".join([hashlib.blake2b(x, digest_size=16).digest() for x in lines]), "<u8").reshape(-1, 2).copy()
+    flags = [(FILLED if x.strip() else 0) | (LONG if len(x) >= 2 * LONG_WORDS - 1 and len(x.translate(_WORD_BYTES).split()) >= LONG_WORDS else 0)
+             for x in lines]
+    out[:, 0] = out[:, 0] & ~np.uint64(3) | np.array(flags, "<u8")
+    return out
+
+
+def gap_levels(hashes: np.ndarray) -> np.ndarray:
+    """Level of the gap before each line from the second on: zero bits of the rolling hash on its better side, -1 if
+    both end in two set bits."""
+    with np.errstate(over="ignore"):
+        sides = []
+        for spread, lines in zip(_SPREAD, (hashes[:-1, 1], hashes[1:, 1])):
+            rolled = (lines * spread) >> np.uint64(32)
+            low = rolled & (~rolled + np.uint64(1))  # lowest bit that is set
+            zeros = np.where(low == 0, 32, np.log2(np.maximum(low, np.uint64(1)).astype(float))).astype(np.int64)
+            sides.append(np.where(rolled & np.uint64(3) == np.uint64(3), -1, zeros))
+    return np.maximum(*sides)
+
+
+def chunks(hashes: np.ndarray) -> list[tuple[int, int]]:
+    """[start, end) line ranges of all layers that hold a line that is not blank."""
+    n = len(hashes)
+    if not n:
+        return []
+    level, filled = gap_levels(hashes), np.concatenate([[0], np.cumsum(hashes[:, 0] & np.uint64(FILLED))])
+    out = set()
+    for k in range(LAYERS + 1):
+        edges = [0, *(np.flatnonzero(level >= k) + 1).tolist(), n]
+        out.update((a, b) for a, b in zip(edges, edges[1:]) if filled[b] > filled[a])
+    return sorted(out)
+
+
+def _hashed(batches):
+    """id, text, text_hash -> the document's line hashes and the hashes of its chunks."""
     for b in batches:
-        at, start, end, digest = [], [], [], []
-        for k, text in enumerate(b.column(1).to_pylist()):
-            lines = _lines(text)
-            for s, e, counts in chunks(lines):
-                if counts:
-                    at.append(k)
-                    start.append(s)
-                    end.append(e)
-                    digest.append(xxhash.xxh3_128_digest(b"\n".join(lines[s:e])))
-        at = pa.array(at, pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [b.column(0).take(at), b.column(2).take(at), pa.array(start, pa.int32()), pa.array(end, pa.int32()),
-             pa.array(digest, pa.binary())], ["id", "text_hash", "start", "end", "hash"])
-
-
-def _bodies(batches):
-    """id, text, text_hash, parts -> a row with the bytes of each part."""
+        rows = []
+        for text in b.column(1).to_pylist():
+            hashes = line_hashes(_lines(text))
+            raw = hashes.tobytes()
+            rows.append((raw, [{"start": s, "end": e, "hash": hashlib.blake2b(raw[16 * s:16 * e], digest_size=16).digest()}
+                               for s, e in chunks(hashes)]))
+        raw, found = zip(*rows) if rows else ((), ())
+        kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("hash", pa.binary())]))
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(raw, pa.binary()), pa.array(found, kind)],
+                                         ["id", "text_hash", "lines", "chunks"])
+
+
+def equal_runs(here: np.ndarray, there: np.ndarray) -> list[tuple[int, int]]:
+    """Maximal runs of equal lines that are worth removing, without blank lines at the ends."""
+    same = np.concatenate([[False], (here == there).all(axis=1), [False]])
+    edges = np.flatnonzero(same[1:] != same[:-1]).reshape(-1, 2)
+    out = []
+    for s, e in edges.tolist():
+        flags = here[s:e, 0]
+        full = np.flatnonzero(flags & np.uint64(FILLED))
+        if len(full) >= MIN_LINES or (flags & np.uint64(LONG)).any():
+            out.append((s + int(full[0]), s + int(full[-1]) + 1))
+    return out
+
+
+def _runs(batches):
+    """Overlapping lines of two documents -> the runs to remove, by their first line in either document."""
     for b in batches:
-        at, rows = [], []
-        for k, (text, parts) in enumerate(zip(b.column(1).to_pylist(), b.column(3).to_pylist())):
-            lines = _lines(text)
-            for p in parts:
+        at, start, end = [], [], []
+        for k, (here, there) in enumerate(zip(b.column("here"), b.column("there"))):
+            here, there = (np.frombuffer(x.as_buffer(), "<u8").reshape(-1, 2) for x in (here, there))
+            n = min(len(here), len(there))
+            for s, e in equal_runs(here[:n], there[:n]):
                 at.append(k)
-                rows.append((p["start"], p["end"], p["hash"], p["is_kept"], b"\n".join(lines[p["start"]:p["end"]])))
-        at, cols = pa.array(at, pa.int64()), list(zip(*rows)) or [[]] * 5
+                start.append(s)
+                end.append(e)
+        at = pa.array(at, pa.int64())
+        begins = [np.asarray(b.column(c).take(at)) + np.array(start, np.int64) for c in ("from_line", "kept_from")]
         yield pa.RecordBatch.from_arrays(
-            [b.column(0).take(at), b.column(2).take(at), pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int32()),
-             pa.array(cols[2], pa.binary()), pa.array(cols[3], pa.bool_()), pa.array(cols[4], pa.binary())],
-            ["id", "text_hash", "start", "end", "hash", "is_kept", "body"])
-
-
-def repeated_chunks(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """The line ranges to remove: one row (id, text_hash, ranges) per document that has any."""
-    keyed = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("text_hash"))
-    kind = docs.schema[doc_id].dataType.simpleString()
-    place = F.struct(F.col("id").isNull().alias("no_id"), "id", "text_hash", "start")
-    found = materialise(keyed.mapInArrow(_places, f"id {kind}, text_hash long, start int, end int, hash binary")
-                        .dropDuplicates(["id", "text_hash", "start", "end"]), "line-chunks")
-    repeated = found.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("kept")).where("n > 1")
-    parts = (found.join(repeated, "hash").withColumn("is_kept", place == F.col("kept"))
-             .groupBy("id", "text_hash").agg(F.collect_list(F.struct("start", "end", "hash", "is_kept")).alias("parts")))
-    same = keyed["text_hash"].eqNullSafe(parts["text_hash"]) & keyed["id"].eqNullSafe(parts["id"])
-    bodies = materialise(
-        keyed.join(parts, same).select(keyed["id"], "text", keyed["text_hash"], "parts")
-        .mapInArrow(_bodies, f"id {kind}, text_hash long, start int, end int, hash binary, is_kept boolean, body binary"),
-        "line-bodies")
-    kept = bodies.where("is_kept").select("hash", F.col("body").alias("kept_body")).dropDuplicates(["hash"])
-    return (bodies.where("not is_kept").join(kept, "hash").where("body = kept_body")
-            .groupBy("id", "text_hash").agg(F.collect_set(F.struct("start", "end")).alias("ranges")))
-
-
-def cut_lines(text: str, ranges: list[dict]) -> tuple[str, int]:
-    """The text without the lines of the ranges, which may overlap, and how many lines went."""
-    gone = {k for r in ranges for k in range(r["start"], r["end"])}
-    return "\n".join(x for k, x in enumerate(text.split("\n")) if k not in gone), len(gone)
+            [b.column("key").take(at), b.column("kept").take(at), *map(pa.array, begins), pa.array(np.array(end, np.int64) - np.array(start, np.int64))],
+            ["key", "kept", "start", "kept_start", "n"])
+
+
+def runs_to_remove(keyed: DataFrame) -> DataFrame:
+    """(key, kept, start, kept_start, n): n lines from ``start`` repeat those of the earlier document from ``kept_start``."""
+    kind = keyed.schema["id"].dataType.simpleString()
+    found = materialise(keyed.mapInArrow(_hashed, f"id {kind}, text_hash long, lines binary, chunks array<struct<start int, end int, hash binary>>"),
+                        "line-chunks")
+    key = F.struct(F.col("id").isNull().alias("no_id"), "id", "text_hash")
+    places = found.select(key.alias("key"), F.explode("chunks").alias("c")).select(F.col("c.hash").alias("hash"), F.struct("key", F.col("c.start").alias("start")).alias("place"))
+    repeated = places.groupBy("hash").agg(F.min("place").alias("first"), F.max("place").alias("last")).where("first != last").drop("last")
+    alignments = (places.join(repeated, "hash").where("place != first")
+                  .select(F.col("place.key").alias("key"), F.col("first.key").alias("kept"),
+                          (F.col("first.start") - F.col("place.start")).alias("shift")).distinct())
+    lines = found.groupBy(key.alias("key")).agg(F.first("lines").alias("lines"))
+    both = (alignments.join(lines.withColumnRenamed("lines", "here"), "key")
+            .join(lines.select(F.col("key").alias("kept"), F.col("lines").alias("there")), "kept")
+            .withColumns({"from_line": F.greatest(F.lit(0), -F.col("shift")).cast("long"), "kept_from": F.greatest(F.lit(0), F.col("shift")).cast("long")}))
+    # the overlap of the two documents at this distance, so that neither is longer than the shorter one
+    both = both.withColumn("n", F.least(F.octet_length("here") / 16 - F.col("from_line"), F.octet_length("there") / 16 - F.col("kept_from")).cast("int"))
+    both = both.select("key", "kept", "from_line", "kept_from",
+                       *(F.expr(f"substring({c}, cast(16 * {a} + 1 as int), 16 * n)").alias(c) for c, a in (("here", "from_line"), ("there", "kept_from"))))
+    where = f"struct<no_id: boolean, id: {kind}, text_hash: bigint>"
+    return materialise(both.mapInArrow(_runs, f"key {where}, kept {where}, start long, kept_start long, n long"), "line-runs")
+
+
+def _parts(runs: DataFrame) -> DataFrame:
+    """Per document: the ranges to remove and the single lines that others are compared with (both bounded by its length)."""
+    gone = runs.select("key", F.col("start").alias("s"), (F.col("start") + F.col("n")).alias("e"), F.lit(False).alias("stays")).distinct()
+    kept = (runs.select("kept", "kept_start", "n").distinct()
+            .select(F.col("kept").alias("key"), F.explode(F.expr("sequence(kept_start, kept_start + n - 1)")).alias("s")).distinct()
+            .select("key", "s", (F.col("s") + 1).alias("e"), F.lit(True).alias("stays")))
+    return gone.unionByName(kept).groupBy("key").agg(F.collect_list(F.struct("s", "e", "stays")).alias("parts"))
+
+
+def cut_lines(text: str, ranges: list[dict], bad: set[bytes] = frozenset()) -> tuple[str, int]:
+    """The text without the lines of the ranges, which may overlap, and how many lines went; a range with a hash in ``bad`` stays."""
+    lines = text.split("\n")
+    gone: set[int] = set()
+    for r in ranges:
+        if not bad or not bad & {_digest(x.encode("utf-8", "replace")) for x in lines[r["s"]:r["e"]]}:
+            gone.update(range(r["s"], r["e"]))
+    return "\n".join(x for k, x in enumerate(lines) if k not in gone), len(gone)
+
+
+def _digest(line: bytes) -> bytes:
+    return hashlib.blake2b(line, digest_size=16).digest()
 
 
 def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", drop_emptied: bool = False,
@@ -134,26 +180,43 @@ def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", dro
     """``docs`` with repeated chunks cut out of the text, and the number of lines removed."""
     if removed in docs.columns:
         raise ValueError(f"column {removed} exists already")
-    names = docs.columns
-    gone = repeated_chunks(docs, text, doc_id).select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("ranges").alias("_ranges"))
-    both = docs.join(gone, F.xxhash64(text).eqNullSafe(F.col("_hash")) & F.col(doc_id).eqNullSafe(F.col("_id")), "left")
-    both = both.select(*(docs[c] for c in names), "_ranges")
-    schema = T.StructType([*docs.schema.fields, T.StructField(removed, T.LongType())])
+    at = docs.columns.index(text)
+    keyed = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("text_hash"))
+    parts = _parts(runs_to_remove(keyed))
+    # the documents travel as one struct, so no name of theirs meets one of this function's
+    whole = docs.select(F.struct(F.col(doc_id).isNull().alias("no_id"), F.col(doc_id).alias("id"), F.xxhash64(text).alias("text_hash")).alias("own"),
+                        F.struct(*(docs[c] for c in docs.columns)).alias("doc"))
+    both = whole.join(parts, F.col("own").eqNullSafe(F.col("key")), "left").select("doc", "parts")
 
-    def run(batches):
+    def bodies(batches):
+        for b in batches:
+            seen = {}
+            for doc, found in zip(b.column(0).field(at), b.column(1)):
+                if found.is_valid:
+                    lines = _lines(doc.as_py())
+                    for p in found.as_py():
+                        seen.update((x, _digest(x)) for x in lines[p["s"]:p["e"]] if x not in seen)
+            yield pa.RecordBatch.from_arrays([pa.array(seen.values(), pa.binary()), pa.array(seen.keys(), pa.binary())], ["hash", "body"])
+
+    # equal hashes of different bytes: none is expected, and one row carries what there is
+    unequal = (both.mapInArrow(bodies, "hash binary, body binary").groupBy("hash")
+               .agg(F.min("body").alias("a"), F.max("body").alias("b")).where("a != b").agg(F.collect_list("hash").alias("bad")))
+    schema = T.StructType([*nullable(docs.schema).fields, T.StructField(removed, T.LongType())])
+
+    def cut(batches):
         from pyspark.sql.pandas.types import to_arrow_schema
-        arrow, at = to_arrow_schema(schema), names.index(text)
+        arrow = to_arrow_schema(schema)
         for b in batches:
-            ranges = b.column(len(names))
-            keep, cols, n = None, list(b.columns[:-1]), np.zeros(b.num_rows, np.int64)
-            if ranges.null_count < b.num_rows:
-                texts, ranges = cols[at].to_pylist(), ranges.to_pylist()
-                for k, r in enumerate(ranges):
+            cols, n, keep = b.column(0).flatten(), np.zeros(b.num_rows, np.int64), None
+            found, bad = b.column(1), b.column(2)
+            if found.null_count < b.num_rows:
+                texts, stays = cols[at].to_pylist(), [True] * b.num_rows
+                for k, (r, h) in enumerate(zip(found, bad)):
+                    r = [p for p in r.as_py() if not p["stays"]] if r.is_valid else []
                     if r:
-                        texts[k], n[k] = cut_lines(texts[k], r)
-                cols[at] = pa.array(texts, cols[at].type)
-                if drop_emptied:
-                    keep = pa.array([not r or bool(t.strip()) for t, r in zip(texts, ranges)])
+                        texts[k], n[k] = cut_lines(texts[k], r, set(h.as_py()))
+                        stays[k] = bool(texts[k].strip()) or not n[k]
+                cols[at], keep = pa.array(texts, cols[at].type), pa.array(stays)
             out = pa.RecordBatch.from_arrays([*cols, pa.array(n)], schema=arrow)
-            yield out if keep is None else out.filter(keep)
-    return both.mapInArrow(run, schema)
+            yield out.filter(keep) if drop_emptied and keep is not None else out
+    return both.join(F.broadcast(unequal)).mapInArrow(cut, schema)
