@@ -46,7 +46,7 @@ END_ID = 2
 SEQUENCE = 2048
 BATCH = 64            # sequences of a record batch
 SHARD_IDS = 1 << 20   # ids of a shard
-REMEMBERED = 150_000  # distinct chunks in a generation of a worker's dictionary
+REMEMBERED = 400_000  # distinct chunks in a generation of a worker's dictionary
 LONG_CHUNK = 64       # longer chunks are not remembered
 MAGIC = "ARROW1"      # ends an Arrow file
 META = b"token_file"
