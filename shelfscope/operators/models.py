@@ -5,14 +5,17 @@ fitted model's coefficients reaches the driver."""
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial, reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import (Imputer, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer,
                                 VectorAssembler)
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import ranks
@@ -67,6 +70,17 @@ def seeded_sample(df: DataFrame, key: str, frac: float, seed: int = 42) -> DataF
     return df.where(h < frac * 2.0 ** 32)
 
 
+def stratified_folds(df: DataFrame, key: str, label: str | None = None, folds: int = 5, seed: int = 7, out: str = "_fold") -> DataFrame:
+    """M4: adds the fold number 0..folds-1: the row's place, by a hash of its key, among the rows of its label, modulo the number of
+    folds, so that the folds' sizes differ by one row a label at most.  Without a label the hash itself is dealt out.
+    Keys are unique; a row without a label gets none."""
+    h = F.conv(F.substring(F.md5(F.concat_ws("-", F.col(key).cast("string"), F.lit(str(seed)))), 1, 8), 16, 10).cast("double")
+    if label is None:
+        return df.withColumn(out, F.pmod(h.cast("long"), F.lit(folds)).cast("int"))
+    order = ranks.first_ranks(df.where(F.col(label).isNotNull()).select(key, label, h.alias("_h")), "_h", key, group=[label], out="_rank")
+    return df.join(order.select(key, F.pmod(F.col("_rank") - 1, F.lit(folds)).cast("int").alias(out)), key, "left")
+
+
 def with_balanced_weights(df: DataFrame, label: str) -> DataFrame:
     """sklearn ``class_weight='balanced'``: n / (k · n_class) per row."""
     cnt = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
@@ -76,6 +90,37 @@ def with_balanced_weights(df: DataFrame, label: str) -> DataFrame:
 
 
 GBT_ROUNDS = 300  # boosted trees are sequential; callers may ask for fewer
+FITS_AT_ONCE = 8  # a fit is many short jobs in a row, so folds and candidates are fitted side by side
+
+
+def fit_side_by_side(fits: dict, at_once: int = FITS_AT_ONCE) -> dict:
+    """The results of the given functions under their keys; ``at_once`` of them run at a time."""
+    inherit = inheritable_thread_target(SparkSession.getActiveSession())
+    with ThreadPoolExecutor(at_once) as pool:
+        running = {k: pool.submit(inherit(f)) for k, f in fits.items()}
+        return {k: r.result() for k, r in running.items()}
+
+
+def _as_is(df: DataFrame, name: str) -> DataFrame:
+    return df
+
+
+def _fold_fits(train: DataFrame, candidates: tuple[str, ...], folds: int, fit: Callable) -> dict:
+    """Fits of every candidate without each fold, and on all rows (fold None); the longest kind comes first."""
+    parts = {k: train.where(F.col("_fold") != k) for k in range(folds)} | {None: train}
+    kinds = sorted(candidates, key=lambda kind: kind != "gbt")
+    return {(kind, k): partial(fit, part, kind) for kind in kinds for k, part in parts.items()}
+
+
+def grouped_auc(df: DataFrame, group: list[str], label: str, score: str) -> DataFrame:
+    """AUC-ROC per group from average ranks within it (NULL without both labels)."""
+    base = df.where(F.col(label).isNotNull() & F.col(score).isNotNull())
+    rk = ranks.average_ranks(base, score, group).withColumnRenamed("v", score)
+    pos = base.groupBy(*group, score).agg(F.count_if(F.col(label) == 1).alias("_p"), F.count(F.lit(1)).alias("_n"))
+    a = pos.join(rk.select(*group, score, "avg_rank"), [*group, score]).groupBy(*group).agg(
+        F.sum(F.col("_p") * F.col("avg_rank")).alias("_r1"), F.sum("_p").alias("_n1"), (F.sum("_n") - F.sum("_p")).alias("_n0"))
+    return a.select(*group, F.when((F.col("_n1") > 0) & (F.col("_n0") > 0), (F.col("_r1") - F.col("_n1") * (F.col("_n1") + 1) / 2)
+                                   / (F.col("_n1") * F.col("_n0"))).alias("auc_roc"))
 
 
 def churn_classifiers(kind: str, label: str = "label", n: int = 1, rounds: int = GBT_ROUNDS, min_leaf: int = 20):
@@ -143,13 +188,20 @@ def classification_metrics(df: DataFrame, label: str, score: str, threshold: flo
         F.lit(average_precision(base, label, score)).alias("average_precision"))
 
 
+def r_squared(label: str, pred: str):
+    e = F.col(label) - F.col(pred)
+    return F.try_subtract(F.lit(1.0), F.try_divide(F.sum(e * e), F.count(F.lit(1)) * F.var_pop(label)))
+
+
+def regression_aggregates(label: str, pred: str) -> list:
+    e = F.col(label) - F.col(pred)
+    return [F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.abs(e)).alias("mae"), r_squared(label, pred).alias("r_squared"),
+            (F.avg(F.when(F.col(label) != 0, F.abs(e / F.col(label)))) * 100).alias("mape")]
+
+
 def regression_metrics(df: DataFrame, label: str, pred: str) -> DataFrame:
     """M6: RMSE, MAE, R², MAPE over rows with a non-zero label."""
-    e = F.col(label) - F.col(pred)
-    return df.agg(
-        F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.abs(e)).alias("mae"),
-        (1 - F.sum(e * e) / (F.count(F.lit(1)) * F.var_pop(label))).alias("r_squared"),
-        (F.avg(F.when(F.col(label) != 0, F.abs(e / F.col(label)))) * 100).alias("mape"))
+    return df.agg(*regression_aggregates(label, pred))
 
 
 def churn_report(scores: DataFrame, customers: DataFrame, value_per_churner: float = 850.0,
@@ -218,32 +270,42 @@ def fit_regressor(train: DataFrame, numeric: list[str], label: str, kind: str, a
     return Pipeline(stages=preprocess_stages(numeric, []) + [est]).fit(train)
 
 
+def _fold_aucs(train: DataFrame, models: dict, label: str, keep: Callable) -> DataFrame:
+    """(model, _fold, auc_roc): every fold scored by the model that has not seen it."""
+    scored = reduce(DataFrame.unionByName, [
+        churn_scores(m, train.where(F.col("_fold") == k)).select(F.lit(kind).alias("model"), "_fold", label, "churn_probability")
+        for (kind, k), m in models.items() if k is not None])
+    return grouped_auc(keep(scored, "fold-scores"), ["model", "_fold"], label, "churn_probability")
+
+
 def cross_validated_auc(train: DataFrame, numeric: list[str], categorical: list[str], key: str, label: str = "label",
-                        folds: int = 5, kind: str = "logistic", rounds: int = GBT_ROUNDS, min_leaf: int = 20) -> DataFrame:
-    """M4: k-fold cross-validation on the training rows (hash folds on the key): mean and standard deviation
+                        folds: int = 5, kind: str = "logistic", rounds: int = GBT_ROUNDS, min_leaf: int = 20,
+                        keep: Callable = _as_is) -> DataFrame:
+    """M4: k-fold cross-validation on the training rows (stratified folds): mean and standard deviation
     of the folds' AUC.  Fills, scaling and the model are fitted anew on each fold's other rows."""
-    fold = F.pmod(F.xxhash64(F.col(key), F.lit(7)), F.lit(folds))
-    rows = []
-    for k in range(folds):
-        part = train.withColumn("_fold", fold)
-        model = fit_classifier(part.where(F.col("_fold") != k), numeric, categorical, kind, label, rounds, min_leaf)
-        rows.append(classification_metrics(churn_scores(model, part.where(F.col("_fold") == k)), label, "churn_probability").select("auc_roc"))
-    return reduce(DataFrame.unionByName, rows).agg(
+    part = keep(stratified_folds(train, key, label, folds), "folds")
+    fits = _fold_fits(part, (kind,), folds, lambda rows, which: fit_classifier(rows, numeric, categorical, which, label, rounds, min_leaf))
+    models = fit_side_by_side({k: f for k, f in fits.items() if k[1] is not None})
+    return _fold_aucs(part, models, label, keep).agg(
         F.lit(kind).alias("model"), F.count("auc_roc").cast("int").alias("n_folds"), F.avg("auc_roc").alias("mean_auc"),
         F.stddev_pop("auc_roc").alias("std_auc"))
 
 
-def cross_validated_r2(train: DataFrame, numeric: list[str], label: str, key: str, folds: int = 5, kind: str = "ridge",
-                       rounds: int = GBT_ROUNDS) -> DataFrame:
-    """M4 for regressions: mean and standard deviation of the folds' R² on the training rows, as ``cross_validated_auc``."""
-    part = train.withColumn("_fold", F.pmod(F.xxhash64(F.col(key), F.lit(7)), F.lit(folds)))
-    rows = []
-    for k in range(folds):
-        model = fit_regressor(part.where(F.col("_fold") != k), numeric, label, kind, rounds=rounds)
-        rows.append(regression_metrics(model.transform(part.where(F.col("_fold") == k)), label, "prediction").select("r_squared"))
-    return reduce(DataFrame.unionByName, rows).agg(
-        F.lit(kind).alias("model"), F.count("r_squared").cast("int").alias("n_folds"), F.avg("r_squared").alias("mean_r2"),
-        F.stddev_pop("r_squared").alias("std_r2"))
+def regressor_comparison(train: DataFrame, test: DataFrame, numeric: list[str], label: str, key: str,
+                         candidates: tuple[str, ...] = ("ridge", "random_forest", "gbt"), folds: int = 5, rounds: int = GBT_ROUNDS,
+                         keep: Callable = _as_is) -> DataFrame:
+    """M3/M4 for regressions: per candidate the metrics on the held-out rows and the mean and standard deviation of the
+    folds' R² on the training rows; the best by held-out R² is flagged (ties: first by name)."""
+    part = keep(stratified_folds(train, key, None, folds), "folds")
+    models = fit_side_by_side(_fold_fits(part, candidates, folds, lambda rows, kind: fit_regressor(rows, numeric, label, kind, rounds=rounds)))
+    scored = keep(reduce(DataFrame.unionByName, [
+        m.transform(part.where(F.col("_fold") == k) if k is not None else test.withColumn("_fold", F.lit(None).cast("int")))
+        .select(F.lit(kind).alias("model"), "_fold", label, "prediction") for (kind, k), m in models.items()]), "fold-scores")
+    by_fold = scored.where("_fold IS NOT NULL").groupBy("model", "_fold").agg(r_squared(label, "prediction").alias("_r2"))
+    cv = by_fold.groupBy("model").agg(F.avg("_r2").alias("mean_r2"), F.stddev_pop("_r2").alias("std_r2"))
+    held_out = scored.where("_fold IS NULL").groupBy("model").agg(*regression_aggregates(label, "prediction"))
+    best = F.row_number().over(Window.orderBy(F.col("r_squared").desc_nulls_last(), "model"))  # a row per candidate
+    return held_out.join(cv, "model").withColumn("is_best", best == 1)
 
 
 def store_report(scores: DataFrame, pred: str = "prediction", revenue: str = "avg_monthly_revenue",
@@ -327,15 +389,17 @@ def linear_attribution(model, df: DataFrame, numeric: list[str]) -> DataFrame:
 
 def model_comparison(train: DataFrame, test: DataFrame, numeric: list[str], categorical: list[str], key: str,
                      label: str = "label", candidates: tuple[str, ...] = ("logistic", "random_forest", "gbt"),
-                     folds: int = 5, rounds: int = GBT_ROUNDS, min_leaf: int = 20) -> DataFrame:
-    """M2/M4: per candidate the cross-validated AUC on the training rows and the metrics on the held-out rows; the
-    best by test AUC is flagged (ties: first listed)."""
+                     folds: int = 5, rounds: int = GBT_ROUNDS, min_leaf: int = 20, keep: Callable = _as_is) -> DataFrame:
+    """M2/M4: per candidate the cross-validated AUC on the training rows (stratified folds) and the metrics on the held-out rows; the
+    best by test AUC is flagged (ties: first listed).  ``keep(df, name)`` may write and reread what is read many times."""
+    part = keep(stratified_folds(train, key, label, folds), "folds")
+    models = fit_side_by_side(_fold_fits(part, candidates, folds,
+                                         lambda rows, kind: fit_classifier(rows, numeric, categorical, kind, label, rounds, min_leaf)))
+    cv = _fold_aucs(part, models, label, keep).groupBy("model").agg(F.avg("auc_roc").alias("mean_auc"), F.stddev_pop("auc_roc").alias("std_auc"))
     rows = []
     for i, kind in enumerate(candidates):
-        cv = cross_validated_auc(train, numeric, categorical, key, label, folds, kind, rounds, min_leaf)
-        model = fit_classifier(train, numeric, categorical, kind, label, rounds, min_leaf)
-        m = classification_metrics(churn_scores(model, test), label, "churn_probability")
-        rows.append(m.crossJoin(cv.select("mean_auc", "std_auc")).select(F.lit(kind).alias("model"), F.lit(i).alias("_order"), "*"))
-    allm = reduce(DataFrame.unionByName, rows)
+        scored = keep(churn_scores(models[kind, None], test).select(label, "churn_probability"), "test-scores")
+        rows.append(classification_metrics(scored, label, "churn_probability").select(F.lit(kind).alias("model"), F.lit(i).alias("_order"), "*"))
+    allm = reduce(DataFrame.unionByName, rows).join(cv, "model")
     best = F.row_number().over(Window.orderBy(F.col("auc_roc").desc_nulls_last(), "_order"))  # a row per candidate
     return allm.withColumn("is_best", best == 1).drop("_order")

@@ -3,9 +3,7 @@ deterministic score have DuckDB oracles; trained-model outputs are rows-only."""
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import features as L
@@ -134,13 +132,7 @@ def store_models(r: Retail):
     """Ridge, random-forest and boosted regressions of the margin ratio on store features, cross-validated on the training
     stores and judged on held-out ones."""
     train, test = M.hash_split(_cut(_store_data(r).where(F.col("margin_ratio").isNotNull()), "stores"), "store_id")
-    rows = []
-    for kind in ("ridge", "random_forest", "gbt"):
-        cv = M.cross_validated_r2(train, STORE_NUMERIC, "margin_ratio", "store_id", kind=kind)
-        m = M.regression_metrics(M.fit_regressor(train, STORE_NUMERIC, "margin_ratio", kind).transform(test), "margin_ratio", "prediction")
-        rows.append(m.crossJoin(cv.select("mean_r2", "std_r2")).select(F.lit(kind).alias("model"), "*"))
-    best = F.row_number().over(Window.orderBy(F.col("r_squared").desc_nulls_last(), "model"))  # a row per candidate
-    return reduce(DataFrame.unionByName, rows).withColumn("is_best", best == 1)
+    return M.regressor_comparison(train, test, STORE_NUMERIC, "margin_ratio", "store_id", keep=_cut)
 
 
 @register("store_classifiers", survey_id="M3,M4", digits=dict(METRIC_DIGITS, mean_auc=STAT, std_auc=STAT))
@@ -148,13 +140,23 @@ def store_classifiers(r: Retail):
     """Top-performer classifiers on a stratified split, cross-validated on the training stores."""
     train, test = M.hash_split(_cut(_store_data(r).where(F.col("label_cls").isNotNull()), "stores"), "store_id", label="label_cls")
     train, test = _cut(train, "stores-train"), _cut(test, "stores-test")
-    return M.model_comparison(train, test, STORE_NUMERIC, [], "store_id", "label_cls", min_leaf=1)
+    return M.model_comparison(train, test, STORE_NUMERIC, [], "store_id", "label_cls", min_leaf=1, keep=_cut)
+
+
+@register("stratified_folds", survey_id="M4",
+          sql=with_(CUSTOMERS) + """, h AS (SELECT customer_id, tier, CAST(CAST('0x' || substr(md5(customer_id || '-7'), 1, 8) AS BIGINT) AS DOUBLE) AS h FROM customers),
+f AS (SELECT tier, customer_id, (row_number() OVER (PARTITION BY tier ORDER BY h, customer_id) - 1) % 5 AS fold FROM h WHERE tier IS NOT NULL)
+SELECT CAST(fold AS INTEGER) AS fold, tier, count(*) AS n, CAST(sum(customer_id) AS BIGINT) AS id_sum FROM f GROUP BY fold, tier""")
+def stratified_folds(r: Retail):
+    """Five folds of the customers, stratified by tier: rows and sum of ids of each."""
+    f = M.stratified_folds(r.customers.where(F.col("tier").isNotNull()), "customer_id", "tier")
+    return f.groupBy(F.col("_fold").alias("fold"), "tier").agg(F.count(F.lit(1)).alias("n"), F.sum("customer_id").alias("id_sum"))
 
 
 @register("churn_model_cv", survey_id="M4", digits={"mean_auc": STAT, "std_auc": STAT})
 def churn_model_cv(r: Retail):
     train, _ = _churn_split(r)
-    return M.cross_validated_auc(train, NUMERIC, ["tier"], "customer_id", folds=5)
+    return M.cross_validated_auc(train, NUMERIC, ["tier"], "customer_id", folds=5, keep=_cut)
 
 
 def _scored_stores(r: Retail):
@@ -244,4 +246,4 @@ def churn_model_comparison(r: Retail):
     """Logistic, random forest and boosted trees on a stratified 80/20 split: cross-validated on the training rows, judged on
     the others, the best by test AUC flagged."""
     train, test = _churn_split(r)
-    return M.model_comparison(train, test, NUMERIC, ["tier"], "customer_id")
+    return M.model_comparison(train, test, NUMERIC, ["tier"], "customer_id", keep=_cut)
