@@ -1,9 +1,12 @@
 """Operator 4: licence scans by an exact set-similarity join of text blocks with licence templates.
 
-A block is a line of a text, a template a licence notice; both are sets of words.  A block meets a template if
-it holds at least ``CONTAINMENT`` of the template's words.  Words are ordered by their global block frequency, rarest
+A template is a licence notice of some words.  Its blocks in a text are every line, and every line with the fewest lines
+behind it that hold as many words as the notice (the longest of neighbouring ones), so a wrapped notice lies in a block wherever it begins.
+A block meets the template if it holds at least ``CONTAINMENT`` of its different words.  Notices that differ in a word or two (a
+version number, NonCommercial) are neighbours: one holds ``CONTAINMENT`` of the other's words.  Of neighbours met from the same
+line only those of the highest containment count, then those of most words.  Words are ordered by their global block frequency, rarest
 first (counted over all blocks by partial sums).  A template with m words of which a must be found has one of its
-first m - a + 1 words in every block that meets it (prefix filter); a block with fewer than a template words is out
+first m - a + 1 words in every block that meets it (prefix filter, on the whole text first); a block with fewer than a template words is out
 (length filter); and from the first common word on both sides must have enough words left (positional filter).  What
 passes is counted exactly, so no block is missed.  Templates are fixed and small; they are sent to the tasks.
 
@@ -16,7 +19,9 @@ score is 1 with a phrase, else the largest containment found; other columns pass
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
 from collections import Counter
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -64,40 +69,64 @@ class Join:
 
     def __init__(self, templates: list[tuple[str, str]], frequency: dict[bytes, int], threshold: float):
         self.threshold = threshold
-        sets = [(label, {*words(t)}) for label, t in templates]
-        vocab = set().union(*(s for _, s in sets)) if sets else set()
+        found = [(label, words(t)) for label, t in templates]
+        found = [(label, w) for label, w in found if w]
+        vocab = set().union(*(w for _, w in found)) if found else set()
         self.rank = {w: k for k, w in enumerate(sorted(vocab, key=lambda w: (frequency.get(w, 0), w)))}
         self.templates, self.index = [], {}
-        for label, s in sets:
-            if not s:
-                continue
-            order = sorted(s, key=self.rank.__getitem__)
+        for label, w in found:
+            order = sorted(set(w), key=self.rank.__getitem__)
             need = math.ceil(threshold * len(order) - 1e-9)
-            for place, w in enumerate(order[:len(order) - need + 1]):
-                self.index.setdefault(w, []).append((len(self.templates), place))
-            self.templates.append((label, s, need))
+            for place, x in enumerate(order[:len(order) - need + 1]):
+                self.index.setdefault(x, []).append((len(self.templates), place))
+            self.templates.append((label, frozenset(w), need, len(w)))
+        self.near = {(i, k) for i, (_, a, need, _) in enumerate(self.templates) for k, (_, b, *_) in enumerate(self.templates)
+                     if i != k and len(a & b) >= need}
+        #: words of a block behind its first line: as many as the longest of the neighbours, which thus share their blocks
+        self.reach = [max([n, *(self.templates[u][3] for t, u in self.near if t == k)]) for k, (*_, n) in enumerate(self.templates)]
         self.prefix = frozenset(self.index)
         self.vocab = frozenset(vocab)
 
-    def block(self, block: set[bytes]) -> list[tuple[str, float]]:
-        """(label, containment) of every template that the block meets."""
+    def meets(self, block: set[bytes]) -> dict[int, float]:
+        """Template number -> containment, for every template that the block meets."""
         if self.prefix.isdisjoint(block):
-            return []
+            return {}
         own = sorted(self.vocab & block, key=self.rank.__getitem__)
-        seen, out = set(), []
+        seen, out = set(), {}
         for at, w in enumerate(own):
             for t, place in self.index.get(w, ()):
                 if t in seen:
                     continue
                 seen.add(t)  # its rarest common word: nothing before it is common
-                label, s, need = self.templates[t]
+                _, s, need, _ = self.templates[t]
                 if len(own) < need or min(len(own) - at, len(s) - place) < need:
                     continue
                 both = len(s & block)
                 if both >= need:
-                    out.append((label, both / len(s)))
+                    out[t] = both / len(s)
         return out
 
+    def text(self, lines: list[list[bytes]]) -> list[tuple[str, int, float]]:
+        """(label, line, containment) of all blocks of the text, by line and label."""
+        every = [w for x in lines for w in x]
+        here = {t for w in self.prefix.intersection(every) for t, _ in self.index[w]}
+        here = [t for t in here if len(self.templates[t][1].intersection(every)) >= self.templates[t][2]]
+        if not here:
+            return []
+        ends = list(accumulate(map(len, lines)))
+        out = []
+        for k, line in enumerate(lines):
+            met = {t: c for t, c in self.meets(set(line)).items() if t in here}
+            for t in here:
+                last = bisect_left(ends, ends[k] + self.reach[t], k)
+                run = every[ends[k] - len(line):ends[min(last, len(ends) - 1)]]
+                if t not in met and line and len(run) > len(line):
+                    met.update((u, c) for u, c in self.meets(set(run)).items() if u == t)
+            out += [(self.templates[t][0], k, c) for t, c in met.items()
+                    if not any((t, u) in self.near and (c2, len(self.templates[u][1])) > (c, len(self.templates[t][1]))
+                               for u, c2 in met.items())]
+        return sorted(out, key=lambda x: (x[1], x[0], -x[2]))
+
 
 def _blocks(raw: bytes) -> list[list[bytes]]:
     return [x.translate(_WORD_TABLE).split() for x in raw.split(b"\n")]
@@ -152,9 +181,7 @@ def scan(docs: DataFrame, text: str = "text", phrases: dict[str, str] = PHRASES,
             for t in b.column(at).to_pylist():
                 blocks = _blocks(t.encode("utf-8", "replace").lower()) if t else []
                 count.append(sum(map(len, blocks)))
-                met = [{"label": label, "line": k, "containment": c} for k, block in enumerate(blocks)
-                       if not j.prefix.isdisjoint(block) for label, c in j.block(set(block))]
-                found.append(met)
+                found.append([{"label": label, "line": k, "containment": c} for label, k, c in j.text(blocks)])
                 places.append([{"label": x, "first": f, "last": e}
                                for x, f, e in phrase_places([w for block in blocks for w in block], wanted)])
             yield pa.RecordBatch.from_arrays(

@@ -53,11 +53,20 @@ ph(p, label) AS (VALUES {phrases}),
 places AS (SELECT r, k - 1 AS first, label FROM (SELECT r, w, p, label, unnest(generate_series(1, len(w) - len(p) + 1)) AS k FROM d, ph
   WHERE list_has_all(w, p)) WHERE list_slice(w, k, k + len(p) - 1) = p),
 base AS (SELECT r, count(*) AS n, min(first) AS lo, max(first) AS hi, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM places GROUP BY r),
-te(t, label) AS (SELECT list_distinct(col0), col1 FROM (VALUES {templates})),
-blocks AS (SELECT r, list_distinct({words_sql("x")}) AS b FROM (SELECT r, unnest(string_split(coalesce(text, ''), chr(10))) AS x FROM d)),
-met AS (SELECT * FROM (SELECT r, label, len(list_intersect(t, b)) / len(t) AS c FROM blocks, te) WHERE c >= {CONTAINMENT} - 1e-12),
-found AS (SELECT r, max(c) AS c FROM met GROUP BY r),
-al AS (SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT r, label FROM met UNION ALL SELECT r, label FROM places) GROUP BY r)
+te AS (SELECT row_number() OVER () AS i, list_distinct(col0) AS t, len(col0) AS n, col1 AS label FROM (VALUES {templates})),
+near AS (SELECT a.i AS i, b.i AS k, len(b.t) > len(a.t) AS more FROM te a, te b WHERE a.i <> b.i AND len(list_intersect(a.t, b.t)) / len(a.t) >= {CONTAINMENT} - 1e-12),
+reach AS (SELECT te.i, greatest(any_value(te.n), coalesce(max(o.n), 0)) AS n FROM te LEFT JOIN near ON near.i = te.i LEFT JOIN te o ON o.i = near.k GROUP BY te.i),
+li AS (SELECT r, w, k, sum(n) OVER (PARTITION BY r ORDER BY k) AS e, n FROM (SELECT r, w, unnest(generate_series(1, len(x))) AS k,
+  unnest(list_transform(x, lambda y: len({words_sql("y")}))) AS n FROM (SELECT r, w, string_split(coalesce(text, ''), chr(10)) AS x FROM d))),
+runs AS (SELECT l.r, l.k, l.w, l.e, l.n, te.i, te.t, te.label, (SELECT min(m.e) FROM li m WHERE m.r = l.r AND m.k >= l.k AND m.e >= l.e + reach.n) AS until
+  FROM li l, te JOIN reach USING (i) WHERE l.n > 0 AND len(list_intersect(te.t, l.w)) / len(te.t) >= {CONTAINMENT} - 1e-12),
+shares AS (SELECT r, k, i, label, len(list_intersect(t, list_slice(w, e - n + 1, e))) / len(t) AS own,
+  len(list_intersect(t, list_slice(w, e - n + 1, coalesce(until, len(w))))) / len(t) AS run FROM runs),
+met AS (SELECT r, k, i, label, CASE WHEN own >= {CONTAINMENT} - 1e-12 THEN own ELSE run END AS c FROM shares WHERE run >= {CONTAINMENT} - 1e-12),
+best AS (SELECT r, label, c FROM met m WHERE NOT EXISTS (SELECT 1 FROM met o JOIN near ON near.i = m.i AND near.k = o.i
+  WHERE o.r = m.r AND o.k = m.k AND (o.c > m.c OR (o.c = m.c AND near.more)))),
+found AS (SELECT r, max(c) AS c FROM best GROUP BY r),
+al AS (SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT r, label FROM best UNION ALL SELECT r, label FROM places) GROUP BY r)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_base, lo AS first_word, hi AS last_word,
   coalesce(base.labels, '') AS base_labels, coalesce(al.labels, '') AS labels,
   CASE WHEN n IS NOT NULL THEN 1.0 ELSE coalesce(c, 0.0) END AS score
