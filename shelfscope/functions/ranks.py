@@ -21,11 +21,7 @@ SKETCH_ACCURACY = 10000
 def _n_buckets(df: DataFrame, n: int | None) -> int:
     if n:
         return n
-    try:
-        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    except Exception:  # noqa: BLE001
-        parts = DEFAULT_BUCKETS
-    return max(DEFAULT_BUCKETS, parts)
+    return max(DEFAULT_BUCKETS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", str(DEFAULT_BUCKETS))))
 
 
 def _below(bounds: Column, value: str, n: int) -> Column:

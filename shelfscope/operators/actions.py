@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import ranks
 from ..functions.expr import div
 from . import base
-from .whatif import annual_factor, financial_impact
+from .whatif import annual_factor, baseline, financial_impact, whatif_retention
 
 
 def _row(df: DataFrame, rec_id: str, reach, revenue_delta, profit_delta) -> DataFrame:
@@ -37,7 +37,7 @@ CLOSURE_NET = 0.30            # REC-008: 30 % of that cost is a net gain
 CLOSURE_REVENUE_LOSS = 0.5    # REC-008: half of the closed stores' revenue is lost
 
 
-def recommendations(tx: DataFrame, customers: DataFrame, elasticities: DataFrame, params: DataFrame,
+def recommendations(tx: DataFrame | base.Rollups, customers: DataFrame, elasticities: DataFrame, params: DataFrame,
                     focus_tier: str, rates: dict[str, float] | None = None, marketing: DataFrame | None = None,
                     tier: str = "tier") -> DataFrame:
     """``marketing`` holds O2 rows named REC-004 / REC-005 (with n_stores), ``rates`` the churn table.  One row per recommendation (reach, annual revenue / profit
@@ -45,10 +45,8 @@ def recommendations(tx: DataFrame, customers: DataFrame, elasticities: DataFrame
     parameters (category, impact score, confidence, effort, cost, ROI
     fallback, priority, timeline); ROI = profit ÷ cost when positive else
     the fallback; O6 payback / NPV / annualised impact."""
-    from .whatif import whatif_retention
     af = annual_factor(tx)
-    b = tx.agg(F.struct((F.sum("gross_revenue") * af).alias("rev"),
-                        (F.sum("gross_profit") * af).alias("profit")).alias("b")).scalar()
+    b = baseline(tx)
     base_rev = b.getField("rev")
     base_margin = div(b.getField("profit"), b.getField("rev"))
     one = tx.sparkSession.range(1)  # a row to carry scalars
@@ -57,17 +55,17 @@ def recommendations(tx: DataFrame, customers: DataFrame, elasticities: DataFrame
     mult = (1 + PRICE_UP) * (1 + F.col("elasticity") * PRICE_UP) - 1
     r1 = base.by_category(tx).join(inel, "category").agg(
         F.sum(F.col("revenue") * af * mult).alias("rd"), F.sum(F.col("profit") * af * mult).alias("pd"))
-    reach1 = n_distinct_customers(tx.join(inel, "category", "left_semi"))
+    pairs = base.customer_categories(tx)
+    reach1 = n_distinct_customers(pairs.join(inel, "category", "left_semi"))
     rec1 = _row(r1, "REC-001", F.coalesce(reach1, F.lit(0)), F.coalesce(F.col("rd"), F.lit(0.0)),
                 F.coalesce(F.col("pd"), F.lit(0.0)))
     # REC-002: private-label share +5 points at the private-label margin premium
-    m = tx.agg(F.avg(F.when(F.col("brand_type") == "private_label", div("gross_profit", "gross_revenue"))).alias("pl"),
-               F.avg(F.when(F.col("brand_type") == "national_brand", div("gross_profit", "gross_revenue"))).alias("nb"))
+    m = base.brand_margins(tx)
     rec2 = _row(m, "REC-002", F.floor(base_rev * PL_SHARE_POINTS / REVENUE_PER_CUSTOMER),
                 base_rev * PL_SHARE_POINTS * PL_REVENUE_FACTOR,
                 base_rev * PL_SHARE_POINTS * (F.col("pl") - F.col("nb")))
     # REC-003: discount −3 points, revenue neutral
-    rec3 = _row(one, "REC-003", n_distinct_customers(tx), F.lit(0.0), base_rev * DISCOUNT_CUT)
+    rec3 = _row(one, "REC-003", n_distinct_customers(pairs), F.lit(0.0), base_rev * DISCOUNT_CUT)
     # REC-006: O3 on the focus tier
     spark = tx.sparkSession
     sc = spark.createDataFrame([("REC-006", focus_tier, CHURN_REDUCTION, RETENTION_COST)],

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import ranks
 from ..functions.expr import clip_lower, div, whole_months_between
-from . import segment
+from . import base, segment
 
 
 def one_hot(df: DataFrame, col: str, levels: list[str], prefix: str) -> DataFrame:
@@ -19,16 +19,14 @@ def one_hot(df: DataFrame, col: str, levels: list[str], prefix: str) -> DataFram
 
 
 def customer_features(tx: DataFrame, customers: DataFrame, stores: DataFrame, tier_levels: list[str],
-                      region_levels: list[str]) -> DataFrame:
-    """L1: purchase behaviour, RFM scores, preferred store cluster (mode,
+                      region_levels: list[str], totals: DataFrame | None = None) -> DataFrame:
+    """L1 (``totals``: a written ``base.customer_totals`` to read instead of the transactions): purchase behaviour, RFM scores, preferred store cluster (mode,
     smallest on ties), tenure in months, tier code and dummies; customers
     without purchases get 0 / NULL-safe fills."""
-    ref = tx.agg(F.max("date")).scalar()
-    agg = tx.groupBy("customer_id").agg(
-        F.max("date").alias("last_purchase"), F.min("date").alias("first_purchase"),
-        F.count(F.lit(1)).alias("n_txns"), F.sum("gross_revenue").alias("total_spend"),
-        F.sum("gross_profit").alias("total_profit"), F.count_distinct("product_id").alias("n_products"),
-        F.avg("discount_pct").alias("avg_discount"))
+    agg = base.customer_totals(tx) if totals is None else totals
+    ref = agg.agg(F.max("last_purchase")).scalar()
+    rfm = segment.rfm_scores(segment.rfm_base(tx, totals=totals)).select(
+        "customer_id", "recency_score", "frequency_score", "monetary_score")
     # preferred cluster = the mode of the cluster over the customer's rows
     # (smallest on ties), from (customer, store) counts so that no row-level
     # join with the store dimension is needed
@@ -39,8 +37,6 @@ def customer_features(tx: DataFrame, customers: DataFrame, stores: DataFrame, ti
     pref = (cc.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") == 1)
             .select("customer_id", F.col("cluster").alias("preferred_cluster")))
     agg = agg.join(pref, "customer_id", "left")
-    rfm = segment.rfm_scores(segment.rfm_base(tx)).select(
-        "customer_id", "recency_score", "frequency_score", "monetary_score")
     # ordinal code of the tier, 0-based (0 also for unknown tiers, as the source)
     tier_code = F.create_map(*[x for i, lv in enumerate(tier_levels) for x in (F.lit(lv), F.lit(i))])
     # one row per buying customer (as the source's RFM frame), customer

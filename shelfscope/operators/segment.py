@@ -47,16 +47,17 @@ def customer_segment_profile(tx: DataFrame, customers: DataFrame, tier: str = "t
     return segment_profile(e, tier, "customer", "customer_id")
 
 
-def rfm_base(tx: DataFrame, reference_date=None) -> DataFrame:
+def rfm_base(tx: DataFrame, reference_date=None, totals: DataFrame | None = None) -> DataFrame:
     """K3: recency_days (reference date − last purchase; default the latest
-    date in the data), frequency (rows), monetary (Σ revenue)."""
+    date in the data), frequency (rows), monetary (Σ revenue).  ``totals``: a
+    written ``base.customer_totals`` to read instead of the transactions."""
+    t = tx.groupBy("customer_id").agg(
+        F.max("date").alias("last_purchase"), F.count(F.lit(1)).alias("n_txns"),
+        F.sum("gross_revenue").alias("total_spend")) if totals is None else totals
     ref = (F.lit(reference_date).cast("date") if reference_date is not None
-           else F.to_date(tx.agg(F.max("date")).scalar()))
-    return tx.groupBy("customer_id").agg(
-        F.max("date").alias("_last"), F.count(F.lit(1)).alias("frequency"),
-        F.sum("gross_revenue").alias("monetary"),
-    ).select("customer_id", F.datediff(ref, F.to_date("_last")).alias("recency_days"),
-             "frequency", "monetary")
+           else F.to_date(t.agg(F.max("last_purchase")).scalar()))
+    return t.select("customer_id", F.datediff(ref, F.to_date("last_purchase")).alias("recency_days"),
+                    F.col("n_txns").alias("frequency"), F.col("total_spend").alias("monetary"))
 
 
 def rfm_scores(rfm: DataFrame) -> DataFrame:

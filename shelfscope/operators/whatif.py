@@ -15,23 +15,32 @@ from ..functions.expr import div
 from . import base
 
 
-def annual_factor(tx: DataFrame):
+def annual_factor(tx: DataFrame | base.Rollups):
     """Column: 12 / number of distinct months (annualisation, D17)."""
-    return F.lit(12.0) / tx.agg(F.count_distinct("period")).scalar()
+    return F.lit(12.0) / base.n_months(tx)
 
 
-def whatif_price(tx: DataFrame, scenarios: DataFrame, elasticities: DataFrame,
+def fold_case(scenarios: DataFrame, names: DataFrame, col: str) -> DataFrame:
+    """``scenarios`` with ``col`` spelt as in ``names`` (one row per name).  A name that stands there as written keeps
+    its spelling; others are found by their lower case (of several spellings the greatest counts); unknown names stay."""
+    same = names.select(F.col(col).alias("_same"))
+    low = names.groupBy(F.lower(col).alias("_low")).agg(F.max(col).alias("_name"))
+    return (scenarios.join(same, F.col(col) == F.col("_same"), "left").join(low, F.lower(col) == F.col("_low"), "left")
+            .withColumn(col, F.coalesce("_same", "_name", col)).drop("_same", "_low", "_name"))
+
+
+def whatif_price(tx: DataFrame | base.Rollups, scenarios: DataFrame, elasticities: DataFrame,
                  default_elasticity: float = -1.0) -> DataFrame:
     """O1: scenarios (scenario_id, category, price_change_pct,
     elasticity_override) → annual baseline vs projected portfolio revenue /
     profit; projected category profit = projected revenue × baseline margin;
-    confidence 0.80 when |ε| < 1 else 0.70."""
+    confidence 0.80 when |ε| < 1 else 0.70.  Categories are looked up without
+    regard to case."""
     af = annual_factor(tx)
     cat = base.by_category(tx).select("category", (F.col("revenue") * af).alias("cat_rev"),
                                       (F.col("profit") * af).alias("cat_profit"))
-    tot = tx.agg(F.struct((F.sum("gross_revenue") * af).alias("rev"),
-                          (F.sum("gross_profit") * af).alias("profit")).alias("t")).scalar()
-    s = (scenarios.join(cat, "category").join(elasticities.select("category", "elasticity"), "category", "left")
+    tot = baseline(tx)
+    s = (fold_case(scenarios, cat, "category").join(cat, "category").join(elasticities.select("category", "elasticity"), "category", "left")
          .withColumn("_t", tot))
     e = F.coalesce(F.col("elasticity_override"), F.col("elasticity"), F.lit(default_elasticity))
     dp = F.col("price_change_pct")
@@ -48,11 +57,11 @@ def whatif_price(tx: DataFrame, scenarios: DataFrame, elasticities: DataFrame,
         F.when(F.abs(e) < 1.0, 0.80).otherwise(0.70).alias("confidence"))
 
 
-def _baseline(tx: DataFrame):
+def baseline(tx: DataFrame | base.Rollups):
     """Annual portfolio revenue and profit as one scalar-subquery struct."""
     af = annual_factor(tx)
-    return tx.agg(F.struct((F.sum("gross_revenue") * af).alias("rev"),
-                           (F.sum("gross_profit") * af).alias("profit")).alias("b")).scalar()
+    return base.portfolio(tx).select(F.struct((F.col("revenue") * af).alias("rev"),
+                                              (F.col("profit") * af).alias("profit")).alias("b")).scalar()
 
 
 def _projection(df: DataFrame, revenue_gain, profit_gain, confidence: float) -> DataFrame:
@@ -71,7 +80,7 @@ PROJECTION_COLS = ["baseline_revenue", "baseline_profit", "projected_revenue", "
                    "revenue_delta", "profit_delta"]
 
 
-def whatif_store_investment(tx: DataFrame, scenarios: DataFrame, q: float = 0.2) -> DataFrame:
+def whatif_store_investment(tx: DataFrame | base.Rollups, scenarios: DataFrame, q: float = 0.2) -> DataFrame:
     """Scenarios (scenario_id, n_stores, investment_per_store,
     revenue_uplift_pct).  Among stores with margin ≤ p20 take the n worst by
     margin (ties by store id); uplift = their annual revenue × pct, earning
@@ -88,7 +97,7 @@ def whatif_store_investment(tx: DataFrame, scenarios: DataFrame, q: float = 0.2)
     ranked = worst.select(F.row_number().over(order).alias("worst_rank"), (F.sum("revenue").over(order) * af).alias("_rev"))
     found = ranked.agg(F.count(F.lit(1))).scalar()
     at = scenarios.withColumn("stores_selected", F.least(F.col("n_stores").cast("long"), found))
-    x = at.join(ranked, F.col("stores_selected") == F.col("worst_rank"), "left").withColumn("_b", _baseline(tx))
+    x = at.join(ranked, F.col("stores_selected") == F.col("worst_rank"), "left").withColumn("_b", baseline(tx))
     margin = F.when(F.col("_b.rev") > 0, F.col("_b.profit") / F.col("_b.rev")).otherwise(0.0)
     uplift = F.coalesce(F.col("_rev"), F.lit(0.0)) * F.col("revenue_uplift_pct")
     cost = F.col("n_stores") * F.col("investment_per_store")
@@ -100,23 +109,23 @@ def whatif_store_investment(tx: DataFrame, scenarios: DataFrame, q: float = 0.2)
 DEFAULT_CHURN_RATE = 0.18
 
 
-def whatif_retention(tx: DataFrame, customers: DataFrame, scenarios: DataFrame, rates: dict[str, float] | None = None,
+def whatif_retention(tx: DataFrame | base.Rollups, customers: DataFrame, scenarios: DataFrame, rates: dict[str, float] | None = None,
                      days: int = 180, tier: str = "tier", all_label: str = "All") -> DataFrame:
     """O3: scenarios (scenario_id, tier | 'All', churn_reduction_pct,
     intervention_cost).  Customers at risk = the tier's customers; annual
     value = the tier's annual profit ÷ customers; churn rate = ``rates`` by tier (0.18 for
     others), or without ``rates`` the tier's observed rate (no purchase in ``days``; 0.18 when unknown); churners =
     floor(n · rate); impact = churners · reduction · annual value, net of the
-    intervention cost; profit floor 0.5 × baseline; confidence 0.75."""
+    intervention cost; profit floor 0.5 × baseline; confidence 0.75.  Tiers are looked up without regard to case."""
     af = annual_factor(tx)
-    max_date = tx.agg(F.max("date")).scalar()
-    per_c = tx.groupBy("customer_id").agg(F.max("date").alias("_last"), F.sum("gross_profit").alias("_p"))
+    max_date = base.portfolio(tx).select("last_date").scalar()
+    per_c = base.by_customer(tx).select("customer_id", F.col("last_date").alias("_last"), F.col("profit").alias("_p"))
     c = customers.select("customer_id", tier).join(per_c, "customer_id", "left")
     churned = F.coalesce(F.col("_last") < max_date - F.expr(f"INTERVAL {days} DAYS"), F.lit(False))
     stats = [F.count(F.lit(1)).alias("n_customers"), F.count_if(churned).alias("_ch"),
              F.sum(F.coalesce(F.col("_p"), F.lit(0.0))).alias("_profit")]
     t = c.groupBy(tier).agg(*stats).unionByName(c.agg(*stats).select(F.lit(all_label).alias(tier), "*"))
-    x = scenarios.join(t, tier, "left").withColumn("_b", _baseline(tx))
+    x = fold_case(scenarios, t, tier).join(t, tier, "left").withColumn("_b", baseline(tx))
     n = F.coalesce(F.col("n_customers"), F.lit(0))
     if rates is None:
         rate = F.coalesce(div("_ch", "n_customers"), F.lit(DEFAULT_CHURN_RATE))

@@ -22,7 +22,7 @@ def _code_sql(col: str, levels, unknown: int | None = None) -> str:
 
 
 def _customer_features(r: Retail):
-    return L.customer_features(r.transactions, r.customers, r.stores, TIER_ORDER, CLUSTERS)
+    return L.customer_features(r.transactions, r.customers, r.stores, TIER_ORDER, CLUSTERS, r.customer_totals)
 
 
 CF_SQL = with_(TX, CUSTOMERS, STORES, RFM_SCORES_SQL) + f""", ag AS (SELECT customer_id, max(date) AS last_purchase,

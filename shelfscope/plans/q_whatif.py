@@ -9,6 +9,7 @@ from ..operators import actions as O
 from ..operators import elasticity as E
 from ..operators import whatif as W
 from ..sources.retail import Retail
+from ..sources.sinks import written
 from ..operators import base, mix
 from .q_inference import URBAN_REGION
 from .q_kpi import FOCUS_TIER
@@ -17,9 +18,9 @@ from .registry import MONEY, STAT, UNIT, register
 from .sql import CUSTOMERS, MARKETING, STORES, TX, with_
 
 # Scenario parameters, one row per scenario; X1-X6 are the six presets, mapped to values of these tables
-PRICE_SCENARIOS = [("P1", "PROMO", 0.05, None), ("P2", "STANDARD", -0.05, None), ("P3", "LARGE", 0.10, -1.2),
+PRICE_SCENARIOS = [("P1", "PROMO", 0.05, None), ("P2", "STANDARD", -0.05, None), ("P3", "LARGE", 0.10, -1.2), ("P4", "Economy", 0.05, None),
                    ("X1", "LARGE", 0.05, None), ("X5", "SMALL", 0.05, None), ("X6", "MEDIUM", 0.05, None)]
-RETENTION_SCENARIOS = [("R1", FOCUS_TIER, 0.30, 50000.0), ("R2", "MACHINERY", 0.10, 20000.0), ("R3", "All", 0.05, 0.0),
+RETENTION_SCENARIOS = [("R1", FOCUS_TIER, 0.30, 50000.0), ("R2", "MACHINERY", 0.10, 20000.0), ("R3", "All", 0.05, 0.0), ("R4", "furniture", 0.20, 10000.0),
                        ("X3", FOCUS_TIER, 0.30, 500000.0)]
 STORE_SCENARIOS = [("S1", 5, 25000.0, 0.08), ("S2", 10, 15000.0, 0.05), ("X4", 50, 150000.0, 0.15)]
 MARKETING_SCENARIOS = [("M1", "all", {"click": 0.5, "view": 0.2, "signup": 0.2, "error": 0.1}),
@@ -65,7 +66,7 @@ def _price_scenarios(spark):
 
 def _whatif_price(r: Retail):
     spark = r.transactions.sparkSession
-    return W.whatif_price(r.transactions, _price_scenarios(spark), E.category_elasticity(r.transactions))
+    return W.whatif_price(r.rollups, _price_scenarios(spark), E.category_elasticity(r.transactions))
 
 
 PRICE_DIGITS = {c: MONEY for c in ("baseline_revenue", "baseline_profit", "projected_revenue", "projected_profit",
@@ -82,8 +83,10 @@ def _sql_values(rows) -> str:
 
 
 @register("whatif_price", survey_id="O1", digits=PRICE_DIGITS,
-          sql=with_(TX, ELAST_SQL) + f""", sc(scenario_id, category, price_change_pct, elasticity_override) AS
+          sql=with_(TX, ELAST_SQL) + f""", raw(scenario_id, category, price_change_pct, elasticity_override) AS
   (VALUES {_sql_values(PRICE_SCENARIOS)}),
+sc AS (SELECT raw.* REPLACE (coalesce(names.category, raw.category) AS category) FROM raw
+  LEFT JOIN (SELECT DISTINCT category FROM tx) names ON lower(names.category) = lower(raw.category)),
 af AS (SELECT 12.0 / count(DISTINCT period) AS f FROM tx),
 cat AS (SELECT category, sum(gross_revenue) * (SELECT f FROM af) AS cat_rev, sum(gross_profit) * (SELECT f FROM af)
   AS cat_profit FROM tx GROUP BY category),
@@ -106,7 +109,7 @@ def _whatif_retention(r: Retail, rates=CHURN_RATES):
     spark = r.transactions.sparkSession
     sc = spark.createDataFrame(RETENTION_SCENARIOS, "scenario_id string, tier string, churn_reduction_pct double, "
                                                     "intervention_cost double")
-    return W.whatif_retention(r.transactions, r.customers, sc, rates)
+    return W.whatif_retention(r.rollups, r.customers, sc, rates)
 
 
 PROJ_DIGITS = {c: MONEY for c in ("baseline_revenue", "baseline_profit", "projected_revenue", "projected_profit",
@@ -129,13 +132,14 @@ OBSERVED = "coalesce(CASE WHEN n_customers <> 0 THEN chn / n_customers END, 0.18
 
 
 def _retention_sql(scenarios, rate: str) -> str:
-    return with_(TX, CUSTOMERS, BASE_SQL) + f""", sc(scenario_id, tier, churn_reduction_pct, intervention_cost) AS
+    return with_(TX, CUSTOMERS, BASE_SQL) + f""", raw(scenario_id, tier, churn_reduction_pct, intervention_cost) AS
   (VALUES {_sql_values(scenarios)}),
 pc AS (SELECT customer_id, max(date) AS l, sum(gross_profit) AS p FROM tx GROUP BY customer_id),
 c AS (SELECT tier, coalesce(l < (SELECT max(date) FROM tx) - INTERVAL 180 DAY, false) AS ch, coalesce(p, 0.0) AS p
   FROM customers LEFT JOIN pc USING (customer_id)),
 t AS (SELECT tier, count(*) AS n_customers, count_if(ch) AS chn, sum(p) AS profit FROM c GROUP BY tier
   UNION ALL SELECT 'All', count(*), count_if(ch), sum(p) FROM c),
+sc AS (SELECT raw.* REPLACE (coalesce(t.tier, raw.tier) AS tier) FROM raw LEFT JOIN t ON lower(t.tier) = lower(raw.tier)),
 x AS (SELECT sc.*, coalesce(n_customers, 0) AS n, {rate} AS rate,
   coalesce(CASE WHEN n_customers <> 0 THEN profit * (SELECT 12.0 / count(DISTINCT period) FROM tx) / n_customers END,
     0.0) AS val FROM sc LEFT JOIN t USING (tier)),
@@ -165,11 +169,11 @@ def _whatif_marketing(r: Retail, scenarios=None) -> DataFrame:
     rows = [(i, seg, ch, float(v)) for i, seg, shares in scenarios or MARKETING_SCENARIOS for ch, v in shares.items()]
     sc = spark.createDataFrame(rows, "scenario_id string, segment string, channel string, new_share double")
     roi = spark.createDataFrame(ROI_ROWS, "segment string, channel string, roi double")
-    by_store = base.by_store(r.transactions).join(r.stores.select("store_id", "cluster"), "store_id")
+    by_store = base.by_store(r.rollups).join(r.stores.select("store_id", "cluster"), "store_id")
     baseline = by_store.groupBy(F.col("cluster").alias("segment")).agg(
         F.sum("revenue").alias("revenue"), F.sum("profit").alias("profit"), F.count(F.lit(1)).alias("n_stores"))
     spend = segmented(r, r.marketing).where("segment <> 'all'")
-    out = mix.whatif_marketing(sc, spend, baseline, roi, W.annual_factor(r.transactions))
+    out = mix.whatif_marketing(sc, spend, baseline, roi, W.annual_factor(r.rollups))
     return out.join(baseline.select("segment", "n_stores"), "segment", "left")
 
 
@@ -210,7 +214,7 @@ def _whatif_store(r: Retail):
     spark = r.transactions.sparkSession
     sc = spark.createDataFrame(STORE_SCENARIOS, "scenario_id string, n_stores int, investment_per_store double, "
                                                 "revenue_uplift_pct double")
-    return W.whatif_store_investment(r.transactions, sc)
+    return W.whatif_store_investment(r.rollups, sc)
 
 
 @register("whatif_store_investment", survey_id="O4", digits=PROJ_DIGITS)
@@ -241,7 +245,9 @@ def _params(spark) -> DataFrame:
 
 def _recs(r: Retail):
     spark = r.transactions.sparkSession
-    return O.recommendations(r.transactions, r.customers, E.category_elasticity(r.transactions),
+    # two recommendations use the elasticities: one row per category, written once
+    elasticities = written(E.category_elasticity(r.transactions), "elasticities")
+    return O.recommendations(r.rollups, r.customers, elasticities,
                              _params(spark), FOCUS_TIER, CHURN_RATES, _whatif_marketing(r, REC_MARKETING))
 
 

@@ -14,8 +14,8 @@ marketing tables.  On the TPC-H-like tables the roles map as:
                  with spend = Σ value over non-purchase events; the response
                  is Σ value of purchase events.  Unknown users are the NULL market.
 
-Every frame is a lazy plan, built when it is first asked for; nothing is
-written here.  ``prepare_fact`` writes the joined transactions to a folder of
+Every frame is a lazy plan, built when it is first asked for.  Only ``rollups``
+and ``customer_totals`` are written, once, on first use.  ``prepare_fact`` writes the joined transactions to a folder of
 the caller's choice, and ``retail(..., fact_path=...)`` reads them from there.
 NaN becomes NULL at ingest.  No join carries a hint: sizes decide.
 """
@@ -28,6 +28,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.base import Rollups, customer_totals
+from .sinks import shared_root, write_table, written
 from .tables import TABLES, scan_table
 
 PRIVATE_LABEL_TYPE = "PROMO"
@@ -69,6 +71,18 @@ class Retail:
     def transactions(self) -> DataFrame:
         return self._fact if self._fact is not None else transactions(self.tables)
 
+    @cached_property
+    def rollups(self) -> Rollups:
+        """The lattice of the transactions, written to the shared folder when it is first asked for."""
+        spark = self.transactions.sparkSession
+        path = write_table(Rollups.build(self.transactions), shared_root(spark, "rollups"), ["grain"])
+        return Rollups(spark.read.parquet(path))
+
+    @cached_property
+    def customer_totals(self) -> DataFrame:
+        """One row per customer, written to the shared folder when it is first asked for."""
+        return written(customer_totals(self.transactions), "customers")
+
     @cached_property
     def stores(self) -> DataFrame:
         return stores(self.tables)

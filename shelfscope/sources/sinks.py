@@ -29,6 +29,12 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     return path
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a fresh folder of the shared root and read back: what follows starts from the files."""
+    spark = df.sparkSession
+    return spark.read.schema(df.schema).parquet(write_table(df, shared_root(spark, name)))
+
+
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     """JSON lines of (possibly nested) result rows."""
     df.write.mode(mode).json(path)

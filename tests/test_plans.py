@@ -85,3 +85,38 @@ def test_nan_is_null(spark):
     from shelfscope.sources.retail import nan_to_null
     df = spark.createDataFrame([(1.0,), (float("nan"),), (None,)], "x double")
     assert [r.x for r in nan_to_null(df).collect()] == [1.0, None, None]
+
+
+def test_fact_is_read_at_most_twice(spark):
+    """One read writes the roll-ups (rice_rank: a second one the elasticities); the query's own plan holds the rest."""
+    from shelfscope.plans.catalog import run_query
+    for name, more in (("rice_rank", 0), ("whatif_batch", 1), ("customer_features", 1), ("rfm_summary", 0)):
+        assert _plan(run_query(name, spark, SF001)).count("lineitem.parquet") <= more, name
+
+
+def test_rollups_equal_direct_aggregates(spark):
+    """Every roll-up derived from the written cells equals the one made from the transactions; orphans included."""
+    from pyspark.sql import functions as F
+    from shelfscope.operators import base
+    tx = retail(spark, SF001).transactions
+    orphan = tx.limit(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) if f.name in (
+        "customer_id", "category", "brand_type", "date", "period", "gross_profit", "margin") else F.col(f.name) for f in tx.schema.fields])
+    tx = tx.unionByName(orphan).cache()
+    lattice = base.Rollups(base.Rollups.build(tx).cache())
+
+    def rows(df):
+        return sorted([tuple(round(v, 4) if isinstance(v, float) else v for v in r) for r in df.collect()], key=str)
+    for fn in (base.by_store, base.by_customer, base.by_category, base.portfolio, base.brand_margins):
+        assert rows(fn(lattice)) == rows(fn(tx)), fn.__name__
+    assert rows(base.customer_categories(lattice).distinct()) == rows(base.customer_categories(tx).distinct())
+    one = spark.range(1)
+    assert one.select(base.n_months(lattice)).first()[0] == one.select(base.n_months(tx)).first()[0]
+    tx.unpersist(), lattice.cells.unpersist()
+
+
+def test_scenario_names_are_found_in_any_case(spark):
+    from shelfscope.operators.whatif import fold_case
+    names = spark.createDataFrame([("PROMO",), ("Small",), ("SMALL",), (None,)], "category string")
+    asked = spark.createDataFrame([(1, "promo"), (2, "PROMO"), (3, "SMALL"), (4, "small"), (5, "other"), (6, None)], "i int, category string")
+    got = {r.i: r.category for r in fold_case(asked, names, "category").collect()}
+    assert got == {1: "PROMO", 2: "PROMO", 3: "SMALL", 4: "Small", 5: "other", 6: None}
