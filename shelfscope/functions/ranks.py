@@ -203,3 +203,29 @@ def quintile_scores_multi(df: DataFrame, key: str, specs: dict[str, tuple[str, b
     fb = F.least(F.lit(q), F.greatest(F.lit(1), F.ceil(F.col("rank_first") / F.col("_n") * q)))
     x = x.withColumn("_score", F.when(F.col("_strict"), qcut).otherwise(fb).cast("int"))
     return x.groupBy(key).agg(*[F.max(F.when(F.col("metric") == n, F.col("_score"))).alias(n) for n in names])
+
+
+HASH_BITS, STEP_BITS = 48, 16
+
+
+def sample_n(df: DataFrame, n: int, keys: list[str], seed: int = 42) -> DataFrame:
+    """F8: exactly min(n, rows) rows, the same for the same data however it is partitioned: those of the smallest
+    48-bit hash (MD5 of the keys and the seed).  The hash of the n-th row is found by counts, 16 bits at a time (at most
+    65,536 groups each); only rows that share this very hash are ordered, by their keys.  ``keys`` should identify
+    rows: equal rows are interchangeable."""
+    text = F.concat_ws("-", *[F.col(k).cast("string") for k in keys], F.lit(str(seed)))
+    h = F.conv(F.substring(F.md5(text), 1, HASH_BITS // 4), 16, 10).cast("long")
+    rows = df.withColumn("_h", h)
+    left, prefix = int(n), 0
+    for shift in range(HASH_BITS - STEP_BITS, -1, -STEP_BITS):
+        part = F.shiftright("_h", shift)
+        here = rows if shift == HASH_BITS - STEP_BITS else rows.where(F.shiftright("_h", shift + STEP_BITS) == prefix)
+        for b, c in sorted(here.groupBy(part.alias("b")).count().collect()):
+            if left <= c:
+                prefix = b
+                break
+            left -= c
+        else:
+            return rows.drop("_h")  # no more than n rows
+    ties = rows.where(F.col("_h") == prefix).orderBy(*keys).limit(left)
+    return rows.where(F.col("_h") < prefix).unionByName(ties).drop("_h")

@@ -20,13 +20,14 @@ def annual_factor(tx: DataFrame | base.Rollups):
     return F.lit(12.0) / base.n_months(tx)
 
 
-def fold_case(scenarios: DataFrame, names: DataFrame, col: str) -> DataFrame:
-    """``scenarios`` with ``col`` spelt as in ``names`` (one row per name).  A name that stands there as written keeps
-    its spelling; others are found by their lower case (of several spellings the greatest counts); unknown names stay."""
-    same = names.select(F.col(col).alias("_same"))
-    low = names.groupBy(F.lower(col).alias("_low")).agg(F.max(col).alias("_name"))
-    return (scenarios.join(same, F.col(col) == F.col("_same"), "left").join(low, F.lower(col) == F.col("_low"), "left")
-            .withColumn(col, F.coalesce("_same", "_name", col)).drop("_same", "_low", "_name"))
+def join_folded(scenarios: DataFrame, t: DataFrame, col: str, how: str = "inner") -> DataFrame:
+    """``scenarios`` joined with ``t`` (one row per name) on the lower case of ``col``, which takes its spelling from
+    ``t``; of names that differ in case alone the greatest counts, unknown names stay as they are."""
+    others = [c for c in t.columns if c != col]
+    folded = (t.groupBy(F.lower(col).alias("_low")).agg(F.max_by(F.struct(F.col(col).alias("_name"), *others), col).alias("_r"))
+              .select("_low", "_r.*"))
+    return (scenarios.join(folded, F.lower(col) == F.col("_low"), how)
+            .withColumn(col, F.coalesce("_name", col)).drop("_low", "_name"))
 
 
 def whatif_price(tx: DataFrame | base.Rollups, scenarios: DataFrame, elasticities: DataFrame,
@@ -40,7 +41,7 @@ def whatif_price(tx: DataFrame | base.Rollups, scenarios: DataFrame, elasticitie
     cat = base.by_category(tx).select("category", (F.col("revenue") * af).alias("cat_rev"),
                                       (F.col("profit") * af).alias("cat_profit"))
     tot = baseline(tx)
-    s = (fold_case(scenarios, cat, "category").join(cat, "category").join(elasticities.select("category", "elasticity"), "category", "left")
+    s = (join_folded(scenarios, cat, "category").join(elasticities.select("category", "elasticity"), "category", "left")
          .withColumn("_t", tot))
     e = F.coalesce(F.col("elasticity_override"), F.col("elasticity"), F.lit(default_elasticity))
     dp = F.col("price_change_pct")
@@ -125,7 +126,7 @@ def whatif_retention(tx: DataFrame | base.Rollups, customers: DataFrame, scenari
     stats = [F.count(F.lit(1)).alias("n_customers"), F.count_if(churned).alias("_ch"),
              F.sum(F.coalesce(F.col("_p"), F.lit(0.0))).alias("_profit")]
     t = c.groupBy(tier).agg(*stats).unionByName(c.agg(*stats).select(F.lit(all_label).alias(tier), "*"))
-    x = fold_case(scenarios, t, tier).join(t, tier, "left").withColumn("_b", baseline(tx))
+    x = join_folded(scenarios, t, tier, "left").withColumn("_b", baseline(tx))
     n = F.coalesce(F.col("n_customers"), F.lit(0))
     if rates is None:
         rate = F.coalesce(div("_ch", "n_customers"), F.lit(DEFAULT_CHURN_RATE))

@@ -115,8 +115,9 @@ def test_rollups_equal_direct_aggregates(spark):
 
 
 def test_scenario_names_are_found_in_any_case(spark):
-    from shelfscope.operators.whatif import fold_case
-    names = spark.createDataFrame([("PROMO",), ("Small",), ("SMALL",), (None,)], "category string")
+    from shelfscope.operators.whatif import join_folded
+    names = spark.createDataFrame([("PROMO", 1.0), ("Small", 2.0), ("SMALL", 3.0), (None, 4.0)], "category string, x double")
     asked = spark.createDataFrame([(1, "promo"), (2, "PROMO"), (3, "SMALL"), (4, "small"), (5, "other"), (6, None)], "i int, category string")
-    got = {r.i: r.category for r in fold_case(asked, names, "category").collect()}
-    assert got == {1: "PROMO", 2: "PROMO", 3: "SMALL", 4: "Small", 5: "other", 6: None}
+    got = {r.i: (r.category, r.x) for r in join_folded(asked, names, "category", "left").collect()}
+    assert got == {1: ("PROMO", 1.0), 2: ("PROMO", 1.0), 3: ("Small", 2.0), 4: ("Small", 2.0), 5: ("other", None), 6: (None, None)}
+    assert {r.i for r in join_folded(asked, names, "category").collect()} == {1, 2, 3, 4}
