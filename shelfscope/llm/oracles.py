@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from .licenses import CONTAINMENT, PHRASES, TEMPLATES
-from .url_filter import ALPHA, LEVELS, MIN_CHILDREN, MIN_SHARE, RULES, Z
+from .url_filter import ALPHA, MIN_CHILDREN, MIN_SHARE, RULES, Z
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -100,6 +100,10 @@ SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, coalesce(component, do
 FROM documents LEFT JOIN m ON a = doc_id LEFT JOIN comp ON node = doc_id"""
 
 
+#: Levels that the SQL of op6 spells out: more than the paths of the tables have (the operator has no such limit).
+LEVELS = 16
+
+
 def _op6() -> str:
     fits = {text: f"(host = '{text[:text.index('/')]}' OR ends_with(host, '.{text[:text.index('/')]}')) AND starts_with(path, '{text[text.index('/'):]}')"
             for _, text in RULES}

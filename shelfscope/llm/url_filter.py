@@ -6,7 +6,7 @@ rule wins.  Urls without a rule are judged by a tree of path templates per host,
 1. digits in a path become ``#`` and equal paths of a host become one counted row, so a host with a third of all
    urls is few rows from here on;
 2. level by level, a segment turns into the wildcard ``*`` if its parent has ``MIN_CHILDREN`` children or more and
-   the segment holds less than ``MIN_SHARE`` of the parent's urls (paths deeper than ``LEVELS`` keep their rest as the last segment);
+   the segment holds less than ``MIN_SHARE`` of the parent's urls, however deep the paths are;
 3. sibling templates whose share of blocked urls does not differ from their parent's (|z| <= ``Z``), or that have none
    labelled, are merged;
 4. a template is rejected if its blocked share, smoothed by ``ALPHA`` urls at the share of the same template on all
@@ -18,13 +18,14 @@ of the empty host; without any labelled url everything else is allowed; rows rep
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialise
 
 RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
-LEVELS = 16
 MIN_CHILDREN, MIN_SHARE = 8, 0.05
 Z = 1.96
 ALPHA = 5.0
@@ -49,31 +50,34 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str]]) -> tuple[C
     return rule, verdict
 
 
-def _segments(masked: Column) -> Column:
-    found = F.filter(F.split(masked, "/"), lambda x: x != "")
-    deep = F.concat(F.slice(found, 1, LEVELS - 1), F.array(F.array_join(F.slice(found, LEVELS, 1_000_000), "/")))
-    return F.when(F.size(found) > LEVELS, deep).otherwise(found)
-
-
 def templates(paths: DataFrame) -> DataFrame:
-    """``paths`` (host, masked, n, allowed, blocked) plus the template (array of segments) of each."""
-    cur = materialise(paths.withColumn("segments", _segments(F.col("masked")))
+    """``paths`` (host, masked, n, allowed, blocked) plus the template (array of segments) of each.  Paths go on to the
+    next level only while ``MIN_CHILDREN`` or more of them share their template so far: below that no segment
+    can become a wildcard any more and the rest of the path stays as it is."""
+    keep = ["host", "masked", "n", "allowed", "blocked"]
+    cur = materialise(paths.withColumn("segments", F.filter(F.split("masked", "/"), lambda x: x != ""))
                       .withColumn("template", F.array().cast("array<string>")), "url-paths")
     depth = cur.agg(F.max(F.size("segments"))).first()[0] or 0
+    ended = [cur.where(F.size("segments") == 0).select(*keep, "template")]
     for level in range(1, depth + 1):
         here = cur.where(F.size("segments") >= level).withColumn("segment", F.element_at("segments", level))
-        child = here.groupBy("host", "template", "segment").agg(F.sum("n").alias("own"))
-        parent = child.groupBy("host", "template").agg(F.sum("own").alias("all"), F.count(F.lit(1)).alias("children"))
+        child = here.groupBy("host", "template", "segment").agg(F.sum("n").alias("own"), F.count(F.lit(1)).alias("paths"))
+        parent = child.groupBy("host", "template").agg(
+            F.sum("own").alias("all"), F.count(F.lit(1)).alias("children"), F.sum("paths").alias("paths"))
         varies = (F.col("children") >= MIN_CHILDREN) & (F.col("own") < MIN_SHARE * F.col("all"))
-        step = child.join(parent, ["host", "template"]).select(
-            "host", "template", "segment", F.when(varies, F.lit("*")).otherwise(F.col("segment")).alias("as"))
-        cur = materialise(
-            cur.withColumn("segment", F.try_element_at("segments", F.lit(level)))
-            .join(step, ["host", "template", "segment"], "left")
-            .select("host", "masked", "n", "allowed", "blocked", "segments",
-                    F.when(F.col("as").isNotNull(), F.concat("template", F.array("as"))).otherwise(F.col("template")).alias("template")),
-            f"url-level{level}")
-    return cur.drop("segments")
+        step = child.drop("paths").join(parent, ["host", "template"]).select(
+            "host", "template", "segment", F.when(varies, F.lit("*")).otherwise(F.col("segment")).alias("as"),
+            (F.col("paths") >= MIN_CHILDREN).alias("crowded"))
+        goes_on = F.col("crowded") & (F.size("segments") > level)
+        rest = F.when(F.col("crowded"), F.array("as")).otherwise(F.slice("segments", F.lit(level), F.size("segments")))
+        cur = materialise(here.join(step, ["host", "template", "segment"])
+                          .select(*keep, "segments", F.concat("template", rest).alias("template"), goes_on.alias("goes_on")),
+                          f"url-level{level}")
+        ended.append(cur.where("not goes_on").select(*keep, "template"))
+        cur = cur.where("goes_on").drop("goes_on")
+        if cur.isEmpty():
+            break
+    return reduce(DataFrame.unionByName, ended)
 
 
 def judge_templates(found: DataFrame) -> DataFrame:

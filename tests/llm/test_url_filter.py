@@ -3,7 +3,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
-from shelfscope.llm.url_filter import ALPHA, LEVELS, MIN_CHILDREN, MIN_SHARE, RULES, Z, judge
+from shelfscope.llm.url_filter import ALPHA, MIN_CHILDREN, MIN_SHARE, RULES, Z, judge
 
 
 def split(url):
@@ -27,7 +27,6 @@ def brute(rows):
     for page, url in rows:
         host, path = split(url)
         segs = [s for s in re.sub("[0-9]+", "#", path).split("/") if s]
-        segs = segs[:LEVELS - 1] + ["/".join(segs[LEVELS - 1:])] if len(segs) > LEVELS else segs
         pages.append([page, host, path, rule_for(host, path), segs, ()])
     for level in range(max((len(p[4]) for p in pages), default=0)):
         own = Counter((p[1], p[5], p[4][level]) for p in pages if len(p[4]) > level)
@@ -88,6 +87,16 @@ def test_matches_brute_force(spark):
     assert len({r[5] for r in got if "*" in r[5]}) >= 2 and {r[4] for r in got if r[3] is None} == {"allow", "block"}
 
 
+def test_no_level_is_too_deep(spark):
+    """A segment that varies below 18 common ones becomes a wildcard, and what hangs below it is followed on."""
+    letters = "abcdefghijklmnopqrstuvwxyzabcdefgh"
+    rows = [(k, f"http://deep.net/{'s/' * 18}{letters[k % 26]}{k // 26 * 'x'}y/t/{'uvw'[k % 3]}") for k in range(50)]
+    got = sorted(((r.page_id, r.host, r.path, r.rule, r.verdict, r.template)
+                  for r in judge(spark.createDataFrame(rows, "page_id long, url string")).collect()), key=str)
+    assert got == brute(rows)
+    assert {r[5] for r in got} == {"/" + "s/" * 18 + "*/t/" + c for c in "uvw"}
+
+
 def test_no_python_in_the_plan(spark):
     pages = spark.createDataFrame([(1, "http://a.org/x")], "page_id long, url string")
     plan = judge(pages)._jdf.queryExecution().toString()
