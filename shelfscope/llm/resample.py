@@ -15,7 +15,7 @@ sum is found by exact counts of its bits, never by a global sort.  Text is read
 Toxicity is a second resampling, because a few toxic words do not move the sum over a long text.  If the labels have a column
 ``toxic``, rows where it is 1 are no targets; a Bernoulli model of which words and marks a text has tells them from the
 targets.  Its words are those that more toxic rows have than chance allows (likelihood ratio against the number of words
-tried; at most ``MAX_EVIDENCE``, the strongest).  A document's weight is its probability of being clean, its k their sum; a
+tried; words of the sampled labelled rows only, so ``MAX_TARGETS`` bounds them).  A document's weight is its probability of being clean, its k their sum; a
 document is kept if both resamplings keep it.
 
 Defined results: a null text or one without any token has no weight (null) and is rejected; rows that tie at the
@@ -38,7 +38,6 @@ from .common import materialise
 
 BUCKETS = 1 << 15          # for token n-grams, and as many again for shapes
 MAX_TARGETS = 20_000
-MAX_EVIDENCE = 10_000      # words of the toxicity model
 PRIOR = 40.0               # target counts that a bucket starts with, at the raw rate
 KEPT_TOKENS = 200_000
 SCALE = 1 << 20            # keys are compared in steps of 2^-20
@@ -48,7 +47,7 @@ _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F,
 
 def _shape(token: str) -> int:
     if not (token[0].isalnum() or token[0] == "_"):
-        return 64 + zlib.crc32(token[:3].encode("utf-8", "replace")) % 128
+        return 64 + zlib.crc32(token.encode("utf-8", "replace")) % 128
     if token.isdigit():
         return 1
     case = 2 if token.islower() else 3 if token.istitle() else 4 if token.isupper() else 5
@@ -141,7 +140,7 @@ def _evidence(counts: DataFrame) -> Evidence | None:
     share = (c + t) / (clean + toxic)
     g2 = 2 * (part(t, share * toxic) + part(c, share * clean) + part(toxic - t, (1 - share) * toxic) + part(clean - c, (1 - share) * clean))
     rows = (counts.where((F.col("bucket") >= 0) & (t / toxic > c / clean)).withColumn("g2", g2)
-            .where(F.col("g2") > 2 * np.log(tried).item()).orderBy(F.desc("g2"), "bucket").limit(MAX_EVIDENCE).collect())
+            .where(F.col("g2") > 2 * np.log(tried).item()).orderBy("bucket").collect())  # words of the sampled labelled texts only
     if not rows:
         return None
     in_clean = (np.array([r.raw for r in rows]) + 0.5) / (clean + 1)
