@@ -227,5 +227,7 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD, text: str = "text",
         F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "text_hash")).alias("first"))
     kept = first.select("first.id", "first.text_hash").union(rows.where("rep is null").select("id", "text_hash"))
     kept = kept.select(F.col("text_hash").alias("_text"), F.xxhash64("text_hash", "id").alias("_row")).distinct()
-    keyed = docs.withColumn("_text", F.xxhash64(text)).withColumn("_row", F.xxhash64("_text", doc_id))
-    return keyed.join(kept, ["_text", "_row"], "left_semi").dropDuplicates(["_text", "_row"]).select(*docs.columns)
+    # the documents travel as one struct, so no name of theirs meets one of this function's
+    keyed = docs.select(F.xxhash64(text).alias("_text"), F.xxhash64(F.xxhash64(text), docs[doc_id]).alias("_row"),
+                        F.struct(*(docs[c] for c in docs.columns)).alias("doc"))
+    return keyed.join(kept, ["_text", "_row"], "left_semi").dropDuplicates(["_text", "_row"]).select("doc.*")

@@ -74,6 +74,14 @@ def test_repeated_ids_and_empty_table(spark):
     assert near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_clashing_columns_pass_through(spark):
+    text = "a b c d e f g h i j"
+    docs = spark.createDataFrame([(1, text, "p", 5, "q"), (2, text, "r", 6, "s"), (3, None, "t", 7, None)],
+                                 "doc_id long, text string, _text string, _row long, doc string")
+    assert sorted(tuple(r) for r in keep_one(docs).collect()) == [(1, text, "p", 5, "q"), (3, None, "t", 7, None)]
+    assert keep_one(docs).columns == docs.columns
+
+
 def test_shingles_and_pruning_table():
     a, b = "the quick brown fox jumps over it", "The quick, brown fox jumps"
     assert len(np.intersect1d(shingles(a), shingles(b))) == 1 and len(shingles("x y")) == 1
