@@ -50,6 +50,26 @@ def words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "replace").lower().translate(_WORD_TABLE).split()
 
 
+def group_batches(batches, keys: list[str]):
+    """The groups of neighbouring rows that agree in ``keys``, a record batch each (one is held at a time)."""
+    carry = None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        if carry is not None:
+            b = pa.Table.from_batches([carry, b]).combine_chunks().to_batches()[0]
+        edge = np.zeros(b.num_rows - 1, bool)
+        for k in keys:
+            col = b.column(b.schema.names.index(k))
+            edge |= ~np.asarray(pc.fill_null(pc.equal(col[1:], col[:-1]), False))
+        cuts = np.concatenate([[0], np.flatnonzero(edge) + 1]).tolist()
+        for s, e in zip(cuts, cuts[1:]):
+            yield b.slice(s, e - s)
+        carry = b.slice(cuts[-1])
+    if carry is not None:
+        yield carry
+
+
 def map_groups(df: DataFrame, keys: list[str], fn, schema: str) -> DataFrame:
     """``fn(pa.RecordBatch of one group) -> {column: values} | None`` for every group of ``keys`` (bounded
     groups only: one is held at a time).  Rows meet by a shuffle on the keys and are read in their order, so
@@ -64,25 +84,7 @@ def map_groups(df: DataFrame, keys: list[str], fn, schema: str) -> DataFrame:
             return pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate([g[f.name] for g in kept]), f.type) for f in out], schema=out)
 
-        def groups():
-            carry = None
-            for b in batches:
-                if not b.num_rows:
-                    continue
-                if carry is not None:
-                    b = pa.Table.from_batches([carry, b]).combine_chunks().to_batches()[0]
-                edge = np.zeros(b.num_rows - 1, bool)
-                for k in keys:
-                    col = b.column(b.schema.names.index(k))
-                    edge |= ~np.asarray(pc.fill_null(pc.equal(col[1:], col[:-1]), False))
-                cuts = np.concatenate([[0], np.flatnonzero(edge) + 1]).tolist()
-                for s, e in zip(cuts, cuts[1:]):
-                    yield b.slice(s, e - s)
-                carry = b.slice(cuts[-1])
-            if carry is not None:
-                yield carry
-
-        for g in groups():
+        for g in group_batches(batches, keys):
             got = fn(g)
             if got is not None:
                 kept.append(got)

@@ -46,6 +46,29 @@ def test_matches_brute_force(spark, monkeypatch):
     assert all(r.kept == (r.vec_id == r.component_id) for r in got if r.vec_id is not None)
 
 
+def test_cells_are_divided_until_small(spark, monkeypatch):
+    monkeypatch.setattr(vector_join, "CELL_ROWS", 25)
+    monkeypatch.setattr(vector_join, "MAX_PIVOTS", 4)
+    monkeypatch.setattr(vector_join, "SLAB_ROWS", 64)
+    monkeypatch.setattr(vector_join, "BLOCK_ROWS", 32)
+    rng = np.random.default_rng(9)
+    far = np.repeat(np.linalg.qr(rng.normal(size=(12, 12)))[0][:8], 6, axis=0)  # 8 far groups of 6 nearer ones
+    base = far + rng.normal(size=(48, 12)) * 0.2
+    rows = [(k, (base[k % 48] + rng.normal(size=12) * rng.choice([0.005, 0.03])).tolist(), 0) for k in range(700)]
+    vectors = spark.createDataFrame([(k, "12/0", 1, v) for k, v, _ in rows], "rep long, part string, n long, vector array<double>")
+    cells = vector_join.divide(vectors, 0.2).groupBy("cell").count().collect()
+    assert max(r.cell.count("/") for r in cells) >= 2 and max(r["count"] for r in cells) < 350
+    got = near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), 0.98).collect()
+    assert sorted(((r.vec_id, r.n_links, r.component_id) for r in got), key=str) == brute(rows, 0.98)
+
+
+def test_vectors_without_structure_stay_one_cell(spark, monkeypatch):
+    monkeypatch.setattr(vector_join, "CELL_ROWS", 50)
+    x = np.random.default_rng(2).normal(size=(400, 64)).tolist()
+    vectors = spark.createDataFrame([(k, "64/0", 1, v) for k, v in enumerate(x)], "rep long, part string, n long, vector array<double>")
+    assert vector_join.divide(vectors, 0.2).count() == 400
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert near_vectors(df, 0.98).count() == 0
