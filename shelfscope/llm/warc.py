@@ -1,14 +1,15 @@
 """Operator 2: WARC archives with revisit records, and their url index by an external merge.
 
-Writing: payloads are grouped by SHA-1 and length (partial minima, so a payload shared by a third of the pages is one
+Writing: payloads are grouped by SHA-1 (partial minima, so a payload shared by a third of the pages is one
 row per task); the smallest page_id of a payload is a response, the others revisit it.  Records are text
 (the payload is UTF-8), so Spark's text writer with the record terminator as line separator writes proper WARC/1.1
 files, gzipped, into the shared folder, at most ``RECORDS_PER_FILE`` records each.
 
-Reading: a task reads whole files, one at a time, cuts records by Content-Length and checks every response payload against its
-digest.  The index entries of a file are sorted by (url key, time, page): a run.  Runs are kept as a table,
-dealt out by ranges of that order (a popular url is split by time and page) and merged in each range by a
-loser tree over the runs, so shard and position give the global order of all captures.
+Reading: a task takes one file at a time, unzips it piece by piece, cuts records by Content-Length and checks every
+response payload against its digest, so it holds the zipped file and a record.  The index entries of a file are sorted by (url key, time, page): a run.  Runs are kept as a table,
+dealt out by ranges of that order (a popular url is split by time, page and place in the archive), as many as keep a range at about
+``RANGE_ENTRIES`` entries however many captures there are.  A range's sorted pieces stay Arrow columns and are merged by a
+loser tree that holds a few entries of each, so shard and position give the global order of all captures.
 
 Defined results: a null payload is empty; rows that repeat a page_id each get a record, and are both
 responses if they share the smallest id of their payload; a null page_id is a response only if no page with an id
@@ -21,9 +22,10 @@ from __future__ import annotations
 import base64
 import datetime as dt
 import hashlib
+import math
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -33,12 +35,14 @@ from pyspark.sql import functions as F
 from .common import materialise, shared_path
 
 RECORDS_PER_FILE = 4000
+RANGE_ENTRIES = 200_000  # index entries merged by a task
+PIECE = 1 << 20          # bytes unzipped at a time
 END = "\r\n\r\n"
 EPOCH = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 ENTRY = ("page_id long, url_key string, time string, record_type string, refers_to long, payload_bytes long, "
          "payload_digest string, file string, offset long, length long")
-ORDER = ["url_key", "time", "page_id"]
+ORDER = ["url_key", "time", "page_id", "file", "offset"]
 
 
 def _base32(hex_digest):
@@ -82,22 +86,55 @@ def write_archives(pages: DataFrame, path: str, **names) -> None:
      .option("compression", "gzip").text(path))
 
 
-def parse(raw: bytes) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
-    """(offset, length, header, block) of the records of a file."""
-    at = 0
-    while at < len(raw):
-        end = raw.index(b"\r\n\r\n", at)
+def unzip(data: pa.Buffer) -> Iterator[bytes]:
+    """The pieces of a gzip file, of one or several members."""
+    left = memoryview(data)
+    while len(left):
+        member = zlib.decompressobj(31)
+        at = 0
+        while not member.eof:
+            feed = member.unconsumed_tail
+            if not feed:
+                feed = left[at:at + PIECE]
+                at += len(feed)
+                if not len(feed):
+                    raise ValueError("gzip member is cut short")
+            yield member.decompress(feed, PIECE)
+        left = left[at - len(member.unused_data):]
+
+
+def parse(pieces: Iterable[bytes]) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
+    """(offset, length, header, block) of the records of a file that comes in pieces."""
+    pieces = iter(pieces)
+    raw, at, start = bytearray(), 0, 0  # ``start``: offset of raw in the file
+
+    def fill(need: int) -> bool:
+        nonlocal at, start
+        while len(raw) - at < need:
+            more = next(pieces, None)
+            if more is None:
+                return False
+            del raw[:at]
+            start, at = start + at, 0
+            raw.extend(more)
+        return True
+
+    while fill(1):
+        seen = 0
+        while (end := raw.find(b"\r\n\r\n", at + max(0, seen - 3))) < 0:
+            seen = len(raw) - at
+            if not fill(seen + 1):
+                raise ValueError(f"record at byte {start + at} is cut short")
         lines = raw[at:end].decode("utf-8").split("\r\n")
         if lines[0] != "WARC/1.1":
-            raise ValueError(f"no record at byte {at}")
+            raise ValueError(f"no record at byte {start + at}")
         header = dict(x.split(": ", 1) for x in lines[1:])
-        size = int(header["Content-Length"])
-        block = raw[end + 4:end + 4 + size]
-        stop = end + 4 + size + len(END)
-        if len(block) < size or raw[stop - len(END):stop] != END.encode():
-            raise ValueError(f"record at byte {at} is cut short")
-        yield at, stop - at, header, block
-        at = stop
+        size, head = int(header["Content-Length"]), end + 4 - at
+        length = head + size + len(END)
+        if not fill(length) or raw[at + head + size:at + length] != END.encode():
+            raise ValueError(f"record at byte {start + at} is cut short")
+        yield start + at, length, header, bytes(raw[at + head:at + head + size])
+        at += length
 
 
 def url_key(url: str) -> str:
@@ -144,9 +181,9 @@ def read_runs(spark: SparkSession, path: str) -> DataFrame:
     def run(batches):
         for b in batches:
             for file, content in zip(b.column(0).to_pylist(), b.column(1)):
-                raw = zlib.decompress(content.as_buffer(), 31) if content.is_valid else b""
                 name = file.rsplit("/", 1)[1]
-                yield pa.RecordBatch.from_arrays(_columns(sorted((_entry(name, *r) for r in parse(raw)), key=sort_key)), NAMES)
+                found = parse(unzip(content.as_buffer())) if content.is_valid else ()
+                yield pa.RecordBatch.from_arrays(_columns(sorted((_entry(name, *r) for r in found), key=sort_key)), NAMES)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("path", "content")
     return files.mapInArrow(run, ENTRY)
 
@@ -155,7 +192,7 @@ class LoserTree:
     """Merge of k sorted runs: each inner node holds the run that lost there, the winner is replaced by its
     run's next entry and replays only its own path, log2(k) comparisons an entry."""
 
-    def __init__(self, runs: list[list[tuple]]):
+    def __init__(self, runs: list[Iterable[tuple]]):
         self.heads = [iter(r) for r in runs]
         self.k = max(1, len(runs))
         self.now = [next(h, None) for h in self.heads] or [None]
@@ -190,17 +227,31 @@ class LoserTree:
             self._replay(run)
 
 
+def entries(piece: pa.RecordBatch, step: int = 64) -> Iterator[tuple]:
+    """The rows of a batch, few of them as Python values at a time."""
+    for at in range(0, len(piece), step):
+        yield from zip(*(c.to_pylist() for c in piece.slice(at, step).columns))
+
+
+def sorted_pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch cut into stretches that are in order (a run, or what a fetch split off one)."""
+    start, last = 0, None
+    for k, e in enumerate(entries(batch)):
+        key = sort_key(e)
+        if last is not None and key < last:
+            yield batch.slice(start, k - start)
+            start = k
+        last = key
+    if len(batch):
+        yield batch.slice(start)
+
+
 def merge_runs(runs: DataFrame) -> DataFrame:
     """All entries in global order: shard, then position."""
-    n = int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = max(1, math.ceil(runs.count() / RANGE_ENTRIES), int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
     def run(batches):
-        found: dict[str, list[tuple]] = {}
-        for b in batches:
-            for e in zip(*(b.column(n).to_pylist() for n in NAMES)):
-                found.setdefault(e[7], []).append(e)
-        # rows of a file come from one task; a retried or split fetch may bring its pieces in another order
-        lists = [r if all(sort_key(x) <= sort_key(y) for x, y in zip(r, r[1:])) else sorted(r, key=sort_key) for r in found.values()]
+        lists = [entries(p) for b in batches for p in sorted_pieces(b.select(NAMES))]
         shard, at, out = TaskContext.get().partitionId(), 0, []
 
         def batch():

@@ -2,10 +2,13 @@ import base64
 import gzip
 import hashlib
 import random
+from collections import Counter
 
+import pyarrow as pa
 import pytest
 
-from shelfscope.llm.warc import LoserTree, archive, parse, records, sort_key, url_key, write_archives
+from shelfscope.llm import warc
+from shelfscope.llm.warc import LoserTree, archive, parse, records, sort_key, unzip, url_key, write_archives
 
 
 def _pages():
@@ -42,7 +45,7 @@ def test_files_are_warc(spark, tmp_path):
     rows = _pages()
     path = f"file://{tmp_path}/out"
     write_archives(spark.createDataFrame(rows, "page_id long, url string, html string"), path)
-    found = [r for f in (tmp_path / "out").glob("*.gz") for r in parse(gzip.decompress(f.read_bytes()))]
+    found = [r for f in (tmp_path / "out").glob("*.gz") for r in parse([gzip.decompress(f.read_bytes())])]
     assert len(found) == len(rows)
     payload = {h["WARC-Record-ID"]: b.split(b"\r\n\r\n", 1)[1] for _, _, h, b in found if h["WARC-Type"] == "response"}
     assert payload["<urn:x-page:500>"] == b"only"
@@ -51,9 +54,38 @@ def test_files_are_warc(spark, tmp_path):
 
 def test_damage_is_noticed():
     with pytest.raises(ValueError):
-        list(parse(b"WARC/1.1\r\nContent-Length: 10\r\n\r\nabc\r\n\r\n"))
+        list(parse([b"WARC/1.1\r\nContent-Length: 10\r\n\r\nabc\r\n\r\n"]))
     with pytest.raises(ValueError):
-        list(parse(b"junk\r\n\r\n"))
+        list(parse([b"junk\r\n\r\n"]))
+    with pytest.raises(ValueError):
+        list(unzip(pa.py_buffer(gzip.compress(b"abc" * 100)[:-9])))
+
+
+def test_files_are_read_in_pieces(monkeypatch):
+    monkeypatch.setattr(warc, "PIECE", 7)
+    texts = [b"WARC/1.1\r\nA: b\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n" % (len(x), x) for x in (b"", b"\r\n\r\n", b"x" * 100, b"WARC/1.1\r\n")]
+    zipped = gzip.compress(texts[0] + texts[1]) + gzip.compress(texts[2]) + gzip.compress(b"") + gzip.compress(texts[3])
+    assert b"".join(unzip(pa.py_buffer(zipped))) == b"".join(texts)
+    found = list(parse(unzip(pa.py_buffer(zipped))))
+    assert [b for *_, b in found] == [b"", b"\r\n\r\n", b"x" * 100, b"WARC/1.1\r\n"]
+    assert all(b"".join(texts)[at:at + n] == t for (at, n, _, _), t in zip(found, texts))
+
+
+def test_ranges_follow_the_number_of_entries(spark, monkeypatch):
+    monkeypatch.setattr(warc, "RANGE_ENTRIES", 50)
+    pages = spark.createDataFrame([(k, "http://hot.org/", "x") for k in range(2000)], "page_id long, url string, html string").repartition(6)
+    got = archive(pages).collect()
+    held = Counter(r.shard for r in got)
+    assert len(held) >= 30 and max(held.values()) <= 150
+    assert [r.page_id for r in sorted(got, key=lambda r: r.capture_no)] == list(range(2000))
+
+
+def test_pieces_are_in_order():
+    rnd = random.Random(1)
+    rows = [(k, rnd.choice("abc"), "t", "", None, 0, "", "f", k, 0) for k in range(200)]
+    batch = pa.RecordBatch.from_arrays(warc._columns(rows), warc.NAMES)
+    pieces = [list(warc.entries(p)) for p in warc.sorted_pieces(batch)]
+    assert [e for p in pieces for e in p] == rows and all(p == sorted(p, key=sort_key) for p in pieces) and len(pieces) > 1
 
 
 def test_loser_tree():
