@@ -1,9 +1,8 @@
-"""Adstock, spend pivot, ridge marketing-mix fit from Gram sums,
+"""Adstock, spend pivot, ridge marketing-mix fit from covariances,
 contributions, ROI, prediction metrics, budget split, channel allocation.
 
-The fit never moves rows to the driver: the design is reduced by Spark to
-one Gram row per segment (p² + p sums), and the p×p ridge solve runs in
-``applyInPandas`` on that single row."""
+The fit never moves rows to the driver: the design is reduced by Spark to one row of covariances per segment, and the
+p×p ridge system of that row is solved by column expressions."""
 
 from __future__ import annotations
 
@@ -80,67 +79,44 @@ def spend_pivot(spend: DataFrame, revenue: DataFrame, channels: list[str], perio
     return j.withColumn("_n", n).where(F.col("_n") >= min_periods).drop("_n")
 
 
-def gram(design: DataFrame, features: list[str], target: str, group: list[str] | None = None) -> DataFrame:
-    """Sufficient statistics for least squares: n, Σx, Σy, Σxxᵀ, Σxy, Σy²."""
-    group = list(group or [])
-    aggs = [F.count(F.lit(1)).alias("n"), F.sum(target).alias("sy"),
-            F.sum(F.col(target) * F.col(target)).alias("syy")]
-    for i, a in enumerate(features):
-        aggs += [F.sum(a).alias(f"sx{i}"), F.sum(F.col(a) * F.col(target)).alias(f"sxy{i}")]
-        for j, b in enumerate(features):
-            if j >= i:
-                aggs.append(F.sum(F.col(a) * F.col(b)).alias(f"sxx{i}_{j}"))
-    return design.groupBy(*group).agg(*aggs)
-
-
-def _ridge_std(row: pd.Series, p: int, alpha: float):
-    """Ridge on standardised X and y (population std), unpenalised intercept."""
-    n = row["n"]
-    mx = np.array([row[f"sx{i}"] / n for i in range(p)])
-    my = row["sy"] / n
-    cxx = np.empty((p, p))
-    for i in range(p):
-        for j in range(p):
-            a, b = min(i, j), max(i, j)
-            cxx[i, j] = row[f"sxx{a}_{b}"] - n * mx[i] * mx[j]
-    cxy = np.array([row[f"sxy{i}"] - n * mx[i] * my for i in range(p)])
-    syy = row["syy"] - n * my * my
-    sdx = np.sqrt(np.maximum(np.diag(cxx) / n, 0.0))
-    sdy = np.sqrt(max(syy / n, 0.0))
-    sdx_safe = np.where(sdx > 0, sdx, 1.0)
-    zxx = cxx / np.outer(sdx_safe, sdx_safe)
-    zxy = cxy / (sdx_safe * (sdy if sdy > 0 else 1.0))
-    zyy = syy / (sdy * sdy) if sdy > 0 else 0.0
-    beta = np.linalg.solve(zxx + alpha * np.eye(p), zxy)
-    sse = zyy - 2 * beta @ zxy + beta @ zxx @ beta
-    r2 = 1 - sse / zyy if zyy > 0 else float("nan")
-    return beta, r2, mx, sdx, my, sdy
-
-
 def mmm_fit(design: DataFrame, channels: list[str], target: str = "revenue", alpha: float = 1.0,
             group: list[str] | None = None) -> DataFrame:
-    """Standardised ridge (α) of target on channel columns.  One row per
-    (group, channel): beta (standardised), mean / std of the channel, mean /
-    std of the target, in-sample R²."""
+    """Standardised ridge (α, unpenalised intercept) of target on channel columns.  One row per
+    (group, channel): beta (standardised), mean / std of the channel, mean / std of the target, in-sample R²
+    (NaN for a constant target).  A constant channel has beta 0.
+
+    Covariances are mergeable aggregates; the p×p system of a group is one row, solved by symmetric
+    elimination, a projection per pivot."""
     group = list(group or [])
     p = len(channels)
-    g = gram(design, channels, target, group)
-    schema = ", ".join([f"{c} string" for c in group] + [
-        "channel string", "beta double", "x_mean double", "x_std double", "y_mean double",
-        "y_std double", "r_squared double", "n long"])
-
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = []
-        for _, row in pdf.iterrows():
-            beta, r2, mx, sdx, my, sdy = _ridge_std(row, p, alpha)
-            for i, ch in enumerate(channels):
-                rows.append({**{c: str(row[c]) for c in group}, "channel": ch, "beta": float(beta[i]),
-                             "x_mean": float(mx[i]), "x_std": float(sdx[i]), "y_mean": float(my),
-                             "y_std": float(sdy), "r_squared": float(r2), "n": int(row["n"])})
-        return pd.DataFrame(rows, columns=[f.split()[0] for f in schema.split(", ")])
-
-    keyed = g if group else g.withColumn("_k", F.lit(1))
-    return keyed.groupBy(*(group or ["_k"])).applyInPandas(solve, schema)
+    upper = [(i, j) for i in range(p) for j in range(i, p)]
+    stats = design.groupBy(*[F.col(c).cast("string").alias(c) for c in group]).agg(
+        F.count(F.lit(1)).alias("n"), F.avg(target).alias("y_mean"), F.stddev_pop(target).alias("y_std"),
+        *[F.avg(c).alias(f"m{i}") for i, c in enumerate(channels)], *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(channels)],
+        *[F.covar_pop(c, target).alias(f"cy{i}") for i, c in enumerate(channels)],
+        *[F.covar_pop(channels[i], channels[j]).alias(f"c{i}_{j}") for i, j in upper])
+
+    def scale(c: str):
+        return F.when(F.col(c) > 0, F.col(c)).otherwise(1.0)
+    z = stats.withColumns({**{f"zy{i}": F.col("n") * F.col(f"cy{i}") / (scale(f"s{i}") * scale("y_std")) for i in range(p)},
+                           **{f"z{i}_{j}": F.col("n") * F.col(f"c{i}_{j}") / (scale(f"s{i}") * scale(f"s{j}")) for i, j in upper}})
+    # (Z + αI) β = zy: a holds what is left of the matrix, r of the right side
+    left = z.withColumns({**{f"a{i}_{j}": F.col(f"z{i}_{j}") + (alpha if i == j else 0.0) for i, j in upper},
+                          **{f"r{i}": F.col(f"zy{i}") for i in range(p)}})
+    for k in range(p - 1):
+        ratio = {i: div(f"a{k}_{i}", f"a{k}_{k}") for i in range(k + 1, p)}
+        left = left.withColumns({**{f"a{i}_{j}": F.col(f"a{i}_{j}") - ratio[i] * F.col(f"a{k}_{j}") for i, j in upper if i > k},
+                                 **{f"r{i}": F.col(f"r{i}") - ratio[i] * F.col(f"r{k}") for i in ratio}})
+    for i in reversed(range(p)):
+        known = sum((F.col(f"a{i}_{j}") * F.col(f"b{j}") for j in range(i + 1, p)), F.lit(0.0))
+        left = left.withColumn(f"b{i}", div(F.col(f"r{i}") - known, F.col(f"a{i}_{i}")))
+    explained = sum((2 * F.col(f"b{i}") * F.col(f"zy{i}") for i in range(p)), F.lit(0.0)) - sum(
+        (F.col(f"b{i}") * F.col(f"b{j}") * F.col(f"z{i}_{j}") * (1.0 if i == j else 2.0) for i, j in upper), F.lit(0.0))
+    r2 = F.when(F.col("y_std") > 0, explained / F.col("n")).otherwise(float("nan"))
+    rows = F.explode(F.array(*[F.struct(F.lit(c).alias("channel"), F.col(f"b{i}").alias("beta"), F.col(f"m{i}").alias("x_mean"),
+                                        F.col(f"s{i}").alias("x_std")) for i, c in enumerate(channels)])).alias("_c")
+    return left.select(*group, rows, "y_mean", "y_std", r2.alias("r_squared"), "n").select(
+        *group, "_c.channel", "_c.beta", "_c.x_mean", "_c.x_std", "y_mean", "y_std", "r_squared", "n")
 
 
 def mmm_contributions(coef: DataFrame, group: list[str] | None = None) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from itertools import permutations
 from statistics import NormalDist
 
 from pyspark.sql import functions as F
@@ -82,12 +83,58 @@ def _fit(r: Retail):
     return N.mmm_fit(_design(r), CHANNELS, "revenue", alpha=1.0, group=["segment"])
 
 
-@register("mmm_fit", survey_id="N3", digits={"beta": STAT, "r_squared": STAT})
+def _det(m: list[list[str]]) -> str:
+    """Determinant as SQL text, by permutations."""
+    terms = []
+    for order in permutations(range(len(m))):
+        swaps = sum(a > b for k, a in enumerate(order) for b in order[k + 1:])
+        terms.append(("- " if swaps % 2 else "+ ") + " * ".join(m[i][j] for i, j in enumerate(order)))
+    return "(" + " ".join(terms) + ")"
+
+
+# the ridge system by Cramer's rule on correlations, independent of the elimination
+def _fit_sql() -> str:
+    size = range(len(CHANNELS))
+    m = [[f"(z{min(i, j)}{max(i, j)} + {1.0 if i == j else 0.0})" for j in size] for i in size]
+    cramer = [[[f"y{i}" if j == k else m[i][j] for j in size] for i in size] for k in size]
+
+    def safe(c: str) -> str:
+        return f"CASE WHEN {c} > 0 THEN {c} ELSE 1.0 END"
+    means = ", ".join(f"avg({c}) AS m{i}, stddev_pop({c}) AS s{i}" for i, c in enumerate(CHANNELS))
+    cov = ", ".join([*(f"covar_pop({CHANNELS[i]}, {CHANNELS[j]}) AS c{i}{j}" for i in size for j in size if i <= j),
+                     *(f"covar_pop({c}, revenue) AS cy{i}" for i, c in enumerate(CHANNELS))])
+    z = ", ".join([*(f"n * c{i}{j} / (({safe(f's{i}')}) * ({safe(f's{j}')})) AS z{i}{j}" for i in size for j in size if i <= j),
+                   *(f"n * cy{i} / (({safe(f's{i}')}) * ({safe('ys')})) AS y{i}" for i in size)])
+    beta = ", ".join(f"{_det(cramer[k])} / det AS b{k}" for k in size)
+    fitted = " + ".join(f"b{i} * (({c}) - m{i}) / ({safe(f's{i}')})" for i, c in enumerate(CHANNELS))
+    rows = " UNION ALL ".join(f"SELECT segment, '{c}' AS channel, b{i} AS beta, m{i} AS x_mean, s{i} AS x_std, ym AS y_mean, ys AS y_std, "
+                              f"r_squared, n FROM solved JOIN quality USING (segment)" for i, c in enumerate(CHANNELS))
+    return ALIGNED_SQL + f""", moments AS (SELECT segment, count(*) AS n, avg(revenue) AS ym, stddev_pop(revenue) AS ys, {means}, {cov} FROM design GROUP BY segment),
+scaled AS (SELECT *, {z} FROM moments),
+dets AS (SELECT *, {_det(m)} AS det FROM scaled),
+solved AS (SELECT *, {beta} FROM dets),
+predicted AS (SELECT segment, revenue, ym + ys * ({fitted}) AS prediction FROM design JOIN solved USING (segment)),
+quality AS (SELECT segment, sqrt(avg(pow(revenue - prediction, 2))) AS rmse, avg(abs(revenue - prediction)) AS mae,
+  1 - avg(pow(revenue - prediction, 2)) / var_pop(revenue) AS r_squared FROM predicted GROUP BY segment),
+fit AS ({rows}),
+roi AS (SELECT segment, channel, total_spend, CASE WHEN total_spend > 0 THEN abs(beta) * x_mean * y_std * {len(CHANNELS)} / total_spend ELSE 0.0 END AS roi
+  FROM fit JOIN (UNPIVOT (SELECT segment, {", ".join(f"sum({c}) AS {c}" for c in CHANNELS)} FROM aligned GROUP BY segment)
+                 ON {", ".join(CHANNELS)} INTO NAME channel VALUE total_spend) USING (segment, channel))
+"""
+
+
+FIT_SQL = _fit_sql()
+
+
+@register("mmm_fit", survey_id="N3", digits={"beta": STAT, "r_squared": STAT, "x_mean": UNIT, "x_std": UNIT, "y_mean": UNIT, "y_std": UNIT},
+          sql=FIT_SQL + "SELECT * FROM fit")
 def mmm_fit(r: Retail):
     return _fit(r)
 
 
-@register("mmm_contributions", survey_id="N4", digits={"beta": STAT, "contribution_pct": STAT})
+@register("mmm_contributions", survey_id="N4", digits={"beta": STAT, "contribution_pct": STAT},
+          sql=FIT_SQL + """SELECT segment, channel, beta, CASE WHEN sum(greatest(beta, 0.0)) OVER w > 0
+  THEN greatest(beta, 0.0) / sum(greatest(beta, 0.0)) OVER w * 100 ELSE 0.0 END AS contribution_pct FROM fit WINDOW w AS (PARTITION BY segment)""")
 def mmm_contributions(r: Retail):
     return N.mmm_contributions(_fit(r), ["segment"]).select("segment", "channel", "beta", "contribution_pct")
 
@@ -98,12 +145,14 @@ def _roi(r: Retail):
     return N.mmm_roi(_fit(r), spent, len(CHANNELS), ["segment"])
 
 
-@register("mmm_roi", survey_id="N5,P5", digits={"roi": STAT, "total_spend": MONEY})
+@register("mmm_roi", survey_id="N5,P5", digits={"roi": STAT, "total_spend": MONEY},
+          sql=FIT_SQL + "SELECT segment, channel, total_spend, roi FROM roi")
 def mmm_roi(r: Retail):
     return _roi(r).select("segment", "channel", "total_spend", "roi")
 
 
-@register("mmm_predict", survey_id="N6", digits={"rmse": UNIT, "mae": UNIT, "r_squared": STAT})
+@register("mmm_predict", survey_id="N6", digits={"rmse": UNIT, "mae": UNIT, "r_squared": STAT},
+          sql=FIT_SQL + "SELECT segment, rmse, mae, r_squared FROM quality")
 def mmm_predict(r: Retail):
     return N.mmm_predict(_design(r), _fit(r), CHANNELS, group=["segment"])
 
@@ -113,7 +162,11 @@ DEFAULT_SPLIT = {"click": 0.4, "view": 0.3, "signup": 0.2, "error": 0.1}
 BUDGET_DIGITS = {"roi": STAT, "share": STAT, "recommended_budget": MONEY}
 
 
-@register("budget_recommendation", survey_id="N7", digits=BUDGET_DIGITS)
+@register("budget_recommendation", survey_id="N7", digits=BUDGET_DIGITS,
+          sql=FIT_SQL + f""", shares AS (SELECT channel, roi, CASE WHEN sum(greatest(roi, 0.0)) OVER () > 0
+  THEN greatest(roi, 0.0) / sum(greatest(roi, 0.0)) OVER ()
+  ELSE CASE channel {" ".join(f"WHEN '{c}' THEN {v}" for c, v in DEFAULT_SPLIT.items())} ELSE 0.0 END END AS share FROM roi WHERE segment = 'all')
+SELECT *, share * 1000000.0 AS recommended_budget FROM shares""")
 def budget_recommendation(r: Retail):
     return N.budget_recommendation(_roi(r).where("segment = 'all'").select("channel", "roi"), 1_000_000.0, DEFAULT_SPLIT)
 

@@ -137,8 +137,8 @@ def rule_tables(r: Retail) -> dict[str, DataFrame]:
 
 SQL_SOURCES = {
     "transactions": "tx",
-    "stores": "(SELECT s_suppkey AS store_id, r_name AS cluster FROM supplier JOIN nation ON "
-              "s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)",
+    "stores": "(SELECT s_suppkey AS store_id, r_name AS cluster FROM supplier LEFT JOIN nation ON "
+              "s_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey)",
     "products": "(SELECT p_partkey AS product_id, p_type AS category, p_retailprice AS unit_cost FROM part)",
     "marketing": "mkt",
     "store_costs": "(SELECT sum(operating_cost) AS total_operating_cost FROM tx GROUP BY store_id, period)",

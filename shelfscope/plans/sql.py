@@ -14,29 +14,29 @@ TX = """tx AS (
          l_extendedprice * (1 - l_discount) / l_quantity AS unit_price,
          l_extendedprice * l_tax AS operating_cost,
          p_type AS category, p_brand AS subcategory,
-         CASE WHEN p_type = 'PROMO' THEN 'private_label' ELSE 'national_brand' END AS brand_type
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey)"""
+         CASE WHEN p_type = 'PROMO' THEN 'private_label' WHEN p_type IS NOT NULL THEN 'national_brand' END AS brand_type
+  FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN part ON l_partkey = p_partkey)"""
 
 STORES = """stores AS (
   SELECT s_suppkey AS store_id, s_name AS store_name, n_name AS store_nation,
          r_name AS cluster, s_acctbal AS size
-  FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
+  FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey)"""
 
 CUSTOMERS = """customers AS (
   SELECT c_custkey AS customer_id, c_mktsegment AS tier, n_name AS customer_nation,
          r_name AS customer_region, c_acctbal AS acctbal
-  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
+  FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey)"""
 
 PRODUCTS = """products AS (
   SELECT p_partkey AS product_id, p_name AS product_name, p_type AS category,
          p_brand AS subcategory,
-         CASE WHEN p_type = 'PROMO' THEN 'private_label' ELSE 'national_brand' END AS brand_type,
+         CASE WHEN p_type = 'PROMO' THEN 'private_label' WHEN p_type IS NOT NULL THEN 'national_brand' END AS brand_type,
          p_retailprice AS unit_cost, p_size AS size
   FROM part)"""
 
 EV = """ev AS (
   SELECT e.*, n_name AS market, CAST(ts AS DATE) AS day
-  FROM events e JOIN customer ON user_id = c_custkey JOIN nation ON c_nationkey = n_nationkey)"""
+  FROM events e LEFT JOIN customer ON user_id = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey)"""
 
 MARKETING = EV + """,
 mkt AS (SELECT market, day AS period, event_type AS channel, sum(value) AS spend
