@@ -3,7 +3,7 @@ store performance, category views, basket and brand margins)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import ranks
@@ -70,8 +70,8 @@ def financial_summary(tx: DataFrame, early_months: int = 3, late_months: int = 3
 
 def churn_by_tier(tx: DataFrame, customers: DataFrame, days: int = 180, tier: str = "tier") -> DataFrame:
     """Customers whose last purchase is more than ``days`` before the
-    latest date are churned; per tier counts and rate, plus an ALL row whose
-    denominator is every customer (buyers or not)."""
+    latest date are churned; per tier counts, rate and whether it is the worst tier (of equal rates the first by
+    name), plus an ALL row whose denominator is every customer (buyers or not)."""
     max_date = tx.agg(F.max("date")).scalar()
     last = tx.groupBy("customer_id").agg(F.max("date").alias("_last"))
     c = customers.select("customer_id", tier).join(last, "customer_id", "left").withColumn(
@@ -79,8 +79,10 @@ def churn_by_tier(tx: DataFrame, customers: DataFrame, days: int = 180, tier: st
     per = c.groupBy(tier).agg(F.count(F.lit(1)).alias("n_customers"), F.count_if("_churned").alias("n_churned"))
     allr = c.agg(F.count(F.lit(1)).alias("n_customers"), F.count_if("_churned").alias("n_churned")).select(
         F.lit("ALL").alias(tier), "n_customers", "n_churned")
-    return per.unionByName(allr).withColumn(
-        "churn_rate", F.when(F.col("n_customers") > 0, F.col("n_churned") / F.col("n_customers")).otherwise(0.0))
+    rate = F.when(F.col("n_customers") > 0, F.col("n_churned") / F.col("n_customers")).otherwise(0.0)
+    worst = F.row_number().over(Window.orderBy(F.col("churn_rate").desc(), F.col(tier).asc_nulls_last())) == 1  # a row per tier
+    per = per.withColumn("churn_rate", rate).withColumn("is_most_churned", worst)
+    return per.unionByName(allr.withColumn("churn_rate", rate).withColumn("is_most_churned", F.lit(False)))
 
 
 def tier_activity_shift(tx: DataFrame, customers: DataFrame, focus: str, split_month: int = 24,

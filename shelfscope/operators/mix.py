@@ -6,11 +6,8 @@ p×p ridge system of that row is solved by column expressions."""
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.expr import div
 
@@ -18,6 +15,7 @@ from ..functions.expr import div
 CHANNEL_DECAY = {"tv": 0.7, "digital": 0.2, "email": 0.1, "radio": 0.5, "outdoor": 0.6,
                  "social": 0.3, "search": 0.15, "print": 0.4}
 DEFAULT_DECAY = 0.5
+BLOCK = 32  # periods of a block of the decay recurrence
 
 
 def decay_column(channel: str, mapping: dict[str, str] | None = None):
@@ -30,41 +28,39 @@ def decay_column(channel: str, mapping: dict[str, str] | None = None):
 
 
 def adstock(df: DataFrame, keys: list[str], period: str, value: str, decay) -> DataFrame:
-    """a_t = x_t + λ·a_{t−1} per series (keys), in period order, over the rows given.
-
-    A series holds one row per period (rows are aggregated first), so a group is
-    bounded by the time horizon; the recursion runs over its array once."""
+    """a_t = x_t + λ·a_{t−1} per series (keys), in period order, over the rows given.  NULL counts as 0."""
     lam = decay if not isinstance(decay, (int, float)) else F.lit(float(decay))
     s = df.groupBy(*keys, period).agg(F.sum(value).alias(value)).withColumn("_lam", lam.cast("double"))
-    schema = T.StructType([*(s.schema[c] for c in (*keys, period)), T.StructField(value, T.DoubleType()),
-                           T.StructField("adstock", T.DoubleType())])
+    s = _decayed(s.withColumn("adstock", F.col(value)), keys, period, {"adstock": F.col("_lam")})
+    return s.select(*keys, period, F.col(value).cast("double").alias(value), "adstock")
+
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(period)
-        return pdf.assign(adstock=_decayed(pdf[value], float(pdf["_lam"].iloc[0])))[[*keys, period, value, "adstock"]]
-    return s.groupBy(*keys).applyInPandas(fold, schema)
+def _decayed(df: DataFrame, keys: list[str], period: str, rates: dict) -> DataFrame:
+    """Columns of ``rates`` (name → λ) replaced by their decayed sums along ``period``.
 
+    The recurrence is an associative scan: a series is cut into blocks of ``BLOCK`` rows, a block is reduced to its tail
+    (λ^BLOCK carries over it), and a row is its place in the block's own recurrence plus λ^(place + 1) times what the
+    tails before carry in.  A row thus sees a block and one tail per earlier block, never the series."""
+    series = Window.partitionBy(*keys).orderBy("_row")
+    block = Window.partitionBy(*keys, "_block").orderBy("_row").rowsBetween(Window.unboundedPreceding, 0)
+    d = df.withColumn("_row", F.row_number().over(Window.partitionBy(*keys).orderBy(period)) - 1)
+    d = d.withColumns({"_block": F.floor(F.col("_row") / BLOCK), "_place": F.col("_row") % BLOCK})
 
-def _decayed(x, lam: float) -> np.ndarray:
-    out, last = np.empty(len(x)), 0.0
-    for k, v in enumerate(x):
-        last = v + lam * last
-        out[k] = last
-    return out
+    def fold(values, rate):
+        return F.aggregate(values, F.lit(0.0), lambda a, x: a * rate + x)
+    own = {c: fold(F.collect_list(F.coalesce(F.col(c).cast("double"), F.lit(0.0))).over(block), lam) for c, lam in rates.items()}
+    d = d.withColumns(own)
+    tails = {c: F.collect_list(F.when(F.col("_place") == BLOCK - 1, F.col(c))).over(series.rowsBetween(Window.unboundedPreceding, -1)) for c in rates}
+    d = d.withColumns({f"_in_{c}": fold(t, F.pow(rates[c], F.lit(BLOCK))) for c, t in tails.items()})
+    carried = {c: F.col(c) + F.pow(lam, F.col("_place") + 1) * F.col(f"_in_{c}") for c, lam in rates.items()}
+    return d.withColumns(carried).drop("_row", "_block", "_place", *[f"_in_{c}" for c in rates])
 
 
 def adstock_design(design: DataFrame, channels: list[str], decay: dict[str, float], period: str = "period",
                    group: list[str] | None = None) -> DataFrame:
     """Adstock of every channel column of a zero-filled design, in period order per segment
     (one row per period, so a segment's rows are bounded by the horizon)."""
-    group = list(group or [])
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(period)
-        return pdf.assign(**{c: _decayed(pdf[c], decay.get(c, DEFAULT_DECAY)) for c in channels})
-    keyed = design if group else design.withColumn("_k", F.lit(1))
-    out = keyed.groupBy(*(group or ["_k"])).applyInPandas(fold, keyed.schema)
-    return out if group else out.drop("_k")
+    return _decayed(design, list(group or []), period, {c: F.lit(decay.get(c, DEFAULT_DECAY)) for c in channels})
 
 
 def spend_pivot(spend: DataFrame, revenue: DataFrame, channels: list[str], period: str = "period",

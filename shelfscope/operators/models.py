@@ -361,6 +361,17 @@ def store_report_classification(scores: DataFrame, proba: str = "probability",
                     (F.col("n_bottom") * F.col("_r") * 0.05 * 12).alias("annual_uplift"))
 
 
+def store_action_lists_classification(scores: DataFrame, key: str = "store_id", proba: str = "probability", k: int = 20) -> DataFrame:
+    """M10 lists: ``invest`` = the first k stores by key with 0.4 ≤ p < 0.5, ``monitor`` = the first k with p < 0.3."""
+    p = F.col(proba)
+    lists = {"invest": (p >= 0.4) & (p < 0.5), "monitor": p < 0.3}
+    # top-k by key, numbered after the limit
+    return reduce(DataFrame.unionByName, [
+        scores.where(chosen).orderBy(key).limit(k).select(
+            F.lit(name).alias("list_type"), key, F.row_number().over(Window.orderBy(key)).cast("long").alias("rank"), p.alias("probability"))
+        for name, chosen in lists.items()])
+
+
 def store_uplift_trainer(scores: DataFrame, pred: str = "prediction", revenue: str = "avg_monthly_revenue") -> DataFrame:
     """M11 (trainer variant): max(0, median − mean bottom prediction) × mean
     revenue over all stores × n_bottom (monthly, not annualised)."""

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.expr import one_row_join
 from ..functions.ranks import quantiles
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
@@ -266,6 +267,14 @@ def audit_flags(profiles: DataFrame, tables: DataFrame, null_pct: float = 5.0,
     return col_flags.unionByName(tbl_flags)
 
 
+def audit_totals(table_profiles: DataFrame, rules: DataFrame) -> DataFrame:
+    """G19 totals in one row: tables, their rows and duplicate rows, rules checked and rules violated."""
+    t = table_profiles.agg(F.count(F.lit(1)).alias("total_tables"), F.coalesce(F.sum("row_count"), F.lit(0)).alias("total_rows"),
+                           F.coalesce(F.sum("duplicate_row_count"), F.lit(0)).alias("total_duplicate_rows"))
+    v = rules.agg(F.count(F.lit(1)).alias("total_rules"), F.count_if(~F.col("passed")).alias("total_rule_violations"))
+    return one_row_join(t, v)
+
+
 def quality_scorecard(df: DataFrame, table: str, numeric_cols: list[str] | None = None,
                       z: float = 3.0) -> DataFrame:
     """Completeness %, duplicate %, % rows with any |z| > 3 over the

@@ -69,9 +69,11 @@ def financial_summary(r: Retail):
           sql=with_(TX, CUSTOMERS) + """, last AS (SELECT customer_id, max(date) AS l FROM tx GROUP BY customer_id),
 c AS (SELECT tier, coalesce(l < (SELECT max(date) FROM tx) - INTERVAL 180 DAY, false) AS ch
       FROM customers LEFT JOIN last USING (customer_id)),
-u AS (SELECT tier, count(*) AS n_customers, count_if(ch) AS n_churned FROM c GROUP BY tier
-      UNION ALL SELECT 'ALL', count(*), count_if(ch) FROM c)
-SELECT *, CASE WHEN n_customers > 0 THEN n_churned / n_customers ELSE 0.0 END AS churn_rate FROM u""")
+u AS (SELECT tier, count(*) AS n_customers, count_if(ch) AS n_churned FROM c GROUP BY tier),
+worst AS (SELECT tier FROM u ORDER BY n_churned / n_customers DESC, tier LIMIT 1),
+a AS (SELECT *, tier IN (SELECT tier FROM worst) AS is_most_churned FROM u
+      UNION ALL SELECT 'ALL', count(*), count_if(ch), false FROM c)
+SELECT *, CASE WHEN n_customers > 0 THEN n_churned / n_customers ELSE 0.0 END AS churn_rate FROM a""")
 def churn_by_tier(r: Retail):
     return P.churn_by_tier(r.transactions, r.customers)
 

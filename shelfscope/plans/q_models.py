@@ -207,6 +207,15 @@ def store_report_classification(r: Retail):
     return M.store_report_classification(_scored_stores(r))
 
 
+@register("store_action_lists_classification", survey_id="M10", digits={"probability": STAT},
+          sql=f"""WITH s AS ({SF_SQL}),
+l AS (SELECT 'invest' AS list_type, store_id, margin_ratio AS probability FROM s WHERE margin_ratio >= 0.4 AND margin_ratio < 0.5
+      UNION ALL SELECT 'monitor', store_id, margin_ratio FROM s WHERE margin_ratio < 0.3)
+SELECT * FROM (SELECT list_type, store_id, row_number() OVER (PARTITION BY list_type ORDER BY store_id) AS rank, probability FROM l) WHERE rank <= 20""")
+def store_action_lists_classification(r: Retail):
+    return M.store_action_lists_classification(_scored_stores(r))
+
+
 @register("store_uplift_trainer", survey_id="M11", digits={"uplift_monthly": UNIT},
           sql=f"""WITH s AS ({SF_SQL}),
 q AS (SELECT quantile_cont(margin_ratio, 0.2) AS a, quantile_cont(margin_ratio, 0.5) AS m FROM s)

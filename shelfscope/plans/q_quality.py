@@ -331,6 +331,13 @@ def audit_flags(r: Retail):
     return Q.audit_flags(prof, tp)
 
 
+@register("audit_totals", survey_id="G19", sql=f"""WITH tp AS ({TABLE_PROFILE_SQL}), rules AS ({rules_sql(BUSINESS_RULES)})
+SELECT count(*) AS total_tables, CAST(sum(row_count) AS BIGINT) AS total_rows, CAST(sum(duplicate_row_count) AS BIGINT) AS total_duplicate_rows,
+  (SELECT count(*) FROM rules) AS total_rules, (SELECT count_if(NOT passed) FROM rules) AS total_rule_violations FROM tp""")
+def audit_totals(r: Retail):
+    return Q.audit_totals(Q.profile_table_many({t: r.tables[t] for t in PROFILE_TABLES}), Q.run_rules(rule_tables(r), BUSINESS_RULES))
+
+
 SCORECARD_TABLES = TABLES
 
 

@@ -298,3 +298,39 @@ def test_planted_signal_is_learnt_and_fills_are_fitted(spark):
     assert M.classification_metrics(M.churn_scores(model, test), "label", "churn_probability").first().auc_roc > 0.9
     one = test.where("c is null").limit(1)  # scored alone, the fill is still the training rows'
     assert M.churn_scores(model, one).first()["c__fill"] == M.most_frequent(train, ["c"])["c"]
+
+
+def test_adstock_over_many_blocks_without_python(spark):
+    rng = np.random.default_rng(5)
+    x = rng.gamma(1.0, 50.0, size=150)
+    x[40:75] = 0
+    rows = [(k, p, float(v) if v else None) for k in ("a", None) for p, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "series string, period int, spend double").repartition(3)
+    for lam in (0.0, 0.1, 0.97):
+        out = N.adstock(df, ["series"], "period", "spend", lam)
+        assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
+        want, last = [], 0.0
+        for v in x:
+            last = v + lam * last
+            want.append(last)
+        got = out.collect()
+        for key in ("a", None):
+            assert [r.adstock for r in sorted((r for r in got if r.series == key), key=lambda r: r.period)] == pytest.approx(want, rel=1e-12, abs=1e-12)
+
+
+def test_mix_fit_runs_without_python_and_takes_constant_channels(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(50, 9, size=(80, 3))
+    x[:, 1] = 4.0
+    y = x @ [2.0, 1.0, -0.5] + rng.normal(size=80)
+    df = spark.createDataFrame([("s", *map(float, r), float(t)) for r, t in zip(x, y)] + [("flat", float(k), 1.0, 2.0, 7.0) for k in range(9)],
+                               "segment string, a double, b double, c double, revenue double")
+    fit = N.mmm_fit(df, ["a", "b", "c"], group=["segment"])
+    assert "Python" not in fit._jdf.queryExecution().executedPlan().toString()
+    got = {(r.segment, r.channel): r for r in fit.collect()}
+    z = np.where(x.std(0) > 0, (x - x.mean(0)) / np.where(x.std(0) > 0, x.std(0), 1), 0)
+    t = (y - y.mean()) / y.std()
+    beta = np.linalg.solve(z.T @ z + np.eye(3), z.T @ t)
+    assert [got["s", c].beta for c in "abc"] == pytest.approx(beta.tolist(), abs=1e-10) and got["s", "b"].beta == 0
+    assert got["s", "a"].r_squared == pytest.approx(1 - ((t - z @ beta) ** 2).sum() / (t ** 2).sum())
+    assert [got["flat", c].beta for c in "abc"] == [0, 0, 0] and np.isnan(got["flat", "a"].r_squared)

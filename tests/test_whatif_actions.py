@@ -43,3 +43,24 @@ def test_ranks_with_a_hot_value(spark):
     assert all(got[k] == e for k, e in zip(pdf.k, exp))
     q = ranks.quantiles(df, "x", [0.5, 0.9], ["a", "b"], n_buckets=16).first()
     assert (q["a"], q["b"]) == pytest.approx((np.quantile(vals, 0.5), np.quantile(vals, 0.9)))
+
+
+def test_classifier_lists_and_worst_tier(spark):
+    from datetime import date
+    from shelfscope.operators.kpi import churn_by_tier
+    from shelfscope.operators.models import store_action_lists_classification
+    scores = spark.createDataFrame([(k, k / 100) for k in range(100)], "store_id long, probability double")
+    got = [(r.list_type, r["rank"], r.store_id) for r in store_action_lists_classification(scores, k=5).collect()]
+    assert sorted(got) == [("invest", k + 1, 40 + k) for k in range(5)] + [("monitor", k + 1, k) for k in range(5)]
+    tx = spark.createDataFrame([(1, date(2020, 1, 1)), (2, date(2024, 1, 1)), (3, date(2020, 1, 1))], "customer_id long, date date")
+    people = spark.createDataFrame([(1, "b"), (2, "b"), (3, "c"), (4, "a")], "customer_id long, tier string")
+    rows = {r.tier: r for r in churn_by_tier(tx, people).collect()}
+    assert [t for t, r in rows.items() if r.is_most_churned] == ["c"] and rows["ALL"].churn_rate == 0.5
+
+
+def test_audit_totals_count_violated_rules(spark):
+    from shelfscope.operators.quality import audit_totals
+    tables = spark.createDataFrame([("t", 5, 1), ("u", 7, 0)], "table_name string, row_count long, duplicate_row_count long")
+    rules = spark.createDataFrame([("t", True), ("t", False), ("u", False)], "table_name string, passed boolean")
+    assert tuple(audit_totals(tables, rules).first()) == (2, 12, 1, 3, 2)
+    assert tuple(audit_totals(tables.limit(0), rules.limit(0)).first()) == (0, 0, 0, 0, 0)
