@@ -9,7 +9,7 @@ The same rule list renders to DuckDB SQL for the oracle.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -122,6 +122,60 @@ def _flat_aggregates(r: Rule, i: int, present: set[str]) -> tuple[list[Column],
     return [F.count_if(_bad_expr(r)).alias(f"_b{i}")], (F.col("_n"), F.col(f"_b{i}"))
 
 
+NUMBER_KINDS = {"positive", "non_negative", "range", "identity"}
+KINDS = ROW_KINDS | {"required", "unique", "fk", "group_mean_order"}
+
+
+def _rule_error(rule: Rule, tables: dict[str, DataFrame]) -> str | None:
+    """Why a rule cannot be run on these tables."""
+    if rule.kind not in KINDS:
+        return f"unknown kind {rule.kind}"
+    needed = [] if rule.kind == "required" else [(rule.table, c) for c in rule.cols]
+    if rule.kind == "fk":
+        needed.append(rule.args)
+    if rule.kind == "group_mean_order":
+        needed.append((rule.table, rule.args[0]))
+    for t, c in [(rule.table, None), *needed]:
+        if t not in tables:
+            return f"missing table {t}"
+        if c is not None and c not in tables[t].columns:
+            return f"missing column {t}.{c}"
+    return None
+
+
+def audit_rules(tables: dict[str, DataFrame], rules: list[Rule]) -> DataFrame:
+    """``run_rules`` where a rule that errs is a violation of its own: passed is false and ``error`` says why
+    (else NULL).  A rule errs if its table, a column or its kind does not exist (counts are NULL), or if a rule on
+    numbers meets text that is no number; the readable values are counted as usual.  NULL is no error."""
+    errors = [(r, _rule_error(r, tables)) for r in rules]
+    spark = next(iter(tables.values())).sparkSession
+    schema = "table_name string, check_name string, n_checked long, n_bad long, passed boolean, error string"
+    parts = [spark.createDataFrame([(r.table, r.check, None, None, False, e) for r, e in errors if e], schema)]
+    sound, views, text = [], dict(tables), {}
+    for r in (r for r, e in errors if not e):
+        fields = tables[r.table].schema
+        cols = [c for c in r.cols if isinstance(fields[c].dataType, T.StringType)] if r.kind in NUMBER_KINDS else []
+        if cols:  # numbers are read beside the text, which other rules of the table still see
+            views[r.table] = views[r.table].withColumns({f"_number_{c}": F.expr(f"try_cast(`{c}` AS double)") for c in cols})
+            text.setdefault(r.table, []).append((r.check, cols))
+            r = replace(r, cols=tuple(f"_number_{c}" if c in cols else c for c in r.cols))
+        sound.append(r)
+    unread = [views[t].agg(F.array(*[
+        F.struct(F.lit(t).alias("table_name"), F.lit(check).alias("check_name"),
+                 sum((F.count_if(F.col(c).isNotNull() & F.col(f"_number_{c}").isNull()) for c in cols), F.lit(0)).alias("n_unread"))
+        for check, cols in checks]).alias("s")).select(F.explode("s").alias("s")).select("s.*") for t, checks in text.items()]
+    if sound:
+        found = run_rules(views, sound)
+        if unread:
+            found = found.join(reduce(DataFrame.unionByName, unread), ["table_name", "check_name"], "left")  # a row per rule either side
+        else:
+            found = found.withColumn("n_unread", F.lit(0))
+        bad = F.coalesce(F.col("n_unread"), F.lit(0)) > 0
+        parts.append(found.select("table_name", "check_name", "n_checked", "n_bad", (F.coalesce("passed", F.lit(False)) & ~bad).alias("passed"),
+                                  F.when(bad, F.concat(F.col("n_unread").cast("string"), F.lit(" values are no number"))).alias("error")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def validate_all(results: DataFrame) -> DataFrame:
     """Per table: checks run, failed, passed flag (all checks pass)."""
     return results.groupBy("table_name").agg(

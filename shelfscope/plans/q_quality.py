@@ -243,6 +243,39 @@ def dq_business_rules(r: Retail):
     return Q.run_rules(rule_tables(r), BUSINESS_RULES)
 
 
+# rules that cannot be run, or meet text that is no number: each is a violation with a reason
+ERRING_RULES: list[Rule] = [
+    Rule("stores", "tenure_range", "range", ("tenure_years",), (0, 50)),
+    Rule("warehouses", "capacity_positive", "positive", ("capacity",)),
+    Rule("stores", "warehouse_fk", "fk", ("store_id",), ("warehouses", "warehouse_id")),
+    Rule("products", "unit_cost_shape", "convex", ("unit_cost",)),
+    Rule("orders", "status_non_negative", "non_negative", ("o_orderstatus",)),
+    Rule("balances", "balance_range", "range", ("balance",), (0.0, 5000.0)),
+]
+BALANCES_SQL = "(SELECT c_custkey, CAST(c_acctbal AS VARCHAR) AS balance FROM customer)"
+
+
+def _erring_sql() -> str:
+    reasons = {"tenure_range": "missing column stores.tenure_years", "capacity_positive": "missing table warehouses",
+               "warehouse_fk": "missing table warehouses", "unit_cost_shape": "unknown kind convex"}
+    rows = [f"SELECT {_head(x)}, CAST(NULL AS BIGINT) AS n_checked, CAST(NULL AS BIGINT) AS n_bad, false AS passed, '{reasons[x.check]}' AS error"
+            for x in ERRING_RULES if x.check in reasons]
+    rows.append("SELECT 'orders', 'status_non_negative', count(*), count(*) FILTER (WHERE TRY_CAST(o_orderstatus AS DOUBLE) < 0), "
+                "count_if(coalesce(TRY_CAST(o_orderstatus AS DOUBLE) < 0, o_orderstatus IS NOT NULL)) = 0, "
+                "CASE WHEN count(o_orderstatus) > count(TRY_CAST(o_orderstatus AS DOUBLE)) "
+                "THEN (count(o_orderstatus) - count(TRY_CAST(o_orderstatus AS DOUBLE))) || ' values are no number' END FROM orders")
+    rows.append("SELECT 'balances', 'balance_range', count(*), count_if(TRY_CAST(balance AS DOUBLE) NOT BETWEEN 0 AND 5000), "
+                f"count_if(TRY_CAST(balance AS DOUBLE) NOT BETWEEN 0 AND 5000) = 0, NULL FROM {BALANCES_SQL}")
+    return "\nUNION ALL\n".join(rows)
+
+
+@register("audit_business_rules", survey_id="G14",
+          sql=f"SELECT *, CAST(NULL AS VARCHAR) AS error FROM ({rules_sql(BUSINESS_RULES)})\nUNION ALL\n" + _erring_sql())
+def audit_business_rules(r: Retail):
+    balances = r.tables["customer"].select("c_custkey", F.col("c_acctbal").cast("string").alias("balance"))
+    return Q.audit_rules({**rule_tables(r), "balances": balances}, BUSINESS_RULES + ERRING_RULES)
+
+
 # Lines of a finished (open) order are expected to be finished (open); partial orders have no expectation
 EXPECTED_STATUS = [("F", "F"), ("O", "O")]
 

@@ -73,3 +73,29 @@ def test_duplicate_rows_treat_nulls_and_arrays_by_value(spark):
     got = {r["table_name"]: r for r in Q.profile_table_many({"a": a, "b": b}).collect()}
     assert got["a"]["duplicate_row_count"] == 1 and got["a"]["row_count"] == 4
     assert got["b"]["duplicate_row_count"] == 2 and got["b"]["column_count"] == 1
+
+
+def test_rule_errors_are_violations(spark):
+    t = spark.createDataFrame([(1, "5", "a"), (2, "-1", "b"), (3, None, "a"), (4, "x", None)], "id long, amount string, kind string")
+    clean = spark.createDataFrame([(1, "5"), (2, None)], "id long, amount string")
+    rules = [
+        Rule("t", "amount_positive", "positive", ("amount",)),
+        Rule("t", "amount_known", "not_null", ("amount",)),
+        Rule("clean", "amount_positive", "positive", ("amount",)),
+        Rule("t", "no_column", "range", ("size",), (0, 1)),
+        Rule("gone", "no_table", "unique", ("id",)),
+        Rule("t", "no_parent", "fk", ("id",), ("gone", "id")),
+        Rule("t", "no_kind", "odd", ("id",)),
+        Rule("t", "required", "required", ("id", "size")),
+    ]
+    got = {(r.table_name, r.check_name): (r.n_checked, r.n_bad, r.passed, r.error) for r in Q.audit_rules({"t": t, "clean": clean}, rules).collect()}
+    assert got == {
+        ("t", "amount_positive"): (4, 1, False, "1 values are no number"),
+        ("t", "amount_known"): (4, 1, False, None),
+        ("clean", "amount_positive"): (2, 0, True, None),
+        ("t", "no_column"): (None, None, False, "missing column t.size"),
+        ("gone", "no_table"): (None, None, False, "missing table gone"),
+        ("t", "no_parent"): (None, None, False, "missing table gone"),
+        ("t", "no_kind"): (None, None, False, "unknown kind odd"),
+        ("t", "required"): (2, 1, False, None),
+    }
