@@ -111,7 +111,7 @@ FROM m LEFT JOIN stores USING (store_id) LEFT JOIN sl USING (store_id) LEFT JOIN
 
 
 def _store_features(r: Retail):
-    return L.store_features(r.transactions, r.stores, r.store_costs, CLUSTERS)
+    return L.store_features(r.transactions, r.stores, None, CLUSTERS, months=r.store_months)
 
 
 @register("store_features", survey_id="L3,L6", digits=SF_DIGITS, sql=SF_SQL)
