@@ -113,7 +113,7 @@ def feature_importance(r: Retail):
 def permutation_importance(r: Retail):
     train, test = _churn_split(r)
     model = M.fit_classifier(train, NUMERIC, ["tier"], "random_forest")
-    return M.permutation_importance(model, test, [*NUMERIC, "tier"], "label", "customer_id")
+    return M.permutation_importance(model, test, [*NUMERIC, "tier"], "label", "customer_id", keep=_cut)
 
 
 STORE_NUMERIC = ["size", "avg_monthly_revenue", "revenue_volatility", "active_months", "revenue_slope",
@@ -123,7 +123,7 @@ STORE_NUMERIC = ["size", "avg_monthly_revenue", "revenue_volatility", "active_mo
 def _store_data(r: Retail):
     from ..operators import features as LF
     from .q_kpi import CLUSTERS
-    f = LF.store_features(r.transactions, r.stores, r.store_costs, CLUSTERS)
+    f = LF.store_features(r.transactions, r.stores, None, CLUSTERS, months=r.store_months)
     return LF.top_performer_label(f).withColumn("label_cls", F.col("is_top_performer").cast("double"))
 
 
@@ -162,7 +162,7 @@ def churn_model_cv(r: Retail):
 def _scored_stores(r: Retail):
     from ..operators import features as LF
     from .q_kpi import CLUSTERS
-    f = LF.store_features(r.transactions, r.stores, r.store_costs, CLUSTERS)
+    f = LF.store_features(r.transactions, r.stores, None, CLUSTERS, months=r.store_months)
     # deterministic score (the margin ratio as predicted performance /
     # probability) so the DuckDB oracle can check the report logic
     return f.withColumn("prediction", F.col("margin_ratio")).withColumn("probability", F.col("margin_ratio"))
