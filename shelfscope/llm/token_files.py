@@ -46,7 +46,7 @@ END_ID = 2
 SEQUENCE = 2048
 BATCH = 64            # sequences of a record batch
 SHARD_IDS = 1 << 20   # ids of a shard
-REMEMBERED = 400_000  # distinct chunks in a generation of a worker's dictionary
+REMEMBERED = 800_000  # distinct chunks in a generation of a worker's dictionary
 LONG_CHUNK = 64       # longer chunks are not remembered
 MAGIC = "ARROW1"      # ends an Arrow file
 META = b"token_file"
@@ -60,7 +60,7 @@ class ChunkEncoder:
     token carries the end-of-word suffix, which tells where its ids stop.  Any other chunk is encoded by itself.  Two generations of a dictionary hold what was seen: the young one
     takes over what the old one still serves, and becomes the old one when it is full."""
 
-    WORD = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+)([!-&(-/:;=-@[-`{-~]*)")
+    LINE = re.compile("^(?:([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+)([!-&(-/:;=-@[-`{-~]*)|.*)$", re.M)
     TEXTS, JOINED = 32, 2000  # texts looked up and words joined at once
 
     def __init__(self, file: str, dtype: np.dtype):
@@ -99,27 +99,28 @@ class ChunkEncoder:
         return out
 
     def _learn(self, chunks: set[str]) -> None:
-        young, old = self.young, self.old
-        young.update([(c, old[c]) for c in chunks if c in old])
-        simple, other = {}, []
-        for c in [c for c in chunks if c not in young]:
-            m = self.WORD.fullmatch(c)
-            if m:
-                simple[c] = m[1].lower(), m[2]
+        young, old, unseen = self.young, self.old, []
+        for c in chunks:
+            if c in old:
+                young[c] = old[c]
             else:
-                other.append(c)
-        words = {w for w, _ in simple.values() if w not in young}
-        young.update([(w, old[w]) for w in words if w in old])
-        young.update(self._words([w for w in words if w not in young]))
-        young.update(self._alone([*other, *{marks for _, marks in simple.values() if marks not in young}]))
-        young.update([(c, young[w] + young[marks]) for c, (w, marks) in simple.items()])
+                unseen.append(c)
+        if not unseen:
+            return
+        parts = self.LINE.findall("\n".join(unseen))  # a chunk holds no line feed: (word, marks) of each, both empty if it is no word
+        words = "\n".join([w for w, _ in parts]).lower().split("\n")
+        new = {w for w in words if w and w not in young}
+        young.update([(w, old[w]) for w in new if w in old])
+        young.update(self._words([w for w in new if w not in young]))
+        young.update(self._alone([*[c for c, w in zip(unseen, words, strict=True) if not w], *{m for _, m in parts if m and m not in young}]))
+        young.update([(c, young[w] + young[m] if m else young[w]) for c, w, (_, m) in zip(unseen, words, parts, strict=True) if w])
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         texts = iter(texts)
         while some := list(islice(texts, self.TEXTS)):
             cut = [(t or "").replace("\n", " ").split(" ") for t in some]
             known = self.young
-            new = {c for c in set().union(*cut) if c not in known}
+            new = set().union(*cut).difference(known)
             self._learn(new)
             for chunks in cut:
                 yield b"".join(map(known.__getitem__, chunks))

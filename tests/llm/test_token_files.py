@@ -104,3 +104,22 @@ def test_registered_query(spark):
     sf = "/root/testdata/sf0.001"
     docs = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
     assert got(QUERIES["op11_token_files"](spark, sf)) == brute(docs)
+
+
+def test_chunks_are_learnt_once():
+    """700,000 distinct words that come twice are encoded once (a smaller dictionary lost some of them in between)."""
+    e = tf.ChunkEncoder(FILE, DTYPE)
+    learnt = []
+    e._words = lambda words: learnt.append(len(words)) or dict.fromkeys(words, b"ab")
+    words = ["".join(chr(97 + i // 26 ** k % 26) for k in range(5)) for i in range(700_000)]
+    texts = [" ".join(words[k:k + 5_000]) for k in range(0, len(words), 5_000)]
+    assert all(ids == b"ab" * 5_000 for ids in e.encode(texts * 2))
+    assert sum(learnt) == len(words)
+
+
+def test_chunks_with_other_line_ends():
+    """Chunks are told apart at line feeds only, empty ones and marks alone included."""
+    texts = ["Ab\r\ncd, \x0bEf gh  \n\nÉté!! \x85 ... don't <|endoftext|> x\x1cy Z", "", None, "\n", "AB, ab Ab,"]
+    e = tf.ChunkEncoder(FILE, DTYPE)
+    got = [np.frombuffer(x, DTYPE).tolist() for x in e.encode(texts)]
+    assert got == [library(t) for t in texts]
