@@ -1,5 +1,7 @@
-"""Boosted trees of several training sets (folds of a cross-validation) grown together: a level of the trees of all sets
-is one Spark job of one stage over their rows, where fits of their own would be two stages a set.
+"""Boosted trees of several training sets (folds of a cross-validation) grown together.  Sets of more rows than a task
+holds (``ROWS_A_SET``) are dealt out: a level of the trees of all sets is one Spark job of one stage over their rows, where fits of
+their own would be two stages a set.  Sets that fit a task are grown side by side, a task each: the same sums and
+the same cuts, without a job for every level.
 
 The method and its parameters are those of Spark ML's GBTClassifier / GBTRegressor, read from such an estimator: log loss
 on labels -1 / 1 or squared error, trees on the residuals by weighted variance, the first tree in full and the others times
@@ -12,13 +14,14 @@ number depends on the sets and the depth, never on the rows."""
 from __future__ import annotations
 
 import pickle
+from concurrent.futures import ThreadPoolExecutor
 from functools import partial, reduce
 from itertools import accumulate
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +30,7 @@ from ..functions import ranks
 
 ROWS_A_TASK = 32_768  # small tables take fewer tasks than there are cores: a level is a short job
 MOST_ROWS_A_TASK = 1_000_000
+ROWS_A_SET = MOST_ROWS_A_TASK  # sets up to this size are grown where their rows are; larger ones take a job a level
 PARTS_SUMMED_AT_ONCE = 16  # more partial sums than that are added on the executors first
 ROUNDS_A_CHECKPOINT = 25
 
@@ -34,8 +38,9 @@ ROUNDS_A_CHECKPOINT = 25
 class Boosted:
     """A fitted preprocessing and the booster behind it, which ``grow_together`` adds; scores like a Spark ML model."""
 
-    def __init__(self, prepared, est, train: DataFrame, label: str, weight: str | None = None):
-        self.prepared, self.est, self.train, self.label, self.weight = prepared, est, train, label, weight
+    def __init__(self, prepared, est, train: DataFrame, label: str, weight: str | None = None, rows: DataFrame | None = None):
+        """``rows``: the training rows with their features, if they are made already."""
+        self.prepared, self.est, self.train, self.label, self.weight, self.rows = prepared, est, train, label, weight, rows
         self.classifies = "Classifier" in type(est).__name__
         self.trees = None  # feature, threshold, value: (rounds, nodes) each; value times the tree's weight
 
@@ -84,8 +89,8 @@ def _edges(rows: DataFrame, fits: int, bins: int) -> list[list[np.ndarray]]:
     return [[np.array(sorted(e)) for e in one] for one in out]
 
 
-def _block(batches, edges, slots):
-    """The rows of a task, pickled: bins by feature, then set, label, weight and key's hash."""
+def _rows(batches, edges, slots):
+    """The rows of a task: bins by feature, then set, label, weight and key's hash."""
     parts = [(np.zeros((slots, 0), np.uint8), np.zeros(0, np.int32), np.zeros(0), np.zeros(0), np.zeros(0, np.uint64))]
     for b in batches:
         fit, y, w, row = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 2, 3, 4))
@@ -96,7 +101,12 @@ def _block(batches, edges, slots):
             for slot in range(values.shape[1]):
                 bins[slot, of] = np.searchsorted(edges.value[k][slot], values[:, slot], side="left")
         parts.append((bins, fit, y, w, row.view(np.uint64)))
-    whole = tuple(np.concatenate(v, axis=-1) for v in zip(*parts))
+    return tuple(np.concatenate(v, axis=-1) for v in zip(*parts))
+
+
+def _block(batches, edges, slots):
+    """The rows of a task, pickled."""
+    whole = _rows(batches, edges, slots)
     yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(whole, protocol=5)], pa.binary())], ["block"])
 
 
@@ -132,6 +142,17 @@ def _residuals(y: np.ndarray, prediction: np.ndarray, turn: int, classifies: boo
         return 4 * y / (1 + np.exp(2 * y * prediction))
 
 
+def _histograms(bins: np.ndarray, place: np.ndarray, weight: np.ndarray, pull: np.ndarray, sizes: list[int], n: int) -> np.ndarray:
+    """Rows, weights and weighted residuals by place (of n), feature and bin."""
+    start, out = 0, np.empty((3, n, sum(sizes)))
+    for slot, k in enumerate(sizes):
+        at = place * k + bins[slot]
+        for stat, given in enumerate((None, weight, pull)):
+            out[stat][:, start:start + k] = np.bincount(at, given, n * k).reshape(n, k)
+        start += k
+    return out
+
+
 def _sums(state, tree, level, turn, sizes, fits, rate, classifies):
     """Rows, weights and weighted residuals by (set, node of the level), feature and bin."""
     for (bins, fit, y, w, row), prediction in state:
@@ -141,13 +162,7 @@ def _sums(state, tree, level, turn, sizes, fits, rate, classifies):
         place = (fit[use].astype(np.int64) << level) + node[use] - first
         weight = w[use]
         pull = weight * _residuals(y[use], prediction[use], turn, classifies)
-        n, start, out = fits << level, 0, np.empty((3, fits << level, sum(sizes)))
-        for slot, k in enumerate(sizes):
-            at = place * k + bins[slot, use]
-            for stat, given in enumerate((None, weight, pull)):
-                out[stat][:, start:start + k] = np.bincount(at, given, n * k).reshape(n, k)
-            start += k
-        yield out
+        yield _histograms(bins[:, use], place, weight, pull, sizes, fits << level)
 
 
 def _split(tree: tuple, level: int, sums: np.ndarray, sizes: list[int], fits: int, least: int) -> bool:
@@ -187,6 +202,73 @@ def _advance(state, tree):
         yield block, prediction + tree[2][block[1], _descend(*block[:2], tree, tree[0].shape[1].bit_length() - 1)]
 
 
+def _bare(fits: int, depth: int) -> tuple:
+    """Trees without a cut, one a set: feature, cut and value by node."""
+    nodes = (2 << depth) - 1
+    return np.full((fits, nodes), -1, np.int16), np.zeros((fits, nodes), np.uint8), np.zeros((fits, nodes))
+
+
+def _grow(batches, edges, sizes, rounds, depth, rate, step, least, classifies):
+    """All trees of the one set whose rows are in this task, pickled."""
+    bins, _, y, w, row = _rows(batches, edges, len(sizes))
+    only, prediction, trees = np.zeros(len(y), np.int64), np.zeros(len(y)), []
+    for turn in range(rounds):
+        tree = _bare(1, depth)
+        use = np.flatnonzero(_drawn(row, turn, rate))
+        here, weight, node = bins[:, use], w[use], np.zeros(len(use), np.int64)
+        pull = weight * _residuals(y[use], prediction[use], turn, classifies)
+        for level in range(depth):
+            sums = _histograms(here, node - ((1 << level) - 1), weight, pull, sizes, 1 << level)
+            if not _split(tree, level, sums, sizes, 1, least):
+                break
+            cut = tree[0][0, node] >= 0
+            if not cut.all():  # rows of leaves are done
+                here, weight, pull, node = here[:, cut], weight[cut], pull[cut], node[cut]
+            node = 2 * node + 1 + (here[tree[0][0, node], np.arange(len(node))] > tree[1][0, node])
+        tree[2][:] *= 1.0 if turn == 0 else step
+        prediction += tree[2][0, _descend(bins, only, tree, depth)]
+        trees.append(tree)
+    yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(trees, protocol=5)], pa.binary())], ["trees"])
+
+
+def _side_by_side(rows: DataFrame, fits: int, **how) -> list[tuple]:
+    """The trees of all rounds, grown set by set: a job of one task each, all at a time.  Nothing but the trees is collected."""
+    def one(i):
+        return rows.where(F.col("_fit") == i).coalesce(1).mapInArrow(partial(_grow, **how), "trees binary").first()[0]
+    inherit = inheritable_thread_target(rows.sparkSession)
+    with ThreadPoolExecutor(fits) as pool:
+        grown = [pickle.loads(x) for x in pool.map(inherit(one), range(fits))]
+    return [tuple(np.concatenate(part) for part in zip(*turn)) for turn in zip(*grown)]
+
+
+def _level_by_level(rows: DataFrame, fits: int, edges, sizes, rounds, depth, rate, step, least, classifies) -> list[tuple]:
+    """The trees of all rounds: a level of all sets is one job over their rows, which are dealt out to tasks."""
+    sc, n = rows.sparkSession.sparkContext, rows.count()
+    tasks = max(min(-(-n // ROWS_A_TASK), sc.defaultParallelism), -(-n // MOST_ROWS_A_TASK), 1)
+    blocks = rows.repartition(tasks).mapInArrow(partial(_block, edges=edges, slots=len(sizes)), "block binary")
+    state = blocks.rdd.map(_loaded).persist(StorageLevel.MEMORY_AND_DISK)
+    held, trees = [state], []
+    for turn in range(rounds):
+        tree = _bare(fits, depth)
+        for level in range(depth):
+            parts = state.mapPartitions(partial(_sums, tree=tree, level=level, turn=turn, sizes=sizes, fits=fits,
+                                                rate=rate, classifies=classifies))
+            sums = reduce(np.add, parts.collect()) if tasks <= PARTS_SUMMED_AT_ONCE else parts.treeReduce(np.add)
+            while len(held) > 1:  # the first job of the round has stored the new predictions
+                held.pop(0).unpersist()
+            if not _split(tree, level, sums, sizes, fits, least):
+                break
+        tree[2][:] *= 1.0 if turn == 0 else step
+        trees.append(tree)
+        state = state.mapPartitions(partial(_advance, tree=tree)).persist(StorageLevel.MEMORY_AND_DISK)
+        if (turn + 1) % ROUNDS_A_CHECKPOINT == 0:  # else every round adds a step to the predictions' lineage
+            state.checkpoint() if sc.getCheckpointDir() else state.localCheckpoint()
+        held.append(state)
+    for rdd in held:
+        rdd.unpersist()
+    return trees
+
+
 def grow_together(models, key: str, keep) -> None:
     """Grows the boosters of all ``Boosted`` among the models, which share one estimator's parameters; others are left alone.
     ``key`` names the row in the draw of a tree's rows; ``keep(df, name)`` may write and reread the rows."""
@@ -195,38 +277,19 @@ def grow_together(models, key: str, keep) -> None:
         return
     est, classifies, fits = waiting[0].est, waiting[0].classifies, len(waiting)
     rows = keep(reduce(DataFrame.unionByName, [
-        m.prepared.transform(m.train).select(
+        (m.prepared.transform(m.train) if m.rows is None else m.rows).select(
             F.lit(i).alias("_fit"), vector_to_array("features").alias("_x"),
             (2 * F.col(m.label) - 1 if classifies else F.col(m.label)).cast("double").alias("_y"),
             (F.lit(1.0) if m.weight is None else F.col(m.weight).cast("double")).alias("_w"),
             F.xxhash64(F.col(key), F.lit(i), F.lit(est.getSeed())).alias("_row"))
         for i, m in enumerate(waiting)]), "boosting")
     sc = rows.sparkSession.sparkContext
-    n = rows.count()
-    tasks = max(min(-(-n // ROWS_A_TASK), sc.defaultParallelism), -(-n // MOST_ROWS_A_TASK), 1)
+    counts = [r["count"] for r in rows.groupBy("_fit").count().collect()]
     edges = _edges(rows, fits, est.getMaxBins())
     sizes = [max(len(one[slot]) for one in edges) + 1 for slot in range(len(edges[0]))]
-    blocks = rows.repartition(tasks).mapInArrow(partial(_block, edges=sc.broadcast(edges), slots=len(sizes)), "block binary")
-    state = blocks.rdd.map(_loaded).persist(StorageLevel.MEMORY_AND_DISK)
-    held, trees, nodes = [state], [], (2 << est.getMaxDepth()) - 1
-    for turn in range(est.getMaxIter()):
-        tree = np.full((fits, nodes), -1, np.int16), np.zeros((fits, nodes), np.uint8), np.zeros((fits, nodes))
-        for level in range(est.getMaxDepth()):
-            parts = state.mapPartitions(partial(_sums, tree=tree, level=level, turn=turn, sizes=sizes, fits=fits,
-                                                rate=est.getSubsamplingRate(), classifies=classifies))
-            sums = reduce(np.add, parts.collect()) if tasks <= PARTS_SUMMED_AT_ONCE else parts.treeReduce(np.add)
-            while len(held) > 1:  # the first job of the round has stored the new predictions
-                held.pop(0).unpersist()
-            if not _split(tree, level, sums, sizes, fits, est.getMinInstancesPerNode()):
-                break
-        tree[2][:] *= 1.0 if turn == 0 else est.getStepSize()
-        trees.append(tree)
-        state = state.mapPartitions(partial(_advance, tree=tree)).persist(StorageLevel.MEMORY_AND_DISK)
-        if (turn + 1) % ROUNDS_A_CHECKPOINT == 0:  # else every round adds a step to the predictions' lineage
-            state.checkpoint() if sc.getCheckpointDir() else state.localCheckpoint()
-        held.append(state)
-    for rdd in held:
-        rdd.unpersist()
+    how = dict(edges=sc.broadcast(edges), sizes=sizes, rounds=est.getMaxIter(), depth=est.getMaxDepth(), rate=est.getSubsamplingRate(),
+               step=est.getStepSize(), least=est.getMinInstancesPerNode(), classifies=classifies)
+    trees = (_side_by_side if max(counts) <= ROWS_A_SET else _level_by_level)(rows, fits, **how)
     feature, cut, value = (np.array(part) for part in zip(*trees))
     for i, m in enumerate(waiting):
         ends = np.array([np.pad(e, (0, max(sizes) - len(e))) for e in edges[i]])

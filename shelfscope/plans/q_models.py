@@ -33,8 +33,7 @@ def _cut(df: DataFrame, name: str) -> DataFrame:
 
 
 def _churn_split(r: Retail):
-    train, test = M.hash_split(_cut(_churn_data(r), "churn"), "customer_id", label="label")
-    return _cut(train, "churn-train"), _cut(test, "churn-test")
+    return M.hash_split(_cut(_churn_data(r), "churn"), "customer_id", label="label", keep=_cut)
 
 
 @register("churn_model_eval", survey_id="M1-M5,M7", digits=METRIC_DIGITS)
